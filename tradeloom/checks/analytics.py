@@ -21,8 +21,8 @@ from tradeloom.params import Period, QueryParams
 from tradeloom.plans import buyer, seller
 
 
-def buyer_overview_ctes(period: Period) -> dict[str, str]:
-    """Both periods by plain conditional and distinct aggregates."""
+def buyer_overview_ctes(period: Period, p: str = "") -> dict[str, str]:
+    """Both periods by plain conditional and distinct aggregates; `p` starts all names."""
     before = period.previous
     span = Period(before.start, period.end)
 
@@ -36,10 +36,10 @@ def buyer_overview_ctes(period: Period) -> dict[str, str]:
         )
 
     return {
-        "both_periods": f"""
+        f"{p}both_periods": f"""
             SELECT *, {within('updated_date', period)} AS cur, {within('updated_date', before)} AS prev
             FROM lines WHERE {within('updated_date', span)}""",
-        "sums": """
+        f"{p}sums": f"""
             SELECT buyer_org_id AS b,
                    sum(CASE WHEN cur THEN total_amount ELSE 0 END) AS ca,
                    sum(CASE WHEN prev THEN total_amount ELSE 0 END) AS pa,
@@ -49,12 +49,12 @@ def buyer_overview_ctes(period: Period) -> dict[str, str]:
                    count(DISTINCT CASE WHEN prev THEN seller_org_id END) AS ps,
                    count(DISTINCT CASE WHEN cur THEN product_id END) AS ci,
                    count(DISTINCT CASE WHEN prev THEN product_id END) AS pi
-            FROM both_periods GROUP BY buyer_org_id""",
-        "product_first": first_seen("product_id"),
-        "seller_first": first_seen("seller_org_id"),
-        "new_products": newly("product_first", "ni"),
-        "new_sellers": newly("seller_first", "ns"),
-        "buyer_overview": f"""
+            FROM {p}both_periods GROUP BY buyer_org_id""",
+        f"{p}product_first": first_seen("product_id"),
+        f"{p}seller_first": first_seen("seller_org_id"),
+        f"{p}new_products": newly(f"{p}product_first", "ni"),
+        f"{p}new_sellers": newly(f"{p}seller_first", "ns"),
+        f"{p}buyer_overview": f"""
             SELECT sums.b AS buyer_org_id,
                    CAST(ca AS DOUBLE) AS current_period_purchases,
                    CAST(pa AS DOUBLE) AS previous_period_purchases,
@@ -75,8 +75,8 @@ def buyer_overview_ctes(period: Period) -> dict[str, str]:
                    cs AS suppliers_current, ps AS suppliers_previous,
                    {pct('cs', 'ps')} AS suppliers_percentage_change,
                    coalesce(nsc, 0) AS new_suppliers_current, coalesce(nsp, 0) AS new_suppliers_previous
-            FROM sums LEFT JOIN new_products ON sums.b = new_products.b
-                      LEFT JOIN new_sellers ON sums.b = new_sellers.b""",
+            FROM {p}sums sums LEFT JOIN {p}new_products np ON sums.b = np.b
+                              LEFT JOIN {p}new_sellers ns ON sums.b = ns.b""",
     }
 
 
@@ -155,26 +155,26 @@ def _(market):
     return buyer.top_categories(market, whole(5))
 
 
-def seller_overview_ctes(period: Period, filters: str = "") -> dict[str, str]:
+def seller_overview_ctes(period: Period, filters: str = "", p: str = "") -> dict[str, str]:
     return {
-        "per_order": f"""
+        f"{p}per_order": f"""
             SELECT seller_org_id AS v, po_id, sum(total_amount) AS amount, sum(qty) AS units
             FROM lines WHERE {within('created_date', period)} {filters} GROUP BY ALL""",
-        "sales": f"""
+        f"{p}sales": f"""
             SELECT v, {money('sum(amount)')} AS total_sales, {money('sum(units)')} AS units_sold,
                    {ratio('sum(amount)', 'count(po_id)')} AS average_order_value
-            FROM per_order GROUP BY v""",
-        "buyer_orders": f"""
+            FROM {p}per_order GROUP BY v""",
+        f"{p}buyer_orders": f"""
             SELECT seller_org_id AS v, buyer_org_id, count(DISTINCT po_id) AS n FROM lines
             WHERE {within('po_created_date', period)} AND buyer_org_id IS NOT NULL {filters} GROUP BY ALL""",
-        "repeats": """
+        f"{p}repeats": f"""
             SELECT v, count(*) AS total_buyers, count(*) FILTER (n > 1) AS repeat_buyers
-            FROM buyer_orders GROUP BY v""",
-        "seller_overview": f"""
+            FROM {p}buyer_orders GROUP BY v""",
+        f"{p}seller_overview": f"""
             SELECT sales.v AS vendor_id, total_sales, units_sold, average_order_value,
                    coalesce(total_buyers, 0) AS total_buyers, coalesce(repeat_buyers, 0) AS repeat_buyers,
                    coalesce({ratio('(100 * repeat_buyers)', 'total_buyers')}, 0) AS repeat_purchase_rate_pct
-            FROM sales LEFT JOIN repeats ON repeats.v = sales.v""",
+            FROM {p}sales sales LEFT JOIN {p}repeats repeats ON repeats.v = sales.v""",
     }
 
 
