@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
+BUCKETS = 32
 
 
 def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequence[float]) -> DataFrame:
@@ -43,19 +43,19 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequen
             for rank, part in ((F.floor(at), 1 - upper), (F.ceil(at), upper))
         ]
 
+    rank_inside = F.col("n.rank") - F.col("before")
     wanted = (
-        sizes.withColumn("w", F.explode(F.array(*(n for p in probabilities for n in neighbours(p)))))
-        .select(group, "bucket", "before", "held", "w.*")
-        .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("held")))
+        sizes.withColumn("n", F.explode(F.array(*(n for p in probabilities for n in neighbours(p)))))
+        .filter((rank_inside >= 0) & (rank_inside < F.col("held")))
+        .groupBy(group, "bucket", "before")
+        .agg(F.collect_list("n").alias("neighbours"))
     )
     by_value = Window.partitionBy(group, "bucket").orderBy(value)
-    ordered = placed.join(
-        F.broadcast(wanted.select(group, "bucket").distinct()), [group, "bucket"], "left_semi"
-    ).withColumn("last", F.sum("weight").over(by_value))
-    rank_inside = F.col("rank") - F.col("before")
     return (
-        ordered.join(F.broadcast(wanted), [group, "bucket"])
+        placed.join(F.broadcast(wanted), [group, "bucket"])
+        .withColumn("last", F.sum("weight").over(by_value))
+        .withColumn("n", F.explode("neighbours"))
         .filter((rank_inside < F.col("last")) & (rank_inside >= F.col("last") - F.col("weight")))
-        .groupBy(group, "probability")
-        .agg(F.sum(F.col(value) * F.col("part")).alias("quantile"))
+        .groupBy(group, F.col("n.probability").alias("probability"))
+        .agg(F.sum(F.col(value) * F.col("n.part")).alias("quantile"))
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradeloom.functions.numeric import WIDE, safe_ratio
 from tradeloom.operators.quantiles import exact_quantiles
 from tradeloom.plans.registry import plan_of
 
@@ -36,16 +37,21 @@ def _spread(values: DataFrame) -> DataFrame:
     """
     known, unknown = F.col("entity_id").isNotNull(), F.col("entity_id").isNull()
 
-    def over_known(function, metric: str):
-        return F.round(function(F.when(known, F.col(metric))), DIGITS)
+    def mean(metric: str):
+        # Of decimals, so that it does not depend on the order of adding.
+        total = F.sum(F.when(known, F.col(metric).cast(WIDE)))
+        return safe_ratio(total, F.count_if(known), DIGITS)
+
+    def deviation(metric: str):
+        return F.round(F.stddev_pop(F.when(known, F.col(metric))), DIGITS)
 
     def total(metric: str):
         return F.sum(F.when(unknown, F.col(metric)))
 
     return values.agg(
         F.count_if(known).alias("total_count"),
-        *(over_known(F.avg, m).alias(f"avg_{m}") for m in METRICS),
-        *(over_known(F.stddev_pop, m).alias(f"std_{m}") for m in METRICS),
+        *(mean(m).alias(f"avg_{m}") for m in METRICS),
+        *(deviation(m).alias(f"std_{m}") for m in METRICS),
         total("period_spend").alias("platform_total_spend"),
         F.sum(F.when(unknown, F.lit(0.0))).alias("platform_total_orders"),
         total("counterparties").alias("platform_total_counterparties"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +14,7 @@ from tradeloom.params import ENTITY_TYPES, QueryParams
 from tradeloom.plans.benchmarks import platform_benchmarks
 from tradeloom.plans.entities import documents, overview_lines, overview_rows, query_rows
 from tradeloom.plans.registry import plan_of
+from tradeloom.sources.staging import read_lines, write_lines
 from tradeloom.sources.tables import Marketplace
 
 HISTORY_SCHEMA = """
@@ -142,22 +143,23 @@ class Store:
     def log(self) -> DataFrame:
         return self._read("sync_log", LOG_SCHEMA)
 
+    def latest_sync(self) -> DataFrame:
+        log = self.log()
+        newest = log.agg(F.max_by(F.struct(*log.columns), "synced_at").alias("last"))
+        return newest.filter(F.col("last").isNotNull()).select("last.*")
+
     def health(self) -> DataFrame:
         """One row: entities per type and the newest log entry."""
         counts = [
             self.entities(kind).agg(F.count("*").alias(f"{kind}s")).select(f"{kind}s", F.lit(1).alias("one"))
             for kind in ENTITY_TYPES
         ]
-        newest = self.log().agg(
-            F.max_by(F.struct("synced_at", "status"), "synced_at").alias("last"), F.lit(1).alias("one")
-        )
-        joined = counts[0].join(F.broadcast(counts[1]), "one").join(F.broadcast(newest), "one")
-        return joined.select(
-            "buyers",
-            "sellers",
-            F.col("last.synced_at").alias("last_synced_at"),
-            F.col("last.status").alias("last_status"),
+        newest = self.latest_sync().select(
+            F.col("synced_at").alias("last_synced_at"), F.col("status").alias("last_status"), F.lit(1).alias("one")
         )
+        # Every side is one row.
+        joined = counts[0].join(F.broadcast(counts[1]), "one").join(F.broadcast(newest), "one", "left")
+        return joined.drop("one")
 
     # Sync
 
@@ -169,10 +171,13 @@ class Store:
     ) -> dict[str, int]:
         """Rebuild history and benchmarks of the given entity types and log each outcome.
 
-        The overview is computed once: benchmarks are taken from the written history. A type that
-        fails, or whose overview is empty, keeps its old history.
+        The join of items with orders is written once and read by all queries, and the overview is
+        computed once: benchmarks are taken from the written history. A type that fails, or whose
+        overview is empty, keeps its old history.
         """
         started = time.monotonic()
+        write_lines(market, self._path("lines"))
+        market = market.with_lines(read_lines(self.spark, self._path("lines")))
         counts: dict[str, int] = {}
         for entity_type, chosen in params.items():
             try:
@@ -182,7 +187,8 @@ class Store:
                 counts[entity_type] = 0
                 status, error = "error", f"{type(failure).__name__}: {failure}"[:2000]
             seconds = time.monotonic() - started
-            self.append_log(entity_type, counts[entity_type], seconds, status, error, now)
+            done = now + timedelta(seconds=seconds)
+            self.append_log(entity_type, counts[entity_type], seconds, status, error, done)
         return counts
 
     def _sync_type(self, market: Marketplace, entity_type: str, params: QueryParams, now: datetime) -> int:
