@@ -50,13 +50,9 @@ def history_ctes() -> dict[str, str]:
     }
 
 
-def _spark(market):
-    return market.po_items.sparkSession
-
-
 def _store(market, name: str) -> Store:
     """A store of its own for each query that writes."""
-    return Store(_spark(market), f"{shared_folder(_spark(market))}/tradeloom/{name}")
+    return Store(market.spark, f"{shared_folder(market.spark)}/tradeloom/{name}")
 
 
 def synced_store(market, name: str) -> Store:
@@ -111,7 +107,7 @@ BATCH = tuple(range(60, 110))
     ),
 )
 def _(market):
-    return select_batch(_spark(market), BATCH, active_entities(market, "seller", LATER_HALF))
+    return select_batch(market.spark, BATCH, active_entities(market, "seller", LATER_HALF))
 
 
 @register(
@@ -122,7 +118,7 @@ def _(market):
     ),
 )
 def _(market):
-    return batch_summary(select_batch(_spark(market), BATCH, active_entities(market, "seller", LATER_HALF)))
+    return batch_summary(select_batch(market.spark, BATCH, active_entities(market, "seller", LATER_HALF)))
 
 
 # Documents
@@ -207,7 +203,7 @@ for _type in ("buyer", "seller"):
         store = _store(market, f"dashboards_{kind}")
         path = f"{store.root}/rows"
         runs.write_rows(market, kind, CURRENT[kind], path)
-        rows = _spark(market).read.parquet(path)
+        rows = market.spark.read.parquet(path)
         ids = active_entities(market, kind, LATER_HALF)
         # Small parts, so that larger entities have several.
         return _document_summary(documents(ids, rows, kind, CURRENT[kind], NOW, rows_per_part=100))
@@ -218,10 +214,10 @@ def _(market):
     store = _store(market, "dashboard_docs")
     path = f"{store.root}/rows"
     runs.write_rows(market, "buyer", CURRENT["buyer"], path)
-    rows = _spark(market).read.parquet(path)
+    rows = market.spark.read.parquet(path)
     ids = active_entities(market, "buyer", LATER_HALF)
     store.write_dashboards(documents(ids, rows, "buyer", CURRENT["buyer"], NOW))
-    return _spark(market).read.json(f"{store.root}/dashboards").groupBy("entity_type", "query").count()
+    return market.spark.read.json(f"{store.root}/dashboards").groupBy("entity_type", "query").count()
 
 
 # Platform statistics

@@ -23,7 +23,6 @@ from tradeloom.checks.entities import (
     CURRENT,
     NOW,
     STATISTICS,
-    _spark,
     _store,
     benchmark_sql,
     history_ctes,

@@ -20,7 +20,7 @@ from tradeloom.checks.base import (
 )
 from tradeloom.functions import dates
 from tradeloom.functions.categories import deepest_category
-from tradeloom.functions.numeric import pct_change, rounded, safe_ratio
+from tradeloom.functions.numeric import pct_change, safe_ratio, units, units_per
 from tradeloom.operators import filters
 from tradeloom.operators.ranking import top_n_per
 from tradeloom.operators.shares import with_share
@@ -32,8 +32,8 @@ from tradeloom.sources.tables import TABLES, join_items_orders
 EARLIER_HALF = LATER_HALF.previous
 
 
-def as_double(*names: str) -> list:
-    return [F.col(n).cast("double").alias(n) for n in names]
+def in_units(**names: str) -> list:
+    return [units(F.col(column)).alias(name) for name, column in names.items()]
 
 
 # Scans and joins
@@ -75,7 +75,7 @@ def _(market):
     return join_items_orders(market.po_items, market.po_details).select(
         "po_id",
         "product_id",
-        *as_double("qty", "total_amount"),
+        *in_units(qty="qty_hundredths", total_amount="amount_cents"),
         "buyer_org_id",
         "seller_org_id",
         "source",
@@ -167,7 +167,7 @@ def _(market):
     ),
 )
 def _(market):
-    spend = market.lines().groupBy("buyer_org_id", "seller_org_id").agg(F.sum("total_amount").alias("spent"))
+    spend = market.lines().groupBy("buyer_org_id", "seller_org_id").agg(F.sum("amount_cents").alias("spent"))
     return with_share(spend, "buyer_org_id", "spent", "share_pct").drop("spent")
 
 
@@ -185,7 +185,7 @@ def _(market):
     return (
         market.lines()
         .groupBy("seller_org_id")
-        .agg(rounded(F.sum("total_amount")).alias("amount"), rounded(F.sum("qty")).alias("units"))
+        .agg(units(F.sum("amount_cents")).alias("amount"), units(F.sum("qty_hundredths")).alias("units"))
     )
 
 
@@ -200,7 +200,7 @@ def _(market):
     return (
         market.lines()
         .groupBy("seller_org_id")
-        .agg(F.count("*").alias("all_lines"), F.count("total_amount").alias("priced_lines"))
+        .agg(F.count("*").alias("all_lines"), F.count("amount_cents").alias("priced_lines"))
     )
 
 
@@ -226,13 +226,13 @@ def _(market):
 )
 def _(market):
     def spent(period):
-        return F.sum(F.when(period.holds(F.col("updated_date")), F.col("total_amount")).otherwise(0))
+        return F.sum(F.when(period.holds(F.col("updated_date")), F.col("amount_cents")).otherwise(0))
 
     return (
         market.lines()
         .groupBy("buyer_org_id")
         .agg(
-            spent(LATER_HALF).cast("double").alias("later"), spent(EARLIER_HALF).cast("double").alias("earlier")
+            units(spent(LATER_HALF)).alias("later"), units(spent(EARLIER_HALF)).alias("earlier")
         )
     )
 
@@ -256,8 +256,8 @@ DISTINCT_COUNTS = ["curr_items", "prev_items", "curr_suppliers", "prev_suppliers
     ),
 )
 def _(market):
-    pairs = buyer.purchases_by_pair(market.lines(), LATER_HALF)
-    return buyer.buyer_measures(pairs, LATER_HALF).select("buyer_org_id", *DISTINCT_COUNTS)
+    by_key = buyer.purchases_by_key(market.lines(), LATER_HALF)
+    return buyer.buyer_measures(by_key, LATER_HALF).select("buyer_org_id", *DISTINCT_COUNTS)
 
 
 FIRST_SEEN = """
@@ -274,13 +274,9 @@ FIRST_SEEN = """
     ),
 )
 def _(market):
-    pairs = buyer.purchases_by_pair(market.lines(), LATER_HALF)
-    first = F.min("first_seen").cast("date").alias("first_seen")
-
-    def of(key):
-        return pairs.groupBy("buyer_org_id", F.lit(key).alias("kind"), F.col(key).alias("key")).agg(first)
-
-    return of("product_id").unionByName(of("seller_org_id"))
+    by_key = buyer.purchases_by_key(market.lines(), WHOLE)
+    kind = F.when(F.col("kind") == buyer.ITEM, "product_id").otherwise("seller_org_id").alias("kind")
+    return by_key.select("buyer_org_id", kind, "key", F.col("first_seen").cast("date").alias("first_seen"))
 
 
 @register(
@@ -293,8 +289,8 @@ def _(market):
     ),
 )
 def _(market):
-    pairs = buyer.purchases_by_pair(market.lines(), LATER_HALF)
-    return buyer.buyer_measures(pairs, LATER_HALF).select(
+    by_key = buyer.purchases_by_key(market.lines(), LATER_HALF)
+    return buyer.buyer_measures(by_key, LATER_HALF).select(
         "buyer_org_id",
         F.col("new_items_current").alias("new_products"),
         F.col("new_items_previous").alias("new_products_before"),
@@ -322,12 +318,12 @@ def _(market):
     orders = (
         market.lines()
         .groupBy(F.col("seller_org_id").alias("vendor_id"), "po_id")
-        .agg(F.sum("total_amount").alias("amount"))
+        .agg(F.sum("amount_cents").alias("amount"))
     )
     return orders.groupBy("vendor_id").agg(
         F.count("po_id").alias("orders"),
-        rounded(F.sum("amount")).alias("amount"),
-        rounded(F.max("amount")).alias("largest"),
+        units(F.sum("amount")).alias("amount"),
+        units(F.max("amount")).alias("largest"),
     )
 
 
@@ -339,9 +335,9 @@ def _(market):
     ),
 )
 def _(market):
-    orders = market.lines().groupBy("buyer_org_id", "po_id").agg(F.sum("total_amount").alias("amount"))
+    orders = market.lines().groupBy("buyer_org_id", "po_id").agg(F.sum("amount_cents").alias("amount"))
     return orders.groupBy("buyer_org_id").agg(
-        safe_ratio(F.sum("amount"), F.count("po_id")).alias("average_order_value")
+        units_per(F.sum("amount"), F.count("po_id")).alias("average_order_value")
     )
 
 
@@ -374,7 +370,7 @@ def _(market):
     return (
         market.lines()
         .groupBy(dates.bucket(F.col("created_date"), "month").alias("month_start"))
-        .agg(F.count("*").alias("n"), rounded(F.sum("total_amount")).alias("amount"))
+        .agg(F.count("*").alias("n"), units(F.sum("amount_cents")).alias("amount"))
     )
 
 
@@ -389,7 +385,7 @@ def _(market):
     grouped = (
         market.lines()
         .groupBy("source")
-        .agg(F.count("*").alias("n"), rounded(F.sum("total_amount")).alias("amount"))
+        .agg(F.count("*").alias("n"), units(F.sum("amount_cents")).alias("amount"))
     )
     return grouped.select(F.coalesce("source", F.lit("Unknown")).alias("sales_channel"), "n", "amount")
 
@@ -408,9 +404,9 @@ def _(market):
     ),
 )
 def _(market):
-    sums = market.lines().groupBy("source", "seller_org_id").agg(F.sum("total_amount").alias("amount"))
+    sums = market.lines().groupBy("source", "seller_org_id").agg(F.sum("amount_cents").alias("amount"))
     return top_n_per(sums, "source", "amount", "seller_org_id", 5, "rank").withColumn(
-        "amount", F.col("amount").cast("double")
+        "amount", units(F.col("amount"))
     )
 
 
@@ -426,7 +422,7 @@ def _buyer_months(market):
     months = (
         market.lines()
         .groupBy("buyer_org_id", dates.bucket(F.col("created_date"), "month").alias("month_start"))
-        .agg(F.sum("total_amount").alias("amount"))
+        .agg(F.sum("amount_cents").alias("amount"))
     )
     return with_previous(months, "buyer_org_id", "month_start", "amount", "before")
 
@@ -439,7 +435,7 @@ def _buyer_months(market):
     ),
 )
 def _(market):
-    return _buyer_months(market).select("buyer_org_id", "month_start", *as_double("amount", "before"))
+    return _buyer_months(market).select("buyer_org_id", "month_start", *in_units(amount="amount", before="before"))
 
 
 @register(
@@ -474,7 +470,7 @@ def _(market):
     parts = [
         filters.in_period(market.lines(), clock, LATER_HALF)
         .groupBy(F.lit(clock).alias("clock"), "seller_org_id")
-        .agg(F.count("*").alias("n"), F.sum("total_amount").cast("double").alias("amount"))
+        .agg(F.count("*").alias("n"), units(F.sum("amount_cents")).alias("amount"))
         for clock in CLOCKS
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -627,8 +623,17 @@ def _(market):
 
 
 def _product_halves(market):
-    return buyer.purchases_by_pair(market.lines(), LATER_HALF).groupBy("product_id").agg(
-        *(F.sum(c).alias(c) for c in ("curr_amount", "curr_qty", "prev_amount", "prev_qty"))
+    def bought(column, period):
+        return F.sum(F.when(period.holds(F.col("updated_date")), F.col(column)).otherwise(0))
+
+    return (
+        market.lines()
+        .groupBy("product_id")
+        .agg(
+            bought("amount_cents", LATER_HALF).alias("curr_amount"),
+            bought("qty_hundredths", LATER_HALF).alias("curr_qty"),
+            bought("amount_cents", EARLIER_HALF).alias("prev_amount"),
+        )
     )
 
 

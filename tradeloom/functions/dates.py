@@ -11,9 +11,15 @@ from tradeloom.params import Period
 CALENDAR_STEP = {"month": "INTERVAL 1 MONTH", "quarter": "INTERVAL 3 MONTH"}
 
 
+RESOLUTIONS = ("day", "week", "month", "quarter", "year")
+
+
 def bucket(clock: Column, resolution: str) -> Column:
-    """First day of the day, ISO week, month or quarter that holds the clock value."""
-    return F.date_trunc(resolution, clock).cast("date")
+    """First day of the day, ISO week, month, quarter or year that holds the clock value."""
+    if resolution not in RESOLUTIONS:
+        raise ValueError(f"time resolution must be one of {RESOLUTIONS}, got {resolution!r}")
+    day = clock.cast("date")
+    return day if resolution == "day" else F.trunc(day, resolution)
 
 
 def calendar(first: Column, last: Column, resolution: str) -> Column:

@@ -1,7 +1,9 @@
-"""Exact rounding, ratios and percentage changes.
+"""Fixed-point amounts, exact rounding, ratios and percentage changes.
 
-Amounts are decimals, so sums do not depend on the order in which partitions are merged. Quotients
-keep enough digits for a half-away-from-zero rounding of the true value; results are doubles.
+Money and quantities are summed as whole hundredths (BIGINT): such sums are exact whatever the order
+in which partitions are merged, and cheap. A sum beyond 9e16 units fails instead of wrapping around.
+Quotients keep enough digits for a half-away-from-zero rounding of the true value; results are
+doubles.
 """
 
 from __future__ import annotations
@@ -9,13 +11,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-AMOUNT = "decimal(18,4)"
+WHOLE = "decimal(20,0)"
 WIDE = "decimal(24,4)"
 FRACTION = "decimal(38,12)"
 
 
-def rounded(value: Column, digits: int = 2) -> Column:
-    return F.round(value, digits).cast("double")
+def hundredths(value: Column, kind: str) -> Column:
+    """An amount of the given SQL type, to two decimals, as a whole number."""
+    if kind in ("double", "float"):
+        return F.rint(value * 100).cast("bigint")
+    return (F.round(value, 2) * 100).cast("bigint")
+
+
+def units(total: Column) -> Column:
+    """Hundredths as a double."""
+    return total / F.lit(100.0)
 
 
 def _percent(fraction: Column) -> Column:
@@ -27,19 +37,24 @@ def _not_zero(value: Column, kind: str) -> Column:
     return F.nullif(value.cast(kind), F.lit(0).cast(kind))
 
 
-def quotient(numerator: Column, denominator: Column) -> Column:
-    """Unrounded quotient; NULL where the denominator is zero."""
-    return numerator.cast(WIDE) / _not_zero(denominator, WIDE)
+def quotient(numerator: Column, denominator: Column, kind: str = WHOLE) -> Column:
+    """Unrounded quotient of two numbers that fit the kind; NULL where the denominator is zero."""
+    return numerator.cast(kind) / _not_zero(denominator, kind)
+
+
+def safe_ratio(numerator: Column, denominator: Column, digits: int = 2, kind: str = WHOLE) -> Column:
+    return F.round(quotient(numerator, denominator, kind), digits).cast("double")
 
 
-def safe_ratio(numerator: Column, denominator: Column, digits: int = 2) -> Column:
-    return rounded(quotient(numerator, denominator), digits)
+def units_per(total: Column, count: Column) -> Column:
+    """Hundredths per counted thing, in units."""
+    return safe_ratio(total, count * 100)
 
 
-def pct_change(current: Column, previous: Column) -> Column:
+def pct_change(current: Column, previous: Column, kind: str = WHOLE) -> Column:
     """Change from previous to current in percent; NULL where previous is zero."""
-    now, before = current.cast(WIDE), previous.cast(WIDE)
-    return _percent((now - before) / _not_zero(before, WIDE))
+    now, before = current.cast(kind), previous.cast(kind)
+    return _percent((now - before) / _not_zero(before, kind))
 
 
 def pct_change_of_quotients(

@@ -40,7 +40,7 @@ def _spread(values: DataFrame) -> DataFrame:
     def mean(metric: str):
         # Of decimals, so that it does not depend on the order of adding.
         total = F.sum(F.when(known, F.col(metric).cast(WIDE)))
-        return safe_ratio(total, F.count_if(known), DIGITS)
+        return safe_ratio(total, F.count_if(known), DIGITS, WIDE)
 
     def deviation(metric: str):
         return F.round(F.stddev_pop(F.when(known, F.col(metric))), DIGITS)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.categories import deepest_category
-from tradeloom.functions.numeric import pct_change, pct_change_of_quotients, safe_ratio
+from tradeloom.functions.numeric import pct_change, pct_change_of_quotients, safe_ratio, units, units_per
 from tradeloom.operators.filters import in_period
 from tradeloom.operators.ranking import top_n_per
 from tradeloom.params import Period, QueryParams
@@ -15,12 +15,19 @@ from tradeloom.sources.tables import Marketplace
 CLOCK = "updated_date"
 BUYER = "buyer_org_id"
 RANK = "rank_within_buyer"
+ITEM, SUPPLIER = "item", "supplier"
 
 
-def purchases_by_pair(lines: DataFrame, period: Period) -> DataFrame:
-    """All lines up to the end of the period as one row per buyer, seller and product.
+AMOUNTS = ("curr_amount", "curr_qty", "prev_amount", "prev_qty")
 
-    Later lines cannot change a sum, a count or whether something was first seen in the period.
+
+def purchases_by_key(lines: DataFrame, period: Period) -> DataFrame:
+    """All lines up to the end of the period, as one row per buyer and product and one per buyer and
+    seller; the sums are on the seller rows only.
+
+    Later lines cannot change a sum, a count or whether something was first seen in the period. Both
+    kinds of row come from one scan and share one shuffle, which is keyed by buyer and key: the lines
+    of a buyer with most of the data spread over its keys.
     """
     clock = F.col(CLOCK)
     current, previous = period.holds(clock), period.previous.holds(clock)
@@ -28,16 +35,21 @@ def purchases_by_pair(lines: DataFrame, period: Period) -> DataFrame:
 
     def spent(column: str, when: Column) -> Column:
         # Inside the span a line of the other period adds zero; outside it adds nothing.
-        return F.sum(F.when(when, F.col(column)).when(in_span, F.lit(0)))
+        return F.sum(F.when(F.col("kind") == SUPPLIER, F.when(when, F.col(column)).when(in_span, F.lit(0))))
 
+    keys = F.array(
+        F.struct(F.lit(ITEM).alias("kind"), F.col("product_id").alias("key")),
+        F.struct(F.lit(SUPPLIER).alias("kind"), F.col("seller_org_id").alias("key")),
+    )
     return (
         lines.filter(clock <= F.lit(period.end))
-        .groupBy(BUYER, "seller_org_id", "product_id")
+        .select(BUYER, CLOCK, "amount_cents", "qty_hundredths", F.inline(keys))
+        .groupBy(BUYER, "kind", "key")
         .agg(
-            spent("total_amount", current).alias("curr_amount"),
-            spent("qty", current).alias("curr_qty"),
-            spent("total_amount", previous).alias("prev_amount"),
-            spent("qty", previous).alias("prev_qty"),
+            spent("amount_cents", current).alias("curr_amount"),
+            spent("qty_hundredths", current).alias("curr_qty"),
+            spent("amount_cents", previous).alias("prev_amount"),
+            spent("qty_hundredths", previous).alias("prev_qty"),
             F.max(in_span).alias("in_span"),
             F.max(current).alias("in_current"),
             F.max(previous).alias("in_previous"),
@@ -46,45 +58,28 @@ def purchases_by_pair(lines: DataFrame, period: Period) -> DataFrame:
     )
 
 
-def _distinct_counts(pairs: DataFrame, key: str, period: Period, counted: str) -> DataFrame:
-    """Per buyer: keys bought in either period, and keys first ever bought in it."""
-    keys = (
-        pairs.filter(F.col(key).isNotNull())
-        .groupBy(BUYER, key)
-        .agg(
-            F.max("in_current").alias("in_current"),
-            F.max("in_previous").alias("in_previous"),
-            F.min("first_seen").alias("first_seen"),
-        )
-    )
-    first_seen = F.col("first_seen")
-    return keys.groupBy(BUYER).agg(
-        F.count_if("in_current").alias(f"curr_{counted}"),
-        F.count_if("in_previous").alias(f"prev_{counted}"),
-        F.count_if(period.holds(first_seen)).alias(f"new_{counted}_current"),
-        F.count_if(period.previous.holds(first_seen)).alias(f"new_{counted}_previous"),
-    )
-
-
-def buyer_measures(pairs: DataFrame, period: Period) -> DataFrame:
+def buyer_measures(by_key: DataFrame, period: Period) -> DataFrame:
     """Sums and distinct counts of both periods, one row per buyer seen in the span.
 
-    Each distinct count is a plain count over rows grouped by buyer and key, so no shuffle is keyed
-    by the buyer alone before the rows are partly aggregated.
+    Distinct keys are plain counts of rows here, which are added up per task before the last shuffle.
     """
-    amounts = ["curr_amount", "curr_qty", "prev_amount", "prev_qty"]
-    sums = pairs.groupBy(BUYER).agg(
-        *(F.sum(a).alias(a) for a in amounts), F.max("in_span").alias("in_span")
-    )
-    items = _distinct_counts(pairs, "product_id", period, "items")
-    suppliers = _distinct_counts(pairs, "seller_org_id", period, "suppliers")
-    merged = sums.unionByName(items, True).unionByName(suppliers, True)
-    counts = [c for c in merged.columns if c not in {BUYER, "in_span", *amounts}]
+    known, first_seen = F.col("key").isNotNull(), F.col("first_seen")
+
+    def counts(kind: str, name: str) -> list[Column]:
+        of_kind = known & (F.col("kind") == kind)
+        return [
+            F.count_if(of_kind & F.col("in_current")).alias(f"curr_{name}"),
+            F.count_if(of_kind & F.col("in_previous")).alias(f"prev_{name}"),
+            F.count_if(of_kind & period.holds(first_seen)).alias(f"new_{name}_current"),
+            F.count_if(of_kind & period.previous.holds(first_seen)).alias(f"new_{name}_previous"),
+        ]
+
     return (
-        merged.groupBy(BUYER)
+        by_key.groupBy(BUYER)
         .agg(
-            *(F.sum(a).alias(a) for a in amounts),
-            *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts),
+            *(F.sum(a).alias(a) for a in AMOUNTS),
+            *counts(ITEM, "items"),
+            *counts(SUPPLIER, "suppliers"),
             F.max("in_span").alias("in_span"),
         )
         .filter("in_span")
@@ -93,7 +88,7 @@ def buyer_measures(pairs: DataFrame, period: Period) -> DataFrame:
 
 def overview(market: Marketplace, params: QueryParams) -> DataFrame:
     """Period-over-period purchases, quantities, prices, items and suppliers per buyer."""
-    measures = buyer_measures(purchases_by_pair(market.lines(), params.period), params.period)
+    measures = buyer_measures(purchases_by_key(market.lines(), params.period), params.period)
     c = {name: F.col(name) for name in measures.columns}
     spend = (c["curr_amount"], c["prev_amount"])
     qty = (c["curr_qty"], c["prev_qty"])
@@ -106,14 +101,14 @@ def overview(market: Marketplace, params: QueryParams) -> DataFrame:
 
     columns = {
         BUYER: c[BUYER],
-        "current_period_purchases": spend[0].cast("double"),
-        "previous_period_purchases": spend[1].cast("double"),
+        "current_period_purchases": units(spend[0]),
+        "previous_period_purchases": units(spend[1]),
         "purchase_percentage_change": pct_change(*spend),
-        "current_period_quantity": qty[0].cast("double"),
-        "previous_period_quantity": qty[1].cast("double"),
+        "current_period_quantity": units(qty[0]),
+        "previous_period_quantity": units(qty[1]),
         "quantity_percentage_change": pct_change(*qty),
-        "avg_purchase_per_supplier_current": safe_ratio(spend[0], suppliers[0]),
-        "avg_purchase_per_supplier_previous": safe_ratio(spend[1], suppliers[1]),
+        "avg_purchase_per_supplier_current": units_per(spend[0], suppliers[0]),
+        "avg_purchase_per_supplier_previous": units_per(spend[1], suppliers[1]),
         "avg_purchase_per_supplier_percentage_change": pct_change_of_quotients(
             spend[0], suppliers[0], spend[1], suppliers[1]
         ),
@@ -138,7 +133,7 @@ def overview(market: Marketplace, params: QueryParams) -> DataFrame:
 
 def _purchases(market: Marketplace, params: QueryParams, *keys: str) -> DataFrame:
     lines = in_period(market.lines(), CLOCK, params.period)
-    return lines.groupBy(BUYER, *keys).agg(F.sum("total_amount").alias("total_purchase_amount"))
+    return lines.groupBy(BUYER, *keys).agg(F.sum("amount_cents").alias("total_purchase_amount"))
 
 
 def _ranked(purchases: DataFrame, params: QueryParams, key: str) -> DataFrame:
@@ -146,7 +141,7 @@ def _ranked(purchases: DataFrame, params: QueryParams, key: str) -> DataFrame:
 
 
 def _ranking_columns(*names: str) -> list[Column]:
-    total = F.col("total_purchase_amount").cast("double").alias("total_purchase_amount")
+    total = units(F.col("total_purchase_amount")).alias("total_purchase_amount")
     return [F.col(BUYER), *(F.col(n) for n in names), total, F.col(RANK)]
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom import params as rules
-from tradeloom.functions.numeric import pct_change, safe_ratio
+from tradeloom.functions.numeric import WIDE, pct_change, safe_ratio
 from tradeloom.params import Period, QueryParams
 from tradeloom.plans.registry import plan_of
 
@@ -112,7 +112,7 @@ def percentile_band(value: Column) -> Column:
 
 
 def z_score(value: Column, mean: Column, deviation: Column) -> Column:
-    return safe_ratio(value - mean, deviation, 4)
+    return safe_ratio(value - mean, deviation, 4, WIDE)
 
 
 def deviations(rows: DataFrame, benchmarks: DataFrame) -> DataFrame:
@@ -138,9 +138,9 @@ def deviations(rows: DataFrame, benchmarks: DataFrame) -> DataFrame:
         "current_value",
         "own_past",
         "platform_median",
-        pct_change(current, F.col("own_past")).alias("self_deviation_pct"),
-        pct_change(current, F.col("platform_median")).alias("benchmark_deviation_pct"),
-        pct_change(current, F.col("platform_avg")).alias("mean_deviation_pct"),
+        pct_change(current, F.col("own_past"), WIDE).alias("self_deviation_pct"),
+        pct_change(current, F.col("platform_median"), WIDE).alias("benchmark_deviation_pct"),
+        pct_change(current, F.col("platform_avg"), WIDE).alias("mean_deviation_pct"),
         z_score(current, F.col("platform_avg"), F.col("platform_std")).alias("z_score"),
         F.when(is_spend, percentile_band(current)).alias("percentile_band"),
     ).withColumn("is_outlier", F.abs("z_score") > rules.OUTLIER_Z)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.categories import deepest_category
 from tradeloom.functions.dates import bucket, day_label, month_label, period_label, quarter_label
-from tradeloom.functions.numeric import rounded, safe_ratio
+from tradeloom.functions.numeric import safe_ratio, units, units_per
 from tradeloom.operators.filters import keep_categories, keep_channels, with_category_flag
 from tradeloom.operators.ranking import top_n_per
 from tradeloom.operators.shares import with_share
@@ -31,8 +31,8 @@ def sales_lines(market: Marketplace, params: QueryParams) -> DataFrame:
     return keep_channels(keep_categories(market, lines, params.categories), params.channels)
 
 
-def _units_and_revenue(total: str, units: str) -> list[Column]:
-    return [F.sum("total_amount").alias(total), F.sum("qty").alias(units)]
+def _revenue_and_units(total: str, quantity: str) -> list[Column]:
+    return [F.sum("amount_cents").alias(total), F.sum("qty_hundredths").alias(quantity)]
 
 
 def orders_by_buyer(market: Marketplace, params: QueryParams) -> DataFrame:
@@ -45,8 +45,8 @@ def orders_by_buyer(market: Marketplace, params: QueryParams) -> DataFrame:
     lines = _vendor_lines(market.lines().filter(sold | ordered))
     lines = keep_channels(keep_categories(market, lines, params.categories), params.channels)
     return lines.groupBy(VENDOR, "buyer_org_id", "po_id").agg(
-        F.sum(F.when(sold, F.col("total_amount"))).alias("order_total"),
-        F.sum(F.when(sold, F.col("qty"))).alias("order_qty"),
+        F.sum(F.when(sold, F.col("amount_cents"))).alias("order_total"),
+        F.sum(F.when(sold, F.col("qty_hundredths"))).alias("order_qty"),
         F.max(sold).alias("sold"),
         F.max(ordered).alias("ordered"),
     )
@@ -80,9 +80,9 @@ def performance_overview(market: Marketplace, params: QueryParams) -> DataFrame:
     rate = safe_ratio(F.col("repeat_buyers") * 100, F.col("total_buyers"))
     return totals.select(
         VENDOR,
-        rounded(F.col("sales")).alias("total_sales"),
-        rounded(F.col("units")).alias("units_sold"),
-        safe_ratio(F.col("sales"), F.col("sold_orders")).alias("average_order_value"),
+        units(F.col("sales")).alias("total_sales"),
+        units(F.col("units")).alias("units_sold"),
+        units_per(F.col("sales"), F.col("sold_orders")).alias("average_order_value"),
         "total_buyers",
         "repeat_buyers",
         F.coalesce(rate, F.lit(0.0)).alias("repeat_purchase_rate_pct"),
@@ -101,8 +101,8 @@ def sales_by_bucket(market: Marketplace, params: QueryParams, resolution: str, n
     if params.channels is not None:
         wanted = wanted & F.coalesce(F.col("source").isin(list(params.channels)), F.lit(False))
     return lines.groupBy(VENDOR, bucket(F.col(CLOCK), resolution).alias(name)).agg(
-        F.sum(F.when(wanted, F.col("total_amount"))).alias("total_sales"),
-        F.sum(F.when(wanted, F.col("qty"))).alias("total_units"),
+        F.sum(F.when(wanted, F.col("amount_cents"))).alias("total_sales"),
+        F.sum(F.when(wanted, F.col("qty_hundredths"))).alias("total_units"),
         F.count_distinct(F.when(wanted, F.col("po_id"))).alias("order_count"),
     )
 
@@ -120,7 +120,7 @@ def dense_sales(market: Marketplace, params: QueryParams, resolution: str, name:
 
 
 def _zero_if_missing(column: Column) -> Column:
-    return F.coalesce(rounded(column), F.lit(0.0))
+    return F.coalesce(units(column), F.lit(0.0))
 
 
 def _trend_columns(previous: str, growth: str) -> list[Column]:
@@ -155,19 +155,18 @@ def quarterly_trends(market: Marketplace, params: QueryParams) -> DataFrame:
 def product_line_breakdown(market: Marketplace, params: QueryParams) -> DataFrame:
     """Revenue per category and its share of the vendor's total.
 
-    Lines are summed per vendor and product before the catalog is joined. The shares are taken of
-    the rounded category revenues.
+    Lines are summed per vendor and product before the catalog is joined.
     """
     by_product = (
         sales_lines(market, params)
         .groupBy(VENDOR, "product_id")
-        .agg(*_units_and_revenue("revenue", "units"), F.count(F.lit(1)).alias("lines"))
+        .agg(*_revenue_and_units("revenue", "units"), F.count(F.lit(1)).alias("lines"))
     )
     by_category = (
         by_product.join(market.product_categories(), "product_id", "left")
         .groupBy(VENDOR, F.coalesce("category_name", F.lit(UNKNOWN)).alias("product_line"))
         .agg(
-            F.round(F.sum("revenue"), 2).alias("revenue"),
+            F.sum("revenue").alias("revenue"),
             F.sum("units").alias("units"),
             F.sum("lines").alias("transaction_count"),
         )
@@ -175,8 +174,8 @@ def product_line_breakdown(market: Marketplace, params: QueryParams) -> DataFram
     return with_share(by_category, VENDOR, "revenue", "revenue_contribution_pct").select(
         VENDOR,
         "product_line",
-        F.col("revenue").cast("double").alias("total_revenue"),
-        rounded(F.col("units")).alias("total_units"),
+        units(F.col("revenue")).alias("total_revenue"),
+        units(F.col("units")).alias("total_units"),
         "transaction_count",
         "revenue_contribution_pct",
     )
@@ -191,7 +190,7 @@ def sales_time_series(market: Marketplace, params: QueryParams) -> DataFrame:
         sales_lines(market, params)
         .groupBy(VENDOR, bucket(F.col(CLOCK), resolution).alias("date_period"))
         .agg(
-            *_units_and_revenue("sales", "units"),
+            *_revenue_and_units("sales", "units"),
             F.count_distinct("po_id").alias("order_count"),
         )
     )
@@ -199,10 +198,10 @@ def sales_time_series(market: Marketplace, params: QueryParams) -> DataFrame:
         VENDOR,
         period_label(F.col("date_period"), resolution).alias("period_label"),
         "date_period",
-        rounded(F.col("sales")).alias("total_sales"),
-        rounded(F.col("units")).alias("total_units"),
+        units(F.col("sales")).alias("total_sales"),
+        units(F.col("units")).alias("total_units"),
         "order_count",
-        safe_ratio(F.col("sales"), F.col("order_count")).alias("avg_order_value"),
+        units_per(F.col("sales"), F.col("order_count")).alias("avg_order_value"),
     )
 
 
@@ -212,7 +211,7 @@ def top_selling_products(market: Marketplace, params: QueryParams) -> DataFrame:
         sales_lines(market, params)
         .groupBy(VENDOR, "product_id")
         .agg(
-            *_units_and_revenue("revenue", "units"),
+            *_revenue_and_units("revenue", "units"),
             F.count_distinct("po_id").alias("order_count"),
             F.count(F.lit(1)).alias("line_item_count"),
         )
@@ -227,8 +226,8 @@ def top_selling_products(market: Marketplace, params: QueryParams) -> DataFrame:
         VENDOR,
         "product_name",
         "category",
-        rounded(F.col("revenue")).alias("total_revenue"),
-        rounded(F.col("units")).alias("total_units"),
+        units(F.col("revenue")).alias("total_revenue"),
+        units(F.col("units")).alias("total_units"),
         "order_count",
         "line_item_count",
         safe_ratio(F.col("revenue"), F.col("units")).alias("avg_price_per_unit"),
@@ -246,7 +245,7 @@ def regional_distribution(market: Marketplace, params: QueryParams) -> DataFrame
     by_address = (
         sales_lines(market, params)
         .groupBy(VENDOR, "shipping_address")
-        .agg(*_units_and_revenue("revenue", "units"), F.count_distinct("po_id").alias("orders"))
+        .agg(*_revenue_and_units("revenue", "units"), F.count_distinct("po_id").alias("orders"))
     )
     cities = market.user_address.select(F.col("id").alias("shipping_address"), "city")
     by_city = (
@@ -261,8 +260,8 @@ def regional_distribution(market: Marketplace, params: QueryParams) -> DataFrame
     return with_share(by_city, VENDOR, "revenue", "revenue_contribution_pct").select(
         VENDOR,
         F.coalesce("city", F.lit(UNKNOWN)).alias("region"),
-        rounded(F.col("revenue")).alias("total_revenue"),
-        rounded(F.col("units")).alias("total_units"),
+        units(F.col("revenue")).alias("total_revenue"),
+        units(F.col("units")).alias("total_units"),
         "order_count",
         "revenue_contribution_pct",
     )
@@ -273,13 +272,13 @@ def order_analysis(market: Marketplace, params: QueryParams) -> DataFrame:
     orders = (
         sales_lines(market, params)
         .groupBy(VENDOR, "po_id", "po_created_date", "source")
-        .agg(*_units_and_revenue("value", "units"))
+        .agg(*_revenue_and_units("value", "units"))
     )
     return orders.select(
         VENDOR,
         "po_id",
-        rounded(F.col("value")).alias("order_value"),
-        rounded(F.col("units")).alias("quantity"),
+        units(F.col("value")).alias("order_value"),
+        units(F.col("units")).alias("quantity"),
         F.coalesce("source", F.lit(UNKNOWN)).alias("sales_channel"),
         day_label(F.col("po_created_date")).alias("order_date"),
         safe_ratio(F.col("value"), F.col("units")).alias("avg_price_per_unit"),

@@ -10,12 +10,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.functions.numeric import AMOUNT
+from tradeloom.functions.numeric import hundredths
 from tradeloom.sources.tables import Marketplace
 
 # Room for a thousand million suppliers; beyond, the id raises on overflow.
 SUPPLIER_RANGE = 1_000_000_000
 
+# The columns read of each retail table. Stated, they spare a look into the files.
+SCHEMAS = {
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz""",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz,
+        o_orderpriority string""",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "supplier": "s_suppkey bigint, s_name string",
+}
+
 
 def _po_id() -> Column:
     return F.col("l_orderkey") * F.lit(SUPPLIER_RANGE) + F.col("l_suppkey")
@@ -34,14 +46,16 @@ def _order_columns() -> dict[str, Column]:
         "shipping_address": _null_if(F.col("o_orderstatus") == "P", F.col("o_custkey")),
     }
 
+
 def _item_columns() -> dict[str, Column]:
+    # Ship dates have no time of day, so the update is a date.
     return {
         "po_id": _po_id(),
         "product_id": F.col("l_partkey"),
-        "qty": F.col("l_quantity").cast(AMOUNT),
-        "total_amount": _null_if(F.col("l_partkey") % 101 == 0, F.col("l_extendedprice").cast(AMOUNT)),
+        "qty_hundredths": hundredths(F.col("l_quantity"), "double"),
+        "amount_cents": _null_if(F.col("l_partkey") % 101 == 0, hundredths(F.col("l_extendedprice"), "double")),
         "created_date": F.col("l_shipdate"),
-        "updated_date": F.expr("l_shipdate + l_linenumber * INTERVAL '1' DAY"),
+        "updated_date": F.date_add(F.col("l_shipdate").cast("date"), F.col("l_linenumber")),
     }
 
 
@@ -51,42 +65,60 @@ def _named(columns: dict[str, Column]) -> list[Column]:
 
 def load(spark: SparkSession, folder: str) -> Marketplace:
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
-
-    lineitem = table("lineitem")
-    sales = lineitem.join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    owners = lineitem.groupBy(F.col("l_partkey").alias("owned")).agg(F.min("l_suppkey").alias("org_id"))
-    levels = [("p_type", "1"), ("p_brand", "2")]
-    category_json = F.to_json(
-        F.struct(
-            F.array(
-                *(F.struct(F.col(c).alias("name"), F.lit(level).alias("level")) for c, level in levels)
-            ).alias("cat_0")
+        return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+
+    def sales() -> DataFrame:
+        return table("lineitem").join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+
+    def po_details() -> DataFrame:
+        orders = sales().select(_po_id().alias("id"), *_named(_order_columns()))
+        return orders.distinct().withColumnRenamed("po_created_date", "created_date")
+
+    def vendor_products() -> DataFrame:
+        owners = (
+            table("lineitem").groupBy(F.col("l_partkey").alias("owned")).agg(F.min("l_suppkey").alias("org_id"))
         )
-    )
+        levels = F.array(
+            *(
+                F.struct(F.col(name).alias("name"), F.lit(level).alias("level"))
+                for name, level in (("p_type", "1"), ("p_brand", "2"))
+            )
+        )
+        return (
+            table("part")
+            .filter(F.col("p_partkey") % 23 != 0)
+            .join(owners, F.col("p_partkey") == F.col("owned"), "left")
+            .select(
+                F.col("p_partkey").alias("id"),
+                "org_id",
+                F.col("p_name").alias("product_name"),
+                _null_if(F.col("p_size") % 10 == 0, F.to_json(F.struct(levels.alias("cat_0")))).alias(
+                    "category_ids"
+                ),
+            )
+        )
+
+    def user_address() -> DataFrame:
+        return (
+            table("customer")
+            .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+            .select(
+                F.col("c_custkey").alias("id"),
+                _null_if(F.col("c_mktsegment") == "MACHINERY", F.col("n_name")).alias("city"),
+            )
+        )
+
     return Marketplace(
-        po_items=lineitem.select(_named(_item_columns())),
-        po_details=sales.select(_po_id().alias("id"), *_named(_order_columns()))
-        .distinct()
-        .withColumnRenamed("po_created_date", "created_date"),
-        vendor_products=table("part")
-        .filter(F.col("p_partkey") % 23 != 0)
-        .join(owners, F.col("p_partkey") == F.col("owned"), "left")
-        .select(
-            F.col("p_partkey").alias("id"),
-            "org_id",
-            F.col("p_name").alias("product_name"),
-            _null_if(F.col("p_size") % 10 == 0, category_json).alias("category_ids"),
-        ),
-        user_address=table("customer")
-        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("c_custkey").alias("id"),
-            _null_if(F.col("c_mktsegment") == "MACHINERY", F.col("n_name")).alias("city"),
-        ),
-        organization=table("supplier").select(
-            F.col("s_suppkey").alias("org_id"), F.col("s_name").alias("company_name")
-        ),
+        spark,
+        {
+            "po_items": lambda: table("lineitem").select(_named(_item_columns())),
+            "po_details": po_details,
+            "vendor_products": vendor_products,
+            "user_address": user_address,
+            "organization": lambda: table("supplier").select(
+                F.col("s_suppkey").alias("org_id"), F.col("s_name").alias("company_name")
+            ),
+        },
         # Every line belongs to exactly one of the orders above, so one join gives the lines.
-        joined_lines=sales.select(_named(_item_columns() | _order_columns())),
+        lines=lambda: sales().select(_named(_item_columns() | _order_columns())),
     )

@@ -2,33 +2,57 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Mapping
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.functions.categories import deepest_category
-from tradeloom.functions.numeric import AMOUNT
+from tradeloom.functions.numeric import hundredths
 
 TABLES = ("po_items", "po_details", "vendor_products", "user_address", "organization")
 
 
-@dataclass(frozen=True)
 class Marketplace:
-    """Source tables; `joined_lines` may hold the items already joined with their orders."""
+    """The source tables, each built when it is first asked for.
 
-    po_items: DataFrame
-    po_details: DataFrame
-    vendor_products: DataFrame
-    user_address: DataFrame
-    organization: DataFrame
-    joined_lines: DataFrame | None = None
+    `lines` may give the items already joined with their orders; else they are joined here.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        tables: Mapping[str, Callable[[], DataFrame]],
+        lines: Callable[[], DataFrame] | None = None,
+    ):
+        self.spark = spark
+        self._tables = tables
+        self._lines = lines
+
+    @cached_property
+    def po_items(self) -> DataFrame:
+        return self._tables["po_items"]()
+
+    @cached_property
+    def po_details(self) -> DataFrame:
+        return self._tables["po_details"]()
+
+    @cached_property
+    def vendor_products(self) -> DataFrame:
+        return self._tables["vendor_products"]()
+
+    @cached_property
+    def user_address(self) -> DataFrame:
+        return self._tables["user_address"]()
+
+    @cached_property
+    def organization(self) -> DataFrame:
+        return self._tables["organization"]()
 
     def lines(self) -> DataFrame:
         """One row per line item with the columns of its order."""
-        if self.joined_lines is not None:
-            return self.joined_lines
-        return join_items_orders(self.po_items, self.po_details)
+        return self._lines() if self._lines else join_items_orders(self.po_items, self.po_details)
 
     def product_categories(self) -> DataFrame:
         return self.vendor_products.select(
@@ -36,7 +60,7 @@ class Marketplace:
         )
 
     def with_lines(self, lines: DataFrame) -> Marketplace:
-        return replace(self, joined_lines=lines)
+        return Marketplace(self.spark, self._tables, lambda: lines)
 
 
 def join_items_orders(po_items: DataFrame, po_details: DataFrame) -> DataFrame:
@@ -51,15 +75,24 @@ def join_items_orders(po_items: DataFrame, po_details: DataFrame) -> DataFrame:
     return po_items.join(orders, "po_id")
 
 
-def _with_amounts(po_items: DataFrame) -> DataFrame:
-    return po_items.withColumns({c: F.col(c).cast(AMOUNT) for c in ("qty", "total_amount")})
+def with_amounts(po_items: DataFrame) -> DataFrame:
+    """Quantity and amount of each item as whole hundredths."""
+    kinds = dict(po_items.dtypes)
+    return po_items.withColumns(
+        {
+            "qty_hundredths": hundredths(F.col("qty"), kinds["qty"]),
+            "amount_cents": hundredths(F.col("total_amount"), kinds["total_amount"]),
+        }
+    ).drop("qty", "total_amount")
 
 
 def read_parquet(spark: SparkSession, folder: str) -> Marketplace:
-    """Tables stored as `<folder>/<table>`; amounts become decimals as they are read."""
-    tables = {name: spark.read.parquet(f"{folder}/{name}") for name in TABLES}
-    tables["po_items"] = _with_amounts(tables["po_items"])
-    return Marketplace(**tables)
+    """Tables stored as `<folder>/<table>`; amounts become whole hundredths as they are read."""
+    def read(table: str) -> DataFrame:
+        rows = spark.read.parquet(f"{folder}/{table}")
+        return with_amounts(rows) if table == "po_items" else rows
+
+    return Marketplace(spark, {table: partial(read, table) for table in TABLES})
 
 
 # The column by which each table is read in parallel.
@@ -109,8 +142,7 @@ def read_jdbc(
         )
         low, high = (int(v) if v is not None else 0 for v in (bounds[0], bounds[1]))
         options = {**jdbc_options(url, table, low, high + 1, partitions), "dbtable": name}
-        return spark.read.format("jdbc").options(**options, **login).load()
+        rows = spark.read.format("jdbc").options(**options, **login).load()
+        return with_amounts(rows) if table == "po_items" else rows
 
-    tables = {name: read(name) for name in TABLES}
-    tables["po_items"] = _with_amounts(tables["po_items"])
-    return Marketplace(**tables)
+    return Marketplace(spark, {table: partial(read, table) for table in TABLES})
