@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tradeloom.checks.analytics import buyer_overview_ctes, seller_overview_ctes
 from tradeloom.checks.base import LATER_HALF, WHOLE, money, ratio, register, with_tables, within
 from tradeloom.params import QueryParams
-from tradeloom.plans import buyer, runs, seller
+from tradeloom.plans import runs
 from tradeloom.plans.benchmarks import platform_benchmarks
 from tradeloom.plans.entities import (
     active_entities,
@@ -35,6 +35,10 @@ ID = {"buyer": "buyer_org_id", "seller": "seller_org_id"}
 CLOCK = {"buyer": "updated_date", "seller": "created_date"}
 
 
+STATISTICS = {"buyer": ("h_buyer_overview", "buyer_org_id", "current_period_purchases", "suppliers_current"),
+              "seller": ("h_seller_overview", "vendor_id", "total_sales", "total_buyers")}
+
+
 def active_sql(entity_type: str) -> str:
     column, clock = ID[entity_type], CLOCK[entity_type]
     return (
@@ -52,13 +56,21 @@ def history_ctes() -> dict[str, str]:
 
 def _store(market, name: str) -> Store:
     """A store of its own for each query that writes."""
-    return Store(market.spark, f"{shared_folder(market.spark)}/tradeloom/{name}")
+    session = market.spark.sparkContext.applicationId
+    return Store(market.spark, f"{shared_folder(market.spark)}/tradeloom/{session}/{name}")
 
 
-def synced_store(market, name: str) -> Store:
-    store = _store(market, name)
-    store.sync(market, HISTORY, NOW)
-    return store
+_synced: dict[tuple[str, str], Store] = {}
+
+
+def synced_store(market) -> Store:
+    """The store that one sync per session and table folder fills, as later jobs find it."""
+    key = (market.spark.sparkContext.applicationId, market.origin)
+    if key not in _synced:
+        store = _store(market, f"synced_{len(_synced)}")
+        store.sync(market, HISTORY, NOW)
+        _synced[key] = store
+    return _synced[key]
 
 
 # Active entities
@@ -75,18 +87,16 @@ for _type in ("buyer", "seller"):
     "list_entities",
     with_tables(
         " UNION ALL ".join(
-            f"SELECT '{kind}' AS entity_type, entity_id, count(*) OVER () AS total_count FROM ({active_sql(kind)})"
-            for kind in ("buyer", "seller")
-        )
+            f"SELECT '{kind}' AS entity_type, {key} AS entity_id FROM {overview} WHERE {key} IS NOT NULL"
+            for kind, (overview, key, _, _) in STATISTICS.items()
+        ),
+        **history_ctes(),
     ),
 )
 def _(market):
-    def listed(kind):
-        ids = active_entities(market, kind, LATER_HALF).withColumn("entity_type", F.lit(kind))
-        count = ids.groupBy("entity_type").agg(F.count("*").alias("total_count"))
-        return ids.join(F.broadcast(count), "entity_type")
-
-    return listed("buyer").unionByName(listed("seller"))
+    store = synced_store(market)
+    listed = [store.entities(kind).select(F.lit(kind).alias("entity_type"), "entity_id") for kind in HISTORY]
+    return listed[0].unionByName(listed[1])
 
 
 @register("limit_entities", with_tables(f"SELECT * FROM ({active_sql('buyer')}) ORDER BY entity_id LIMIT 25"))
@@ -222,10 +232,6 @@ def _(market):
 
 # Platform statistics
 
-STATISTICS = {"buyer": ("h_buyer_overview", "buyer_org_id", "current_period_purchases", "suppliers_current"),
-              "seller": ("h_seller_overview", "vendor_id", "total_sales", "total_buyers")}
-
-
 def benchmark_sql(entity_type: str) -> str:
     overview, key, spend, parties = STATISTICS[entity_type]
 
@@ -251,16 +257,11 @@ def benchmark_sql(entity_type: str) -> str:
               FROM {overview})"""
 
 
-def history_overview(market, kind):
-    build = buyer.overview if kind == "buyer" else seller.performance_overview
-    return build(market, HISTORY[kind])
-
-
 for _type in ("buyer", "seller"):
 
     @register(f"platform_benchmarks_{_type}", with_tables(benchmark_sql(_type), **history_ctes()))
     def _(market, kind=_type):
-        return platform_benchmarks(history_overview(market, kind), kind)
+        return platform_benchmarks(synced_store(market).overview(kind), kind)
 
 
 @register(
@@ -277,7 +278,7 @@ for _type in ("buyer", "seller"):
 def _(market):
     columns = ["entity_type", *(f"platform_total_{c}" for c in ("spend", "orders", "counterparties"))]
     found = [
-        platform_benchmarks(history_overview(market, kind), kind).select(columns)
+        platform_benchmarks(synced_store(market).overview(kind), kind).select(columns)
         for kind in ("buyer", "seller")
     ]
     return found[0].unionByName(found[1])
@@ -298,7 +299,8 @@ def _(market):
     ),
 )
 def _(market):
-    store = synced_store(market, "history")
+    store = _store(market, "history")
+    store.sync(market, HISTORY, NOW)
 
     def held(kind):
         plan = plan_of(kind)
@@ -312,7 +314,7 @@ def _(market):
 
 @register("entity_history")
 def _(market):
-    store = synced_store(market, "entity_history")
+    store = synced_store(market)
     docs = [_document_summary(store.history_documents(kind, HISTORY[kind], NOW)) for kind in HISTORY]
     return docs[0].unionByName(docs[1])
 
@@ -327,7 +329,7 @@ def _(market):
     ),
 )
 def _(market):
-    rows = synced_store(market, "history_lookup").history_lookup("seller", 7)
+    rows = synced_store(market).history_lookup("seller", 7)
     regions = rows.filter(F.col("query") == "regional_distribution")
     return regions.select(
         "query", "entity_id", F.from_json("row", "region string, total_revenue double").alias("r")
@@ -337,8 +339,8 @@ def _(market):
 @register("upsert_benchmarks", with_tables(benchmark_sql("seller"), **history_ctes()))
 def _(market):
     store = _store(market, "benchmarks")
-    found = platform_benchmarks(history_overview(market, "seller"), "seller")
-    store.write_benchmarks(found, NOW)
+    found = platform_benchmarks(synced_store(market).overview("seller"), "seller")
+    store.write_benchmarks(found.withColumn("total_count", F.lit(0).cast("bigint")), NOW)
     store.write_benchmarks(found, NOW)
     return store.benchmarks("seller").drop("calculated_at")
 
@@ -351,7 +353,7 @@ def _(market):
     ),
 )
 def _(market):
-    found = synced_store(market, "benchmark_lookup").benchmark_lookup("buyer")
+    found = synced_store(market).benchmark_lookup("buyer")
     return found.select("entity_type", "total_count", "median_period_spend", "p90")
 
 
@@ -362,7 +364,7 @@ HISTORY_COUNTS = {
 
 @register("append_sync_log")
 def _(market):
-    store = synced_store(market, "sync_log")
+    store = synced_store(market)
     return store.log().select("entity_type", "entities_count", "status", "error_message")
 
 
@@ -375,7 +377,7 @@ def _(market):
     ),
 )
 def _(market):
-    return synced_store(market, "health").health().drop("last_synced_at")
+    return synced_store(market).health().drop("last_synced_at")
 
 
 @register(
@@ -389,7 +391,7 @@ def _(market):
     ),
 )
 def _(market):
-    store = synced_store(market, "history_exists")
+    store = synced_store(market)
     counts = [
         store.entities(kind).agg(F.lit(kind).alias("entity_type"), F.count("*").alias("entities"))
         for kind in HISTORY
@@ -405,5 +407,5 @@ def _(market):
     ),
 )
 def _(market):
-    newest = synced_store(market, "latest_sync").latest_sync()
+    newest = synced_store(market).latest_sync()
     return newest.select("entity_type", "status", F.col("entities_count").cast("bigint").alias("entities_count"))

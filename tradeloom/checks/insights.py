@@ -26,12 +26,11 @@ from tradeloom.checks.entities import (
     _store,
     benchmark_sql,
     history_ctes,
-    history_overview,
     synced_store,
 )
 from tradeloom.params import Period, QueryParams
 from tradeloom.plans import browse, buyer, insights, runs, seller
-from tradeloom.plans.benchmarks import platform_benchmarks
+from tradeloom.plans.entities import overview_rows
 from tradeloom.plans.registry import plan_of
 
 KINDS = ("buyer", "seller")
@@ -51,12 +50,14 @@ def overview(market, kind, period=LATER_HALF):
 
 
 def compared(market, kind, period=LATER_HALF):
-    return insights.current_vs_history(overview(market, kind, period), history_overview(market, kind), kind)
+    store = synced_store(market)
+    history = overview_rows(store.history(kind), kind, runs.history_metrics_schema(kind))
+    return insights.current_vs_history(overview(market, kind, period), history, kind)
 
 
 def deviation_rows(market, kind, period=LATER_HALF):
     rows = insights.metric_rows(compared(market, kind, period), kind, SCALE)
-    return insights.deviations(rows, platform_benchmarks(history_overview(market, kind), kind))
+    return insights.deviations(rows, synced_store(market).benchmarks(kind))
 
 
 def both(build):
@@ -405,7 +406,7 @@ def _(market):
     ),
 )
 def _(market):
-    store = synced_store(market, f"runs_{datetime.now():%Y%m%d_%H%M%S_%f}")
+    store = synced_store(market)
     return runs.run_entities(store, market, "seller", CURRENT["seller"], NOW)
 
 

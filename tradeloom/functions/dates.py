@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tradeloom.params import Period
 
-# How far apart the buckets of a calendar lie.
-CALENDAR_STEP = {"month": "INTERVAL 1 MONTH", "quarter": "INTERVAL 3 MONTH"}
+# How many months the buckets of a calendar lie apart.
+CALENDAR_MONTHS = {"month": 1, "quarter": 3}
 
 
 RESOLUTIONS = ("day", "week", "month", "quarter", "year")
@@ -24,7 +24,8 @@ def bucket(clock: Column, resolution: str) -> Column:
 
 def calendar(first: Column, last: Column, resolution: str) -> Column:
     """Array of all bucket starts from the bucket of `first` to that of `last`."""
-    return F.sequence(bucket(first, resolution), bucket(last, resolution), F.expr(CALENDAR_STEP[resolution]))
+    step = F.make_ym_interval(F.lit(0), F.lit(CALENDAR_MONTHS[resolution]))
+    return F.sequence(bucket(first, resolution), bucket(last, resolution), step)
 
 
 def period_calendar(period: Period, resolution: str) -> Column:

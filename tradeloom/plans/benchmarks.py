@@ -74,11 +74,16 @@ def _quantile_columns(values: DataFrame) -> DataFrame:
     )
 
 
+def merge_rows(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows that fill different columns, as one row per key."""
+    return rows.groupBy(*keys).agg(*(F.max(c).alias(c) for c in rows.columns if c not in keys))
+
+
 def platform_benchmarks(overview: DataFrame, entity_type: str) -> DataFrame:
     """One row of statistics, or none without entities. `overview` is read more than once."""
     values = entity_values(overview, entity_type)
     kind = F.lit(entity_type).alias("entity_type")
     spread = _spread(values).select(kind, "*")
     quantiles = _quantile_columns(values).select(kind, "*")
-    # Both sides are one row.
-    return spread.join(F.broadcast(quantiles), "entity_type").filter(F.col("total_count") > 0)
+    merged = spread.unionByName(quantiles, allowMissingColumns=True)
+    return merge_rows(merged, "entity_type").filter(F.col("total_count") > 0)

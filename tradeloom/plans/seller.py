@@ -11,7 +11,7 @@ from tradeloom.functions.numeric import safe_ratio, units, units_per
 from tradeloom.operators.filters import keep_categories, keep_channels, with_category_flag
 from tradeloom.operators.ranking import top_n_per
 from tradeloom.operators.shares import with_share
-from tradeloom.operators.trends import entity_calendar, growth_pct, with_previous
+from tradeloom.operators.trends import growth_pct, on_calendar, with_previous
 from tradeloom.params import QueryParams
 from tradeloom.sources.staging import lines_created_in
 from tradeloom.sources.tables import Marketplace
@@ -110,12 +110,14 @@ def sales_by_bucket(market: Marketplace, params: QueryParams, resolution: str, n
 def dense_sales(market: Marketplace, params: QueryParams, resolution: str, name: str) -> DataFrame:
     """Every active vendor with every bucket of the period, and the sales of the bucket before.
 
-    The facts are already one row per vendor and bucket here. Lines without a vendor have a full
-    calendar too, but no sales, as a missing key matches nothing.
+    Lines without a vendor have a full calendar too, but no sales, as a missing key matches nothing.
     """
     sales = sales_by_bucket(market, params, resolution, name)
-    spine = entity_calendar(sales.select(VENDOR).distinct(), params.period, resolution, name)
-    dense = spine.join(sales, [VENDOR, name], "left")
+    known = F.col(VENDOR).isNotNull()
+    matched = sales.select(
+        VENDOR, name, *(F.when(known, F.col(c)).alias(c) for c in ("total_sales", "total_units", "order_count"))
+    )
+    dense = on_calendar(matched, VENDOR, name, params.period, resolution)
     return with_previous(dense, VENDOR, name, "total_sales", "previous_sales")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tradeloom.params import ENTITY_TYPES, QueryParams
-from tradeloom.plans.benchmarks import platform_benchmarks
+from tradeloom.plans.benchmarks import merge_rows, platform_benchmarks
 from tradeloom.plans.entities import documents, overview_lines, overview_rows, query_rows
 from tradeloom.plans.registry import plan_of
 from tradeloom.sources.staging import read_lines, write_lines
@@ -150,16 +151,14 @@ class Store:
 
     def health(self) -> DataFrame:
         """One row: entities per type and the newest log entry."""
-        counts = [
-            self.entities(kind).agg(F.count("*").alias(f"{kind}s")).select(f"{kind}s", F.lit(1).alias("one"))
-            for kind in ENTITY_TYPES
-        ]
-        newest = self.latest_sync().select(
-            F.col("synced_at").alias("last_synced_at"), F.col("status").alias("last_status"), F.lit(1).alias("one")
+        parts = [self.entities(kind).agg(F.count("*").alias(f"{kind}s")) for kind in ENTITY_TYPES]
+        parts.append(
+            self.latest_sync().select(
+                F.col("synced_at").alias("last_synced_at"), F.col("status").alias("last_status")
+            )
         )
-        # Every side is one row.
-        joined = counts[0].join(F.broadcast(counts[1]), "one").join(F.broadcast(newest), "one", "left")
-        return joined.drop("one")
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        return merge_rows(rows)
 
     # Sync
 

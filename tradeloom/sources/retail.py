@@ -121,4 +121,5 @@ def load(spark: SparkSession, folder: str) -> Marketplace:
         },
         # Every line belongs to exactly one of the orders above, so one join gives the lines.
         lines=lambda: sales().select(_named(_item_columns() | _order_columns())),
+        origin=folder,
     )

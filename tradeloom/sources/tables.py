@@ -17,7 +17,8 @@ TABLES = ("po_items", "po_details", "vendor_products", "user_address", "organiza
 class Marketplace:
     """The source tables, each built when it is first asked for.
 
-    `lines` may give the items already joined with their orders; else they are joined here.
+    `lines` may give the items already joined with their orders; else they are joined here. `origin`
+    tells where the tables come from.
     """
 
     def __init__(
@@ -25,8 +26,10 @@ class Marketplace:
         spark: SparkSession,
         tables: Mapping[str, Callable[[], DataFrame]],
         lines: Callable[[], DataFrame] | None = None,
+        origin: str | None = None,
     ):
         self.spark = spark
+        self.origin = origin
         self._tables = tables
         self._lines = lines
 
@@ -60,7 +63,7 @@ class Marketplace:
         )
 
     def with_lines(self, lines: DataFrame) -> Marketplace:
-        return Marketplace(self.spark, self._tables, lambda: lines)
+        return Marketplace(self.spark, self._tables, lambda: lines, self.origin)
 
 
 def join_items_orders(po_items: DataFrame, po_details: DataFrame) -> DataFrame:
