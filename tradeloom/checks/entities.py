@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.checks.analytics import buyer_overview_ctes, seller_overview_ctes
 from tradeloom.checks.base import LATER_HALF, WHOLE, money, ratio, register, with_tables, within
-from tradeloom.params import QueryParams
+from tradeloom.params import Period, QueryParams
 from tradeloom.plans import runs
 from tradeloom.plans.benchmarks import platform_benchmarks
 from tradeloom.plans.entities import (
@@ -143,67 +143,74 @@ def _document_summary(docs):
     )
 
 
-# Rows of each query and entity over the later half, as the plain queries give them.
-ROW_COUNTS = {
-    "overview_metrics": f"""
-        SELECT buyer_org_id AS entity_id, 1 AS n FROM lines
-        WHERE {within('updated_date', WHOLE)} GROUP BY buyer_org_id""",
-    "top_products": f"""
-        SELECT buyer_org_id AS entity_id, least(10, count(DISTINCT product_id)) AS n FROM lines
-        WHERE {within('updated_date', LATER_HALF)} GROUP BY ALL""",
-    "top_suppliers": f"""
-        SELECT buyer_org_id AS entity_id,
-               least(10, count(DISTINCT coalesce(seller_org_id, -1))) AS n FROM lines
-        WHERE {within('updated_date', LATER_HALF)} GROUP BY ALL""",
-    "top_categories": f"""
-        SELECT buyer_org_id AS entity_id, least(10, count(DISTINCT coalesce(category, ''))) AS n FROM lines
-        JOIN categories c ON c.product_id = lines.product_id AND c.org_id = seller_org_id
-        WHERE {within('updated_date', LATER_HALF)} GROUP BY ALL""",
-    "performance_overview": f"""
-        SELECT seller_org_id AS entity_id, 1 AS n FROM lines
-        WHERE {within('created_date', LATER_HALF)} GROUP BY seller_org_id""",
-    "monthly_trends": f"""
-        SELECT seller_org_id AS entity_id, 42 AS n FROM lines
-        WHERE {within('created_date', LATER_HALF)} GROUP BY seller_org_id""",
-    "quarterly_trends": f"""
-        SELECT seller_org_id AS entity_id, 14 AS n FROM lines
-        WHERE {within('created_date', LATER_HALF)} GROUP BY seller_org_id""",
-    "product_line_breakdown": f"""
-        SELECT seller_org_id AS entity_id, count(DISTINCT coalesce(category, 'Unknown')) AS n
-        FROM lines LEFT JOIN categories USING (product_id)
-        WHERE {within('created_date', LATER_HALF)} GROUP BY ALL""",
-    "sales_time_series": "SELECT NULL AS entity_id, 0 AS n",
-    "top_selling_products": f"""
-        SELECT v AS entity_id, count(*) FILTER (rank <= 20 AND id IS NOT NULL) AS n
-        FROM (SELECT seller_org_id AS v, product_id,
-                     row_number() OVER (PARTITION BY seller_org_id
-                                        ORDER BY sum(total_amount) DESC NULLS FIRST, product_id) AS rank
-              FROM lines WHERE {within('created_date', LATER_HALF)} GROUP BY seller_org_id, product_id)
-        LEFT JOIN vendor_products ON id = product_id GROUP BY v""",
-    "regional_distribution": f"""
-        SELECT seller_org_id AS entity_id, count(DISTINCT coalesce(city, 'Unknown')) AS n
-        FROM lines LEFT JOIN user_address a ON a.id = shipping_address
-        WHERE {within('created_date', LATER_HALF)} GROUP BY ALL""",
-    "order_analysis": f"""
-        SELECT seller_org_id AS entity_id, count(DISTINCT po_id) AS n FROM lines
-        WHERE {within('created_date', LATER_HALF)} GROUP BY ALL""",
-}
+def row_counts(kind: str, params: QueryParams) -> dict[str, str]:
+    """Rows of each query and entity, as the plain queries give them."""
+    period, n = params.period, params.top_n
+    months = (period.end.year - period.start.year) * 12 + period.end.month - period.start.month + 1
+    quarters = (period.end.month - 1) // 3 - (period.start.month - 1) // 3 + 1
+    quarters += 4 * (period.end.year - period.start.year)
+
+    def bought(count: str, lines: str = "lines", span: Period = period) -> str:
+        return f"""SELECT buyer_org_id AS entity_id, {count} AS n FROM {lines}
+                   WHERE {within('updated_date', span)} GROUP BY buyer_org_id"""
+
+    def sold(count: str, lines: str = "lines") -> str:
+        return f"""SELECT seller_org_id AS entity_id, {count} AS n FROM {lines}
+                   WHERE {within('created_date', period)} GROUP BY seller_org_id"""
+
+    owned = "lines JOIN categories c ON c.product_id = lines.product_id AND c.org_id = seller_org_id"
+    by_kind = {
+        "buyer": {
+            "overview_metrics": bought("1", span=Period(period.previous.start, period.end)),
+            "top_products": bought(f"least({n}, count(DISTINCT product_id))"),
+            "top_suppliers": bought(f"least({n}, count(DISTINCT coalesce(seller_org_id, -1)))"),
+            "top_categories": bought(f"least({n}, count(DISTINCT coalesce(category, '')))", owned),
+        },
+        "seller": {
+            "performance_overview": sold("1"),
+            "monthly_trends": sold(f"{months}"),
+            "quarterly_trends": sold(f"{quarters}"),
+            "product_line_breakdown": sold(
+                "count(DISTINCT coalesce(category, 'Unknown'))", "lines LEFT JOIN categories USING (product_id)"
+            ),
+            "sales_time_series": sold(
+                "count(DISTINCT date_trunc('month', created_date))" if params.time_resolution else "0"
+            ),
+            "top_selling_products": f"""
+                SELECT v AS entity_id, count(*) FILTER (rank <= {n} AND id IS NOT NULL) AS n
+                FROM (SELECT seller_org_id AS v, product_id,
+                             row_number() OVER (PARTITION BY seller_org_id
+                                                ORDER BY sum(total_amount) DESC NULLS FIRST, product_id) AS rank
+                      FROM lines WHERE {within('created_date', period)} GROUP BY seller_org_id, product_id)
+                LEFT JOIN vendor_products ON id = product_id GROUP BY v""",
+            "regional_distribution": sold(
+                "count(DISTINCT coalesce(city, 'Unknown'))",
+                "lines LEFT JOIN user_address a ON a.id = shipping_address",
+            ),
+            "order_analysis": sold("count(DISTINCT po_id)"),
+        },
+    }
+    return by_kind[kind]
 
 
-def document_sql(entity_type: str) -> str:
-    counts = " UNION ALL ".join(
-        f"SELECT '{q.name}' AS query, entity_id, n FROM ({ROW_COUNTS[q.name]})"
-        for q in plan_of(entity_type).queries
-    )
-    names = ", ".join(f"'{q.name}'" for q in plan_of(entity_type).queries)
-    return with_tables(
-        f"""SELECT '{entity_type}' AS entity_type, entity_id, query, coalesce(n, 0) AS result_count,
-                   coalesce(n, 0) AS rows_held, query = 'sales_time_series' AS failed
-            FROM (SELECT entity_id, unnest([{names}]) AS query FROM active) LEFT JOIN counts
-                 USING (entity_id, query)""",
-        active=active_sql(entity_type),
-        counts=counts,
-    )
+def document_ctes(kind: str, params: QueryParams, ids: str, p: str = "") -> dict[str, str]:
+    counts = row_counts(kind, params)
+    no_series = "false" if params.time_resolution else "query = 'sales_time_series'"
+    return {
+        f"{p}ids": ids,
+        f"{p}counts": " UNION ALL ".join(
+            f"SELECT '{name}' AS query, entity_id, n FROM ({sql})" for name, sql in counts.items()
+        ),
+        f"{p}documents": f"""
+            SELECT '{kind}' AS entity_type, entity_id, query, coalesce(n, 0) AS result_count,
+                   coalesce(n, 0) AS rows_held, {no_series} AS failed
+            FROM (SELECT entity_id, unnest([{", ".join(f"'{q}'" for q in counts)}]) AS query FROM {p}ids)
+                 LEFT JOIN {p}counts USING (entity_id, query)""",
+    }
+
+
+def document_sql(kind: str) -> str:
+    return with_tables("SELECT * FROM d_documents", **document_ctes(kind, CURRENT[kind], active_sql(kind), "d_"))
 
 
 for _type in ("buyer", "seller"):
@@ -219,15 +226,27 @@ for _type in ("buyer", "seller"):
         return _document_summary(documents(ids, rows, kind, CURRENT[kind], NOW, rows_per_part=100))
 
 
-@register("write_dashboard_docs")
+@register(
+    "write_dashboard_docs",
+    with_tables(
+        f"""SELECT entity_type, query, count(*) AS documents, CAST(sum(rows_held) AS BIGINT) AS rows_held
+            FROM d_documents GROUP BY ALL""",
+        **document_ctes("buyer", CURRENT["buyer"], active_sql("buyer"), "d_"),
+    ),
+)
 def _(market):
     store = _store(market, "dashboard_docs")
     path = f"{store.root}/rows"
     runs.write_rows(market, "buyer", CURRENT["buyer"], path)
     rows = market.spark.read.parquet(path)
     ids = active_entities(market, "buyer", LATER_HALF)
-    store.write_dashboards(documents(ids, rows, "buyer", CURRENT["buyer"], NOW))
-    return market.spark.read.json(f"{store.root}/dashboards").groupBy("entity_type", "query").count()
+    docs = documents(ids, rows, "buyer", CURRENT["buyer"], NOW)
+    docs.write.mode("overwrite").partitionBy("entity_type").json(f"{store.root}/dashboards")
+    return (
+        store.dashboards()
+        .groupBy("entity_type", "query")
+        .agg(F.count("*").alias("documents"), F.sum(F.size("data")).alias("rows_held"))
+    )
 
 
 # Platform statistics
@@ -312,7 +331,21 @@ def _(market):
     return held("buyer").unionByName(held("seller"))
 
 
-@register("entity_history")
+@register(
+    "entity_history",
+    with_tables(
+        "SELECT * FROM b_documents UNION ALL SELECT * FROM s_documents",
+        **history_ctes(),
+        **document_ctes(
+            "buyer", HISTORY["buyer"], "SELECT buyer_org_id AS entity_id FROM h_buyer_overview"
+            " WHERE buyer_org_id IS NOT NULL", "b_"
+        ),
+        **document_ctes(
+            "seller", HISTORY["seller"], "SELECT vendor_id AS entity_id FROM h_seller_overview"
+            " WHERE vendor_id IS NOT NULL", "s_"
+        ),
+    ),
+)
 def _(market):
     store = synced_store(market)
     docs = [_document_summary(store.history_documents(kind, HISTORY[kind], NOW)) for kind in HISTORY]
@@ -362,7 +395,17 @@ HISTORY_COUNTS = {
 }
 
 
-@register("append_sync_log")
+@register(
+    "append_sync_log",
+    with_tables(
+        " UNION ALL ".join(
+            f"SELECT '{kind}' AS entity_type, CAST({count} AS INT) AS entities_count, 'success' AS status,"
+            " CAST(NULL AS VARCHAR) AS error_message"
+            for kind, count in HISTORY_COUNTS.items()
+        ),
+        **history_ctes(),
+    ),
+)
 def _(market):
     store = synced_store(market)
     return store.log().select("entity_type", "entities_count", "status", "error_message")

@@ -407,7 +407,7 @@ def _(market):
 )
 def _(market):
     store = synced_store(market)
-    return runs.run_entities(store, market, "seller", CURRENT["seller"], NOW)
+    return runs.run_entities(store, market, "seller", CURRENT["seller"], datetime.now())
 
 
 # Insights that come as text: one per document, with fields of all kinds

@@ -20,6 +20,7 @@ from tradeloom.plans.entities import (
 )
 from tradeloom.plans.registry import plan_of
 from tradeloom.plans.store import Store
+from tradeloom.sources.staging import staged
 from tradeloom.sources.tables import Marketplace
 
 
@@ -57,8 +58,10 @@ def run_entities(
 ) -> DataFrame:
     """Write dashboards and insights of all active, or the given, entities; a status row for each.
 
-    Needs the history of the type. Every query runs once for all entities.
+    Needs the history of the type. Every query runs once for all entities, on lines that are joined
+    and written once; for given entities only their own lines are read.
     """
+    now = now.replace(microsecond=0)  # documents keep no finer time
     if not store.history_exists(entity_type):
         raise LookupError(f"no {entity_type} history; sync first")
     if entity_ids is not None:
@@ -66,8 +69,9 @@ def run_entities(
             raise ValueError(f"at most {MAX_BATCH} entities per batch")
         market = of_entities(market, entity_type, entity_ids)
     path = f"{store.root}/runs/{entity_type}_{now:%Y%m%d_%H%M%S}"
-    write_rows(market, entity_type, params, path)
-    rows = store.spark.read.parquet(path)
+    market = staged(market, f"{path}/lines")
+    write_rows(market, entity_type, params, f"{path}/rows")
+    rows = store.spark.read.parquet(f"{path}/rows")
 
     ids = active_entities(market, entity_type, params.period)
     if limit is not None:

@@ -15,7 +15,7 @@ from tradeloom.params import ENTITY_TYPES, QueryParams
 from tradeloom.plans.benchmarks import merge_rows, platform_benchmarks
 from tradeloom.plans.entities import documents, overview_lines, overview_rows, query_rows
 from tradeloom.plans.registry import plan_of
-from tradeloom.sources.staging import read_lines, write_lines
+from tradeloom.sources.staging import staged
 from tradeloom.sources.tables import Marketplace
 
 HISTORY_SCHEMA = """
@@ -41,6 +41,12 @@ INSIGHT_DOCUMENT_SCHEMA = f"""
     entity_type string
 """
 
+DASHBOARD_SCHEMA = """
+    entity_id bigint, execution_timestamp timestamp,
+    parameters struct<start_date:date,end_date:date,top_n:int>, query string, description string,
+    error string, result_count bigint, part int, parts int, data array<string>, entity_type string
+"""
+
 
 class EmptyOverviewError(ValueError):
     """The overview found no entity, so there is nothing to replace the history with."""
@@ -175,8 +181,7 @@ class Store:
         overview is empty, keeps its old history.
         """
         started = time.monotonic()
-        write_lines(market, self._path("lines"))
-        market = market.with_lines(read_lines(self.spark, self._path("lines")))
+        market = staged(market, self._path("lines"))
         counts: dict[str, int] = {}
         for entity_type, chosen in params.items():
             try:
@@ -206,6 +211,9 @@ class Store:
 
     # Documents
 
+    def dashboards(self) -> DataFrame:
+        return self._read("dashboards", DASHBOARD_SCHEMA, "json", mode="DROPMALFORMED")
+
     def write_dashboards(self, docs: DataFrame) -> None:
         docs.write.mode("append").partitionBy("entity_type").json(self._path("dashboards"))
 

@@ -36,6 +36,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def staged(market: Marketplace, path: str) -> Marketplace:
+    """The marketplace with its lines written to the path and read from there, unless they are so
+    already."""
+    if MONTH in market.lines().columns:
+        return market
+    write_lines(market, path)
+    return market.with_lines(read_lines(market.spark, path))
+
+
 def lines_created_in(lines: DataFrame, period: Period) -> DataFrame:
     """Lines whose item was created in the period; staged lines also skip the other months."""
     if MONTH in lines.columns:
