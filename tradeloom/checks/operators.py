@@ -161,13 +161,13 @@ def _(market):
 @register(
     "share_of_total",
     with_tables(
-        f"""SELECT buyer_org_id, seller_org_id, {ratio('(100 * spent)', 'whole')} AS share_pct
+        f"""SELECT buyer_org_id, source, {ratio('(100 * spent)', 'whole')} AS share_pct
             FROM spend JOIN (SELECT buyer_org_id, sum(spent) AS whole FROM spend GROUP BY 1) USING (buyer_org_id)""",
-        spend="SELECT buyer_org_id, seller_org_id, sum(total_amount) AS spent FROM lines GROUP BY ALL",
+        spend="SELECT buyer_org_id, source, sum(total_amount) AS spent FROM lines GROUP BY ALL",
     ),
 )
 def _(market):
-    spend = market.lines().groupBy("buyer_org_id", "seller_org_id").agg(F.sum("amount_cents").alias("spent"))
+    spend = market.lines().groupBy("buyer_org_id", "source").agg(F.sum("amount_cents").alias("spent"))
     return with_share(spend, "buyer_org_id", "spent", "share_pct").drop("spent")
 
 

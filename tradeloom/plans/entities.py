@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.operators.filters import entity_slice, in_period
 from tradeloom.params import MAX_BATCH, Period, QueryParams
 from tradeloom.plans import buyer, seller
-from tradeloom.plans.registry import plan_of
+from tradeloom.plans.registry import NamedQuery, plan_of
 from tradeloom.sources.staging import lines_created_in
 from tradeloom.sources.tables import Marketplace
 
@@ -89,54 +89,67 @@ def documents(
     the query's order. `rows` is read twice: pass a written table.
     """
     plan = plan_of(entity_type)
-    queries = F.array(
-        *(
-            F.struct(
-                F.lit(q.name).alias("query"),
-                F.lit(q.description).alias("description"),
-                F.lit(q.error(params)).cast("string").alias("error"),
-            )
-            for q in plan.queries
-        )
-    )
-    known = rows.filter(F.col("entity_id").isNotNull())
-    counts = known.groupBy(KEY).agg(F.count("*").alias("result_count"))
-    large = counts.filter(F.col("result_count") > rows_per_part).select(
-        *KEY, F.ceil(F.col("result_count") / rows_per_part).alias("parts")
+    queries = F.array(*(F.lit(q.name) for q in plan.queries))
+    wanted = rows.join(ids.select("entity_id"), "entity_id", "left_semi")
+    counts = wanted.groupBy(KEY).agg(F.count("*").alias("result_count"))
+    large = counts.filter(F.col("result_count") > rows_per_part).withColumn(
+        "parts", F.ceil(F.col("result_count") / rows_per_part)
     )
     part = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("row"), F.col("parts"))).otherwise(0)
-    packed = (
-        known.join(large, KEY, "left")
+    # Only the many rows are on the left of these joins, the side that a hot key is split on.
+    filled = (
+        wanted.join(large, KEY, "left")
         .groupBy(*KEY, part.cast("int").alias("part"))
         .agg(
-            F.sort_array(F.collect_list(F.struct("position", "row"))).alias("data"),
+            F.sort_array(F.collect_list(F.struct("position", "row"))).alias("ordered"),
             F.first("parts").alias("parts"),
+            F.first("result_count").alias("result_count"),
         )
-        .withColumn("data", F.transform("data", lambda r: r["row"]))
-    )
-    return (
-        ids.select("entity_id", F.inline(queries))
-        .join(counts, KEY, "left")
-        .join(packed, KEY, "left")
         .select(
-            F.lit(entity_type).alias("entity_type"),
-            "entity_id",
-            F.lit(executed_at).alias("execution_timestamp"),
-            F.struct(
-                F.lit(params.period.start).alias("start_date"),
-                F.lit(params.period.end).alias("end_date"),
-                F.lit(params.top_n).alias("top_n"),
-            ).alias("parameters"),
-            "query",
-            "description",
-            "error",
-            F.coalesce("result_count", F.lit(0)).alias("result_count"),
-            F.coalesce("part", F.lit(0)).alias("part"),
+            *KEY,
+            "part",
             F.coalesce("parts", F.lit(1)).cast("int").alias("parts"),
-            F.coalesce("data", F.array().cast("array<string>")).alias("data"),
+            # An entity that is not large has all its rows in one part.
+            F.coalesce("result_count", F.size("ordered")).cast("bigint").alias("result_count"),
+            F.transform("ordered", lambda r: r["row"]).alias("data"),
+        )
+    )
+    empty = (
+        ids.select("entity_id", F.explode(queries).alias("query"))
+        .join(counts, KEY, "left_anti")
+        .select(
+            *KEY,
+            F.lit(0).alias("part"),
+            F.lit(1).alias("parts"),
+            F.lit(0).cast("bigint").alias("result_count"),
+            F.array().cast("array<string>").alias("data"),
         )
     )
 
+    def of_query(value: Callable[[NamedQuery], str | None]) -> Column:
+        chosen = F.lit(None).cast("string")
+        for q in plan.queries:
+            chosen = F.when(F.col("query") == q.name, F.lit(value(q)).cast("string")).otherwise(chosen)
+        return chosen
+
+    return filled.unionByName(empty).select(
+        F.lit(entity_type).alias("entity_type"),
+        "entity_id",
+        F.lit(executed_at).alias("execution_timestamp"),
+        F.struct(
+            F.lit(params.period.start).alias("start_date"),
+            F.lit(params.period.end).alias("end_date"),
+            F.lit(params.top_n).alias("top_n"),
+        ).alias("parameters"),
+        "query",
+        of_query(lambda q: q.description).alias("description"),
+        of_query(lambda q: q.error(params)).alias("error"),
+        "result_count",
+        "part",
+        "parts",
+        "data",
+    )
+
 
 def overview_rows(rows: DataFrame, entity_type: str, schema: str) -> DataFrame:
     """The overview query's rows out of the long table, with the wanted columns typed again."""

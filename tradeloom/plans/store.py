@@ -73,11 +73,11 @@ class Store:
             return self.spark.createDataFrame([], kind)
 
     @staticmethod
-    def _replace_partition(df: DataFrame, path: str) -> None:
+    def _replace_partition(df: DataFrame, path: str, **options: str) -> None:
         """Overwrite only the entity types that occur; no rows at all replace nothing."""
         (
             df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            .options(partitionOverwriteMode="dynamic", **options)
             .partitionBy("entity_type")
             .parquet(path)
         )
@@ -87,16 +87,15 @@ class Store:
     def write_history(self, rows: DataFrame, entity_type: str, updated_at: datetime) -> None:
         """Replace the history of one entity type.
 
-        Files are ranged by entity, so a lookup reads few of them, and by position, so an entity with
-        most of the rows spreads over several.
+        An entity's rows lie together in one file, or in several if it has most of the rows. Files
+        are sorted by entity and carry a bloom filter of their entities, so a lookup skips most.
         """
         stamped = rows.withColumn("updated_at", F.lit(updated_at)).withColumn(
             "entity_type", F.lit(entity_type)
         )
-        clustered = stamped.repartitionByRange("entity_id", "query", "position", F.xxhash64("row"))
-        self._replace_partition(
-            clustered.sortWithinPartitions("entity_id", "query", "position"), self._path("history")
-        )
+        clustered = stamped.hint("rebalance", "entity_id").sortWithinPartitions("entity_id", "query", "position")
+        bloom = {"parquet.bloom.filter.enabled#entity_id": "true"}
+        self._replace_partition(clustered, self._path("history"), **bloom)
 
     def history(self, entity_type: str) -> DataFrame:
         return self._read("history", HISTORY_SCHEMA).filter(F.col("entity_type") == entity_type)

@@ -15,6 +15,22 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+PARTITION_BYTES = 200 * 1024 * 1024
+
+
+def sized_for(input_bytes: int) -> dict[str, str]:
+    """Settings that keep shuffle partitions near 200 MB when the whole input is shuffled once.
+
+    Adaptive execution merges partitions that turn out small, but cannot make more of them.
+    """
+    partitions = max(8, -(-input_bytes // PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
+    }
+
+
 _local_folders: dict[str, str] = {}
 
 

@@ -19,13 +19,13 @@ MONTH = "created_month"
 def write_lines(market: Marketplace, path: str) -> None:
     """Write the joined lines, one folder per month of item creation.
 
-    Ranging by month and order splits a month that holds most rows over several tasks, while a
-    task still writes to few folders.
+    Rebalancing gives a task lines of one month only; a month that holds most rows is split over
+    many tasks, and small months share one.
     """
     (
         market.lines()
         .withColumn(MONTH, F.date_trunc("month", F.col("created_date")).cast("date"))
-        .repartitionByRange(MONTH, "po_id")
+        .hint("rebalance", MONTH)
         .write.mode("overwrite")
         .partitionBy(MONTH)
         .parquet(path)
