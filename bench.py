@@ -25,6 +25,7 @@ HEADLINE = [
     "seller_top_selling_products",
     "seller_regional_distribution",
     "seller_order_analysis",
+    "write_history",
     "platform_benchmarks_buyer",
     "platform_benchmarks_seller",
     "insight_documents",

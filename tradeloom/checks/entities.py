@@ -63,12 +63,14 @@ def _store(market, name: str) -> Store:
 _synced: dict[tuple[str, str], Store] = {}
 
 
-def synced_store(market) -> Store:
+def synced_store(market, again: bool = False) -> Store:
     """The store that one sync per session and table folder fills, as later jobs find it."""
     key = (market.spark.sparkContext.applicationId, market.origin)
-    if key not in _synced:
-        store = _store(market, f"synced_{len(_synced)}")
-        store.sync(market, HISTORY, NOW)
+    if key not in _synced or again:
+        store = _synced.get(key) or _store(market, f"synced_{len(_synced)}")
+        counts = store.sync(market, HISTORY, NOW)
+        if 0 in counts.values():
+            raise RuntimeError(f"sync failed: {store.log().collect()}")
         _synced[key] = store
     return _synced[key]
 
@@ -318,8 +320,7 @@ def _(market):
     ),
 )
 def _(market):
-    store = _store(market, "history")
-    store.sync(market, HISTORY, NOW)
+    store = synced_store(market, again=True)
 
     def held(kind):
         plan = plan_of(kind)
@@ -407,8 +408,9 @@ HISTORY_COUNTS = {
     ),
 )
 def _(market):
-    store = synced_store(market)
-    return store.log().select("entity_type", "entities_count", "status", "error_message")
+    # A repeated sync logs the same again.
+    log = synced_store(market).log()
+    return log.select("entity_type", "entities_count", "status", "error_message").distinct()
 
 
 @register(
