@@ -397,6 +397,20 @@ def _(market):
     )
 
 
+@register(
+    "read_insight_docs",
+    insight_sql(
+        f"SELECT entity_type, entity_id, insight_rank - 1 AS position, {', '.join(INSIGHT_COLUMNS)} FROM insight"
+    ),
+)
+def _(market):
+    store = _store(market, "insight_docs_read")
+    insight_docs(market).write.mode("overwrite").partitionBy("entity_type").json(f"{store.root}/insights")
+    return browse.insight_rows(store.insights()).select(
+        "entity_type", "entity_id", F.col("position").cast("bigint").alias("position"), *INSIGHT_COLUMNS
+    )
+
+
 @register(
     "run_all_entities",
     with_tables(
