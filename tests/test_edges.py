@@ -107,7 +107,8 @@ def test_labels(spark):
 
 
 def test_month_gap_counts_as_zero_then_has_no_growth(spark):
-    m = market(spark, [item(1, 1, 100.0, "2024-01-10"), item(2, 1, 50.0, "2024-03-10")], [order(1, 5, 7), order(2, 5, 7)])
+    items = [item(1, 1, 100.0, "2024-01-10"), item(2, 1, 50.0, "2024-03-10")]
+    m = market(spark, items, [order(1, 5, 7), order(2, 5, 7)])
     got = rows(seller.monthly_trends(m, PARAMS), "month", "total_sales", "prev_month_sales", "mom_growth_rate_pct")
     assert got == [
         ("2024-01", 100.0, 0.0, None),
@@ -284,7 +285,7 @@ def test_time_series_needs_a_resolution(spark):
 def test_presentation_order(spark):
     m = market(
         spark,
-        [item(1, 1, 10.0, "2024-01-05"), item(2, 1, 30.0, "2024-01-05"), item(3, 1, None, "2024-01-05"), item(4, 1, 1.0, "2024-01-05")],
+        [item(po, 1, amount, "2024-01-05") for po, amount in ((1, 10.0), (2, 30.0), (3, None), (4, 1.0))],
         [order(1, 5, 7), order(2, 5, 7), order(3, 5, 7), order(4, 5, None)],
     )
     got = run_query(m, "seller", "order_analysis", PARAMS, ordered=True).collect()

@@ -129,7 +129,12 @@ def documents(spark):
             "buyer",
             1,
             datetime(2024, 2, 1),
-            [insight(0, "low", "self"), insight(1, "odd", "both"), insight(2, "high", "both"), insight(3, "medium", "self")],
+            [
+                insight(0, "low", "self"),
+                insight(1, "odd", "both"),
+                insight(2, "high", "both"),
+                insight(3, "medium", "self"),
+            ],
             4,
             1,
         ),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tests.fixtures import item, market, order
 from tradeloom.params import Period, QueryParams
 from tradeloom.plans import buyer, seller
+from tradeloom.session import sized_for
 from tradeloom.sources import retail
 from tradeloom.sources.staging import read_lines, staged, write_lines
 from tradeloom.sources.tables import jdbc_options
@@ -109,6 +110,13 @@ def test_an_order_with_most_lines_is_split_in_the_join(spark, tmp_path):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def test_shuffle_partitions_grow_with_the_input():
+    assert sized_for(10**6)["spark.sql.shuffle.partitions"] == "8"
+    settings = sized_for(100 * 10**12)
+    partitions = int(settings["spark.sql.shuffle.partitions"])
+    assert 100 * 10**12 / partitions <= int(settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"])
+
+
 def test_database_reads_are_split_by_key():
     options = jdbc_options("jdbc:postgresql://db/market", "po_items", 1, 1000, 16)
     assert options["partitionColumn"] == "po_id"

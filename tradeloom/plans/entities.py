@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.operators.filters import entity_slice, in_period
 from tradeloom.params import MAX_BATCH, Period, QueryParams
-from tradeloom.plans import buyer, seller
+from tradeloom.plans import buyer
 from tradeloom.plans.registry import NamedQuery, plan_of
 from tradeloom.sources.staging import lines_created_in
 from tradeloom.sources.tables import Marketplace
