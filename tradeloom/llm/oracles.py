@@ -119,3 +119,63 @@ best AS (
 SELECT doc_id, license, coalesce(dice, 0.0::DOUBLE) AS dice, coalesce(n_matches, 0) AS n_matches,
        coalesce(licenses, '') AS licenses
 FROM docs LEFT JOIN best USING (rid)"""
+
+
+def top_k(k: int = 5, scale: int = 256, every: int = 50) -> str:
+    return rf"""
+WITH whole AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.rid AS q, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % {every} = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= {k}"""
+
+
+def long_repeats(window: int = 50) -> str:
+    return rf"""
+WITH {WORDS},
+windows AS (
+  SELECT rid, doc_id, p, array_to_string(list_slice(w, p, p + {window - 1}), ' ') AS g
+  FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - {window - 2})) AS p FROM worded WHERE len(w) >= {window})),
+first AS (SELECT g, min(doc_id) AS doc FROM windows GROUP BY g HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT rid, p FROM windows JOIN first USING (g) WHERE doc_id > doc),
+covered AS (SELECT DISTINCT rid, p + o AS i FROM gone, (SELECT unnest(range(0, {window})) AS o)),
+placed AS (SELECT rid, i, w[i] AS word FROM (SELECT rid, w, unnest(range(1, len(w) + 1)) AS i FROM worded)),
+kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM placed ANTI JOIN covered USING (rid, i) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM worded LEFT JOIN kept USING (rid)"""
+
+
+def near_copies(words: int = 3, percent: int = 85) -> str:
+    """All pairs that share a shingle, counted exactly, then components by repeated least labels."""
+    return rf"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+worded AS (SELECT rid, doc_id, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM docs),
+shingles AS (
+  SELECT DISTINCT rid, doc_id, array_to_string(list_slice(w, p, p + {words - 1}), ' ') AS g
+  FROM (SELECT rid, doc_id, w, unnest(CASE WHEN len(w) >= {words} THEN range(1, len(w) - {words - 2}) WHEN len(w) > 0 THEN [1] ELSE [] END) AS p FROM worded)),
+sizes AS (SELECT rid, doc_id, count(*) AS n FROM shingles GROUP BY rid, doc_id),
+sets AS (SELECT rid, string_agg(g, chr(10) ORDER BY g) AS key FROM shingles GROUP BY rid),
+classes AS (SELECT min(rid) AS rid, min(doc_id) AS doc_id, key FROM sets JOIN sizes USING (rid) GROUP BY key),
+own AS (SELECT s.g, c.doc_id, z.n FROM classes c JOIN shingles s USING (rid) JOIN sizes z USING (rid)),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM own a JOIN own b ON a.g = b.g AND a.doc_id < b.doc_id
+   AND 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
+ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached(a, b) AS (SELECT doc_id, doc_id FROM classes UNION SELECT r.a, w.b FROM reached r JOIN ways w ON r.b = w.a),
+labels AS (SELECT a AS doc_id, min(b) AS label FROM reached GROUP BY a),
+found AS (SELECT s.rid, l.label FROM sets s JOIN classes c USING (key) JOIN labels l ON l.doc_id = c.doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(label, d.doc_id) AS component_id,
+       d.doc_id = coalesce(label, d.doc_id) AS kept
+FROM docs d LEFT JOIN sizes z ON z.rid = d.rid LEFT JOIN found f ON f.rid = d.rid"""

@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import licenses, oracles, quality, secrets
+from tradeloom.llm import extraction, languages, licenses, long_repeats, mixing, near_copies, oracles, packing, quality, secrets, top_k
 from tradeloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def word_tokenizer() -> str:
+    """The tokenizer that the packing query is to use; its file stays where it is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def query(name: str, sql: str | None = None):
     def wrap(build: Callable[[SparkSession, str], DataFrame]):
         QUERIES[name] = build
@@ -24,11 +31,42 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+@query("op1_top_k", oracles.top_k())
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = top_k.valid_vectors(table(spark, folder, "embeddings"))
+    return top_k.search(vectors.where(F.col("vec_id") % 50 == 0), vectors)
+
+
 @query("op2_quality_rules", oracles.quality())
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents")).drop("clean_text")
 
 
+@query("op3_extraction")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return extraction.extract(table(spark, folder, "pages"))
+
+
+@query("op4_mixing")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken(table(spark, folder, "documents"))
+
+
+@query("op5_packing")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), word_tokenizer())
+
+
+@query("op6_long_repeats", oracles.long_repeats())
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return long_repeats.without_repeats(table(spark, folder, "documents"))
+
+
+@query("op7_near_copies", oracles.near_copies())
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return near_copies.classes(table(spark, folder, "documents"), near_copies.Settings(words=3, percent=85))
+
+
 @query("op8_secret_scan", oracles.secrets())
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     scanned = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"))
@@ -50,6 +88,14 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op9_languages")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    profiles = languages.learn(documents.where(~languages.held_out()))
+    found = languages.predict(documents, profiles)
+    return found.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query("op10_license_scan", oracles.licenses())
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
