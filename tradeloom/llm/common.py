@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tradeloom
 from tradeloom.session import shared_folder
 
 #: What separates words, the complement of [^\x20\x09-\x0D].
@@ -32,6 +36,25 @@ def written(frame: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the executors' Python workers this package, wherever the driver has it from; once an application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(tradeloom.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tradeloom-code-"), "tradeloom.zip")
+    with zipfile.ZipFile(path, "w") as packed:
+        for folder, _, files in os.walk(root):
+            for name in sorted(f for f in files if f.endswith(".py")):
+                full = os.path.join(folder, name)
+                packed.write(full, os.path.join("tradeloom", os.path.relpath(full, root)))
+    context.addPyFile(path)  # Spark's own file server hands it out
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

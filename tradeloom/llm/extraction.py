@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradeloom.llm.common import ship
 from tradeloom.llm.html_blocks import Block, blocks
 from tradeloom.llm.tokens import groups
 
@@ -313,6 +314,7 @@ def labelled(labeller: Labeller, pages: list[list[Block]], per_batch: int = 128)
 
 def extract(pages: DataFrame, labeller: Labeller | None = None, settings: Settings = Settings()) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
+    ship(pages.sparkSession)
     labeller = labeller or learn(pages, settings)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradeloom.llm.common import ship
 from tradeloom.llm.tokens import groups
 
 #: Characters worked on at a time; a longer text is counted in such parts.
@@ -115,6 +116,7 @@ class Profiles:
 
 def learn(training: DataFrame, settings: Settings = Settings()) -> Profiles:
     """Profiles from doc_id, text, lang of the training rows."""
+    ship(training.sparkSession)
     usable = training.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     # The ids alone are ranked, and the few chosen texts fetched by them.
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
@@ -161,6 +163,7 @@ def predict(documents: DataFrame, profiles: Profiles, settings: Settings = Setti
                     names=["doc_id", "lang_pred", "score"],
                 )
 
+    ship(documents.sparkSession)
     ids = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return ids.mapInArrow(run, "doc_id long, lang_pred string, score double")
 

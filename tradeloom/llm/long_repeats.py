@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import written
+from tradeloom.llm.common import ship, written
 from tradeloom.llm.tokens import groups, mixed, numbered, words_of
 
 #: Words of a window and rounds of recompression; after more rounds fewer windows hold a symbol of their own.
@@ -251,6 +251,7 @@ def _fetched(texts: DataFrame, revealed: DataFrame) -> DataFrame:
 def without_repeats(documents: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, with_text: bool = False) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text (the kept words joined by
     spaces; null where all words are kept)."""
+    ship(documents.sparkSession)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     named = written(_named(texts, window, rounds), "named")
     firsts = named.groupBy("sha").agg(F.min("doc_id").alias("first_id"))

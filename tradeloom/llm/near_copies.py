@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import written
+from tradeloom.llm.common import ship, written
 from tradeloom.llm.tokens import groups, mixed, numbered, words_of
 
 #: Rows of a signature compared at a time.
@@ -323,6 +323,7 @@ def _in_mixed_buckets(members: DataFrame, comps: DataFrame, classes: DataFrame,
 
 def classes(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest doc_id reachable over links), kept."""
+    ship(documents.sparkSession)
     rows = written(signed(documents, settings), "signed")
     full = rows.where("n > 0 AND doc_id IS NOT NULL")
     own = written(

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import blocks_for, written
+from tradeloom.llm.common import blocks_for, ship, written
 from tradeloom.llm.tokens import groups, words_of
 
 #: Pieces of one length that are numbered in one task, about.
@@ -135,6 +135,7 @@ def pieces(documents: DataFrame, tokenizer: str, length: int = 2048, closing: in
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
+    ship(documents.sparkSession)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     made = texts.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
     return made if with_ids else made.drop("ids")

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import blocks_for
+from tradeloom.llm.common import blocks_for, ship
 
 #: Vectors in a block of candidates and of queries, and dimensions accumulated at a time.
 CANDIDATES, QUERIES, DIMENSIONS = 4096, 1024, 8
@@ -91,6 +91,7 @@ def search_block(query_ids, queries, ids, candidates, k: int) -> Iterator[tuple[
 def search(queries: DataFrame, candidates: DataFrame, k: int = 5, scale: int = 256) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's k highest inner products among the candidates but itself.
     Both frames hold vec_id and x, as `valid_vectors` makes them."""
+    ship(queries.sparkSession)
     n_candidates, n_queries = candidates.count(), queries.count()
     left, right = blocks_for(n_queries, QUERIES), blocks_for(n_candidates, CANDIDATES)
 
