@@ -142,14 +142,13 @@ def route(patterns: list[tuple[tuple, int]], quotas: dict, settings: Settings =
 
 
 def _keyed(documents: DataFrame, sources: Column, settings: Settings) -> DataFrame:
-    """All columns plus _pattern, and the seeded order _h, _t of the documents."""
+    """_row (a struct of all columns), _pattern, and the seeded order _h, _t of the documents."""
     pattern = F.to_json(F.array_sort(F.array_distinct(F.coalesce(sources, F.array().cast("array<string>")))), {"ignoreNullFields": "false"})
-    return documents.withColumns(
-        {
-            "_pattern": pattern,
-            "_h": F.xxhash64(F.lit(settings.seed), F.col("doc_id")),
-            "_t": F.xxhash64(F.col("text")),
-        }
+    return documents.select(
+        F.struct(*documents.columns).alias("_row"),
+        pattern.alias("_pattern"),
+        F.xxhash64(F.lit(settings.seed), F.col("doc_id")).alias("_h"),
+        F.xxhash64(F.col("text")).alias("_t"),
     )
 
 
@@ -248,10 +247,9 @@ def _copies() -> Column:
 
 
 def _sized(documents: DataFrame, sources: Column, settings: Settings) -> DataFrame:
-    size = F.size(words(F.coalesce("text", F.lit("")))).cast("long")
-    keyed = _keyed(documents.select("doc_id", "text", sources.alias("_sources")), F.col("_sources"), settings)
-    keyed = keyed.withColumn("_t", F.coalesce("_t", F.lit(0)))
-    return written(keyed.select("doc_id", size.alias("size"), "_pattern", "_h", "_t"), "sized")
+    size = F.size(words(F.coalesce("_row.text", F.lit("")))).cast("long")
+    keyed = _keyed(documents, sources, settings)
+    return written(keyed.select("_row.doc_id", size.alias("size"), "_pattern", "_h", "_t"), "sized")
 
 
 def taken(documents: DataFrame, sources: Column | None = None, weights=cyclic_weights, settings: Settings = Settings()) -> DataFrame:
@@ -268,7 +266,7 @@ def repeated(documents: DataFrame, sources: Column | None = None, weights=cyclic
     """The documents, all columns, each as often as the mix takes it."""
     sources = F.array("source") if sources is None else sources
     made = plan(_sized(documents, sources, settings), weights, settings)
-    keyed = _keyed(documents, sources, settings).withColumn("_t", F.coalesce("_t", F.lit(0)))
+    keyed = _keyed(documents, sources, settings)
     joined = keyed.join(F.broadcast(made.patterns), F.col("_pattern") == F.col("p")).withColumn("_n", _copies())
     often = joined.where("_n > 0").withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-    return often.select(*[F.col(c) for c in documents.columns])
+    return often.select("_row.*")

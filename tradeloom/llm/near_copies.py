@@ -358,5 +358,5 @@ def classes(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
 def keep_first(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The documents, all columns, without those whose group has a smaller doc_id."""
     gone = classes(documents, settings).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return documents.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    return documents.join(gone, documents["doc_id"] == gone["gone_id"], "left_anti")
 

@@ -81,7 +81,7 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
         )
 
     return scanned.select(
-        "doc_id",
+        "document.doc_id",
         *(count(r) for r in secrets.BASE_RULES),
         F.sha2(listed(F.filter("spans", lambda s: s["rule"].isin(base))), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),

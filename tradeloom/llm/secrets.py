@@ -149,13 +149,13 @@ def findings(ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 def scan(documents: DataFrame, ledger: Ledger | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """All rows and columns of the documents with `blob` and `spans` (empty if it has none) beside them."""
+    """One row per document: document (a struct of all its columns), blob, spans (empty if it has none)."""
     ledger = ledger or Ledger(documents.sparkSession)
     scan_unseen(documents, ledger, rules)
     none = F.array().cast("array<struct<start:int,rank:int,end:int,rule:string>>")
-    named = documents.withColumn("blob", blob_of(F.col("text")))
-    joined = named.join(findings(ledger, rules).withColumnRenamed("blob", "of_blob"), F.col("blob") == F.col("of_blob"), "left")
-    return joined.drop("of_blob").withColumn("spans", F.coalesce("spans", none))
+    named = documents.select(F.struct(*documents.columns).alias("document"), blob_of(F.col("text")).alias("blob"))
+    joined = named.join(findings(ledger, rules), "blob", "left")
+    return joined.select("document", "blob", F.coalesce("spans", none).alias("spans"))
 
 
 def kind_of(span: Column) -> Column:

@@ -12,7 +12,7 @@ else as Python integers, so they are exact; a score that does not fit a long rai
 
 Defined results: vectors that are null or hold null or non-finite components take no part (an empty vector has score 0
 with all); of vectors of unequal length the missing components count as 0; rows without an id take no part; equal scores
-go to the smaller id, equal rows count each; other columns are ignored; empty tables give an empty result.
+go to the smaller id; repeated candidates count each, of queries that share an id the largest vector is asked; other columns are ignored; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -92,6 +92,7 @@ def search(queries: DataFrame, candidates: DataFrame, k: int = 5, scale: int = 2
     """query_id, rank (from 1), vec_id, score: each query's k highest inner products among the candidates but itself.
     Both frames hold vec_id and x, as `valid_vectors` makes them."""
     ship(queries.sparkSession)
+    queries = queries.groupBy("vec_id").agg(F.max("x").alias("x"))
     n_candidates, n_queries = candidates.count(), queries.count()
     left, right = blocks_for(n_queries, QUERIES), blocks_for(n_candidates, CANDIDATES)
 
