@@ -37,11 +37,11 @@ def category(*levels) -> str:
     return f'{{"cat_0": [{entries}]}}'
 
 
-def market(spark, items, orders, products=(), addresses=(), organizations=()) -> Marketplace:
+def market(spark, items, orders, products=(), addresses=(), organizations=(), scale=2) -> Marketplace:
     rows = dict(zip(TABLES, (items, orders, products, addresses, organizations)))
     frames = {name: spark.createDataFrame(list(rows[name]), SCHEMAS[name]) for name in TABLES}
-    frames["po_items"] = with_amounts(frames["po_items"])
-    return Marketplace(spark, {name: (lambda f=frame: f) for name, frame in frames.items()})
+    frames["po_items"] = with_amounts(frames["po_items"], scale)
+    return Marketplace(spark, {name: (lambda f=frame: f) for name, frame in frames.items()}, scale=scale)
 
 
 def rows(frame, *columns):

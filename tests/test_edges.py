@@ -7,7 +7,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from tests.fixtures import category, item, market, order, rows
+from tests.fixtures import at, category, item, market, order, rows
 from tradeloom.functions import dates
 from tradeloom.functions.categories import deepest_category
 from tradeloom.functions.numeric import pct_change, pct_change_of_quotients, safe_ratio
@@ -16,6 +16,8 @@ from tradeloom.operators.trends import on_calendar
 from tradeloom.params import Period, QueryParams, dashboard_params, history_params
 from tradeloom.plans import buyer, seller
 from tradeloom.plans.registry import run_query
+from tradeloom.sources import retail
+from tradeloom.sources.tables import scale_of, with_amounts
 
 QUARTER = Period.of("2024-01-01", "2024-03-31")
 PARAMS = QueryParams(QUARTER, 10)
@@ -312,3 +314,37 @@ def test_totals_agree_between_queries(spark):
         assert dict(rows(sums)) == pytest.approx(totals)
     shares = seller.regional_distribution(m, PARAMS).groupBy("vendor_id").agg(F.sum("revenue_contribution_pct"))
     assert all(abs(total - 100) < 0.05 for _, total in rows(shares))
+
+
+def test_fine_amounts_are_summed_before_they_are_rounded(spark):
+    items = [item(i, 1, 0.004, "2024-02-01", qty=0.004) for i in range(1000)]
+    orders = [order(i, 7, 9) for i in range(1000)]
+    m = market(spark, items, orders, scale=3)
+    got = seller.performance_overview(m, QueryParams(Period.of("2024-01-01", "2024-03-31"), 5)).first()
+    assert (got["total_sales"], got["units_sold"]) == (4.0, 4.0)
+
+
+def test_decimal_amounts_keep_their_scale(spark):
+    rows = spark.createDataFrame([(1,)], "id int").selectExpr(
+        "cast(0.00049 as decimal(20,5)) qty", "cast(12.5 as decimal(9,1)) total_amount"
+    )
+    assert scale_of(rows) == 5
+    assert with_amounts(rows, 5).first().asDict() == {"qty_units": 49, "amount_units": 1_250_000}
+    with pytest.raises(ValueError):
+        scale_of(rows.selectExpr("cast(qty as double) qty", "total_amount"))
+
+
+def test_order_ids_of_any_size(spark, tmp_path):
+    big = 6 * 10**11
+    frames = {
+        "lineitem": spark.createDataFrame(
+            [(big, 1, 3, 1, 2.0, 10.0, at("1999-01-05"))], retail.SCHEMAS["lineitem"]
+        ),
+        "orders": spark.createDataFrame(
+            [(big, 5, "F", at("1999-01-01"), "1-URGENT")], retail.SCHEMAS["orders"]
+        ),
+    }
+    for name, frame in frames.items():
+        frame.write.parquet(f"{tmp_path}/{name}.parquet")
+    got = seller.order_analysis(retail.load(spark, str(tmp_path)), QueryParams(Period.of("1999-01-01", "1999-12-31"), 5))
+    assert [(r["po_id"], r["order_value"]) for r in got.collect()] == [(f"{big}-3", 10.0)]

@@ -42,7 +42,7 @@ def whole(top_n: int = 10, **options) -> QueryParams:
 # The marketplace tables as SQL over the retail test tables.
 ADAPTER = {
     "po_details": """
-        SELECT DISTINCT l_orderkey * 1000000000 + l_suppkey AS id,
+        SELECT DISTINCT l_orderkey || '-' || l_suppkey AS id,
                CASE WHEN o_custkey % 97 = 0 THEN NULL ELSE o_custkey END AS buyer_org_id,
                CASE WHEN l_suppkey % 25 = 24 THEN NULL ELSE l_suppkey END AS seller_org_id,
                o_orderdate AS created_date,
@@ -50,7 +50,7 @@ ADAPTER = {
                CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END AS shipping_address
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "po_items": """
-        SELECT l_orderkey * 1000000000 + l_suppkey AS po_id, l_partkey AS product_id,
+        SELECT l_orderkey || '-' || l_suppkey AS po_id, l_partkey AS product_id,
                CAST(l_quantity AS DECIMAL(18,2)) AS qty,
                CASE WHEN l_partkey % 101 = 0 THEN NULL
                     ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS total_amount,

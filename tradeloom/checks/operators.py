@@ -20,20 +20,20 @@ from tradeloom.checks.base import (
 )
 from tradeloom.functions import dates
 from tradeloom.functions.categories import deepest_category
-from tradeloom.functions.numeric import pct_change, safe_ratio, units, units_per
+from tradeloom.functions.numeric import pct_change, safe_ratio, units
 from tradeloom.operators import filters
 from tradeloom.operators.ranking import top_n_per
 from tradeloom.operators.shares import with_share
 from tradeloom.operators.trends import entity_calendar, growth_pct, with_previous
 from tradeloom.params import QueryParams
 from tradeloom.plans import buyer, seller
-from tradeloom.sources.tables import TABLES, join_items_orders
+from tradeloom.sources.tables import TABLES, join_items_orders, with_amounts
 
 EARLIER_HALF = LATER_HALF.previous
 
 
-def in_units(**names: str) -> list:
-    return [units(F.col(column)).alias(name) for name, column in names.items()]
+def in_units(market, **names: str) -> list:
+    return [market.units(F.col(column)).alias(name) for name, column in names.items()]
 
 
 # Scans and joins
@@ -75,7 +75,7 @@ def _(market):
     return join_items_orders(market.po_items, market.po_details).select(
         "po_id",
         "product_id",
-        *in_units(qty="qty_hundredths", total_amount="amount_cents"),
+        *in_units(market, qty="qty_units", total_amount="amount_units"),
         "buyer_org_id",
         "seller_org_id",
         "source",
@@ -167,7 +167,7 @@ def _(market):
     ),
 )
 def _(market):
-    spend = market.lines().groupBy("buyer_org_id", "source").agg(F.sum("amount_cents").alias("spent"))
+    spend = market.lines().groupBy("buyer_org_id", "source").agg(F.sum("amount_units").alias("spent"))
     return with_share(spend, "buyer_org_id", "spent", "share_pct").drop("spent")
 
 
@@ -185,10 +185,31 @@ def _(market):
     return (
         market.lines()
         .groupBy("seller_org_id")
-        .agg(units(F.sum("amount_cents")).alias("amount"), units(F.sum("qty_hundredths")).alias("units"))
+        .agg(market.units(F.sum("amount_units")).alias("amount"), market.units(F.sum("qty_units")).alias("units"))
     )
 
 
+FINE = 6
+
+
+@register(
+    "agg_sum_fine",
+    f"""SELECT l_suppkey AS seller_org_id, {money(f'sum(CAST(l_extendedprice / 7 AS DECIMAL(18,{FINE})))')} AS amount,
+               {money(f'sum(CAST(l_quantity / 7000 AS DECIMAL(18,{FINE})))')} AS units
+        FROM lineitem GROUP BY l_suppkey""",
+)
+def _(market):
+    """Amounts finer than hundredths: rounding each line would lose most of these quantities."""
+    lines = market.spark.read.parquet(f"{market.origin}/lineitem.parquet").select(
+        F.col("l_suppkey").alias("seller_org_id"),
+        (F.col("l_quantity") / 7000).alias("qty"),
+        (F.col("l_extendedprice") / 7).alias("total_amount"),
+    )
+    sums = with_amounts(lines, FINE).groupBy("seller_org_id")
+    amount, quantity = (units(F.sum(c), FINE) for c in ("amount_units", "qty_units"))
+    return sums.agg(amount.alias("amount"), quantity.alias("units"))
+
+
 @register(
     "agg_count",
     with_tables(
@@ -200,7 +221,7 @@ def _(market):
     return (
         market.lines()
         .groupBy("seller_org_id")
-        .agg(F.count("*").alias("all_lines"), F.count("amount_cents").alias("priced_lines"))
+        .agg(F.count("*").alias("all_lines"), F.count("amount_units").alias("priced_lines"))
     )
 
 
@@ -226,13 +247,13 @@ def _(market):
 )
 def _(market):
     def spent(period):
-        return F.sum(F.when(period.holds(F.col("updated_date")), F.col("amount_cents")).otherwise(0))
+        return F.sum(F.when(period.holds(F.col("updated_date")), F.col("amount_units")).otherwise(0))
 
     return (
         market.lines()
         .groupBy("buyer_org_id")
         .agg(
-            units(spent(LATER_HALF)).alias("later"), units(spent(EARLIER_HALF)).alias("earlier")
+            market.units(spent(LATER_HALF)).alias("later"), market.units(spent(EARLIER_HALF)).alias("earlier")
         )
     )
 
@@ -318,12 +339,12 @@ def _(market):
     orders = (
         market.lines()
         .groupBy(F.col("seller_org_id").alias("vendor_id"), "po_id")
-        .agg(F.sum("amount_cents").alias("amount"))
+        .agg(F.sum("amount_units").alias("amount"))
     )
     return orders.groupBy("vendor_id").agg(
         F.count("po_id").alias("orders"),
-        units(F.sum("amount")).alias("amount"),
-        units(F.max("amount")).alias("largest"),
+        market.units(F.sum("amount")).alias("amount"),
+        market.units(F.max("amount")).alias("largest"),
     )
 
 
@@ -335,9 +356,9 @@ def _(market):
     ),
 )
 def _(market):
-    orders = market.lines().groupBy("buyer_org_id", "po_id").agg(F.sum("amount_cents").alias("amount"))
+    orders = market.lines().groupBy("buyer_org_id", "po_id").agg(F.sum("amount_units").alias("amount"))
     return orders.groupBy("buyer_org_id").agg(
-        units_per(F.sum("amount"), F.count("po_id")).alias("average_order_value")
+        market.units_per(F.sum("amount"), F.count("po_id")).alias("average_order_value")
     )
 
 
@@ -370,7 +391,7 @@ def _(market):
     return (
         market.lines()
         .groupBy(dates.bucket(F.col("created_date"), "month").alias("month_start"))
-        .agg(F.count("*").alias("n"), units(F.sum("amount_cents")).alias("amount"))
+        .agg(F.count("*").alias("n"), market.units(F.sum("amount_units")).alias("amount"))
     )
 
 
@@ -385,7 +406,7 @@ def _(market):
     grouped = (
         market.lines()
         .groupBy("source")
-        .agg(F.count("*").alias("n"), units(F.sum("amount_cents")).alias("amount"))
+        .agg(F.count("*").alias("n"), market.units(F.sum("amount_units")).alias("amount"))
     )
     return grouped.select(F.coalesce("source", F.lit("Unknown")).alias("sales_channel"), "n", "amount")
 
@@ -404,9 +425,9 @@ def _(market):
     ),
 )
 def _(market):
-    sums = market.lines().groupBy("source", "seller_org_id").agg(F.sum("amount_cents").alias("amount"))
+    sums = market.lines().groupBy("source", "seller_org_id").agg(F.sum("amount_units").alias("amount"))
     return top_n_per(sums, "source", "amount", "seller_org_id", 5, "rank").withColumn(
-        "amount", units(F.col("amount"))
+        "amount", market.units(F.col("amount"))
     )
 
 
@@ -422,7 +443,7 @@ def _buyer_months(market):
     months = (
         market.lines()
         .groupBy("buyer_org_id", dates.bucket(F.col("created_date"), "month").alias("month_start"))
-        .agg(F.sum("amount_cents").alias("amount"))
+        .agg(F.sum("amount_units").alias("amount"))
     )
     return with_previous(months, "buyer_org_id", "month_start", "amount", "before")
 
@@ -435,7 +456,7 @@ def _buyer_months(market):
     ),
 )
 def _(market):
-    return _buyer_months(market).select("buyer_org_id", "month_start", *in_units(amount="amount", before="before"))
+    return _buyer_months(market).select("buyer_org_id", "month_start", *in_units(market, amount="amount", before="before"))
 
 
 @register(
@@ -470,7 +491,7 @@ def _(market):
     parts = [
         filters.in_period(market.lines(), clock, LATER_HALF)
         .groupBy(F.lit(clock).alias("clock"), "seller_org_id")
-        .agg(F.count("*").alias("n"), units(F.sum("amount_cents")).alias("amount"))
+        .agg(F.count("*").alias("n"), market.units(F.sum("amount_units")).alias("amount"))
         for clock in CLOCKS
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -630,9 +651,9 @@ def _product_halves(market):
         market.lines()
         .groupBy("product_id")
         .agg(
-            bought("amount_cents", LATER_HALF).alias("curr_amount"),
-            bought("qty_hundredths", LATER_HALF).alias("curr_qty"),
-            bought("amount_cents", EARLIER_HALF).alias("prev_amount"),
+            bought("amount_units", LATER_HALF).alias("curr_amount"),
+            bought("qty_units", LATER_HALF).alias("curr_qty"),
+            bought("amount_units", EARLIER_HALF).alias("prev_amount"),
         )
     )
 

@@ -1,8 +1,8 @@
 """Fixed-point amounts, exact rounding, ratios and percentage changes.
 
-Money and quantities are summed as whole hundredths (BIGINT): such sums are exact whatever the order
-in which partitions are merged, and cheap. A sum beyond 9e16 units fails instead of wrapping around.
-Quotients keep enough digits for a half-away-from-zero rounding of the true value; results are
+Money and quantities are summed as whole numbers (BIGINT) of 10**-scale: such sums are exact whatever the
+order in which partitions are merged, and cheap. Only a sum is rounded to two decimals, never a line. A value
+or sum that does not fit, beyond 9e18 of these units, fails instead of wrapping around. Quotients keep enough digits for a half-away-from-zero rounding of the true value; results are
 doubles.
 """
 
@@ -16,16 +16,25 @@ WIDE = "decimal(24,4)"
 FRACTION = "decimal(38,12)"
 
 
-def hundredths(value: Column, kind: str) -> Column:
-    """An amount of the given SQL type, to two decimals, as a whole number."""
+def decimals_of(kind: str) -> int | None:
+    """How many decimals a SQL type holds exactly; None for binary floating point."""
     if kind in ("double", "float"):
-        return F.rint(value * 100).cast("bigint")
-    return (F.round(value, 2) * 100).cast("bigint")
+        return None
+    return int(kind.rstrip(")").split(",")[1]) if kind.startswith("decimal") else 0
 
 
-def units(total: Column) -> Column:
-    """Hundredths as a double."""
-    return total / F.lit(100.0)
+def whole(value: Column, kind: str, scale: int) -> Column:
+    """An amount of the given SQL type as a whole number of 10**-scale; what is finer is rounded away."""
+    if decimals_of(kind) is None:
+        return F.rint(value * float(10**scale)).cast("bigint")
+    return (F.round(value.cast("decimal(38,18)"), scale) * F.lit(10**scale).cast("decimal(19,0)")).cast("bigint")
+
+
+def units(total: Column, scale: int) -> Column:
+    """A sum of 10**-scale as a double, rounded to two decimals, half away from zero."""
+    if scale <= 2:
+        return total / F.lit(float(10**scale))
+    return F.round(total.cast(WHOLE) / F.lit(10**scale).cast("decimal(19,0)"), 2).cast("double")
 
 
 def _percent(fraction: Column) -> Column:
@@ -46,9 +55,9 @@ def safe_ratio(numerator: Column, denominator: Column, digits: int = 2, kind: st
     return F.round(quotient(numerator, denominator, kind), digits).cast("double")
 
 
-def units_per(total: Column, count: Column) -> Column:
-    """Hundredths per counted thing, in units."""
-    return safe_ratio(total, count * 100)
+def units_per(total: Column, count: Column, scale: int) -> Column:
+    """A sum of 10**-scale per counted thing."""
+    return safe_ratio(total, count.cast(WHOLE) * F.lit(10**scale).cast("decimal(19,0)"), kind="decimal(38,0)")
 
 
 def pct_change(current: Column, previous: Column, kind: str = WHOLE) -> Column:

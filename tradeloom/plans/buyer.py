@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.categories import deepest_category
-from tradeloom.functions.numeric import pct_change, pct_change_of_quotients, safe_ratio, units, units_per
+from tradeloom.functions.numeric import pct_change, pct_change_of_quotients, safe_ratio
 from tradeloom.operators.filters import in_period
 from tradeloom.operators.ranking import top_n_per
 from tradeloom.params import Period, QueryParams
@@ -43,13 +43,13 @@ def purchases_by_key(lines: DataFrame, period: Period) -> DataFrame:
     )
     return (
         lines.filter(clock <= F.lit(period.end))
-        .select(BUYER, CLOCK, "amount_cents", "qty_hundredths", F.inline(keys))
+        .select(BUYER, CLOCK, "amount_units", "qty_units", F.inline(keys))
         .groupBy(BUYER, "kind", "key")
         .agg(
-            spent("amount_cents", current).alias("curr_amount"),
-            spent("qty_hundredths", current).alias("curr_qty"),
-            spent("amount_cents", previous).alias("prev_amount"),
-            spent("qty_hundredths", previous).alias("prev_qty"),
+            spent("amount_units", current).alias("curr_amount"),
+            spent("qty_units", current).alias("curr_qty"),
+            spent("amount_units", previous).alias("prev_amount"),
+            spent("qty_units", previous).alias("prev_qty"),
             F.max(in_span).alias("in_span"),
             F.max(current).alias("in_current"),
             F.max(previous).alias("in_previous"),
@@ -101,14 +101,14 @@ def overview(market: Marketplace, params: QueryParams) -> DataFrame:
 
     columns = {
         BUYER: c[BUYER],
-        "current_period_purchases": units(spend[0]),
-        "previous_period_purchases": units(spend[1]),
+        "current_period_purchases": market.units(spend[0]),
+        "previous_period_purchases": market.units(spend[1]),
         "purchase_percentage_change": pct_change(*spend),
-        "current_period_quantity": units(qty[0]),
-        "previous_period_quantity": units(qty[1]),
+        "current_period_quantity": market.units(qty[0]),
+        "previous_period_quantity": market.units(qty[1]),
         "quantity_percentage_change": pct_change(*qty),
-        "avg_purchase_per_supplier_current": units_per(spend[0], suppliers[0]),
-        "avg_purchase_per_supplier_previous": units_per(spend[1], suppliers[1]),
+        "avg_purchase_per_supplier_current": market.units_per(spend[0], suppliers[0]),
+        "avg_purchase_per_supplier_previous": market.units_per(spend[1], suppliers[1]),
         "avg_purchase_per_supplier_percentage_change": pct_change_of_quotients(
             spend[0], suppliers[0], spend[1], suppliers[1]
         ),
@@ -133,15 +133,15 @@ def overview(market: Marketplace, params: QueryParams) -> DataFrame:
 
 def _purchases(market: Marketplace, params: QueryParams, *keys: str) -> DataFrame:
     lines = in_period(market.lines(), CLOCK, params.period)
-    return lines.groupBy(BUYER, *keys).agg(F.sum("amount_cents").alias("total_purchase_amount"))
+    return lines.groupBy(BUYER, *keys).agg(F.sum("amount_units").alias("total_purchase_amount"))
 
 
 def _ranked(purchases: DataFrame, params: QueryParams, key: str) -> DataFrame:
     return top_n_per(purchases, BUYER, "total_purchase_amount", key, params.top_n, RANK)
 
 
-def _ranking_columns(*names: str) -> list[Column]:
-    total = units(F.col("total_purchase_amount")).alias("total_purchase_amount")
+def _ranking_columns(market: Marketplace, *names: str) -> list[Column]:
+    total = market.units(F.col("total_purchase_amount")).alias("total_purchase_amount")
     return [F.col(BUYER), *(F.col(n) for n in names), total, F.col(RANK)]
 
 
@@ -149,14 +149,14 @@ def top_products(market: Marketplace, params: QueryParams) -> DataFrame:
     """A product missing from the catalog keeps its rank and has no name."""
     names = market.vendor_products.select(F.col("id").alias("product_id"), "product_name")
     ranked = _ranked(_purchases(market, params, "product_id"), params, "product_id")
-    return ranked.join(names, "product_id", "left").select(_ranking_columns("product_id", "product_name"))
+    return ranked.join(names, "product_id", "left").select(_ranking_columns(market, "product_id", "product_name"))
 
 
 def top_suppliers(market: Marketplace, params: QueryParams) -> DataFrame:
     names = market.organization.select(F.col("org_id").alias("seller_org_id"), "company_name")
     ranked = _ranked(_purchases(market, params, "seller_org_id"), params, "seller_org_id")
     return ranked.join(names, "seller_org_id", "left").select(
-        _ranking_columns("seller_org_id", "company_name")
+        _ranking_columns(market, "seller_org_id", "company_name")
     )
 
 
@@ -177,4 +177,4 @@ def top_categories(market: Marketplace, params: QueryParams) -> DataFrame:
         .groupBy(BUYER, "category")
         .agg(F.sum("total_purchase_amount").alias("total_purchase_amount"))
     )
-    return _ranked(by_category, params, "category").select(_ranking_columns("category"))
+    return _ranked(by_category, params, "category").select(_ranking_columns(market, "category"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.categories import deepest_category
 from tradeloom.functions.dates import bucket, day_label, month_label, period_label, quarter_label
-from tradeloom.functions.numeric import safe_ratio, units, units_per
+from tradeloom.functions.numeric import safe_ratio
 from tradeloom.operators.filters import keep_categories, keep_channels, with_category_flag
 from tradeloom.operators.ranking import top_n_per
 from tradeloom.operators.shares import with_share
@@ -32,7 +32,7 @@ def sales_lines(market: Marketplace, params: QueryParams) -> DataFrame:
 
 
 def _revenue_and_units(total: str, quantity: str) -> list[Column]:
-    return [F.sum("amount_cents").alias(total), F.sum("qty_hundredths").alias(quantity)]
+    return [F.sum("amount_units").alias(total), F.sum("qty_units").alias(quantity)]
 
 
 def orders_by_buyer(market: Marketplace, params: QueryParams) -> DataFrame:
@@ -45,8 +45,8 @@ def orders_by_buyer(market: Marketplace, params: QueryParams) -> DataFrame:
     lines = _vendor_lines(market.lines().filter(sold | ordered))
     lines = keep_channels(keep_categories(market, lines, params.categories), params.channels)
     return lines.groupBy(VENDOR, "buyer_org_id", "po_id").agg(
-        F.sum(F.when(sold, F.col("amount_cents"))).alias("order_total"),
-        F.sum(F.when(sold, F.col("qty_hundredths"))).alias("order_qty"),
+        F.sum(F.when(sold, F.col("amount_units"))).alias("order_total"),
+        F.sum(F.when(sold, F.col("qty_units"))).alias("order_qty"),
         F.max(sold).alias("sold"),
         F.max(ordered).alias("ordered"),
     )
@@ -80,9 +80,9 @@ def performance_overview(market: Marketplace, params: QueryParams) -> DataFrame:
     rate = safe_ratio(F.col("repeat_buyers") * 100, F.col("total_buyers"))
     return totals.select(
         VENDOR,
-        units(F.col("sales")).alias("total_sales"),
-        units(F.col("units")).alias("units_sold"),
-        units_per(F.col("sales"), F.col("sold_orders")).alias("average_order_value"),
+        market.units(F.col("sales")).alias("total_sales"),
+        market.units(F.col("units")).alias("units_sold"),
+        market.units_per(F.col("sales"), F.col("sold_orders")).alias("average_order_value"),
         "total_buyers",
         "repeat_buyers",
         F.coalesce(rate, F.lit(0.0)).alias("repeat_purchase_rate_pct"),
@@ -101,8 +101,8 @@ def sales_by_bucket(market: Marketplace, params: QueryParams, resolution: str, n
     if params.channels is not None:
         wanted = wanted & F.coalesce(F.col("source").isin(list(params.channels)), F.lit(False))
     return lines.groupBy(VENDOR, bucket(F.col(CLOCK), resolution).alias(name)).agg(
-        F.sum(F.when(wanted, F.col("amount_cents"))).alias("total_sales"),
-        F.sum(F.when(wanted, F.col("qty_hundredths"))).alias("total_units"),
+        F.sum(F.when(wanted, F.col("amount_units"))).alias("total_sales"),
+        F.sum(F.when(wanted, F.col("qty_units"))).alias("total_units"),
         F.count_distinct(F.when(wanted, F.col("po_id"))).alias("order_count"),
     )
 
@@ -121,16 +121,16 @@ def dense_sales(market: Marketplace, params: QueryParams, resolution: str, name:
     return with_previous(dense, VENDOR, name, "total_sales", "previous_sales")
 
 
-def _zero_if_missing(column: Column) -> Column:
-    return F.coalesce(units(column), F.lit(0.0))
+def _zero_if_missing(market: Marketplace, column: Column) -> Column:
+    return F.coalesce(market.units(column), F.lit(0.0))
 
 
-def _trend_columns(previous: str, growth: str) -> list[Column]:
+def _trend_columns(market: Marketplace, previous: str, growth: str) -> list[Column]:
     return [
-        _zero_if_missing(F.col("total_sales")).alias("total_sales"),
-        _zero_if_missing(F.col("total_units")).alias("total_units"),
+        _zero_if_missing(market, F.col("total_sales")).alias("total_sales"),
+        _zero_if_missing(market, F.col("total_units")).alias("total_units"),
         F.coalesce(F.col("order_count"), F.lit(0)).alias("order_count"),
-        _zero_if_missing(F.col("previous_sales")).alias(previous),
+        _zero_if_missing(market, F.col("previous_sales")).alias(previous),
         growth_pct("total_sales", "previous_sales").alias(growth),
     ]
 
@@ -140,7 +140,7 @@ def monthly_trends(market: Marketplace, params: QueryParams) -> DataFrame:
     return dense.select(
         VENDOR,
         month_label(F.col("month_start")).alias("month"),
-        *_trend_columns("prev_month_sales", "mom_growth_rate_pct"),
+        *_trend_columns(market, "prev_month_sales", "mom_growth_rate_pct"),
     )
 
 
@@ -150,7 +150,7 @@ def quarterly_trends(market: Marketplace, params: QueryParams) -> DataFrame:
         VENDOR,
         quarter_label(F.col("quarter_start")).alias("quarter"),
         "quarter_start",
-        *_trend_columns("prev_quarter_sales", "qoq_growth_rate_pct"),
+        *_trend_columns(market, "prev_quarter_sales", "qoq_growth_rate_pct"),
     )
 
 
@@ -176,8 +176,8 @@ def product_line_breakdown(market: Marketplace, params: QueryParams) -> DataFram
     return with_share(by_category, VENDOR, "revenue", "revenue_contribution_pct").select(
         VENDOR,
         "product_line",
-        units(F.col("revenue")).alias("total_revenue"),
-        units(F.col("units")).alias("total_units"),
+        market.units(F.col("revenue")).alias("total_revenue"),
+        market.units(F.col("units")).alias("total_units"),
         "transaction_count",
         "revenue_contribution_pct",
     )
@@ -200,10 +200,10 @@ def sales_time_series(market: Marketplace, params: QueryParams) -> DataFrame:
         VENDOR,
         period_label(F.col("date_period"), resolution).alias("period_label"),
         "date_period",
-        units(F.col("sales")).alias("total_sales"),
-        units(F.col("units")).alias("total_units"),
+        market.units(F.col("sales")).alias("total_sales"),
+        market.units(F.col("units")).alias("total_units"),
         "order_count",
-        units_per(F.col("sales"), F.col("order_count")).alias("avg_order_value"),
+        market.units_per(F.col("sales"), F.col("order_count")).alias("avg_order_value"),
     )
 
 
@@ -228,8 +228,8 @@ def top_selling_products(market: Marketplace, params: QueryParams) -> DataFrame:
         VENDOR,
         "product_name",
         "category",
-        units(F.col("revenue")).alias("total_revenue"),
-        units(F.col("units")).alias("total_units"),
+        market.units(F.col("revenue")).alias("total_revenue"),
+        market.units(F.col("units")).alias("total_units"),
         "order_count",
         "line_item_count",
         safe_ratio(F.col("revenue"), F.col("units")).alias("avg_price_per_unit"),
@@ -262,8 +262,8 @@ def regional_distribution(market: Marketplace, params: QueryParams) -> DataFrame
     return with_share(by_city, VENDOR, "revenue", "revenue_contribution_pct").select(
         VENDOR,
         F.coalesce("city", F.lit(UNKNOWN)).alias("region"),
-        units(F.col("revenue")).alias("total_revenue"),
-        units(F.col("units")).alias("total_units"),
+        market.units(F.col("revenue")).alias("total_revenue"),
+        market.units(F.col("units")).alias("total_units"),
         "order_count",
         "revenue_contribution_pct",
     )
@@ -279,8 +279,8 @@ def order_analysis(market: Marketplace, params: QueryParams) -> DataFrame:
     return orders.select(
         VENDOR,
         "po_id",
-        units(F.col("value")).alias("order_value"),
-        units(F.col("units")).alias("quantity"),
+        market.units(F.col("value")).alias("order_value"),
+        market.units(F.col("units")).alias("quantity"),
         F.coalesce("source", F.lit(UNKNOWN)).alias("sales_channel"),
         day_label(F.col("po_created_date")).alias("order_date"),
         safe_ratio(F.col("value"), F.col("units")).alias("avg_price_per_unit"),

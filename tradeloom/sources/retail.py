@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.functions.numeric import hundredths
+from tradeloom.functions.numeric import whole
 from tradeloom.sources.tables import Marketplace
 
-# Room for a thousand million suppliers; beyond, the id raises on overflow.
-SUPPLIER_RANGE = 1_000_000_000
+# Prices and quantities of the retail tables have two decimals.
+SCALE = 2
 
 # The columns read of each retail table. Stated, they spare a look into the files.
 SCHEMAS = {
@@ -30,7 +30,8 @@ SCHEMAS = {
 
 
 def _po_id() -> Column:
-    return F.col("l_orderkey") * F.lit(SUPPLIER_RANGE) + F.col("l_suppkey")
+    """Text, so that no key is too large for it."""
+    return F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_suppkey").cast("string"))
 
 
 def _null_if(condition: Column, value: Column) -> Column:
@@ -52,8 +53,8 @@ def _item_columns() -> dict[str, Column]:
     return {
         "po_id": _po_id(),
         "product_id": F.col("l_partkey"),
-        "qty_hundredths": hundredths(F.col("l_quantity"), "double"),
-        "amount_cents": _null_if(F.col("l_partkey") % 101 == 0, hundredths(F.col("l_extendedprice"), "double")),
+        "qty_units": whole(F.col("l_quantity"), "double", SCALE),
+        "amount_units": _null_if(F.col("l_partkey") % 101 == 0, whole(F.col("l_extendedprice"), "double", SCALE)),
         "created_date": F.col("l_shipdate"),
         "updated_date": F.date_add(F.col("l_shipdate").cast("date"), F.col("l_linenumber")),
     }
@@ -122,4 +123,5 @@ def load(spark: SparkSession, folder: str) -> Marketplace:
         # Every line belongs to exactly one of the orders above, so one join gives the lines.
         lines=lambda: sales().select(_named(_item_columns() | _order_columns())),
         origin=folder,
+        scale=SCALE,
     )

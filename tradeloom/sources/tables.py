@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import cached_property, partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.functions.categories import deepest_category
-from tradeloom.functions.numeric import hundredths
+from tradeloom.functions.numeric import decimals_of, units, units_per, whole
 
 TABLES = ("po_items", "po_details", "vendor_products", "user_address", "organization")
 
@@ -18,7 +18,7 @@ class Marketplace:
     """The source tables, each built when it is first asked for.
 
     `lines` may give the items already joined with their orders; else they are joined here. `origin`
-    tells where the tables come from.
+    tells where the tables come from. Quantities and amounts are whole numbers of 10**-scale.
     """
 
     def __init__(
@@ -27,9 +27,11 @@ class Marketplace:
         tables: Mapping[str, Callable[[], DataFrame]],
         lines: Callable[[], DataFrame] | None = None,
         origin: str | None = None,
+        scale: int = 2,
     ):
         self.spark = spark
         self.origin = origin
+        self.scale = scale
         self._tables = tables
         self._lines = lines
 
@@ -63,7 +65,14 @@ class Marketplace:
         )
 
     def with_lines(self, lines: DataFrame) -> Marketplace:
-        return Marketplace(self.spark, self._tables, lambda: lines, self.origin)
+        return Marketplace(self.spark, self._tables, lambda: lines, self.origin, self.scale)
+
+    def units(self, total: Column) -> Column:
+        """A sum of amounts or quantities as a double with two decimals."""
+        return units(total, self.scale)
+
+    def units_per(self, total: Column, count: Column) -> Column:
+        return units_per(total, count, self.scale)
 
 
 def join_items_orders(po_items: DataFrame, po_details: DataFrame) -> DataFrame:
@@ -78,24 +87,36 @@ def join_items_orders(po_items: DataFrame, po_details: DataFrame) -> DataFrame:
     return po_items.join(orders, "po_id")
 
 
-def with_amounts(po_items: DataFrame) -> DataFrame:
-    """Quantity and amount of each item as whole hundredths."""
+def scale_of(po_items: DataFrame) -> int:
+    """The scale at which quantities and amounts of these types are exact."""
+    kinds = dict(po_items.dtypes)
+    held = [decimals_of(kinds[c]) for c in ("qty", "total_amount")]
+    if None in held:
+        raise ValueError("quantities or amounts are floating point: state the scale to sum them at")
+    return max(held)
+
+
+def with_amounts(po_items: DataFrame, scale: int) -> DataFrame:
+    """Quantity and amount of each item as whole numbers of 10**-scale."""
     kinds = dict(po_items.dtypes)
     return po_items.withColumns(
         {
-            "qty_hundredths": hundredths(F.col("qty"), kinds["qty"]),
-            "amount_cents": hundredths(F.col("total_amount"), kinds["total_amount"]),
+            "qty_units": whole(F.col("qty"), kinds["qty"], scale),
+            "amount_units": whole(F.col("total_amount"), kinds["total_amount"], scale),
         }
     ).drop("qty", "total_amount")
 
 
-def read_parquet(spark: SparkSession, folder: str) -> Marketplace:
-    """Tables stored as `<folder>/<table>`; amounts become whole hundredths as they are read."""
+def read_parquet(spark: SparkSession, folder: str, scale: int | None = None) -> Marketplace:
+    """Tables stored as `<folder>/<table>`. Decimal amounts keep their own scale; for floating-point ones the
+    scale must be stated."""
+    scale = scale_of(spark.read.parquet(f"{folder}/po_items")) if scale is None else scale
+
     def read(table: str) -> DataFrame:
         rows = spark.read.parquet(f"{folder}/{table}")
-        return with_amounts(rows) if table == "po_items" else rows
+        return with_amounts(rows, scale) if table == "po_items" else rows
 
-    return Marketplace(spark, {table: partial(read, table) for table in TABLES})
+    return Marketplace(spark, {table: partial(read, table) for table in TABLES}, origin=folder, scale=scale)
 
 
 # The column by which each table is read in parallel.
@@ -125,12 +146,14 @@ def read_jdbc(
     spark: SparkSession,
     url: str,
     partitions: int = 64,
+    scale: int = 6,
     table_names: dict[str, str] | None = None,
     **login: str,
 ) -> Marketplace:
     """Tables of a live relational database; filters and column choice are pushed to it.
 
-    `table_names` maps our table names to those of the database where they differ.
+    `table_names` maps our table names to those of the database where they differ. `scale` is that of the
+    sums of quantities and amounts, as a database's numeric columns need not state one.
     """
 
     def read(table: str) -> DataFrame:
@@ -146,6 +169,6 @@ def read_jdbc(
         low, high = (int(v) if v is not None else 0 for v in (bounds[0], bounds[1]))
         options = {**jdbc_options(url, table, low, high + 1, partitions), "dbtable": name}
         rows = spark.read.format("jdbc").options(**options, **login).load()
-        return with_amounts(rows) if table == "po_items" else rows
+        return with_amounts(rows, scale) if table == "po_items" else rows
 
-    return Marketplace(spark, {table: partial(read, table) for table in TABLES})
+    return Marketplace(spark, {table: partial(read, table) for table in TABLES}, scale=scale)
