@@ -103,25 +103,23 @@ def test_empty_overview_keeps_the_old_history_and_is_logged(spark, store):
 def test_documents_hold_all_rows_in_bounded_parts(spark, tmp_path):
     m = sample(spark, vendors=1)
     params = QueryParams(QUARTER, 3)
-    runs.write_rows(m, "seller", params, f"{tmp_path}/rows")
+    runs.write_rows(m, "seller", params, str(tmp_path))
     stored = spark.read.parquet(f"{tmp_path}/rows")
     ids = entities.active_entities(m, "seller", QUARTER)
     docs = entities.documents(ids, stored, "seller", params, NOW, rows_per_part=5).cache()
     orders = docs.filter("query = 'order_analysis'").collect()
-    assert len(orders) > 1 and {d.result_count for d in orders} == {27}
-    assert sorted(json.loads(r)["po_id"] for d in orders for r in d.data) == [
-        po for po in range(30) if po % 10 != 9
-    ]
-    for doc in orders:
-        values = [json.loads(r)["order_value"] for r in doc.data]
-        assert values == sorted(values, reverse=True)
+    assert len(orders) == 6 and {(d.result_count, d.parts) for d in orders} == {(27, 6)}
+    in_sequence = [r.toPython() for d in sorted(orders, key=lambda d: d.part) for r in d.data]
+    assert sorted(r["po_id"] for r in in_sequence) == [po for po in range(30) if po % 10 != 9]
+    values = [float(r["order_value"]) for r in in_sequence]
+    assert values == sorted(values, reverse=True)
     failed = docs.filter("query = 'sales_time_series'").collect()
     assert [(d.error, d.result_count, d.data) for d in failed] == [("missing parameter: time_resolution", 0, [])]
 
 
 def test_entity_without_rows_has_an_empty_part_for_each_query(spark, tmp_path):
     m = sample(spark)
-    runs.write_rows(m, "buyer", PARAMS["buyer"], f"{tmp_path}/rows")
+    runs.write_rows(m, "buyer", PARAMS["buyer"], str(tmp_path))
     ids = spark.createDataFrame([(99,)], "entity_id bigint")
     docs = entities.documents(ids, spark.read.parquet(f"{tmp_path}/rows"), "buyer", PARAMS["buyer"], NOW)
     assert rows(docs, "query", "result_count", "data") == [
@@ -151,26 +149,63 @@ def test_run_writes_dashboards_and_insights(spark, store):
     assert sum(doc.comparison_types) == 6
 
     some = runs.run_entities(store, m, "buyer", current, NOW, entity_ids=[2, 99])
-    assert rows(some) == [(2, "success", 6)]
+    assert rows(some) == [(2, "success", 6), (99, "error", 0)]
+    again = runs.run_entities(store, m, "buyer", current, NOW, entity_ids=spark.createDataFrame([(2,)], "id long"))
+    assert rows(again) == [(2, "success", 6)]
     first = runs.run_entities(store, m, "buyer", current, datetime(2024, 4, 1), limit=2)
     assert rows(first, "entity_id") == [(0,), (1,)]
 
 
-def test_broken_insight_files_are_skipped(spark, store, tmp_path):
+def test_broken_lines_are_told_in_insights_and_fail_in_dashboards(spark, store, tmp_path):
     m = sample(spark)
     store.sync(m, PARAMS, NOW)
     runs.run_entities(store, m, "seller", QueryParams(QUARTER, 3), NOW).collect()
-    (tmp_path / "insights" / "entity_type=seller" / "broken.json").write_text('{"entity_id": 5, "insi')
+    for table in ("insights", "dashboards"):
+        (run,) = (tmp_path / table / "entity_type=seller").glob("run=*")
+        (run / "broken.json").write_text('{"entity_id": 5, "insi')
     assert rows(store.insights(), "entity_id") == [(0,), (1,), (2,)]
+    assert rows(store.skipped_insights(), "entity_type", "broken") == [("seller", '{"entity_id": 5, "insi')]
+    with pytest.raises(Exception, match="MALFORMED"):
+        store.dashboards().collect()
+
 
+def test_a_repeated_run_replaces_its_documents(spark, store):
+    m = sample(spark)
+    store.sync(m, PARAMS, NOW)
+    for _ in range(2):
+        status = runs.run_entities(store, store.lines(m), "seller", QueryParams(QUARTER, 3), NOW)
+        assert rows(status) == [(v, "success", 6) for v in range(3)]
+        assert store.insights().count() == 3
+        assert store.dashboards().groupBy("entity_id", "query", "part").count().filter("count > 1").isEmpty()
+    assert store.insights().first().dashboard_run == store.dashboards().first().run
 
-def test_batches_are_limited(spark):
+
+def test_a_failing_sync_replaces_nothing(spark, store, monkeypatch):
+    m = sample(spark)
+    store.sync(m, PARAMS, NOW)
+    before = rows(store.history("seller"), "query", "row"), rows(store.benchmarks("seller"))
+    monkeypatch.setattr("tradeloom.plans.store.platform_benchmarks", lambda *_: 1 / 0)
+    assert store.sync(sample(spark, 3.0), {"seller": PARAMS["seller"]}, NOW) == {"seller": 0}
+    assert (rows(store.history("seller"), "query", "row"), rows(store.benchmarks("seller"))) == before
+
+
+def test_history_reads_prune_to_their_query(spark, store):
+    store.sync(sample(spark), PARAMS, NOW)
+    one = store.history("seller", "order_analysis")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "query" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert one.select("query").distinct().count() == 1 and one.first().created_at == NOW
+
+
+def test_batches_may_be_of_any_size(spark):
     ids = spark.createDataFrame([(1,), (1,), (4,)], "entity_id bigint")
     got = entities.select_batch(spark, [1, 2], ids)
     assert rows(got) == [(1, "success"), (2, "error")]
     assert rows(entities.batch_summary(got)) == [(2, 1, 1)]
-    with pytest.raises(ValueError):
-        entities.select_batch(spark, range(51), ids)
+    assert entities.select_batch(spark, range(200), ids).count() == 200
+    assert rows(entities.select_batch(spark, spark.createDataFrame([(4,), (9,)], "id long"), ids)) == [
+        (4, "success"), (9, "error"),
+    ]
 
 
 def test_shared_folder_follows_the_session(spark):

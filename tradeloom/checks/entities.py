@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import uuid
+from datetime import date, datetime
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tradeloom.checks.analytics import buyer_overview_ctes, seller_overview_ctes
 from tradeloom.checks.base import LATER_HALF, WHOLE, money, ratio, register, with_tables, within
-from tradeloom.params import Period, QueryParams
+from tradeloom.params import Period, QueryParams, dashboard_params, history_params
 from tradeloom.plans import runs
 from tradeloom.plans.benchmarks import platform_benchmarks
 from tradeloom.plans.entities import (
     active_entities,
     batch_summary,
     documents,
+    entity_lines,
     first_entities,
     select_batch,
 )
-from tradeloom.plans.registry import plan_of
+from tradeloom.plans.registry import plan_of, run_query
 from tradeloom.plans.store import Store
 from tradeloom.session import shared_folder
 
@@ -55,26 +58,35 @@ def history_ctes() -> dict[str, str]:
 
 
 def _store(market, name: str) -> Store:
-    """A store of its own for each query that writes."""
-    session = market.spark.sparkContext.applicationId
-    return Store(market.spark, f"{shared_folder(market.spark)}/tradeloom/{session}/{name}")
+    """A store of its own for each call that writes."""
+    return Store(market.spark, f"{shared_folder(market.spark)}/tradeloom/{name}-{uuid.uuid4().hex}")
+
+
+def _filled(market, name: str, **params: QueryParams) -> Store:
+    store = _store(market, name)
+    if 0 in store.sync(market, params, NOW).values():
+        raise RuntimeError(f"sync failed: {store.latest_sync().first()}")
+    return store
 
 
 _synced: dict[tuple[str, str], Store] = {}
 
 
-def synced_store(market, again: bool = False) -> Store:
-    """The store that one sync per session and table folder fills, as later jobs find it."""
+def synced_store(market) -> Store:
+    """The store that one sync per session and table folder fills; queries that share it only read."""
     key = (market.spark.sparkContext.applicationId, market.origin)
-    if key not in _synced or again:
-        store = _synced.get(key) or _store(market, f"synced_{len(_synced)}")
-        counts = store.sync(market, HISTORY, NOW)
-        if 0 in counts.values():
-            raise RuntimeError(f"sync failed: {store.log().collect()}")
-        _synced[key] = store
+    if key not in _synced:
+        _synced[key] = _filled(market, "synced", **HISTORY)
     return _synced[key]
 
 
+def positions(ordered, *keys: str):
+    """Adds `position`, the place of each row among those of its keys as an ordered frame holds them."""
+    numbered = ordered.withColumn("_at", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("_at")) - 1
+    return numbered.withColumn("position", place.cast("bigint")).drop("_at")
+
+
 # Active entities
 
 
@@ -107,7 +119,7 @@ def _(market):
 
 
 # The entities asked for in a batch; some of them have no lines.
-BATCH = tuple(range(60, 110))
+BATCH = tuple(range(60, 260))
 
 
 @register(
@@ -219,13 +231,105 @@ for _type in ("buyer", "seller"):
 
     @register(f"dashboard_documents_{_type}", document_sql(_type))
     def _(market, kind=_type):
-        store = _store(market, f"dashboards_{kind}")
-        path = f"{store.root}/rows"
-        runs.write_rows(market, kind, CURRENT[kind], path)
-        rows = market.spark.read.parquet(path)
-        ids = active_entities(market, kind, LATER_HALF)
-        # Small parts, so that larger entities have several.
-        return _document_summary(documents(ids, rows, kind, CURRENT[kind], NOW, rows_per_part=100))
+        return _document_summary(_dashboards(market, kind))
+
+
+PER_PART = 100
+
+
+def _dashboards(market, kind: str):
+    """Documents of small parts, so that larger entities have several."""
+    root = _store(market, f"dashboards_{kind}").root
+    runs.write_rows(market, kind, CURRENT[kind], root)
+    rows = market.spark.read.parquet(f"{root}/rows")
+    ids = active_entities(market, kind, LATER_HALF)
+    return documents(ids, rows, kind, CURRENT[kind], NOW, rows_per_part=PER_PART)
+
+
+ORDERED_VALUES = f"""
+    SELECT seller_org_id AS entity_id, CAST(row_number() OVER (
+             PARTITION BY seller_org_id ORDER BY sum(total_amount) DESC NULLS FIRST) - 1 AS BIGINT) AS position,
+           {money('sum(total_amount)')} AS value
+    FROM lines WHERE {within('created_date', LATER_HALF)} GROUP BY seller_org_id, po_id"""
+
+
+@register(
+    "document_rows",
+    with_tables(
+        f"""
+        SELECT 'order_analysis' AS query, entity_id, position, '' AS name, value FROM ({ORDERED_VALUES})
+        WHERE entity_id IS NOT NULL
+        UNION ALL
+        SELECT 'top_suppliers', buyer_org_id, CAST(rank - 1 AS BIGINT), coalesce(company_name, ''),
+               {money('total')} FROM (
+          SELECT buyer_org_id, seller_org_id, sum(total_amount) AS total,
+                 row_number() OVER (PARTITION BY buyer_org_id
+                                    ORDER BY sum(total_amount) DESC NULLS FIRST, seller_org_id NULLS LAST) AS rank
+          FROM lines WHERE {within('updated_date', LATER_HALF)} GROUP BY ALL)
+        LEFT JOIN organization ON org_id = seller_org_id
+        WHERE rank <= {CURRENT['buyer'].top_n} AND buyer_org_id IS NOT NULL"""
+    ),
+)
+def _(market):
+    """What the documents' rows hold, and where: over all parts in sequence."""
+
+    def held(kind, query, name, value):
+        docs = _dashboards(market, kind).filter(F.col("query") == query)
+        rows = docs.select("entity_id", "part", F.posexplode("data").alias("place", "row"))
+        text = F.coalesce(F.variant_get("row", f"$.{name}", "string"), F.lit("")) if name else F.lit("")
+        return rows.select(
+            F.lit(query).alias("query"),
+            "entity_id",
+            (F.col("part").cast("bigint") * PER_PART + F.col("place")).alias("position"),
+            text.alias("name"),
+            F.variant_get("row", f"$.{value}", "double").alias("value"),
+        )
+
+    orders = held("seller", "order_analysis", None, "order_value")
+    return orders.unionByName(held("buyer", "top_suppliers", "company_name", "total_purchase_amount"))
+
+
+@register("presentation_order", with_tables(ORDERED_VALUES))
+def _(market):
+    ordered = run_query(market, "seller", "order_analysis", CURRENT["seller"], ordered=True)
+    placed = positions(ordered, "vendor_id")
+    return placed.select(F.col("vendor_id").alias("entity_id"), "position", F.col("order_value").alias("value"))
+
+
+TODAY = date(2001, 12, 31)
+# Days back and rank limits of the two kinds of window.
+WINDOWS = (("dashboard", 90, {"buyer": 10, "seller": 20}), ("history", 365, {"buyer": 20, "seller": 30}))
+
+
+@register(
+    "default_windows",
+    with_tables(
+        " UNION ALL ".join(
+            f"""SELECT '{use}' AS used_for, '{kind}' AS entity_type, {n} AS top_n, count(*) AS lines_read
+                FROM lines WHERE {ID[kind]} IS NOT NULL
+                 AND CAST({CLOCK[kind]} AS DATE) BETWEEN DATE '{TODAY}' - {days} AND DATE '{TODAY}'"""
+            for use, days, limits in WINDOWS
+            for kind, n in limits.items()
+        )
+    ),
+)
+def _(market):
+    parts = []
+    for use, build in (("dashboard", dashboard_params), ("history", history_params)):
+        for kind in ID:
+            params = build(kind, TODAY)
+            parts.append(
+                entity_lines(market, kind, params.period).agg(
+                    F.lit(use).alias("used_for"),
+                    F.lit(kind).alias("entity_type"),
+                    F.lit(params.top_n).alias("top_n"),
+                    F.count("*").alias("lines_read"),
+                )
+            )
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
 
 
 @register(
@@ -237,15 +341,15 @@ for _type in ("buyer", "seller"):
     ),
 )
 def _(market):
+    """Through the store's own sink, twice: a repeated run replaces its documents."""
     store = _store(market, "dashboard_docs")
-    path = f"{store.root}/rows"
-    runs.write_rows(market, "buyer", CURRENT["buyer"], path)
-    rows = market.spark.read.parquet(path)
+    runs.write_rows(market, "buyer", CURRENT["buyer"], store.root)
+    rows = market.spark.read.parquet(f"{store.root}/rows")
     ids = active_entities(market, "buyer", LATER_HALF)
-    docs = documents(ids, rows, "buyer", CURRENT["buyer"], NOW)
-    docs.write.mode("overwrite").partitionBy("entity_type").json(f"{store.root}/dashboards")
+    for _ in range(2):
+        store.write_dashboards(documents(ids, rows, "buyer", CURRENT["buyer"], NOW), "buyer", "run")
     return (
-        store.dashboards()
+        store.dashboards("run")
         .groupBy("entity_type", "query")
         .agg(F.count("*").alias("documents"), F.sum(F.size("data")).alias("rows_held"))
     )
@@ -320,7 +424,7 @@ def _(market):
     ),
 )
 def _(market):
-    store = synced_store(market, again=True)
+    store = _filled(market, "history", **HISTORY)
 
     def held(kind):
         plan = plan_of(kind)
@@ -438,10 +542,14 @@ def _(market):
 def _(market):
     store = synced_store(market)
     counts = [
-        store.entities(kind).agg(F.lit(kind).alias("entity_type"), F.count("*").alias("entities"))
+        store.entities(kind).agg(
+            F.lit(kind).alias("entity_type"),
+            F.count("*").alias("entities"),
+            F.lit(store.history_exists(kind)).alias("present"),
+        )
         for kind in HISTORY
     ]
-    return counts[0].unionByName(counts[1]).withColumn("present", F.col("entities") > 0)
+    return counts[0].unionByName(counts[1])
 
 
 @register(

@@ -67,7 +67,6 @@ DASHBOARD_TOP_N = {"buyer": 10, "seller": 20}
 HISTORY_TOP_N = {"buyer": 20, "seller": 30}
 HISTORY_TIME_RESOLUTION = {"buyer": None, "seller": "month"}
 ENTITY_TYPES = ("buyer", "seller")
-MAX_BATCH = 50
 
 # Priority thresholds in percent, insight counts and validation limits.
 HIGH_SELF, HIGH_BENCHMARK = 30, 50

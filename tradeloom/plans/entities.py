@@ -6,11 +6,11 @@ from collections.abc import Callable, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeloom.operators.filters import entity_slice, in_period
-from tradeloom.params import MAX_BATCH, Period, QueryParams
+from tradeloom.params import Period, QueryParams
 from tradeloom.plans import buyer
 from tradeloom.plans.registry import NamedQuery, plan_of
 from tradeloom.sources.staging import lines_created_in
@@ -45,23 +45,40 @@ def first_entities(ids: DataFrame, limit: int) -> DataFrame:
     return ids.orderBy("entity_id").limit(limit)
 
 
-def of_entities(market: Marketplace, entity_type: str, ids: Sequence[int]) -> Marketplace:
+Ids = Sequence[int] | DataFrame
+
+
+def as_ids(spark: SparkSession, ids: Ids) -> DataFrame:
+    """Distinct asked-for ids as one column, entity_id."""
+    if isinstance(ids, DataFrame):
+        return ids.select(F.col(ids.columns[0]).cast("bigint").alias("entity_id")).distinct()
+    return spark.createDataFrame([(int(i),) for i in dict.fromkeys(ids)], "entity_id bigint")
+
+
+def of_entities(market: Marketplace, entity_type: str, ids: Ids) -> Marketplace:
     """The marketplace as these entities see it.
 
-    Every query treats its entities apart, so their lines can be picked before anything is summed.
+    Every query treats its entities apart, so their lines can be picked before anything is summed. Ids that
+    are listed become a filter of the scan; ids in a frame may be any number and are joined.
     """
     column = "buyer_org_id" if entity_type == "buyer" else "seller_org_id"
-    return market.with_lines(entity_slice(market.lines(), column, ids))
+    if not isinstance(ids, DataFrame):
+        return market.with_lines(entity_slice(market.lines(), column, ids))
+    asked = as_ids(market.spark, ids).withColumnRenamed("entity_id", column)
+    return market.with_lines(market.lines().join(asked, column, "left_semi"))
 
 
-def query_rows(market: Marketplace, entity_type: str, params: QueryParams) -> DataFrame:
+def query_rows(
+    market: Marketplace, entity_type: str, params: QueryParams, overview: DataFrame | None = None
+) -> DataFrame:
     """The rows of all queries in one long table: entity_id, query, position, row as JSON.
 
-    A query that lacks a parameter gives no rows; `documents` reports its error.
+    A query that lacks a parameter gives no rows; `documents` reports its error. An overview that is already
+    written need not be computed again.
     """
     plan = plan_of(entity_type)
     parts = [
-        query.build(market, params).select(
+        (query.build(market, params) if query is not plan.overview or overview is None else overview).select(
             F.col(plan.id_column).alias("entity_id"),
             F.lit(query.name).alias("query"),
             query.position().alias("position"),
@@ -73,6 +90,13 @@ def query_rows(market: Marketplace, entity_type: str, params: QueryParams) -> Da
     return reduce(DataFrame.unionByName, parts)
 
 
+def in_order(rows: DataFrame) -> DataFrame:
+    """The rows range-partitioned in the order of entity, query and position, with the number of their partition in
+    `chunk`. Written so, they can be numbered without any task holding all rows of an entity."""
+    ordered = rows.repartitionByRange("entity_id", "query", "position", "row")
+    return ordered.sortWithinPartitions("entity_id", "query", "position", "row").withColumn("chunk", F.spark_partition_id())
+
+
 def documents(
     ids: DataFrame,
     rows: DataFrame,
@@ -83,35 +107,31 @@ def documents(
 ) -> DataFrame:
     """The documents of the given entities, one or more parts per entity and query.
 
-    A query without rows for an entity has one empty part. A vendor's orders are unbounded, so an
-    entity's rows are spread by hash over as many parts as keep each near `rows_per_part`; `part`
-    and `parts` number them and no task ever holds all rows of one entity. Rows within a part keep
-    the query's order. `rows` is read twice: pass a written table.
+    A query without rows for an entity has one empty part. A vendor's orders are unbounded, so an entity's rows
+    are cut into parts of `rows_per_part` in the query's order: part 0 holds its first rows, and all parts in
+    sequence are the query's result. `part` and `parts` number them. `rows` is a written table made by
+    `in_order` and read twice.
     """
     plan = plan_of(entity_type)
     queries = F.array(*(F.lit(q.name) for q in plan.queries))
     wanted = rows.join(ids.select("entity_id"), "entity_id", "left_semi")
-    counts = wanted.groupBy(KEY).agg(F.count("*").alias("result_count"))
-    large = counts.filter(F.col("result_count") > rows_per_part).withColumn(
-        "parts", F.ceil(F.col("result_count") / rows_per_part)
-    )
-    part = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("row"), F.col("parts"))).otherwise(0)
-    # Only the many rows are on the left of these joins, the side that a hot key is split on.
+    chunks = wanted.groupBy(*KEY, "chunk").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy(*KEY).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = chunks.select(*KEY, "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    counts = chunks.groupBy(*KEY).agg(F.sum("n").alias("result_count"))
+    own = F.row_number().over(Window.partitionBy(*KEY, "chunk").orderBy("position", "row"))
+    numbered = wanted.withColumn("own", own).join(before, [*KEY, "chunk"])
+    part = F.floor((F.col("before") + F.col("own") - 1) / rows_per_part).cast("int")
     filled = (
-        wanted.join(large, KEY, "left")
-        .groupBy(*KEY, part.cast("int").alias("part"))
-        .agg(
-            F.sort_array(F.collect_list(F.struct("position", "row"))).alias("ordered"),
-            F.first("parts").alias("parts"),
-            F.first("result_count").alias("result_count"),
-        )
+        numbered.groupBy(*KEY, part.alias("part"))
+        .agg(F.sort_array(F.collect_list(F.struct("position", "row"))).alias("ordered"))
+        .join(counts, KEY)
         .select(
             *KEY,
             "part",
-            F.coalesce("parts", F.lit(1)).cast("int").alias("parts"),
-            # An entity that is not large has all its rows in one part.
-            F.coalesce("result_count", F.size("ordered")).cast("bigint").alias("result_count"),
-            F.transform("ordered", lambda r: r["row"]).alias("data"),
+            F.ceil(F.col("result_count") / rows_per_part).cast("int").alias("parts"),
+            "result_count",
+            F.transform("ordered", lambda r: F.parse_json(r["row"])).alias("data"),
         )
     )
     empty = (
@@ -122,7 +142,7 @@ def documents(
             F.lit(0).alias("part"),
             F.lit(1).alias("parts"),
             F.lit(0).cast("bigint").alias("result_count"),
-            F.array().cast("array<string>").alias("data"),
+            F.array().cast("array<variant>").alias("data"),
         )
     )
 
@@ -151,23 +171,11 @@ def documents(
     )
 
 
-def overview_rows(rows: DataFrame, entity_type: str, schema: str) -> DataFrame:
-    """The overview query's rows out of the long table, with the wanted columns typed again."""
-    plan = plan_of(entity_type)
-    return rows.filter(F.col("query") == plan.overview.name).select(
-        F.col("entity_id").alias(plan.id_column), F.from_json("row", schema).alias("o")
-    ).select(plan.id_column, "o.*")
-
-
-def select_batch(spark: SparkSession, entity_ids: Sequence[int], available: DataFrame) -> DataFrame:
-    """Requested entities with a status each; `available` has one row per entity with a result."""
-    if len(entity_ids) > MAX_BATCH:
-        raise ValueError(f"at most {MAX_BATCH} entities per batch")
-    requested = spark.createDataFrame([(int(i),) for i in entity_ids], "entity_id bigint")
-    found = available.select("entity_id", F.lit(True).alias("found"))
-    # The request is the small side, at most MAX_BATCH rows.
-    matched = found.join(F.broadcast(requested), "entity_id", "left_semi").distinct()
-    return requested.join(matched, "entity_id", "left").select(
+def select_batch(spark: SparkSession, entity_ids: Ids, available: DataFrame) -> DataFrame:
+    """Every requested entity with a status; `available` has the entities with a result."""
+    requested = as_ids(spark, entity_ids)
+    found = available.select("entity_id").distinct().withColumn("found", F.lit(True))
+    return requested.join(found, "entity_id", "left").select(
         "entity_id", F.when(F.col("found"), "success").otherwise("error").alias("status")
     )
 

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.params import MAX_BATCH, QueryParams
+from tradeloom.params import QueryParams
 from tradeloom.plans import insights
 from tradeloom.plans.entities import (
+    Ids,
     active_entities,
+    as_ids,
     documents,
     first_entities,
+    in_order,
     of_entities,
-    overview_rows,
     query_rows,
 )
 from tradeloom.plans.registry import plan_of
@@ -25,8 +27,12 @@ from tradeloom.sources.tables import Marketplace
 
 
 def write_rows(market: Marketplace, entity_type: str, params: QueryParams, path: str) -> None:
-    """The rows of all queries as a table, which later steps read more than once."""
-    query_rows(market, entity_type, params).write.mode("overwrite").parquet(path)
+    """Below the path, the overview with its own columns, and the rows of all queries in order; later steps read
+    both more than once."""
+    plan = plan_of(entity_type)
+    plan.overview.build(market, params).write.mode("overwrite").parquet(f"{path}/overview")
+    overview = market.spark.read.parquet(f"{path}/overview")
+    in_order(query_rows(market, entity_type, params, overview)).write.mode("overwrite").parquet(f"{path}/rows")
 
 
 def entity_insights(
@@ -43,8 +49,11 @@ def entity_insights(
     return insights.insight_records(insights.top_insights(found))
 
 
-def history_metrics_schema(entity_type: str) -> str:
-    return ", ".join(f"{m.column} double" for m in insights.METRICS[entity_type])
+def run_name(now: datetime, entity_ids: Ids | None, limit: int | None) -> str:
+    """The same request at the same time has the same name, so a repeated run replaces its own documents."""
+    asked = "all" if entity_ids is None else "frame" if isinstance(entity_ids, DataFrame) else sorted(set(entity_ids))
+    digest = hashlib.sha256(repr((asked, limit)).encode()).hexdigest()[:8]
+    return f"{now:%Y%m%d_%H%M%S}_{digest}"
 
 
 def run_entities(
@@ -53,46 +62,43 @@ def run_entities(
     entity_type: str,
     params: QueryParams,
     now: datetime,
-    entity_ids: Sequence[int] | None = None,
+    entity_ids: Ids | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """Write dashboards and insights of all active, or the given, entities; a status row for each.
+    """Write dashboards and insights of all active, or the given, entities; a status row for each, also for a given
+    one that has no lines in the period.
 
-    Needs the history of the type. Every query runs once for all entities, on lines that are joined
-    and written once; for given entities only their own lines are read.
+    Needs the history of the type. Every query runs once for all entities, on lines that are joined and
+    written once (pass `store.lines(market)` to use those of the last sync); for given entities only their
+    own lines are read. Ids may be a list or a frame of any size.
     """
     now = now.replace(microsecond=0)  # documents keep no finer time
     if not store.history_exists(entity_type):
         raise LookupError(f"no {entity_type} history; sync first")
+    run = run_name(now, entity_ids, limit)
+    path = f"{store.root}/runs/{entity_type}/{run}"
     if entity_ids is not None:
-        if len(entity_ids) > MAX_BATCH:
-            raise ValueError(f"at most {MAX_BATCH} entities per batch")
         market = of_entities(market, entity_type, entity_ids)
-    path = f"{store.root}/runs/{entity_type}_{now:%Y%m%d_%H%M%S}"
     market = staged(market, f"{path}/lines")
-    write_rows(market, entity_type, params, f"{path}/rows")
+    write_rows(market, entity_type, params, path)
     rows = store.spark.read.parquet(f"{path}/rows")
 
     ids = active_entities(market, entity_type, params.period)
     if limit is not None:
         ids = first_entities(ids, limit)
-    store.write_dashboards(documents(ids, rows, entity_type, params, now))
+    store.write_dashboards(documents(ids, rows, entity_type, params, now), entity_type, run)
 
     plan = plan_of(entity_type)
-    metrics = insights.METRICS[entity_type]
-    columns = {m.column for m in metrics} | {m.previous for m in metrics if m.previous}
-    schema = ", ".join(f"{c} double" for c in sorted(columns))
     chosen = ids.withColumnRenamed("entity_id", plan.id_column)
-    current = overview_rows(rows, entity_type, schema).join(chosen, plan.id_column, "left_semi")
-    history = overview_rows(store.history(entity_type), entity_type, history_metrics_schema(entity_type))
-    records = entity_insights(current, history, store.benchmark_lookup(entity_type), entity_type)
+    current = store.spark.read.parquet(f"{path}/overview").join(chosen, plan.id_column, "left_semi")
+    benchmarks = store.benchmark_lookup(entity_type)
+    records = entity_insights(current, store.overview(entity_type), benchmarks, entity_type)
     docs = insights.insight_documents(insights.valid_insights(records), params, now)
-    store.write_insights(docs)
+    store.write_insights(docs, entity_type, run)
 
-    written = store.insights().filter(
-        (F.col("entity_type") == entity_type) & (F.col("generated_at") == F.lit(now))
-    )
+    made = store.insights(run).filter(F.col("entity_type") == entity_type).select("entity_id", "insights_count")
+    asked = ids if entity_ids is None or limit is not None else as_ids(store.spark, entity_ids)
     status = F.when(F.col("insights_count").isNull(), "error").otherwise("success")
-    return ids.join(written.select("entity_id", "insights_count"), "entity_id", "left").select(
+    return asked.join(made, "entity_id", "left").select(
         "entity_id", status.alias("status"), F.coalesce("insights_count", F.lit(0)).alias("insights_count")
     )

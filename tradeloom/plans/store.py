@@ -13,14 +13,16 @@ from pyspark.sql.types import StructType
 
 from tradeloom.params import ENTITY_TYPES, QueryParams
 from tradeloom.plans.benchmarks import merge_rows, platform_benchmarks
-from tradeloom.plans.entities import documents, overview_lines, overview_rows, query_rows
+from tradeloom.plans.entities import documents, in_order, overview_lines, query_rows
 from tradeloom.plans.registry import plan_of
-from tradeloom.sources.staging import staged
+from tradeloom.sources.staging import read_lines, staged
 from tradeloom.sources.tables import Marketplace
 
 HISTORY_SCHEMA = """
-    entity_id bigint, query string, position double, row string, updated_at timestamp, entity_type string
+    entity_id bigint, position double, row string, chunk int, created_at timestamp, updated_at timestamp,
+    entity_type string, query string
 """
+ROW_SCHEMA = "entity_id bigint, position double, row string, query string"
 BENCHMARK_SCHEMA = """
     total_count bigint, avg_period_spend double, avg_counterparties double, std_period_spend double,
     std_counterparties double, platform_total_spend double, platform_total_orders double,
@@ -38,13 +40,14 @@ INSIGHT_DOCUMENT_SCHEMA = f"""
     dashboard_period struct<start_date:date,end_date:date,top_n:int>, insights array<{INSIGHT}>,
     insights_count int, high_priority_count int,
     comparison_types struct<self:int,benchmark:int,both:int>, has_historical_data boolean,
-    entity_type string
+    dashboard_run string, broken string
 """
 
 DASHBOARD_SCHEMA = """
     entity_id bigint, execution_timestamp timestamp,
     parameters struct<start_date:date,end_date:date,top_n:int>, query string, description string,
-    error string, result_count bigint, part int, parts int, data array<string>, entity_type string
+    error string, result_count bigint, part int, parts int, data array<variant>, entity_type string,
+    run string
 """
 
 
@@ -85,26 +88,39 @@ class Store:
     # History
 
     def write_history(self, rows: DataFrame, entity_type: str, updated_at: datetime) -> None:
-        """Replace the history of one entity type.
+        """Replace the history of one entity type; a query without rows has none afterwards.
 
-        An entity's rows lie together in one file, or in several if it has most of the rows. Files
-        are sorted by entity and carry a bloom filter of their entities, so a lookup skips most.
+        Each query has a folder of its own. In it rows are sorted by entity and its position, and files carry a
+        bloom filter of their entities, so a lookup skips most; an entity with most rows spreads over files.
         """
-        stamped = rows.withColumn("updated_at", F.lit(updated_at)).withColumn(
-            "entity_type", F.lit(entity_type)
+        stamp = {"created_at": F.lit(updated_at), "updated_at": F.lit(updated_at)}
+        (
+            in_order(rows)
+            .withColumns(stamp)
+            .write.mode("overwrite")
+            .option("parquet.bloom.filter.enabled#entity_id", "true")
+            .partitionBy("query")
+            .parquet(f"{self._path('history')}/entity_type={entity_type}")
         )
-        clustered = stamped.hint("rebalance", "entity_id").sortWithinPartitions("entity_id", "query", "position")
-        bloom = {"parquet.bloom.filter.enabled#entity_id": "true"}
-        self._replace_partition(clustered, self._path("history"), **bloom)
 
-    def history(self, entity_type: str) -> DataFrame:
-        return self._read("history", HISTORY_SCHEMA).filter(F.col("entity_type") == entity_type)
+    def history(self, entity_type: str, query: str | None = None) -> DataFrame:
+        rows = self._read("history", HISTORY_SCHEMA).filter(F.col("entity_type") == entity_type)
+        return rows if query is None else rows.filter(F.col("query") == query)
+
+    def overview(self, entity_type: str) -> DataFrame:
+        """The overview query's rows of the last sync, typed; also of what belongs to no entity."""
+        return self.spark.read.parquet(self._path(f"overview/{entity_type}"))
 
     def entities(self, entity_type: str) -> DataFrame:
         """Ids of entities with history; each has one overview row."""
-        overview = F.col("query") == plan_of(entity_type).overview.name
-        rows = self.history(entity_type).filter(overview & F.col("entity_id").isNotNull())
-        return rows.select("entity_id")
+        column = plan_of(entity_type).id_column
+        try:
+            rows = self.overview(entity_type)
+        except AnalysisException as failure:
+            if failure.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows = self.spark.createDataFrame([], f"{column} bigint")
+        return rows.select(F.col(column).alias("entity_id")).filter(F.col("entity_id").isNotNull())
 
     def history_exists(self, entity_type: str) -> bool:
         return not self.entities(entity_type).isEmpty()
@@ -175,9 +191,9 @@ class Store:
     ) -> dict[str, int]:
         """Rebuild history and benchmarks of the given entity types and log each outcome.
 
-        The join of items with orders is written once and read by all queries, and the overview is
-        computed once: benchmarks are taken from the written history. A type that fails, or whose
-        overview is empty, keeps its old history.
+        The join of items with orders is written once and read by all queries, and the overview is computed and
+        written once: history and benchmarks are taken from it. All of a type is computed before anything of
+        it is replaced; a type that fails until then, or whose overview is empty, keeps what it had.
         """
         started = time.monotonic()
         market = staged(market, self._path("lines"))
@@ -188,7 +204,7 @@ class Store:
                 status, error = "success", None
             except Exception as failure:
                 counts[entity_type] = 0
-                status, error = "error", f"{type(failure).__name__}: {failure}"[:2000]
+                status, error = "error", f"{type(failure).__name__}: {failure}"
             seconds = time.monotonic() - started
             done = now + timedelta(seconds=seconds)
             self.append_log(entity_type, counts[entity_type], seconds, status, error, done)
@@ -197,28 +213,52 @@ class Store:
     def _sync_type(self, market: Marketplace, entity_type: str, params: QueryParams, now: datetime) -> int:
         if overview_lines(market, entity_type, params.period).isEmpty():
             raise EmptyOverviewError(f"no {entity_type} in {params.period}")
-        self.write_history(query_rows(market, entity_type, params), entity_type, now)
-        overview = self.overview(entity_type)
-        self.write_benchmarks(platform_benchmarks(overview, entity_type), now)
+        plan, work = plan_of(entity_type), self._path(f"work/{entity_type}")
+        plan.overview.build(market, params).write.mode("overwrite").parquet(f"{work}/overview")
+        overview = self.spark.read.parquet(f"{work}/overview")
+        platform_benchmarks(overview, entity_type).write.mode("overwrite").parquet(f"{work}/benchmarks")
+        rows = query_rows(market, entity_type, params, overview)
+        rows.write.mode("overwrite").partitionBy("query").parquet(f"{work}/rows")
+        self.write_history(self.spark.read.schema(ROW_SCHEMA).parquet(f"{work}/rows"), entity_type, now)
+        overview.write.mode("overwrite").parquet(self._path(f"overview/{entity_type}"))
+        self.write_benchmarks(self.spark.read.parquet(f"{work}/benchmarks"), now)
         return self.entities(entity_type).count()
 
-    def overview(self, entity_type: str) -> DataFrame:
-        """Spend and counterparties per entity, and of what belongs to none, from the history."""
-        plan = plan_of(entity_type)
-        schema = f"{plan.spend_column} double, {plan.counterparty_column} bigint"
-        return overview_rows(self.history(entity_type), entity_type, schema)
+    def lines(self, market: Marketplace) -> Marketplace:
+        """The marketplace with the joined lines that the last sync wrote."""
+        return market.with_lines(read_lines(self.spark, self._path("lines")))
 
     # Documents
 
-    def dashboards(self) -> DataFrame:
-        return self._read("dashboards", DASHBOARD_SCHEMA, "json", mode="DROPMALFORMED")
-
-    def write_dashboards(self, docs: DataFrame) -> None:
-        docs.write.mode("append").partitionBy("entity_type").json(self._path("dashboards"))
-
-    def write_insights(self, docs: DataFrame) -> None:
-        docs.write.mode("append").partitionBy("entity_type").json(self._path("insights"))
-
-    def insights(self) -> DataFrame:
-        """All insight documents; lines that cannot be parsed are skipped."""
-        return self._read("insights", INSIGHT_DOCUMENT_SCHEMA, "json", mode="DROPMALFORMED")
+    def _write_run(self, docs: DataFrame, table: str, entity_type: str, run: str) -> None:
+        """The documents of one run, which a repeated run replaces."""
+        path = f"{self._path(table)}/entity_type={entity_type}/run={run}"
+        docs.drop("entity_type").write.mode("overwrite").json(path)
+
+    def write_dashboards(self, docs: DataFrame, entity_type: str, run: str) -> None:
+        self._write_run(docs, "dashboards", entity_type, run)
+
+    def write_insights(self, docs: DataFrame, entity_type: str, run: str) -> None:
+        """Each document names the run whose dashboards it was made from."""
+        self._write_run(docs.withColumn("dashboard_run", F.lit(run)), "insights", entity_type, run)
+
+    def dashboards(self, run: str | None = None) -> DataFrame:
+        """Dashboard documents; a line that cannot be parsed fails the read."""
+        docs = self._read("dashboards", DASHBOARD_SCHEMA, "json", mode="FAILFAST")
+        return docs if run is None else docs.filter(F.col("run") == run)
+
+    def _insight_lines(self) -> DataFrame:
+        lines = self._read("insights", "value string, entity_type string, run string", "text")
+        # Parsed here, as Spark's reader cannot tell broken lines from others by themselves.
+        document = F.from_json("value", INSIGHT_DOCUMENT_SCHEMA, {"columnNameOfCorruptRecord": "broken"})
+        return lines.select(document.alias("d"), "entity_type", "run").select("d.*", "entity_type", "run")
+
+    def insights(self, run: str | None = None) -> DataFrame:
+        """Insight documents; lines that cannot be parsed are left to `skipped_insights`."""
+        docs = self._insight_lines()
+        docs = docs if run is None else docs.filter(F.col("run") == run)
+        return docs.filter(F.col("broken").isNull()).drop("broken")
+
+    def skipped_insights(self) -> DataFrame:
+        """Lines of insight files that cannot be parsed: entity_type, run, broken."""
+        return self._insight_lines().filter(F.col("broken").isNotNull()).select("entity_type", "run", "broken")
