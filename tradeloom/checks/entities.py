@@ -265,7 +265,7 @@ ORDERED_VALUES = f"""
           SELECT buyer_org_id, seller_org_id, sum(total_amount) AS total,
                  row_number() OVER (PARTITION BY buyer_org_id
                                     ORDER BY sum(total_amount) DESC NULLS FIRST, seller_org_id NULLS LAST) AS rank
-          FROM lines WHERE {within('updated_date', LATER_HALF)} GROUP BY ALL)
+          FROM lines WHERE {within('updated_date', LATER_HALF)} GROUP BY buyer_org_id, seller_org_id)
         LEFT JOIN organization ON org_id = seller_org_id
         WHERE rank <= {CURRENT['buyer'].top_n} AND buyer_org_id IS NOT NULL"""
     ),

@@ -73,26 +73,26 @@ PLANS = {
         spend_column="current_period_purchases",
         counterparty_column="suppliers_current",
         overview=NamedQuery(
-            "overview_metrics", "Period-over-period comparison of buyer metrics", "overview", buyer.overview
+            "overview_metrics", "What a buyer bought in the period and in the one before, with changes in percent", "overview", buyer.overview
         ),
         others=(
             NamedQuery(
                 "top_products",
-                "Top products by purchase amount",
+                "The products on which a buyer spent most",
                 "ranking",
                 buyer.top_products,
                 "rank_within_buyer",
             ),
             NamedQuery(
                 "top_suppliers",
-                "Top suppliers by purchase amount",
+                "The suppliers from which a buyer bought most",
                 "ranking",
                 buyer.top_suppliers,
                 "rank_within_buyer",
             ),
             NamedQuery(
                 "top_categories",
-                "Top categories by purchase amount",
+                "The product categories on which a buyer spent most",
                 "ranking",
                 buyer.top_categories,
                 "rank_within_buyer",
@@ -105,35 +105,35 @@ PLANS = {
         counterparty_column="total_buyers",
         overview=NamedQuery(
             "performance_overview",
-            "Sales, customers, and repeat purchase metrics",
+            "What a vendor sold, to how many buyers, and how many of them came back",
             "overview",
             seller.performance_overview,
         ),
         others=(
             NamedQuery(
                 "monthly_trends",
-                "Month-over-month sales trends",
+                "Each month's sales and their growth over the month before",
                 "time_series",
                 seller.monthly_trends,
                 "month",
             ),
             NamedQuery(
                 "quarterly_trends",
-                "Quarter-over-quarter sales trends",
+                "Each quarter's sales and their growth over the quarter before",
                 "time_series",
                 seller.quarterly_trends,
                 "quarter_start",
             ),
             NamedQuery(
                 "product_line_breakdown",
-                "Revenue contribution by product category",
+                "A vendor's sales per product category, with their share of all its sales",
                 "breakdown",
                 seller.product_line_breakdown,
                 "-total_revenue",
             ),
             NamedQuery(
                 "sales_time_series",
-                "Sales by configurable time period (day/week/month)",
+                "A vendor's sales per day, week, month or quarter",
                 "time_series",
                 seller.sales_time_series,
                 "date_period",
@@ -141,21 +141,21 @@ PLANS = {
             ),
             NamedQuery(
                 "top_selling_products",
-                "Top selling products by revenue",
+                "The products that earned a vendor most",
                 "ranking",
                 seller.top_selling_products,
                 "rank_within_vendor",
             ),
             NamedQuery(
                 "regional_distribution",
-                "Sales distribution by geographic region",
+                "Where a vendor's sales were shipped, city by city",
                 "distribution",
                 seller.regional_distribution,
                 "-total_revenue",
             ),
             NamedQuery(
                 "order_analysis",
-                "Order value vs quantity analysis",
+                "Value, quantity and unit price of every order of a vendor",
                 "analysis",
                 seller.order_analysis,
                 "-order_value",

@@ -22,7 +22,6 @@ HISTORY_SCHEMA = """
     entity_id bigint, position double, row string, chunk int, created_at timestamp, updated_at timestamp,
     entity_type string, query string
 """
-ROW_SCHEMA = "entity_id bigint, position double, row string, query string"
 BENCHMARK_SCHEMA = """
     total_count bigint, avg_period_spend double, avg_counterparties double, std_period_spend double,
     std_counterparties double, platform_total_spend double, platform_total_orders double,
@@ -88,15 +87,14 @@ class Store:
     # History
 
     def write_history(self, rows: DataFrame, entity_type: str, updated_at: datetime) -> None:
-        """Replace the history of one entity type; a query without rows has none afterwards.
+        """Replace the history of one entity type by written rows `in_order`; a query without rows has none afterwards.
 
         Each query has a folder of its own. In it rows are sorted by entity and its position, and files carry a
         bloom filter of their entities, so a lookup skips most; an entity with most rows spreads over files.
         """
         stamp = {"created_at": F.lit(updated_at), "updated_at": F.lit(updated_at)}
         (
-            in_order(rows)
-            .withColumns(stamp)
+            rows.withColumns(stamp)
             .write.mode("overwrite")
             .option("parquet.bloom.filter.enabled#entity_id", "true")
             .partitionBy("query")
@@ -217,9 +215,9 @@ class Store:
         plan.overview.build(market, params).write.mode("overwrite").parquet(f"{work}/overview")
         overview = self.spark.read.parquet(f"{work}/overview")
         platform_benchmarks(overview, entity_type).write.mode("overwrite").parquet(f"{work}/benchmarks")
-        rows = query_rows(market, entity_type, params, overview)
-        rows.write.mode("overwrite").partitionBy("query").parquet(f"{work}/rows")
-        self.write_history(self.spark.read.schema(ROW_SCHEMA).parquet(f"{work}/rows"), entity_type, now)
+        rows = in_order(query_rows(market, entity_type, params, overview))
+        rows.write.mode("overwrite").parquet(f"{work}/rows")
+        self.write_history(self.spark.read.schema(rows.schema).parquet(f"{work}/rows"), entity_type, now)
         overview.write.mode("overwrite").parquet(self._path(f"overview/{entity_type}"))
         self.write_benchmarks(self.spark.read.parquet(f"{work}/benchmarks"), now)
         return self.entities(entity_type).count()
