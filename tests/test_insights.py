@@ -205,3 +205,32 @@ def test_quantiles_where_one_value_is_most_rows(spark):
     wanted = [0.1, 0.33, 0.34, 0.5, 0.999]
     got = {r.probability: r.quantile for r in exact_quantiles(frame, "g", "v", wanted).collect()}
     assert got == pytest.approx({p: np.percentile(values, p * 100) for p in wanted})
+
+
+def test_a_task_orders_one_range_of_the_values(spark):
+    """Of 4,000 distinct values over 8 ranges, no range holds more than a quarter, and all ranks are right."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    shuffles = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        frame = spark.range(4000).select(F.lit("g").alias("g"), (F.col("id") * 7 % 4001).cast("double").alias("v"))
+        got = {r.probability: r.quantile for r in exact_quantiles(frame, "g", "v", [0.0, 0.3, 1.0]).collect()}
+        ranged = frame.repartitionByRange("g", "v").groupBy(F.spark_partition_id()).count()
+        assert max(r["count"] for r in ranged.collect()) <= 1000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+    values = [i * 7 % 4001 for i in range(4000)]
+    assert got == pytest.approx({p: np.percentile(values, p * 100) for p in (0.0, 0.3, 1.0)})
+
+
+def test_the_deviation_does_not_depend_on_order(spark):
+    from tradeloom.plans.benchmarks import platform_benchmarks
+
+    rows = [(i, 1e11 + i / 4, i % 3) for i in range(50)]
+    schema = "vendor_id int, total_sales double, total_buyers bigint"
+    found = {
+        platform_benchmarks(spark.createDataFrame(order, schema).repartition(n), "seller").first().std_period_spend
+        for order, n in ((rows, 1), (rows[::-1], 7))
+    }
+    assert found == {round(float(np.std([i / 4 for i in range(50)])), 4)}

@@ -113,8 +113,10 @@ def test_an_order_with_most_lines_is_split_in_the_join(spark, tmp_path):
 def test_shuffle_partitions_grow_with_the_input():
     assert sized_for(10**6)["spark.sql.shuffle.partitions"] == "8"
     settings = sized_for(100 * 10**12)
-    partitions = int(settings["spark.sql.shuffle.partitions"])
-    assert 100 * 10**12 / partitions <= int(settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"])
+    partitions, splits = int(settings["spark.sql.shuffle.partitions"]), 100 * 10**12 // int(settings["spark.sql.files.maxPartitionBytes"])
+    assert 10_000 < partitions < 30_000
+    assert 10 * 10**12 / (partitions * splits) > 2000  # bytes of a shuffle block
+    assert int(sized_for(10**12, 1.0)["spark.sql.shuffle.partitions"]) == -(-(10**12) // (512 * 1024 * 1024))
 
 
 def test_database_reads_are_split_by_key():

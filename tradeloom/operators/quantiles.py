@@ -7,31 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 32
+from tradeloom.session import written
 
 
 def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequence[float]) -> DataFrame:
     """Linearly interpolated quantiles per group, as rows (group, probability, quantile).
 
-    Equal values are counted first. Approximate cut points split the distinct values into buckets of
-    like size; counts per bucket tell which buckets hold the wanted ranks, and only the values of
-    these are ordered. Meant for few groups of any size: the broadcast tables have one row per group,
-    or two per group and probability.
+    Equal values are counted first. The distinct values are written in order, range-partitioned, with the number of
+    their partition; sums per partition tell which of them hold the wanted ranks, and only these are looked at again.
+    However many values there are, a task orders one partition of them.
     """
     counted = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("weight"))
-    steps = [i / BUCKETS for i in range(1, BUCKETS)]
-    cuts = counted.groupBy(group).agg(F.percentile_approx(value, steps, 10_000).alias("cuts"))
-    placed = (
-        counted.join(F.broadcast(cuts), group)
-        .withColumn("bucket", F.size(F.filter("cuts", lambda cut: cut < F.col(value))))
-        .drop("cuts")
-    )
+    ranged = counted.repartitionByRange(group, value)
+    placed = written(ranged.withColumn("chunk", F.spark_partition_id()), "quantiles")
 
-    by_bucket = Window.partitionBy(group).orderBy("bucket")
+    by_chunk = Window.partitionBy(group).orderBy("chunk")
     sizes = (
-        placed.groupBy(group, "bucket")
+        placed.groupBy(group, "chunk")
         .agg(F.sum("weight").alias("held"))
-        .withColumn("before", F.sum("held").over(by_bucket) - F.col("held"))
+        .withColumn("before", F.sum("held").over(by_chunk) - F.col("held"))
         .withColumn("total", F.sum("held").over(Window.partitionBy(group)))
     )
 
@@ -47,12 +41,12 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequen
     wanted = (
         sizes.withColumn("n", F.explode(F.array(*(n for p in probabilities for n in neighbours(p)))))
         .filter((rank_inside >= 0) & (rank_inside < F.col("held")))
-        .groupBy(group, "bucket", "before")
+        .groupBy(group, "chunk", "before")
         .agg(F.collect_list("n").alias("neighbours"))
     )
-    by_value = Window.partitionBy(group, "bucket").orderBy(value)
+    by_value = Window.partitionBy(group, "chunk").orderBy(value)
     return (
-        placed.join(F.broadcast(wanted), [group, "bucket"])
+        placed.join(wanted, [group, "chunk"])
         .withColumn("last", F.sum("weight").over(by_value))
         .withColumn("n", F.explode("neighbours"))
         .filter((rank_inside < F.col("last")) & (rank_inside >= F.col("last") - F.col("weight")))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tradeloom.functions.numeric import WIDE, safe_ratio
 from tradeloom.operators.quantiles import exact_quantiles
 from tradeloom.plans.registry import plan_of
+from tradeloom.session import written
 
 # The published percentiles of spend, and the digits kept of each statistic.
 PERCENTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}
@@ -42,22 +43,33 @@ def _spread(values: DataFrame) -> DataFrame:
         total = F.sum(F.when(known, F.col(metric).cast(WIDE)))
         return safe_ratio(total, F.count_if(known), DIGITS, WIDE)
 
-    def deviation(metric: str):
-        return F.round(F.stddev_pop(F.when(known, F.col(metric))), DIGITS)
-
     def total(metric: str):
         return F.sum(F.when(unknown, F.col(metric)))
 
     return values.agg(
         F.count_if(known).alias("total_count"),
         *(mean(m).alias(f"avg_{m}") for m in METRICS),
-        *(deviation(m).alias(f"std_{m}") for m in METRICS),
         total("period_spend").alias("platform_total_spend"),
         F.sum(F.when(unknown, F.lit(0.0))).alias("platform_total_orders"),
         total("counterparties").alias("platform_total_counterparties"),
     )
 
 
+def _deviation(values: DataFrame, spread: DataFrame) -> DataFrame:
+    """Population deviations from the known means, whose squares are summed as decimals and so in any order alike."""
+    one = F.lit(1).alias("one")
+    known = values.filter(F.col("entity_id").isNotNull()).select(one, *METRICS)
+    means = spread.select(one, *(F.col(f"avg_{m}").cast(WIDE).alias(f"mean_{m}") for m in METRICS))
+
+    def deviation(metric: str):
+        apart = F.col(metric).cast(WIDE) - F.col(f"mean_{metric}")
+        squares = F.sum((apart * apart).cast("decimal(38,8)")).cast("double")
+        return F.round(F.sqrt(squares / F.count(F.lit(1))), DIGITS)
+
+    apart = known.join(F.broadcast(means), "one")  # the means are one row
+    return apart.agg(*(deviation(m).alias(f"std_{m}") for m in METRICS))
+
+
 def _quantile_columns(values: DataFrame) -> DataFrame:
     long = values.filter(F.col("entity_id").isNotNull()).select(F.expr(f"""
         inline(array({", ".join(f"struct('{m}' AS metric, {m} AS value)" for m in METRICS)}))
@@ -83,7 +95,9 @@ def platform_benchmarks(overview: DataFrame, entity_type: str) -> DataFrame:
     """One row of statistics, or none without entities. `overview` is read more than once."""
     values = entity_values(overview, entity_type)
     kind = F.lit(entity_type).alias("entity_type")
-    spread = _spread(values).select(kind, "*")
+    spread = written(_spread(values), "spread")
+    deviation = _deviation(values, spread).select(kind, "*")
+    spread = spread.select(kind, "*")
     quantiles = _quantile_columns(values).select(kind, "*")
-    merged = spread.unionByName(quantiles, allowMissingColumns=True)
+    merged = spread.unionByName(deviation, allowMissingColumns=True).unionByName(quantiles, allowMissingColumns=True)
     return merge_rows(merged, "entity_type").filter(F.col("total_count") > 0)
