@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tests.fixtures import item, market, order
+from tests.fixtures import item, market, order, rows
 from tradeloom.params import Period, QueryParams
 from tradeloom.plans import buyer, seller
 from tradeloom.session import sized_for
@@ -124,3 +124,23 @@ def test_database_reads_are_split_by_key():
     assert options["partitionColumn"] == "po_id"
     assert options["numPartitions"] == "16"
     assert (options["lowerBound"], options["upperBound"]) == ("1", "1000")
+
+
+@pytest.fixture(scope="module")
+def by_month(spark, tmp_path_factory):
+    return staged(retail.load(spark, FOLDER), f"{tmp_path_factory.mktemp('staged')}/lines")
+
+
+@needs_tables
+@pytest.mark.parametrize("query", ALL, ids=lambda q: q.__name__)
+def test_every_query_reads_the_months_of_its_window_only(spark, by_month, query):
+    window = QueryParams(Period.of("1998-03-10", "1998-06-07"), 5, "month")
+    plan = plan_of(query(by_month, window))
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "amount_units" in line)
+    assert "created_month" in re.search(r"PartitionFilters: \[(.*?)\](, PushedFilters|$)", scan).group(1)
+    months = {z.month for z in by_month.zones}
+    # One looks for what was ever bought before; in these tables any month has lines of orders of any date.
+    if query not in (buyer.overview, seller.performance_overview):
+        kept = {m for m in months if f"{m}" in plan}
+        assert len(kept) < 10 < len(months)
+    assert rows(query(by_month, window)) == rows(query(retail.load(spark, FOLDER), window))

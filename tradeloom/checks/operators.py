@@ -277,7 +277,7 @@ DISTINCT_COUNTS = ["curr_items", "prev_items", "curr_suppliers", "prev_suppliers
     ),
 )
 def _(market):
-    by_key = buyer.purchases_by_key(market.lines(), LATER_HALF)
+    by_key = buyer.purchases_by_key(market, LATER_HALF)
     return buyer.buyer_measures(by_key, LATER_HALF).select("buyer_org_id", *DISTINCT_COUNTS)
 
 
@@ -295,7 +295,7 @@ FIRST_SEEN = """
     ),
 )
 def _(market):
-    by_key = buyer.purchases_by_key(market.lines(), WHOLE)
+    by_key = buyer.purchases_by_key(market, WHOLE)
     kind = F.when(F.col("kind") == buyer.ITEM, "product_id").otherwise("seller_org_id").alias("kind")
     return by_key.select("buyer_org_id", kind, "key", F.col("first_seen").cast("date").alias("first_seen"))
 
@@ -310,7 +310,7 @@ def _(market):
     ),
 )
 def _(market):
-    by_key = buyer.purchases_by_key(market.lines(), LATER_HALF)
+    by_key = buyer.purchases_by_key(market, LATER_HALF)
     return buyer.buyer_measures(by_key, LATER_HALF).select(
         "buyer_org_id",
         F.col("new_items_current").alias("new_products"),

@@ -10,6 +10,7 @@ from tradeloom.functions.numeric import pct_change, pct_change_of_quotients, saf
 from tradeloom.operators.filters import in_period
 from tradeloom.operators.ranking import top_n_per
 from tradeloom.params import Period, QueryParams
+from tradeloom.sources.staging import lines_with
 from tradeloom.sources.tables import Marketplace
 
 CLOCK = "updated_date"
@@ -21,7 +22,7 @@ ITEM, SUPPLIER = "item", "supplier"
 AMOUNTS = ("curr_amount", "curr_qty", "prev_amount", "prev_qty")
 
 
-def purchases_by_key(lines: DataFrame, period: Period) -> DataFrame:
+def purchases_by_key(market: Marketplace, period: Period) -> DataFrame:
     """All lines up to the end of the period, as one row per buyer and product and one per buyer and
     seller; the sums are on the seller rows only.
 
@@ -41,6 +42,7 @@ def purchases_by_key(lines: DataFrame, period: Period) -> DataFrame:
         F.struct(F.lit(ITEM).alias("kind"), F.col("product_id").alias("key")),
         F.struct(F.lit(SUPPLIER).alias("kind"), F.col("seller_org_id").alias("key")),
     )
+    lines = lines_with(market, (CLOCK,), None, period.end)
     return (
         lines.filter(clock <= F.lit(period.end))
         .select(BUYER, CLOCK, "amount_units", "qty_units", F.inline(keys))
@@ -88,7 +90,7 @@ def buyer_measures(by_key: DataFrame, period: Period) -> DataFrame:
 
 def overview(market: Marketplace, params: QueryParams) -> DataFrame:
     """Period-over-period purchases, quantities, prices, items and suppliers per buyer."""
-    measures = buyer_measures(purchases_by_key(market.lines(), params.period), params.period)
+    measures = buyer_measures(purchases_by_key(market, params.period), params.period)
     c = {name: F.col(name) for name in measures.columns}
     spend = (c["curr_amount"], c["prev_amount"])
     qty = (c["curr_qty"], c["prev_qty"])
@@ -131,8 +133,12 @@ def overview(market: Marketplace, params: QueryParams) -> DataFrame:
     return measures.select([column.alias(name) for name, column in columns.items()])
 
 
+def updated_in(market: Marketplace, period: Period) -> DataFrame:
+    return in_period(lines_with(market, (CLOCK,), period.start, period.end), CLOCK, period)
+
+
 def _purchases(market: Marketplace, params: QueryParams, *keys: str) -> DataFrame:
-    lines = in_period(market.lines(), CLOCK, params.period)
+    lines = updated_in(market, params.period)
     return lines.groupBy(BUYER, *keys).agg(F.sum("amount_units").alias("total_purchase_amount"))
 
 

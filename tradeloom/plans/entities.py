@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tradeloom.operators.filters import entity_slice, in_period
+from tradeloom.operators.filters import entity_slice
 from tradeloom.params import Period, QueryParams
 from tradeloom.plans import buyer
 from tradeloom.plans.registry import NamedQuery, plan_of
@@ -24,7 +24,7 @@ def entity_lines(market: Marketplace, entity_type: str, period: Period) -> DataF
     """Ids of the lines in the period: by item update for buyers, by creation for sellers."""
     plan_of(entity_type)
     if entity_type == "buyer":
-        ids = in_period(market.lines(), buyer.CLOCK, period).select(F.col("buyer_org_id").alias("entity_id"))
+        ids = buyer.updated_in(market, period).select(F.col("buyer_org_id").alias("entity_id"))
     else:
         ids = lines_created_in(market.lines(), period).select(F.col("seller_org_id").alias("entity_id"))
     return ids.filter(F.col("entity_id").isNotNull())
@@ -63,9 +63,9 @@ def of_entities(market: Marketplace, entity_type: str, ids: Ids) -> Marketplace:
     """
     column = "buyer_org_id" if entity_type == "buyer" else "seller_org_id"
     if not isinstance(ids, DataFrame):
-        return market.with_lines(entity_slice(market.lines(), column, ids))
+        return market.with_lines(entity_slice(market.lines(), column, ids), market.zones)
     asked = as_ids(market.spark, ids).withColumnRenamed("entity_id", column)
-    return market.with_lines(market.lines().join(asked, column, "left_semi"))
+    return market.with_lines(market.lines().join(asked, column, "left_semi"), market.zones)
 
 
 def query_rows(

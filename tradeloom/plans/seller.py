@@ -13,7 +13,7 @@ from tradeloom.operators.ranking import top_n_per
 from tradeloom.operators.shares import with_share
 from tradeloom.operators.trends import growth_pct, on_calendar, with_previous
 from tradeloom.params import QueryParams
-from tradeloom.sources.staging import lines_created_in
+from tradeloom.sources.staging import MONTH, lines_created_in
 from tradeloom.sources.tables import Marketplace
 
 CLOCK = "created_date"
@@ -35,6 +35,17 @@ def _revenue_and_units(total: str, quantity: str) -> list[Column]:
     return [F.sum("amount_units").alias(total), F.sum("qty_units").alias(quantity)]
 
 
+def _either_clock_in(market: Marketplace, period: Period) -> DataFrame:
+    """Lines of the months in which a line may be created, or its order placed, in the period."""
+    if market.zones is None:
+        return market.lines()
+    first = period.start.replace(day=1)
+    months = {z.month for z in market.zones if z.meets("po_created_date", period.start, period.end)}
+    months |= {z.month for z in market.zones if z.month is not None and first <= z.month <= period.end}
+    known = F.col(MONTH).isin(sorted(m for m in months if m is not None))
+    return market.lines().filter(known | F.col(MONTH).isNull() if None in months else known)
+
+
 def orders_by_buyer(market: Marketplace, params: QueryParams) -> DataFrame:
     """One row per vendor, buyer and order, with what the period's two clocks say about it.
 
@@ -42,7 +53,7 @@ def orders_by_buyer(market: Marketplace, params: QueryParams) -> DataFrame:
     lies in the period.
     """
     sold, ordered = params.period.holds(F.col(CLOCK)), params.period.holds(F.col("po_created_date"))
-    lines = _vendor_lines(market.lines().filter(sold | ordered))
+    lines = _vendor_lines(_either_clock_in(market, params.period).filter(sold | ordered))
     lines = keep_channels(keep_categories(market, lines, params.categories), params.channels)
     return lines.groupBy(VENDOR, "buyer_org_id", "po_id").agg(
         F.sum(F.when(sold, F.col("amount_units"))).alias("order_total"),

@@ -15,7 +15,7 @@ from tradeloom.params import ENTITY_TYPES, QueryParams
 from tradeloom.plans.benchmarks import merge_rows, platform_benchmarks
 from tradeloom.plans.entities import documents, in_order, overview_lines, query_rows
 from tradeloom.plans.registry import plan_of
-from tradeloom.sources.staging import read_lines, staged
+from tradeloom.sources.staging import staged, written_market
 from tradeloom.sources.tables import Marketplace
 
 HISTORY_SCHEMA = """
@@ -224,7 +224,7 @@ class Store:
 
     def lines(self, market: Marketplace) -> Marketplace:
         """The marketplace with the joined lines that the last sync wrote."""
-        return market.with_lines(read_lines(self.spark, self._path("lines")))
+        return written_market(market, self._path("lines"))
 
     # Documents
 

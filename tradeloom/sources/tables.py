@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
+from datetime import date
 from functools import cached_property, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +16,18 @@ from tradeloom.functions.numeric import decimals_of, units, units_per, whole
 TABLES = ("po_items", "po_details", "vendor_products", "user_address", "organization")
 
 
+@dataclass(frozen=True)
+class Zone:
+    """A month of staged lines and the range of each other clock in it; no range where the clock is never set."""
+
+    month: date | None
+    ranges: dict[str, tuple[date | None, date | None]]
+
+    def meets(self, clock: str, start: date | None, end: date) -> bool:
+        low, high = self.ranges[clock]
+        return low is not None and low <= end and (start is None or high >= start)
+
+
 class Marketplace:
     """The source tables, each built when it is first asked for.
 
@@ -28,10 +42,12 @@ class Marketplace:
         lines: Callable[[], DataFrame] | None = None,
         origin: str | None = None,
         scale: int = 2,
+        zones: list[Zone] | None = None,
     ):
         self.spark = spark
         self.origin = origin
         self.scale = scale
+        self.zones = zones
         self._tables = tables
         self._lines = lines
 
@@ -64,8 +80,8 @@ class Marketplace:
             F.col("id").alias("product_id"), deepest_category(F.col("category_ids")).alias("category_name")
         )
 
-    def with_lines(self, lines: DataFrame) -> Marketplace:
-        return Marketplace(self.spark, self._tables, lambda: lines, self.origin, self.scale)
+    def with_lines(self, lines: DataFrame, zones: list[Zone] | None = None) -> Marketplace:
+        return Marketplace(self.spark, self._tables, lambda: lines, self.origin, self.scale, zones)
 
     def units(self, total: Column) -> Column:
         """A sum of amounts or quantities as a double with two decimals."""
