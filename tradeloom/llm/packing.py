@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ from tradeloom.llm.tokens import groups, words_of
 
 #: Pieces of one length that are numbered in one task, about.
 NUMBERED = 20_000
-#: Words an encoder remembers.
+#: Words an encoder remembers, about.
 REMEMBERED = 300_000
 #: Words encoded in one call.
 CALL = 1000
@@ -42,7 +44,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.ends[number] = token.endswith("</w>")
@@ -52,15 +54,19 @@ class Encoder:
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, cores: list[bytes]) -> None:
-        """Encodes words not yet known. Words of letters alone end in one token that closes a word each, so many can be
-        encoded in one call and told apart."""
-        if len(self.known) + len(cores) > REMEMBERED:
-            self.known.clear()
+    def _learned(self, cores: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of these cores. Lower-case letters of ASCII pass normalising and splitting as they are, so the model
+        alone is asked. Other cores of letters alone end in one token that closes a word each, so many can be encoded in
+        one call and told apart."""
+        out: dict[bytes, bytes] = {}
         plain, other = [], []
+        tokenize = self.tokenizer.model.tokenize
         for core in cores:
             text = core.decode()
-            (plain if text.isalpha() else other).append(text)
+            if core.isalpha() and core.islower():
+                out[core] = array("I", [t.id for t in tokenize(text)]).tobytes()
+            else:
+                (plain if text.isalpha() else other).append(text)
         for i in range(0, len(plain), CALL):
             part = plain[i : i + CALL]
             ids = np.array(self._encode([" ".join(part)])[0], np.uint32)
@@ -68,47 +74,61 @@ class Encoder:
             if len(stops) == len(part) and stops[-1] == len(ids):
                 raw, start = ids.tobytes(), 0
                 for word, stop in zip(part, (4 * stops).tolist()):
-                    self.known[word.encode()] = raw[start:stop]
+                    out[word.encode()] = raw[start:stop]
                     start = stop
             else:
                 other += part
         for word, ids in zip(other, self._encode(other)):
-            self.known[word.encode()] = np.array(ids, np.uint32).tobytes()
+            out[word.encode()] = array("I", ids).tobytes()
+        return out
 
     @staticmethod
     def _parts(word: bytes) -> tuple[bytes, bytes]:
         """A word without its closing stops and commas, and these, where they are tokens of their own. ASCII letters are
         lowered, as the tokenizer does; special tokens are left as they are."""
+        if word.isalpha():  # bytes: letters of ASCII
+            return word.lower(), b""
         if b"<|" in word:
             return word, b""
         word = word.lower()
         core = word.rstrip(b".,")
+        if core.isalpha():
+            return core, word[len(core) :]
         if len(core) == len(word) or not core or not core.decode()[-1].isalnum():
             return word, b""
         return core, word[len(core) :]
 
+    def _remember(self, words: Iterable[bytes]) -> None:
+        """Sees to it that the ids of all these words are known."""
+        missing = [w for w in words if w not in self.words]
+        if len(self.words) + len(missing) > REMEMBERED:
+            self.words.clear()
+            missing = list(words)
+        parts = [self._parts(w) for w in missing]
+        known = self._learned([x for x in dict.fromkeys(chain.from_iterable(parts)) if x])
+        self.words.update((w, known[core] + known[end] if end else known[core]) for w, (core, end) in zip(missing, parts))
+
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
         if not self.by_word:
             return [np.array(i, np.uint32) for i in self._encode([t or "" for t in texts])]
+        if not texts:
+            return []
         documents = [words_of(t) for t in texts]
-        place: dict[bytes, int] = {}
-        numbers = [np.fromiter((place.setdefault(w, len(place)) for w in d), np.int64, len(d)) for d in documents]
-        parts = [self._parts(w) for w in place]
-        missing = {x for p in parts for x in p if x and x not in self.known}
-        if len(self.known) + len(missing) > REMEMBERED:
-            missing = {x for p in parts for x in p if x}
-        self._learn(list(missing))
-        known = self.known
-        raw = [known[core] + known[end] if end else known[core] for core, end in parts]
-        sizes = np.array([len(r) // 4 for r in raw], np.int64)
+        flat = list(chain.from_iterable(documents))
+        place = dict.fromkeys(flat)
+        self._remember(place)
+        raw = list(map(self.words.__getitem__, place))
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
         starts = np.cumsum(sizes) - sizes
-        flat = np.frombuffer(b"".join(raw), np.uint32)
-        out = []
-        for own in numbers:
-            many = sizes[own]
-            at = np.repeat(starts[own] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-            out.append(flat[at])
-        return out
+        for number, word in enumerate(place):
+            place[word] = number
+        words = np.fromiter(map(place.__getitem__, flat), np.int64, len(flat))
+        many = sizes[words]
+        stops = np.cumsum(many)
+        at = np.repeat(starts[words] - (stops - many), many) + np.arange(many.sum())
+        ids = np.frombuffer(b"".join(raw), np.uint32)[at]
+        last = np.cumsum([len(d) for d in documents])  # the number of words up to each document's end
+        return np.split(ids, np.append(0, stops)[last[:-1]])
 
 
 _encoders: dict[str, Encoder] = {}
