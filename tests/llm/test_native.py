@@ -58,8 +58,10 @@ class TestQuality:
         marks = " ".join(f"w{i}%%%" for i in range(80)) + "."
         stock = "\n".join(f"Please read our privacy policy {i} before you go on with it." for i in range(9))
         unfinished = "\n".join(prose(i, 12) for i in range(8))
-        got = by_id(quality.judge(documents(spark, [sentences, sentences + "\n" + menu, marks, stock, unfinished])), "kept")
-        assert got == {0: True, 1: False, 2: False, 3: False, 4: False}
+        cut_off = "\n".join(prose(i, 12) + ". " + prose(i + 50, 5) for i in range(8))
+        texts = [sentences, sentences + "\n" + menu, marks, stock, unfinished, cut_off]
+        got = by_id(quality.judge(documents(spark, texts)), "kept")
+        assert got == {0: True, 1: False, 2: False, 3: False, 4: False, 5: True}
         clean = by_id(quality.judge(documents(spark, [sentences + "\nHome | News | Shop | Us."])), "clean_text")
         assert clean[0] == sentences
 

@@ -30,7 +30,8 @@ lines AS (
   SELECT rid, l, len(list_filter(string_split_regex(l, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n
   FROM (SELECT rid, unnest(string_split(t, chr(10))) AS l FROM docs)),
 judged AS (
-  SELECT rid, l, n, NOT regexp_matches(l, {_quoted(q.SENTENCE_END)})
+  SELECT rid, l, n, (NOT regexp_matches(l, {_quoted(q.SENTENCE_END)})
+      AND NOT (n >= {rules.long_words} AND regexp_matches(l, {_quoted(q.SENTENCE_INSIDE)})))
     OR 100 * ({lost('l', q.SYMBOLS)}
               + {lost("regexp_replace(l, '[!?]{2,}', '##', 'g')", '#')} - {lost('l', '#')}) > {rules.max_marks_pct} * n
     OR ({lost('l', q.SEPARATORS)} >= {rules.min_separators}

@@ -1,6 +1,7 @@
 """Quality rules, line first: lines that fail a rule go, then documents that lost too much of their text.
 
-A line fails as *punctuation* when it does not end a sentence or carries more marks than prose does, as *navigation*
+A line fails as *punctuation* when it neither ends a sentence nor, if it is long, holds one, or carries more marks than
+prose does, as *navigation*
 when it is a row of short entries between separators, as *boilerplate* when it is a short line with a site's stock
 phrase. Everything is DataFrame functions; a document never leaves its row and nothing is shuffled.
 
@@ -23,6 +24,8 @@ SYMBOLS = "#*$%&|<>"
 SEPARATORS = "|>»›·•"
 #: A line that ends so ends a sentence; closing quotes and brackets may follow.
 SENTENCE_END = r"[.!?…:;。！？][\"'”’»)\]]*[ \t\x0b\f\r]*$"
+#: A sentence that ends inside a line.
+SENTENCE_INSIDE = r"[.!?…][\"'”’»)\]]* "
 #: Stock phrases of sites, in lower case.
 STOCK_PHRASES = (
     "all rights reserved", "privacy policy", "terms of use", "terms of service", "cookie policy", "use cookies",
@@ -39,6 +42,8 @@ class Rules:
     max_repeat_pct: int = 50
     #: Marks (symbols, and repeated ! or ?) a line may have per hundred words.
     max_marks_pct: int = 20
+    #: Lines from so many words on may end in the middle of a sentence.
+    long_words: int = 10
     #: From so many separators on, a line with at most so many words between two of them is navigation.
     min_separators: int = 3
     max_entry_words: int = 4
@@ -58,7 +63,7 @@ def _line_fails(line: Column, rules: Rules) -> Column:
     separators = _removed(line, SEPARATORS)
     stock = F.lower(line).rlike("|".join(STOCK_PHRASES))
     return (
-        ~line.rlike(SENTENCE_END)
+        (~line.rlike(SENTENCE_END) & ~((n >= rules.long_words) & line.rlike(SENTENCE_INSIDE)))
         | (100 * marks > rules.max_marks_pct * n)
         | ((separators >= rules.min_separators) & (n <= rules.max_entry_words * (separators + 1)))
         | ((n <= rules.max_stock_words) & stock)
