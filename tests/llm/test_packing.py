@@ -34,8 +34,11 @@ def test_ids_are_those_of_the_whole_text(encoder):
     assert [list(i) for i in encoder.ids(TEXTS)] == [whole(encoder, t) for t in TEXTS]
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.lists(st.text(max_size=40), max_size=4))
+LETTERS = st.characters(categories=["Ll", "Lu", "Lt", "Lm", "Mn"], max_codepoint=0x600)
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.text(max_size=40) | st.text(LETTERS | st.sampled_from(" .,'"), max_size=30), max_size=4))
 def test_ids_of_any_text(texts):
     e = packing._encoders.setdefault(PATH, packing.Encoder(PATH))
     assert [list(i) for i in e.ids(texts)] == [whole(e, t) for t in texts]
