@@ -39,8 +39,17 @@ def written(frame: DataFrame, what: str) -> DataFrame:
 _shipped: set[str] = set()
 
 
+#: Texts handed to a Python worker at a time, where the session does not say otherwise. Spark's own 10,000 may be
+#: gigabytes if the texts are long.
+BATCH_ROWS = 1000
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
 def ship(spark: SparkSession) -> None:
-    """Gives the executors' Python workers this package, wherever the driver has it from; once an application."""
+    """Gives the executors' Python workers this package, wherever the driver has it from (once an application), in
+    batches that stay small."""
+    if spark.conf.get(_BATCH_SETTING, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 
 #: Texts are worked on in groups of about so many characters, whatever the size of the Arrow batch.
-GROUP_CHARS = 2_000_000
+GROUP_CHARS = 1_000_000
 #: Multipliers of 64-bit mixing (odd, otherwise arbitrary).
 _MIX_1, _MIX_2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _SHIFT = np.uint64(33)
