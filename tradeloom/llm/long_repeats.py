@@ -262,6 +262,8 @@ def without_repeats(documents: DataFrame, window: int = WINDOW, rounds: int = RO
     fetched = written(_fetched(texts, revealed), "revealed")
     windows = written(_revealed_windows(fetched, window, rounds), "windows")
     holders = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").drop("b")
+    # Written, so that both sides of the join come from shuffles of their own and Spark can split a hot window.
+    holders = written(holders, "holders")
     later = windows.join(holders, ["h1", "h2"]).where("doc_id > a")
     gone = later.groupBy("doc_id", "text_id").agg(F.collect_set("at").alias("starts"))
     cut = _without(fetched.join(gone, ["doc_id", "text_id"]), window, with_text).dropDuplicates(["doc_id", "sha"])
