@@ -144,3 +144,14 @@ def test_every_query_reads_the_months_of_its_window_only(spark, by_month, query)
         kept = {m for m in months if f"{m}" in plan}
         assert len(kept) < 10 < len(months)
     assert rows(query(by_month, window)) == rows(query(retail.load(spark, FOLDER), window))
+
+
+@needs_tables
+def test_kept_first_dates_spare_the_overview_the_months_before(spark, by_month):
+    window = QueryParams(Period.of("1998-03-10", "1998-06-07"), 5)
+    dates = buyer.earliest(buyer.first_dates(by_month.lines()))
+    got = buyer.overview(by_month, window, dates)
+    months = {z.month for z in by_month.zones}
+    plan = plan_of(got)
+    assert 0 < sum(f"{m}" in plan for m in months) < 15 < len(months)
+    assert rows(got) == rows(buyer.overview(retail.load(spark, FOLDER), window))

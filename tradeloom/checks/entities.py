@@ -9,9 +9,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tradeloom.checks.analytics import buyer_overview_ctes, seller_overview_ctes
-from tradeloom.checks.base import LATER_HALF, WHOLE, money, ratio, register, with_tables, within
+from tradeloom.checks.base import LATER_HALF, ORACLES, WHOLE, money, ratio, register, with_tables, within
 from tradeloom.params import Period, QueryParams, dashboard_params, history_params
-from tradeloom.plans import runs
+from tradeloom.plans import buyer, runs
 from tradeloom.plans.benchmarks import platform_benchmarks
 from tradeloom.plans.entities import (
     active_entities,
@@ -436,6 +436,16 @@ def _(market):
     return held("buyer").unionByName(held("seller"))
 
 
+@register("buyer_overview_first_dates", ORACLES["buyer_overview_metrics"])
+def _(market):
+    """First dates kept from two batches of lines, the first of them added twice as after a failure."""
+    store, lines = _store(market, "first_dates"), market.lines()
+    early = F.col("created_date") < F.lit(date(1999, 6, 1))
+    for batch, part in (("1", lines.filter(early)), ("1", lines.filter(early)), ("2", lines.filter(~early))):
+        store.add_first_dates(part, batch)
+    return buyer.overview(market, QueryParams(LATER_HALF), store.first_dates())
+
+
 @register(
     "entity_history",
     with_tables(

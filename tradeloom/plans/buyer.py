@@ -22,9 +22,10 @@ ITEM, SUPPLIER = "item", "supplier"
 AMOUNTS = ("curr_amount", "curr_qty", "prev_amount", "prev_qty")
 
 
-def purchases_by_key(market: Marketplace, period: Period) -> DataFrame:
+def purchases_by_key(market: Marketplace, period: Period, first_dates: DataFrame | None = None) -> DataFrame:
     """All lines up to the end of the period, as one row per buyer and product and one per buyer and
-    seller; the sums are on the seller rows only.
+    seller; the sums are on the seller rows only. Where the first dates of all keys are known, only the lines of the
+    period and the one before are read.
 
     Later lines cannot change a sum, a count or whether something was first seen in the period. Both
     kinds of row come from one scan and share one shuffle, which is keyed by buyer and key: the lines
@@ -38,14 +39,12 @@ def purchases_by_key(market: Marketplace, period: Period) -> DataFrame:
         # Inside the span a line of the other period adds zero; outside it adds nothing.
         return F.sum(F.when(F.col("kind") == SUPPLIER, F.when(when, F.col(column)).when(in_span, F.lit(0))))
 
-    keys = F.array(
-        F.struct(F.lit(ITEM).alias("kind"), F.col("product_id").alias("key")),
-        F.struct(F.lit(SUPPLIER).alias("kind"), F.col("seller_org_id").alias("key")),
-    )
-    lines = lines_with(market, (CLOCK,), None, period.end)
-    return (
-        lines.filter(clock <= F.lit(period.end))
-        .select(BUYER, CLOCK, "amount_units", "qty_units", F.inline(keys))
+    if first_dates is None:
+        lines = lines_with(market, (CLOCK,), None, period.end).filter(clock <= F.lit(period.end))
+    else:
+        lines = updated_in(market, Period(period.previous.start, period.end))
+    found = (
+        lines.select(BUYER, CLOCK, "amount_units", "qty_units", F.inline(_keys()))
         .groupBy(BUYER, "kind", "key")
         .agg(
             spent("amount_units", current).alias("curr_amount"),
@@ -58,6 +57,27 @@ def purchases_by_key(market: Marketplace, period: Period) -> DataFrame:
             F.min(clock).alias("first_seen"),
         )
     )
+    if first_dates is None:
+        return found
+    return found.drop("first_seen").join(first_dates, [BUYER, "kind", "key"], "left")
+
+
+def _keys() -> Column:
+    return F.array(
+        F.struct(F.lit(ITEM).alias("kind"), F.col("product_id").alias("key")),
+        F.struct(F.lit(SUPPLIER).alias("kind"), F.col("seller_org_id").alias("key")),
+    )
+
+
+def first_dates(lines: DataFrame) -> DataFrame:
+    """When each buyer first bought each product, and from each seller, in these lines."""
+    keyed = lines.select(BUYER, CLOCK, F.inline(_keys())).filter(f"{BUYER} IS NOT NULL AND key IS NOT NULL")
+    return keyed.groupBy(BUYER, "kind", "key").agg(F.min(CLOCK).alias("first_seen"))
+
+
+def earliest(dates: DataFrame) -> DataFrame:
+    """First dates of several batches of lines as one."""
+    return dates.groupBy(BUYER, "kind", "key").agg(F.min("first_seen").alias("first_seen"))
 
 
 def buyer_measures(by_key: DataFrame, period: Period) -> DataFrame:
@@ -88,9 +108,9 @@ def buyer_measures(by_key: DataFrame, period: Period) -> DataFrame:
     )
 
 
-def overview(market: Marketplace, params: QueryParams) -> DataFrame:
+def overview(market: Marketplace, params: QueryParams, first_dates: DataFrame | None = None) -> DataFrame:
     """Period-over-period purchases, quantities, prices, items and suppliers per buyer."""
-    measures = buyer_measures(purchases_by_key(market, params.period), params.period)
+    measures = buyer_measures(purchases_by_key(market, params.period, first_dates), params.period)
     c = {name: F.col(name) for name in measures.columns}
     spend = (c["curr_amount"], c["prev_amount"])
     qty = (c["curr_qty"], c["prev_qty"])

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tradeloom.params import ENTITY_TYPES, QueryParams
+from tradeloom.plans import buyer
 from tradeloom.plans.benchmarks import merge_rows, platform_benchmarks
 from tradeloom.plans.entities import documents, in_order, overview_lines, query_rows
 from tradeloom.plans.registry import plan_of
@@ -135,6 +136,17 @@ class Store:
             raise LookupError(f"no history for {entity_type} {entity_id}")
         return rows
 
+    # First dates
+
+    def add_first_dates(self, lines: DataFrame, batch: str) -> None:
+        """The first dates that a batch of new lines tells; a repeated batch replaces its own."""
+        buyer.first_dates(lines).write.mode("overwrite").parquet(f"{self._path('first_dates')}/batch={batch}")
+
+    def first_dates(self) -> DataFrame:
+        """When each buyer first bought each product, and from each seller, over all batches so far. With it
+        `buyer.overview` reads the lines of its two periods only."""
+        return buyer.earliest(self.spark.read.parquet(self._path("first_dates")))
+
     # Benchmarks
 
     def write_benchmarks(self, benchmarks: DataFrame, calculated_at: datetime) -> None:
