@@ -308,6 +308,8 @@ def _in_mixed_buckets(members: DataFrame, comps: DataFrame, classes: DataFrame,
              F.max_by("comp", F.struct("many", "comp")).alias("main"))
         .where("comps > 1 AND size > 2")
     )
+    # Written, so that both sides of the join come from shuffles of their own and Spark can split a hot bucket.
+    mixed_buckets = written(mixed_buckets, "mixed")
     held = placed.drop("n").join(mixed_buckets.select("bucket", "main", "n"), "bucket")
     held = held.join(classes.select("rep", "sig"), "rep").join(sets, "rep")
     n_packs = F.ceil(F.col("n") / PACK_SHINGLES)
