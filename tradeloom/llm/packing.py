@@ -18,6 +18,7 @@ import zlib
 from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +31,16 @@ from tradeloom.llm.tokens import groups, words_of
 #: Pieces of one length that are numbered in one task, about.
 NUMBERED = 20_000
 #: Words an encoder remembers, about.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
+#: Characters of texts encoded at a time; the more, the fewer words are looked up twice.
+ENCODED_CHARS = 4_000_000
 #: Words encoded in one call.
 CALL = 1000
+#: Letters before it (Latin, Greek, Cyrillic) are the same in every Unicode version in use.
+OLDER = "\u0530"
+#: How byte-level tokenizers name bytes: printable ones of Latin-1 by themselves, the others from U+0100 on in order.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_NAMES = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 class Encoder:
@@ -55,18 +63,23 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learned(self, cores: list[bytes]) -> dict[bytes, bytes]:
-        """The ids of these cores. Lower-case letters of ASCII pass normalising and splitting as they are, so the model
-        alone is asked. Other cores of letters alone end in one token that closes a word each, so many can be encoded in
-        one call and told apart."""
+        """The ids of these cores. Lower-case composed letters pass normalising and splitting as they are, so the model
+        alone is asked for those of the older alphabets. Other cores of letters alone end in one token that closes a
+        word each, so many can be encoded in one call and told apart."""
         out: dict[bytes, bytes] = {}
         plain, other = [], []
         tokenize = self.tokenizer.model.tokenize
         for core in cores:
+            if core.isalpha() and core.islower():  # ASCII
+                out[core] = array("I", [t.id for t in tokenize(core.decode())]).tobytes()
+                continue
             text = core.decode()
-            if core.isalpha() and core.islower():
-                out[core] = array("I", [t.id for t in tokenize(text)]).tobytes()
+            if not text.isalpha():
+                other.append(text)
+            elif max(text) < OLDER and text.lower() == text and is_normalized("NFC", text):
+                out[core] = array("I", [t.id for t in tokenize(core.decode("latin-1").translate(BYTE_NAMES))]).tobytes()
             else:
-                (plain if text.isalpha() else other).append(text)
+                plain.append(text)
         for i in range(0, len(plain), CALL):
             part = plain[i : i + CALL]
             ids = np.array(self._encode([" ".join(part)])[0], np.uint32)
@@ -120,8 +133,7 @@ class Encoder:
         raw = list(map(self.words.__getitem__, place))
         sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
         starts = np.cumsum(sizes) - sizes
-        for number, word in enumerate(place):
-            place[word] = number
+        place = dict(zip(place, range(len(place))))
         words = np.fromiter(map(place.__getitem__, flat), np.int64, len(flat))
         many = sizes[words]
         stops = np.cumsum(many)
@@ -142,7 +154,7 @@ def pieces(documents: DataFrame, tokenizer: str, length: int = 2048, closing: in
             _encoders[tokenizer] = Encoder(tokenizer)
         encoder = _encoders[tokenizer]
         for batch in batches:
-            for first, texts in groups(batch):
+            for first, texts in groups(batch, chars=ENCODED_CHARS):
                 owners = batch.column("doc_id").slice(first, len(texts)).to_pylist()
                 rows: list[tuple] = []
                 for doc_id, ids in zip(owners, encoder.ids(texts)):

@@ -27,13 +27,13 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-def groups(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, list[str | None]]]:
+def groups(batch: pa.RecordBatch, column: str = "text", chars: int = GROUP_CHARS) -> Iterator[tuple[int, list[str | None]]]:
     """The texts of a batch in consecutive groups of bounded size: (row of the first, texts)."""
     first, held, size = 0, [], 0
     for row, text in enumerate(batch.column(column).to_pylist() if batch.num_rows < 64 else _texts(batch.column(column))):
         held.append(text)
         size += len(text or "")
-        if size >= GROUP_CHARS:
+        if size >= chars:
             yield first, held
             first, held, size = row + 1, [], 0
     if held:
