@@ -5,12 +5,21 @@ templates whose number of bigrams allows the threshold: with sizes a and b the c
 2 min(a, b) / (a + b), so b must lie within a t / (2 - t) and a (2 - t) / t. Everything is DataFrame functions inside
 the document's row; nothing is shuffled, and the templates are literals.
 
+A licence need not be a unit: its text may run over several paragraphs or share its lines with others. So templates and
+full licence texts are also compared with runs of consecutive words of the whole text. A run that reaches the threshold
+t holds at least b t / (2 - t) of a template's b distinct bigrams; only texts that hold as many are looked at further.
+One more template bigram at an end never lowers the coefficient, so a run begins and ends where a stretch of template
+bigrams does, and all such pairs are compared that are no longer than the template's own bigrams times (2 - t) / t. Of
+runs that overlap the best is taken. A licence that no unit matches, but such a run, counts as one match.
+
 Defined results: null and empty texts, and units of fewer than two words, match nothing; ties go to the template first
-in the list; repeated rows are judged one by one; other columns are ignored; an empty table gives an empty result.
+in the list, then to the run that begins first, then to the shorter; repeated rows are judged one by one; other columns
+are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -18,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.common import words
+from tradeloom.llm.license_texts import TEXTS
 
 #: Public licence texts and notices. Placeholders for years and holders are left out.
 TEMPLATES = (
@@ -91,26 +101,72 @@ def prepared(templates=TEMPLATES, threshold: float = 0.8) -> list[Template]:
     return out
 
 
-def _bigrams(unit: Column) -> Column:
-    """Distinct bigrams of a unit; letters and digits of ASCII make its words, as in every template."""
-    return F.array_distinct(F.transform(F.slice(unit, 1, F.greatest(F.size(unit) - 1, F.lit(0))), lambda x, i: F.concat(x, F.lit(" "), unit[i + 1])))
+def _pairs(unit: Column) -> Column:
+    """Bigrams of a unit in order; letters and digits of ASCII make its words, as in every template."""
+    return F.transform(F.slice(unit, 1, F.greatest(F.size(unit) - 1, F.lit(0))), lambda x, i: F.concat(x, F.lit(" "), unit[i + 1]))
 
 
-def scan(documents: DataFrame, threshold: float = 0.8, templates=TEMPLATES) -> DataFrame:
+def _bigrams(unit: Column) -> Column:
+    return F.array_distinct(_pairs(unit))
+
+
+MATCH = "array<struct<dice:double,order:int,license:string,first:int,last:int>>"
+
+
+def _listed(bigrams) -> str:
+    return ", ".join(f"'{b}'" for b in bigrams)  # letters, digits and a space only
+
+
+def _runs(template: tuple[str, str], order: int, threshold: float) -> Column:
+    """The best run of each beginning in `bigrams` (the whole text's, in order) that reaches the threshold, if `seen`
+    (those in any template) holds enough of this one's."""
+    name, text = template
+    own = bigrams_of(text)
+    need = math.ceil(threshold * len(own) / (2 - threshold) - 1e-9)
+    total = len(re.sub(r"[^a-z0-9]+", " ", text.lower()).split()) - 1
+    longest = math.floor(total * (2 - threshold) / threshold + 1e-9)
+    literal = f"split('{'|'.join(own)}', '[|]')"
+    # hits: where template bigrams are; p is a place in the text, i in hits. Places of the result are negative where
+    # the smaller is to win.
+    return F.expr(f"""
+        CASE WHEN size(seen) >= {need} AND size(array_intersect(seen, {literal})) >= {need} THEN
+        filter(flatten(transform(array(filter(transform(bigrams, (b, p) -> IF(b IN ({_listed(own)}), p, -1)), p -> p >= 0)), hits ->
+          flatten(transform(
+            array(filter(transform(hits, (p, i) -> struct(p AS p, i AS i)), e ->
+              e.i >= {need - 1} AND coalesce(get(hits, e.i + 1) <> e.p + 1, true))),
+            ends -> transform(
+              filter(transform(hits, (p, i) -> struct(p AS p, i AS i)), s ->
+                coalesce(get(hits, s.i - 1) <> s.p - 1, true) AND coalesce(get(hits, s.i + {need - 1}) - s.p < {longest}, false)),
+              s -> array_max(transform(
+                filter(ends, e -> e.i >= s.i + {need - 1} AND e.p - s.p < {longest}),
+                e -> element_at(transform(array(array_distinct(slice(bigrams, s.p + 1, e.p - s.p + 1))), d -> struct(
+                  2.0D * size(array_intersect(d, {literal})) / (size(d) + {len(own)}) AS dice,
+                  {-order} AS `order`, '{name}' AS license, -s.p AS first, -e.p AS last)), 1))))))
+        )), m -> m.dice >= {threshold!r}D) END""").cast(MATCH)
+
+
+def scan(documents: DataFrame, threshold: float = 0.8, templates=TEMPLATES, texts=TEXTS) -> DataFrame:
     """One row per document: doc_id, license (its best match or null), dice (of that match, 0 if none), n_matches (how
-    many of its units match a template) and licenses (all that match, each once)."""
+    many of its units match a template, and licences that only runs match) and licenses (all that match, each once).
+    Units are compared with `templates`, runs with `texts` too."""
     known = prepared(templates, threshold)
     low, high = min(t.low for t in known), max(t.high for t in known)
     text = F.lower(F.coalesce("text", F.lit("")))
-    units = F.array_distinct(
-        F.concat(F.split(text, "\n"), F.split(text, r"\n[ \t\x0b\f\r]*\n"), F.array(text))
-    )
-    frame = documents.select("doc_id", units.alias("units"))
+    units = F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, r"\n[ \t\x0b\f\r]*\n")))
+    frame = documents.select("doc_id", text.alias("whole"), F.array_remove(units, text).alias("units"))
     # Distinct bigrams are at most the words less one; a unit of too few words cannot reach any template. Repeated
     # bigrams make a long unit small, so only the lower bound can be told before they are counted.
     normal = lambda u: words(F.regexp_replace(u, "[^a-z0-9]+", " "))
-    frame = frame.select("doc_id", F.filter(F.transform("units", normal), lambda u: F.size(u) > low).alias("units"))
-    frame = frame.select("doc_id", F.filter(F.transform("units", _bigrams), lambda b: (F.size(b) >= low) & (F.size(b) <= high)).alias("units"))
+    frame = frame.select("doc_id", normal(F.col("whole")).alias("whole"), F.transform("units", normal).alias("units"))
+    frame = frame.select("doc_id", _pairs(F.col("whole")).alias("bigrams"), F.filter(F.concat("units", F.array("whole")), lambda u: F.size(u) > low).alias("units"))
+    whole = [*templates, *texts]
+    every = _listed(dict.fromkeys(b for _, t in whole for b in bigrams_of(t)))
+    frame = frame.select(
+        "doc_id",
+        "bigrams",
+        F.expr(f"array_distinct(filter(bigrams, b -> b IN ({every})))").alias("seen"),
+        F.filter(F.transform("units", _bigrams), lambda b: (F.size(b) >= low) & (F.size(b) <= high)).alias("units"),
+    )
 
     def dice(unit: Column, template: Template) -> Column:
         own = F.array(*(F.lit(b) for b in template.bigrams))
@@ -121,7 +177,21 @@ def scan(documents: DataFrame, threshold: float = 0.8, templates=TEMPLATES) -> D
         scores = [F.struct(dice(unit, t).alias("dice"), F.lit(-i).alias("order"), F.lit(t.license).alias("license")) for i, t in enumerate(known)]
         return F.greatest(*scores)
 
-    frame = frame.select("doc_id", F.filter(F.transform("units", best), lambda m: m["dice"] >= threshold).alias("matches"))
+    none = F.array().cast(MATCH)
+    runs = F.concat(*(F.coalesce(_runs(t, i, threshold), none) for i, t in enumerate(whole)))
+    least = min(math.ceil(threshold * len(bigrams_of(t)) / (2 - threshold) - 1e-9) for _, t in whole)
+    frame = frame.select(
+        "doc_id",
+        F.filter(F.transform("units", best), lambda m: m["dice"] >= threshold).alias("matches"),
+        F.when(F.size("seen") >= least, runs).otherwise(none).alias("runs"),
+    )
+    apart = lambda taken, m: ~F.exists(taken, lambda t: (-m["first"] <= -t["last"]) & (-t["first"] <= -m["last"]))
+    best_apart = F.aggregate(F.sort_array("runs", asc=False), none, lambda taken, m: F.when(apart(taken, m), F.array_append(taken, m)).otherwise(taken))
+    frame = frame.select("doc_id", "matches", best_apart.alias("runs"))
+    # Of the runs of one licence the first, which is the best.
+    fresh = F.filter("runs", lambda m, i: ~F.exists("matches", lambda u: u["license"] == m["license"]) & ~F.exists(F.slice("runs", 1, i), lambda r: r["license"] == m["license"]))
+    more = F.transform(fresh, lambda m: F.struct(m["dice"].alias("dice"), m["order"].alias("order"), m["license"].alias("license")))
+    frame = frame.select("doc_id", F.concat("matches", more).alias("matches"))
     top = F.array_max("matches")
     return frame.select(
         "doc_id",
