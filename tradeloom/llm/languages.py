@@ -12,6 +12,11 @@ Profiles come from a bounded sample: of each language the `sample` documents tha
 id. They hold `profile` n-grams a language, which is all that reaches the driver. Every document is scored on its
 whole text.
 
+What is of no learned language scores below them, by how much depends on its length. So `keep_known` scores the sample
+itself, whole texts and their first and last stretches of 16, 32, 64 and so on letters, and rejects what scores below
+`margin` times the lowest score that its language had at its length. Texts of fewer than 16 letters (a stretch of
+others counting as one) are too short to tell; `min_score` alone rejects them.
+
 Defined results: null texts and texts without letters are `und` with score 0, as is every text if nothing could be
 learned; rows of the training table without text, letters or language teach nothing; repeated rows are scored one by
 one; other columns are ignored; an empty table gives an empty result.
@@ -28,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import ship
+from tradeloom.llm.common import ship, written
 from tradeloom.llm.tokens import groups
 
 #: Characters worked on at a time; a longer text is counted in such parts.
@@ -38,13 +43,20 @@ PART = 500_000
 @dataclass(frozen=True)
 class Settings:
     """sample: training documents a language; profile: n-grams of a language; top: of a document; longest: their
-    length; min_score: below it `keep_known` rejects."""
+    length; min_score: below it `keep_known` rejects, as below `margin` times the lowest score of the sample, of which
+    the share `stray` is taken for wrongly labelled."""
 
     sample: int = 400
     profile: int = 400
     top: int = 300
     longest: int = 3
     min_score: float = 0.05
+    margin: float = 0.55
+    stray: float = 0.01
+
+
+#: Lengths are told apart by powers of two, between these exponents.
+SHORTEST, LONGEST = 4, 11
 
 
 @cache
@@ -114,15 +126,23 @@ class Profiles:
         return self.languages[best], 1.0 - float(apart[best]) / (self.length * len(own))
 
 
-def learn(training: DataFrame, settings: Settings = Settings()) -> Profiles:
-    """Profiles from doc_id, text, lang of the training rows."""
-    ship(training.sparkSession)
+def _sample(training: DataFrame, settings: Settings) -> DataFrame:
+    """The rows that teach: lang, doc_id, text."""
     usable = training.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     # The ids alone are ranked, and the few chosen texts fetched by them.
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
     ids = usable.select("lang", "doc_id", F.xxhash64(F.col("doc_id").cast("string")).alias("h"))
     chosen = ids.withColumn("r", F.row_number().over(order)).where(F.col("r") <= settings.sample).select("lang", "doc_id").distinct()
-    sample = usable.select("lang", "doc_id", "text").join(F.broadcast(chosen), ["lang", "doc_id"], "left_semi")
+    return usable.select("lang", "doc_id", "text").join(F.broadcast(chosen), ["lang", "doc_id"], "left_semi")
+
+
+def learn(training: DataFrame, settings: Settings = Settings()) -> Profiles:
+    """Profiles from doc_id, text, lang of the training rows."""
+    return _learned(_sample(training, settings), settings)
+
+
+def _learned(sample: DataFrame, settings: Settings) -> Profiles:
+    ship(sample.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,16 +193,69 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def _letters_of(text: str) -> str:
+    """Lower-case letters, and one space for each stretch of others between them."""
+    return np.where((codes := _codes(text)) == 0, 32, codes).astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass").strip(" ")
+
+
+def _length_class(letters: int) -> int:
+    return min(letters.bit_length() - 1, LONGEST)
+
+
+def lowest_scores(sample: DataFrame, profiles: Profiles, settings: Settings = Settings()) -> dict[str, dict[int, float]]:
+    """Per language and class of length the lowest score of the sample's texts and of stretches of them, strays left
+    out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in groups(batch):
+                found: list[tuple[str, int, float]] = []
+                for text in texts:
+                    letters = _letters_of(text or "")
+                    sizes = [2**k for k in range(SHORTEST, LONGEST + 1) if 2**k < len(letters)]
+                    parts = [letters, *(letters[:n] for n in sizes), *(letters[-n:] for n in sizes)]
+                    for part in parts:
+                        lang, score = profiles.predict(part, settings)
+                        if lang != "und":
+                            found.append((lang, _length_class(len(part)), score))
+                columns = zip(*found) if found else ([], [], [])
+                types = (pa.string(), pa.int32(), pa.float64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["lang", "size", "score"])
+
+    ship(sample.sparkSession)
+    scores = sample.select("text").mapInArrow(run, "lang string, size int, score double")
+    out: dict[str, dict[int, float]] = {}
+    # `percentile` is exact; a few rows a language reach the driver.
+    low = scores.groupBy("lang", "size").agg(F.percentile("score", F.lit(settings.stray)).alias("low"))
+    for lang, size, score in low.collect():
+        out.setdefault(lang, {})[size] = score
+    return out
+
+
+def bound(lowest: dict[str, dict[int, float]], lang: str, letters: int, settings: Settings = Settings()) -> float:
+    """The least score with which a text of so many letters is kept: between its class and the next, the lower counts;
+    for lengths that the sample lacks, the nearest."""
+    own, size = {k: v for k, v in lowest.get(lang, {}).items() if k >= SHORTEST}, _length_class(letters)
+    if not own or size < SHORTEST:
+        return settings.min_score
+    near = min(own, key=lambda k: (abs(k - size), k))
+    return max(settings.min_score, settings.margin * min(own[near], own.get(near + 1, own[near])))
+
+
 def keep_known(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The documents, all columns, in one of the languages learned from them: not `und`, and at least min_score.
-    Each row is judged where it stands, without a shuffle."""
-    profiles = learn(documents, settings)
+    """The documents, all columns, in one of the languages learned from them: not `und`, and with at least the score
+    that texts of their language and length have (`bound`). Each row is judged where it stands, without a shuffle."""
+    sample = written(_sample(documents, settings), "language-sample")
+    profiles = _learned(sample, settings)
+    lowest = lowest_scores(sample, profiles, settings)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in groups(batch):
-                found = [profiles.predict(t, settings) for t in texts]
-                keep = [lang != "und" and score >= settings.min_score for lang, score in found]
+                keep = []
+                for text in texts:
+                    lang, score = profiles.predict(text, settings)
+                    keep.append(lang != "und" and score >= bound(lowest, lang, len(_codes(text)) - 2, settings))
                 yield batch.slice(first, len(texts)).filter(pa.array(keep, pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)
