@@ -4,7 +4,8 @@ Documents are aggregated by membership pattern (the set of sources they belong t
 seeded hash. A flow then routes each pattern's token capacity to the sources' quotas: the first copy of a pattern's
 tokens is free, each further one dearer (convex repetition costs), so repetition is spread before it is deepened. What a
 pattern sends is taken as whole copies of all its documents plus one more copy of those that come first in the seeded
-order; the gap left by the last whole document is closed by documents whose sizes fit it best.
+order. Where a document is larger than what is left it is passed over, and the documents after it are taken in the same
+order as long as they fit, until the gap is smaller than any left; then one more is taken if that brings the sum nearer.
 
 The flow works on the aggregate of patterns alone, at most `max_patterns` rows in the driver; more raise an error. Every
 other step is a DataFrame job: buckets keep a pattern with a third of all rows out of any single task.
@@ -29,12 +30,11 @@ from tradeloom.llm.common import words, written
 
 @dataclass(frozen=True)
 class Settings:
-    """most: copies of a document at most; costs: of each copy's tokens; rounds: of closing the gap."""
+    """most: copies of a document at most; costs: of each copy's tokens."""
 
     most: int = 3
     costs: tuple[int, ...] = (0, 1, 3)
     seed: int = 11
-    rounds: int = 3
     max_patterns: int = 100_000
 
 
@@ -154,15 +154,91 @@ def _keyed(documents: DataFrame, sources: Column, settings: Settings) -> DataFra
 
 @dataclass
 class Plan:
-    """Per pattern: copies of all, the place in the seeded order up to which one more is taken, and single documents
-    that get one more; per source its size and target."""
+    """Per pattern: copies of all and the place in the seeded order up to which one more is taken; documents after it
+    (_pattern, _h, _t) that get one more; per source its size and target."""
 
     patterns: DataFrame
+    extra: DataFrame
     sizes: dict
     targets: dict
 
 
-PLAN = "p string, copies int, cut_h long, cut_t long, extra array<struct<h:long,t:long>>, source_size long, target double"
+PLAN = "p string, copies int, cut_h long, cut_t long, source_size long, target double"
+EXTRA = "p string, _h long, _t long"
+
+
+def _after(h: str, t: str, ch: str, ct: str) -> Column:
+    return (F.col(h) > F.col(ch)) | ((F.col(h) == F.col(ch)) & (F.col(t) > F.col(ct)))
+
+
+def _cuts(sized: DataFrame, rests: list[tuple[str, int]]) -> list:
+    """For patterns with a rest: the first document (all rows of equal id and text) in the seeded order with which the
+    sum passes the rest, null if none does, and the sum before it. One row a pattern."""
+    open_ = F.broadcast(sized.sparkSession.createDataFrame(rests, "p string, rest long"))
+    # The bucket of the hash in which a pattern's rest ends, then the document in it.
+    bucketed = sized.withColumn("bucket", F.shiftright("_h", 52)).join(open_, F.col("_pattern") == F.col("p"))
+    sums = bucketed.groupBy("p", "rest", "bucket").agg(F.sum("size").alias("s"))
+    by = Window.partitionBy("p").orderBy("bucket")
+    before = F.coalesce(F.sum("s").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    whole = sums.groupBy("p").agg(F.sum("s").alias("all"))
+    ends = sums.withColumn("before", before).where("before <= rest AND rest < before + s")
+    inside = bucketed.join(ends.select(F.col("p").alias("q"), F.col("bucket").alias("b"), "before"), (F.col("p") == F.col("q")) & (F.col("bucket") == F.col("b")))
+    steps = inside.groupBy("p", "rest", "before", "_h", "_t").agg(F.sum("size").alias("s"))
+    so_far = F.col("before") + F.sum("s").over(Window.partitionBy("p").orderBy("_h", "_t").rowsBetween(Window.unboundedPreceding, 0))
+    cuts = steps.withColumn("so_far", so_far).groupBy("p").agg(
+        F.min(F.when(F.col("so_far") > F.col("rest"), F.struct("_h", "_t"))).alias("cut"),
+        F.coalesce(F.max(F.when(F.col("so_far") <= F.col("rest"), F.col("so_far"))), F.min("before")).alias("reached"),
+    )
+    return whole.join(cuts, "p", "left").select("p", "cut", F.coalesce("reached", "all").alias("reached")).collect()
+
+
+def _closing(sized: DataFrame, state: dict) -> DataFrame:
+    """Documents after each pattern's cut that close its gap, in the seeded order, each if it fits what is left."""
+    spark = sized.sparkSession
+    wanted = [(k, v["gap"], *v["cut"]) for k, v in state.items() if v.get("gap", 0) > 0 and v.get("cut")]
+    if not wanted:
+        return spark.createDataFrame([], EXTRA)
+    at = F.broadcast(spark.createDataFrame(wanted, "p string, gap long, ch long, ct long"))
+    late = F.col("size").between(1, 2 * F.col("gap") - 1) & (_after("_h", "_t", "ch", "ct") | ((F.col("_h") == F.col("ch")) & (F.col("_t") == F.col("ct"))))
+    groups = sized.join(at, F.col("_pattern") == F.col("p")).where(late).groupBy("_pattern", "_h", "_t", "gap").agg(F.sum("size").alias("size"))
+    left = written(groups.where(F.col("size") < 2 * F.col("gap")).drop("gap"), "mix-left")
+    parts: list[DataFrame] = []
+    # Each round takes all up to the first document that no longer fits; what is left then is less than its size, so
+    # that it is never looked at again.
+    going = {k: (gap, None) for k, gap, _, _ in wanted}
+    final: dict[str, int] = {}
+    while going:
+        now = [(k, gap, *(cut or (None, None))) for k, (gap, cut) in going.items()]
+        here = F.broadcast(spark.createDataFrame(now, "g string, gap long, fh long, ft long"))
+        later = F.col("fh").isNull() | _after("_h", "_t", "fh", "ft")
+        fit = left.join(here, F.col("_pattern") == F.col("g")).where(later & (F.col("size") <= F.col("gap")))
+        found = {r["p"]: r for r in _cuts(fit.select("_pattern", "_h", "_t", "size"), [(k, gap) for k, gap, _, _ in now])}
+        reached = [(k, *(tuple(r["cut"]) if r["cut"] else (None, None))) for k, r in found.items() if r["reached"] > 0]
+        if reached:
+            upto = F.broadcast(spark.createDataFrame(reached, "q string, th long, tt long"))
+            early = F.col("th").isNull() | _after("th", "tt", "_h", "_t")
+            parts.append(fit.join(upto, F.col("_pattern") == F.col("q")).where(early).select(F.col("_pattern").alias("p"), "_h", "_t"))
+        following = {}
+        for k, gap, _, _ in now:
+            r = found.get(k)
+            rest = gap - (r["reached"] if r else 0)
+            if r and r["cut"] and rest > 0:
+                following[k] = (rest, tuple(r["cut"]))
+            elif rest > 0:
+                final[k] = rest
+        going = following
+    taken_ = parts[0] if parts else spark.createDataFrame([], EXTRA)
+    for part in parts[1:]:
+        taken_ = taken_.union(part)
+    taken_ = written(taken_, "mix-extra")
+    if not final:
+        return taken_
+    # No document left fits, but one of less than twice the gap still brings the sum nearer.
+    ends = F.broadcast(spark.createDataFrame(list(final.items()), "g string, gap long"))
+    free = left.join(ends, (F.col("_pattern") == F.col("g")) & (F.col("size") < 2 * F.col("gap"))).withColumnRenamed("_pattern", "p")
+    free = free.join(taken_, ["p", "_h", "_t"], "left_anti")
+    picks = free.groupBy("p").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")), "_h", "_t")).alias("m")).select("p", "m._h", "m._t")
+    return written(taken_.union(picks), "mix-closed")
 
 
 def plan(sized: DataFrame, weights: Callable[[list], dict], settings: Settings = Settings()) -> Plan:
@@ -183,67 +259,27 @@ def plan(sized: DataFrame, weights: Callable[[list], dict], settings: Settings =
     for (key, _), (members, size), own in zip(rows, patterns, sent):
         taken = sum(own.values())
         copies = min(settings.most, taken // size) if size else 0
-        state[key] = {"copies": copies, "rest": taken - copies * size if copies < settings.most else 0, "extra": []}
-
-    def gaps(what: str) -> DataFrame:
-        open_ = [(k, int(v[what])) for k, v in state.items() if v[what] > 0]
-        return F.broadcast(spark.createDataFrame(open_, f"p string, {what} long"))
-
-    # The bucket of the hash in which a pattern's rest ends, then the document in it.
-    bucketed = sized.withColumn("bucket", F.shiftright("_h", 52))
-    sums = bucketed.join(gaps("rest"), F.col("_pattern") == F.col("p")).groupBy("p", "rest", "bucket").agg(F.sum("size").alias("s"))
-    before = F.coalesce(F.sum("s").over(Window.partitionBy("p").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ends = sums.withColumn("before", before).where("before <= rest AND rest < before + s").select("p", "rest", "bucket", "before")
-    inside = bucketed.join(ends.withColumnRenamed("bucket", "b"), (F.col("_pattern") == F.col("p")) & (F.col("bucket") == F.col("b")))
-    steps = inside.groupBy("p", "rest", "before", "_h", "_t").agg(F.sum("size").alias("s"))
-    so_far = F.col("before") + F.sum("s").over(Window.partitionBy("p").orderBy("_h", "_t").rowsBetween(Window.unboundedPreceding, 0))
-    cuts = steps.withColumn("so_far", so_far).groupBy("p", "rest").agg(
-        F.min(F.when(F.col("so_far") > F.col("rest"), F.struct("_h", "_t"))).alias("cut"),
-        F.max(F.when(F.col("so_far") <= F.col("rest"), F.col("so_far"))).alias("reached"),
-        F.min("before").alias("before"),
-    )
-    for r in cuts.collect():  # one row a pattern
+        state[key] = {"copies": copies, "rest": taken - copies * size if copies < settings.most else 0}
+    open_ = [(k, int(v["rest"])) for k, v in state.items() if v["rest"] > 0]
+    for r in _cuts(sized, open_) if open_ else ():
         own = state[r["p"]]
-        own["cut"] = (r["cut"]["_h"], r["cut"]["_t"])
-        own["gap"] = own["rest"] - (r["reached"] if r["reached"] is not None else r["before"])
-    for v in state.values():
-        v.setdefault("gap", 0)
-    # Documents after the cut whose size comes nearest the gap, one a round and pattern.
-    for _ in range(settings.rounds):
-        open_ = [
-            (k, int(v["gap"]), *v["cut"], [{"h": h, "t": t} for h, t in v["extra"]]) for k, v in state.items() if v["gap"] > 0
-        ]
-        if not open_:
-            break
-        wanted = F.broadcast(spark.createDataFrame(open_, "p string, gap long, ch long, ct long, extra array<struct<h:long,t:long>>"))
-        after = (F.col("_h") > F.col("ch")) | ((F.col("_h") == F.col("ch")) & (F.col("_t") >= F.col("ct")))
-        free = ~F.array_contains("extra", F.struct(F.col("_h").alias("h"), F.col("_t").alias("t")))
-        near = sized.join(wanted, F.col("_pattern") == F.col("p")).where(after & free & (F.col("size") > 0))
-        picks = (
-            near.where(F.abs(F.col("size") - F.col("gap")) < F.col("gap"))
-            .groupBy("p")
-            .agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "_h", "_t", "size")).alias("pick"))
-            .collect()
-        )
-        if not picks:
-            break
-        for r in picks:
-            state[r["p"]]["extra"].append((r["pick"]["_h"], r["pick"]["_t"]))
-            state[r["p"]]["gap"] -= r["pick"]["size"]
+        own["cut"] = tuple(r["cut"])
+        own["gap"] = own["rest"] - r["reached"]
     table = []
     for (key, _), (members, _) in zip(rows, patterns):
         v, first = state[key], members[0] if members else None
-        table.append(
-            (key, v["copies"], *v.get("cut", (None, None)), [{"h": h, "t": t} for h, t in v["extra"]],
-             sizes.get(first), goal.get(first))
-        )
-    return Plan(spark.createDataFrame(table, PLAN), sizes, goal)
+        table.append((key, v["copies"], *v.get("cut", (None, None)), sizes.get(first), goal.get(first)))
+    return Plan(spark.createDataFrame(table, PLAN), _closing(sized, state), sizes, goal)
 
 
-def _copies() -> Column:
+def _planned(keyed: DataFrame, made: Plan) -> DataFrame:
+    """The rows with their pattern's plan and _n, how often each is taken."""
+    extra = made.extra.select(F.col("p").alias("xp"), F.col("_h").alias("xh"), F.col("_t").alias("xt"))
+    joined = keyed.join(F.broadcast(made.patterns), F.col("_pattern") == F.col("p"))
+    # A null text has a null hash, and size 0: it is never among the extra.
+    joined = joined.join(extra, (F.col("p") == F.col("xp")) & (F.col("_h") == F.col("xh")) & (F.col("_t") == F.col("xt")), "left")
     before = (F.col("_h") < F.col("cut_h")) | ((F.col("_h") == F.col("cut_h")) & (F.col("_t") < F.col("cut_t")))
-    extra = F.array_contains("extra", F.struct(F.col("_h").alias("h"), F.col("_t").alias("t")))
-    return F.col("copies") + F.coalesce(before | extra, F.lit(False)).cast("int")
+    return joined.withColumn("_n", F.col("copies") + (F.coalesce(before, F.lit(False)) | F.col("xp").isNotNull()).cast("int"))
 
 
 def _sized(documents: DataFrame, sources: Column, settings: Settings) -> DataFrame:
@@ -257,16 +293,13 @@ def taken(documents: DataFrame, sources: Column | None = None, weights=cyclic_we
     sources: the array of a document's sources; by default the one in its column `source`."""
     sized = _sized(documents, F.array("source") if sources is None else sources, settings)
     made = plan(sized, weights, settings)
-    joined = sized.join(F.broadcast(made.patterns), F.col("_pattern") == F.col("p"))
-    copies = _copies()
-    return joined.select("doc_id", "size", "source_size", "target", copies.cast("long").alias("copies"), (F.col("size") * copies).alias("taken"))
+    n = F.col("_n")
+    return _planned(sized, made).select("doc_id", "size", "source_size", "target", n.cast("long").alias("copies"), (F.col("size") * n).alias("taken"))
 
 
 def repeated(documents: DataFrame, sources: Column | None = None, weights=cyclic_weights, settings: Settings = Settings()) -> DataFrame:
     """The documents, all columns, each as often as the mix takes it."""
     sources = F.array("source") if sources is None else sources
     made = plan(_sized(documents, sources, settings), weights, settings)
-    keyed = _keyed(documents, sources, settings)
-    joined = keyed.join(F.broadcast(made.patterns), F.col("_pattern") == F.col("p")).withColumn("_n", _copies())
-    often = joined.where("_n > 0").withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+    often = _planned(_keyed(documents, sources, settings), made).where("_n > 0").withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n"))))
     return often.select("_row.*")
