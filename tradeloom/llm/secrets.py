@@ -92,12 +92,23 @@ def _spans(text: Column, rule: Rule, rank: int) -> Column:
 
 
 class Ledger:
-    """The written ledger: a folder of batches, each written whole by one scan."""
+    """The written ledger: a folder of batches, each written whole by one scan. On a path that holds some, it takes up
+    those that were completed."""
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark = spark
         self.path = path or f"{shared_folder(spark)}/blob-ledger-{uuid.uuid4().hex}"
-        self.batches: list[str] = []
+        self.batches: list[str] = self._completed() if path else []
+
+    def _completed(self) -> list[str]:
+        """Batches in the folder that Spark has marked as written whole."""
+        Path = self.spark._jvm.org.apache.hadoop.fs.Path
+        folder = Path(self.path)
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            return []
+        inside = [status.getPath() for status in files.listStatus(folder)]
+        return sorted(p.toString() for p in inside if p.getName().startswith("batch-") and files.exists(Path(p, "_SUCCESS")))
 
     def rows(self) -> DataFrame:
         if not self.batches:
