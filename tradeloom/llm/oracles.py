@@ -180,3 +180,104 @@ found AS (SELECT s.rid, l.label FROM sets s JOIN classes c USING (key) JOIN labe
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(label, d.doc_id) AS component_id,
        d.doc_id = coalesce(label, d.doc_id) AS kept
 FROM docs d LEFT JOIN sizes z ON z.rid = d.rid LEFT JOIN found f ON f.rid = d.rid"""
+
+
+def centroids(k: int = 16, rounds: int = 3, scale: int = 64, width: int = 64) -> str:
+    """Lloyd's rounds over components as rows."""
+    below = "(s - ((s % n) + n) % n) // n"  # the floor, where division cuts towards zero
+    steps = [
+        f"""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, [CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE len(embedding) = {width}
+    AND coalesce(list_bool_and([x IS NOT NULL AND NOT isnan(x) AND NOT isinf(x) FOR x IN embedding]), false)),
+cells AS MATERIALIZED (SELECT rid, unnest(range(1, {width + 1})) AS i, unnest(v) AS x FROM kept),
+first AS (
+  SELECT v, row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)), v) - 1 AS c
+  FROM kept WHERE vec_id IS NOT NULL QUALIFY c < {k}),
+c0 AS (SELECT c, unnest(range(1, {width + 1})) AS i, unnest(v) AS m FROM first)"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"""
+a{r} AS MATERIALIZED (
+  SELECT rid, min_by(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT rid, c, CAST(sum((x - m) * (x - m)) AS BIGINT) AS d FROM cells JOIN c{r} USING (i) GROUP BY rid, c) GROUP BY rid)"""
+        )
+        if r < rounds:
+            steps.append(
+                f"""
+s{r} AS (SELECT c, i, sum(x) AS s, CAST(count(*) AS HUGEINT) AS n FROM cells JOIN a{r} USING (rid) GROUP BY c, i),
+c{r + 1} AS MATERIALIZED (
+  SELECT c, i, coalesce(CAST({below} AS BIGINT), m) AS m FROM c{r} LEFT JOIN s{r} USING (c, i))"""
+            )
+    steps.append(
+        f"""
+digests AS (SELECT c, sha256(string_agg(CAST(m AS VARCHAR), ',' ORDER BY i)) AS h FROM c{rounds} GROUP BY c)"""
+    )
+    return f"""
+WITH {",".join(steps)}
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, a.d AS distance,
+       CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+       h AS centroid_sha256
+FROM a{rounds} a JOIN kept USING (rid) JOIN digests ON digests.c = a.c"""
+
+
+#: The checksum of decimal digits, byte by byte, with its table made from the polynomial.
+CRC32 = """
+crc_table AS (SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+  lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS t)"""
+
+
+def _crc32(value: str) -> str:
+    digits = f"list_transform(string_split(CAST({value} AS VARCHAR), ''), lambda d: CAST(ord(d) AS BIGINT))"
+    return f"xor(list_reduce({digits}, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+
+
+def manifest(levels: int = 8, root_levels: int = 3) -> str:
+    """The trees level by level; as many levels as stated, which hold 8 to that power of rows a language (and of languages)."""
+    part = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
+    leaf = lambda text: "sha256(" + " || ".join(part(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps = [
+        f"""{CRC32},
+leaves AS MATERIALIZED (
+  SELECT doc_id, coalesce('1' || lang, '0') AS key, {leaf("text")} AS leaf,
+         CASE WHEN {_crc32("doc_id")} % 3 = 0 THEN {leaf(lower)} END AS tampered
+  FROM documents, crc_table),
+rows AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+l0 AS (SELECT key, pos, leaf AS d FROM rows),
+f0 AS (SELECT rid, key, pos, coalesce(tampered, leaf) AS d, '' AS proof FROM rows)"""
+    ]
+
+    def climb(tree: str, fold: str, many: int) -> None:
+        for i in range(many):
+            one = f"(SELECT key, count(*) AS m FROM {tree}{i} GROUP BY key)"
+            steps.append(
+                f"""
+{tree}{i + 1} AS MATERIALIZED (
+  SELECT key, pos // 8 AS pos, sha256(string_agg(d, '' ORDER BY pos)) AS d
+  FROM {tree}{i} JOIN {one} USING (key) WHERE m > 1 GROUP BY key, pos // 8
+  UNION ALL SELECT key, pos, d FROM {tree}{i} JOIN {one} USING (key) WHERE m = 1),
+{fold}{i + 1} AS MATERIALIZED (
+  SELECT rid, f.key, CASE WHEN m = 1 THEN f.pos ELSE f.pos // 8 END AS pos,
+         CASE WHEN m = 1 THEN f.d ELSE sha256(array_to_string([CASE WHEN x.pos = f.pos THEN f.d ELSE x.d END FOR x IN run], '')) END AS d,
+         proof || CASE WHEN m = 1 THEN '' ELSE array_to_string([x.d FOR x IN run IF x.pos <> f.pos], '') END AS proof
+  FROM {fold}{i} f JOIN {one} o ON o.key = f.key
+  JOIN (SELECT key, pos // 8 AS p, list({{'pos': pos, 'd': d}} ORDER BY pos) AS run FROM {tree}{i} GROUP BY key, pos // 8) r
+    ON r.key = f.key AND r.p = f.pos // 8)"""
+            )
+
+    climb("l", "f", levels)
+    steps.append(
+        f"""
+subroots AS (SELECT key AS lang, d AS subroot, row_number() OVER (ORDER BY key) - 1 AS pos FROM l{levels}),
+r0 AS (SELECT 0 AS key, pos, subroot AS d FROM subroots),
+g0 AS (SELECT rid, 0 AS key, s.pos, d, proof FROM f{levels} f JOIN subroots s ON s.lang = f.key)"""
+    )
+    climb("r", "g", root_levels)
+    return f"""
+WITH {",".join(steps)}
+SELECT doc_id, leaf, subroot, r.d AS root, sha256(proof) AS proof_sha256, g.d AS folded_root, g.d = r.d AS verified
+FROM g{root_levels} g JOIN rows USING (rid) JOIN subroots s ON s.lang = rows.key, r{root_levels} r"""

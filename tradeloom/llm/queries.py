@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import extraction, languages, licenses, long_repeats, mixing, near_copies, oracles, packing, quality, secrets, top_k
+from tradeloom.llm import centroids, extraction, languages, licenses, long_repeats, manifest, mixing, model_scores, near_copies, oracles, packing, quality, secrets, top_k
 from tradeloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,18 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_license_scan", oracles.licenses())
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
+
+
+@query("op11_centroids", oracles.centroids())
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(table(spark, folder, "embeddings"))
+
+
+@query("op12_model_scores")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return model_scores.score(table(spark, folder, "documents"))
+
+
+@query("op13_manifest", oracles.manifest())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.manifest(table(spark, folder, "documents"))
