@@ -33,10 +33,10 @@ from pyspark.sql import functions as F
 from tradeloom.llm import context_tree as tree
 from tradeloom.llm.common import blocks_for, ship, written
 
-#: Context bytes of the model, and of the groups in which the longer contexts are worked out.
+#: Context bytes of the model (at most five), and of the groups in which the longer contexts are worked out.
 DEPTH, GROUPED = 5, 3
 #: Bytes of text in a block, and the most blocks; beyond, blocks are larger. Bytes worked on at a time.
-BLOCK_BYTES, MOST_BLOCKS, SLICE = 64 << 20, 100_000, 4 << 20
+BLOCK_BYTES, MOST_BLOCKS, SLICE = 32 << 20, 100_000, 1 << 20
 #: Grams in a group of contexts, facts in a message.
 GROUP_GRAMS, MESSAGE = 1_000_000, 65_536
 
@@ -79,38 +79,52 @@ def _texts(lengths: Iterable[int], text: bytes) -> list[bytes]:
     return [text[e - n : e] for n, e in zip(lengths, ends, strict=True)]
 
 
-def _word_slices(text: bytes) -> Iterator[list[bytes]]:
+def _split(texts: list[bytes]) -> pa.Array:
+    """The words of each text, and perhaps empty ones at its ends."""
+    return pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
+
+
+def _word_slices(text: bytes) -> Iterator[bytes]:
+    """The text in slices that do not cut words."""
     start = 0
     while start < len(text):
         cut = WHITE.search(text, start + SLICE)
         stop = cut.start() if cut else len(text)
-        yield text[start:stop].split()
+        yield text[start:stop]
         start = stop
 
 
 def _gram_slices(texts: list[bytes], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Grams of the texts and the number of the text that each is from."""
+    """Grams of the texts, a slice at a time, and the number of the text that each is from."""
     run, ends = tree.joined(texts, depth)
     for start in range(depth, len(run), SLICE):
         part = run[start - depth : start + SLICE]
-        inside = ends[(ends >= start) & (ends < start + SLICE)] - start + depth
+        first, last = np.searchsorted(ends, [start, start + SLICE])
+        inside = ends[first:last] - start + depth
         places, keys = tree.grams(part, inside, depth)
-        yield keys, np.searchsorted(ends, places + start - depth)
+        stops = np.append(np.searchsorted(places, inside) + 1, len(places))
+        yield keys, np.repeat(np.arange(first, last + 1), np.diff(stops, prepend=0))
+
+
+def _runs(ordered: np.ndarray) -> np.ndarray:
+    """Where the equal elements of an ordered array begin."""
+    return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
 
 
-class Counts:
-    """Counts of numbers, added up now and then."""
+class Grams:
+    """Counts of grams, added up now and then."""
 
     def __init__(self) -> None:
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.held = 0
 
     def add(self, keys: np.ndarray, learned: bool) -> None:
-        found = pc.value_counts(pa.array(keys))
-        counts = found.field("counts").to_numpy() if learned else np.zeros(len(found), np.int64)
-        self.parts.append((found.field("values").to_numpy(), counts))
-        self.held += len(found)
-        if self.held > 4_000_000:
+        keys = np.sort(keys)
+        starts = _runs(keys)
+        counts = np.diff(np.append(starts, len(keys))) if learned else np.zeros(len(starts), np.int64)
+        self.parts.append((keys[starts], counts))
+        self.held += len(starts)
+        if self.held > 1_500_000:
             self.parts = [self.total()]
             self.held = len(self.parts[0][0]) // 2
 
@@ -120,33 +134,58 @@ class Counts:
         keys, counts = (np.concatenate(x) for x in zip(*self.parts, strict=True))
         order = np.argsort(keys, kind="stable")
         keys, counts = keys[order], counts[order]
-        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        starts = _runs(keys)
         return keys[starts], np.add.reduceat(counts, starts)
 
 
+class Words:
+    """Counts of words, added up for each so many bytes of them."""
+
+    def __init__(self) -> None:
+        self.waiting: dict[bool, list[pa.Array]] = {True: [], False: []}
+        self.parts: list[pa.Table] = []
+        self.held = 0
+
+    def add(self, words: pa.Array, learned: bool) -> None:
+        self.waiting[learned].append(words)
+        self.held += words.nbytes
+        if self.held > BLOCK_BYTES:
+            self._count()
+
+    def _count(self) -> None:
+        for learned, words in self.waiting.items():
+            if words:
+                found = pc.value_counts(pa.chunked_array(words))
+                counts = found.field("counts") if learned else pa.array(np.zeros(len(found), np.int64))
+                self.parts.append(pa.table({"word": found.field("values"), "n": counts}))
+        self.waiting, self.held = {True: [], False: []}, 0
+
+    def total(self) -> pa.Table:
+        """A word may have several rows."""
+        self._count()
+        return pa.concat_tables(self.parts) if self.parts else pa.table({"word": pa.array([], pa.large_string()), "n": pa.array([], pa.int64())})
+
+
 def _asked(block: int, chunks: Iterable, depth: int) -> Iterator[tuple]:
-    """What a block needs to know, with the counts of its training texts."""
-    grams, words = Counts(), {}
+    """What a block needs to know, with the counts of its training texts; a word may be asked for a few times."""
+    grams, words = Grams(), Words()
     for _, (_, learned, lengths, text) in chunks:
         texts = _texts(lengths, text)
         for flag in (True, False):
             mine = [t for t, x in zip(texts, learned, strict=True) if x == flag]
-            if not mine:
-                continue
-            for keys, _ in _gram_slices(mine, depth):
-                grams.add(keys, flag)
-            for part in _word_slices(b"\n".join(mine)):
-                if part:
-                    found = pc.value_counts(pa.array(part, pa.binary()))
-                    for word, n in zip(found.field("values").to_pylist(), found.field("counts").to_pylist(), strict=True):
-                        words[word] = words.get(word, 0) + n * flag
+            if mine:
+                for keys, _ in _gram_slices(mine, depth):
+                    grams.add(keys, flag)
+                for part in _word_slices(b"\n".join(mine)):
+                    flat = _split([part]).flatten()
+                    words.add(flat.filter(pc.not_equal(flat, "")), flag)
     keys, counts = grams.total()
     for i in range(0, len(keys), MESSAGE):
         yield block, keys[i : i + MESSAGE].tobytes(), None, counts[i : i + MESSAGE].astype(np.int64).tobytes()
-    listed = list(words)
+    listed = words.total()
     for i in range(0, len(listed), MESSAGE):
-        part = listed[i : i + MESSAGE]
-        yield block, None, b"\n".join(part), np.array([words[w] for w in part], np.int64).tobytes()
+        part = listed.slice(i, MESSAGE)
+        yield block, None, "\n".join(part.column("word").to_pylist()).encode(), part.column("n").to_numpy().tobytes()
 
 
 def _flat(asked: DataFrame) -> DataFrame:
@@ -273,9 +312,52 @@ def _packed(answers: DataFrame) -> DataFrame:
     return answers.select("block", "gram", "word", "value").mapInArrow(run, ANSWER)
 
 
+def _gram_sums(texts: list[bytes], depth: int, known: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sum of the values of each text's grams; known is ordered and holds all of them."""
+    out = np.zeros(len(texts))
+    for first in range(0, len(texts), 1 << 16):
+        group = texts[first : first + (1 << 16)]
+        for keys, text_of in _gram_slices(group, depth):
+            both = (keys.astype(np.uint64) << np.uint64(16)) | text_of.astype(np.uint64)
+            both.sort()  # equal grams together, each with its text
+            keys = both >> np.uint64(16)
+            starts = _runs(keys)
+            value = values[np.searchsorted(known, keys[starts].astype(np.int64))]
+            value = np.repeat(value, np.diff(np.append(starts, len(keys))))
+            out[first : first + len(group)] += np.bincount((both & np.uint64(0xFFFF)).astype(np.int64), value, len(group))
+    return out
+
+
+def _word_sums(texts: list[bytes], words: pa.Array, counted: np.ndarray, none: float) -> Iterator[tuple[int, int, float]]:
+    """Words, known words and base score of each text."""
+    small: list[bytes] = []
+
+    def told(group: list[bytes]) -> Iterator[tuple[int, int, float]]:
+        lists = _split(group)
+        flat = lists.flatten()
+        coded = flat.dictionary_encode()
+        listed, codes = coded.dictionary, coded.indices.to_numpy()
+        at = pc.index_in(listed, value_set=words).fill_null(len(words)).to_numpy()
+        count, real = np.append(counted, 0.0)[at], pc.not_equal(listed, "").to_numpy(zero_copy_only=False).astype(float)
+        facts = (real, real * (count > 0), real * (np.log10(count + 0.5) - none))
+        of = np.repeat(np.arange(len(group)), np.diff(lists.offsets.to_numpy()))
+        sums = [np.bincount(of, fact[codes], len(group)) for fact in facts]
+        yield from zip(sums[0].astype(int).tolist(), sums[1].astype(int).tolist(), sums[2].tolist(), strict=True)
+
+    for text in texts:
+        if len(text) <= SLICE:
+            small.append(text)
+            continue
+        yield from told(small)
+        small = []
+        parts = [next(told([part])) for part in _word_slices(text)]
+        yield tuple(sum(x) for x in zip(*parts, strict=True))
+    yield from told(small)
+
+
 def _scored(parts: Iterable, depth: int, none: float) -> Iterator[tuple]:
     """Texts of a block by the answers, which come first. none: log10 of what is added to a word's count over all."""
-    keys, values, words, index = [], [], {}, None
+    keys, values, words, counts, known = [], [], [], [], None
     for _, part in parts:
         if part[0] == "answer":
             _, grams, named, found = part
@@ -284,23 +366,20 @@ def _scored(parts: Iterable, depth: int, none: float) -> Iterator[tuple]:
                 keys.append(np.frombuffer(grams, np.int64))
                 values.append(found)
             else:
-                words.update(zip(named.split(b"\n"), found.tolist(), strict=True))
+                words.append(_split([named]).flatten())
+                counts.append(found)
             continue
-        if index is None:
-            index, value = pd.Index(np.concatenate(keys)), np.concatenate(values)
+        if known is None:
+            known, value = np.concatenate(keys), np.concatenate(values)
+            order = np.argsort(known)
+            known, value, keys, values = known[order], value[order], [], []
+            words = pa.concat_arrays(words) if words else pa.array([], pa.large_string())
+            counted = np.concatenate([*counts, np.zeros(0)])
         ids, learned, lengths, text = part
         texts = _texts(lengths, text)
-        score = np.zeros(len(texts))
-        for grams, text_of in _gram_slices(texts, depth):
-            score += np.bincount(text_of, value[index.get_indexer(grams)], len(texts))
-        for i, (doc_id, flag, one) in enumerate(zip(ids, learned, texts, strict=True)):
-            tokens = known = 0
-            base = 0.0
-            for listed in _word_slices(one):
-                counts = np.array([words[w] for w in listed])
-                tokens, known = tokens + len(listed), known + int((counts > 0).sum())
-                base += float(np.log10(counts + 0.5).sum()) - none * len(listed)
-            yield doc_id, not flag, tokens, known, base, float(score[i]), len(one)
+        scores = _gram_sums(texts, depth, known, value).tolist()
+        for doc_id, flag, n, score, base in zip(ids, learned, lengths, scores, _word_sums(texts, words, counted, none), strict=True):
+            yield doc_id, not flag, base[0], base[1], base[2], score, n
 
 
 def score(documents: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -318,7 +397,7 @@ def score(documents: DataFrame, depth: int = DEPTH) -> DataFrame:
     blocks = dealt.getNumPartitions()
 
     asked = spark.createDataFrame(dealt.mapPartitionsWithIndex(lambda i, part: _asked(i, part, depth)), ASKED, verifySchema=False)
-    facts = _flat(asked).groupBy("gram", "word").agg(F.sum("n").alias("n"), F.collect_list("block").alias("blocks"))
+    facts = _flat(asked).groupBy("gram", "word").agg(F.sum("n").alias("n"), F.collect_set("block").alias("blocks"))
     facts = written(facts, "facts")
     of_words = facts.where("word IS NOT NULL")
     held = of_words.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -330,7 +409,8 @@ def score(documents: DataFrame, depth: int = DEPTH) -> DataFrame:
     values = of_grams.join(gram_scores(of_grams.select("gram", "n"), depth), "gram")
     blank = {"gram": F.lit(None).cast("long"), "word": F.lit(None).cast("binary")}
     answers = values.select(F.explode("blocks").alias("block"), "gram", blank["word"].alias("word"), "value").union(
-        of_words.select(F.explode("blocks").alias("block"), blank["gram"].alias("gram"), "word", F.col("n").cast("double"))
+        # A word that training never met needs no answer.
+        of_words.where("n > 0").select(F.explode("blocks").alias("block"), blank["gram"].alias("gram"), "word", F.col("n").cast("double"))
     )
     told = _packed(answers).rdd.map(lambda r: (r.block, ("answer", *(None if x is None else bytes(x) for x in r[1:]))))
     told = told.partitionBy(blocks, _own)
