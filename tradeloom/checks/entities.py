@@ -24,6 +24,7 @@ from tradeloom.plans.entities import (
 from tradeloom.plans.registry import plan_of, run_query
 from tradeloom.plans.store import Store
 from tradeloom.session import shared_folder
+from tradeloom.sources.tables import Marketplace
 
 NOW = datetime(2001, 12, 31, 12, 0)
 CURRENT = {
@@ -446,6 +447,59 @@ def _(market):
     return buyer.overview(market, QueryParams(LATER_HALF), store.first_dates())
 
 
+def _before_changes(market) -> Marketplace:
+    """The marketplace as it might have been: later items are missing, some amounts differ, some lines are there twice,
+    some orders came through another channel."""
+
+    def items():
+        rows = market.po_items
+        some = F.col("product_id") % 7 == 0
+        early = rows.filter("created_date < DATE '1999-06-01'")
+        early = early.withColumn("amount_units", F.when(some, F.col("amount_units") * 2).otherwise(F.col("amount_units")))
+        return early.unionByName(rows.filter(F.col("product_id") % 11 == 0))
+
+    def details():
+        other = F.when(F.col("buyer_org_id") % 5 == 0, F.lit("other")).otherwise(F.col("source"))
+        return market.po_details.withColumn("source", other)
+
+    names = ("vendor_products", "user_address", "organization")
+    tables = {"po_items": items, "po_details": details} | {n: (lambda n=n: getattr(market, n)) for n in names}
+    return Marketplace(market.spark, tables, origin=market.origin, scale=market.scale)
+
+
+def _synced_in_steps(market, name: str) -> Marketplace:
+    """Lines staged from an earlier state of the sources and then brought up to date twice, the second time for nothing."""
+    store = _store(market, name)
+    store.stage(_before_changes(market))
+    if not store.stage(market) or store.stage(market):
+        raise RuntimeError("the second step changes lines, the third none")
+    return store.lines(market)
+
+
+@register(
+    "staged_in_steps",
+    with_tables(
+        "SELECT po_id, product_id, CAST(qty AS DOUBLE) AS qty, CAST(total_amount AS DOUBLE) AS total_amount,"
+        " buyer_org_id, seller_org_id, source, shipping_address, CAST(created_date AS DATE) AS created_date,"
+        " CAST(updated_date AS DATE) AS updated_date, CAST(po_created_date AS DATE) AS po_created_date FROM lines"
+    ),
+)
+def _(market):
+    dates = [F.col(c).cast("date").alias(c) for c in ("created_date", "updated_date", "po_created_date")]
+    amounts = [market.units(F.col(c)).alias(n) for c, n in (("qty_units", "qty"), ("amount_units", "total_amount"))]
+    of_order = ("buyer_org_id", "seller_org_id", "source", "shipping_address")
+    return _synced_in_steps(market, "steps").lines().select("po_id", "product_id", *amounts, *of_order, *dates)
+
+
+@register("buyer_overview_in_steps", ORACLES["buyer_overview_metrics"])
+def _(market):
+    """The first dates are those that the steps kept, of corrected, late and vanished lines."""
+    staged = _synced_in_steps(market, "steps_dates")
+    if staged.first_dates is None:
+        raise RuntimeError("no first dates are kept")
+    return buyer.overview(staged, QueryParams(LATER_HALF))
+
+
 @register(
     "entity_history",
     with_tables(

@@ -69,10 +69,10 @@ def _keys() -> Column:
     )
 
 
-def first_dates(lines: DataFrame) -> DataFrame:
-    """When each buyer first bought each product, and from each seller, in these lines."""
-    keyed = lines.select(BUYER, CLOCK, F.inline(_keys())).filter(f"{BUYER} IS NOT NULL AND key IS NOT NULL")
-    return keyed.groupBy(BUYER, "kind", "key").agg(F.min(CLOCK).alias("first_seen"))
+def first_dates(lines: DataFrame, *by: str) -> DataFrame:
+    """When each buyer first bought each product, and from each seller, in these lines (in each of their months, say)."""
+    keyed = lines.select(BUYER, CLOCK, *by, F.inline(_keys())).filter(f"{BUYER} IS NOT NULL AND key IS NOT NULL")
+    return keyed.groupBy(BUYER, "kind", "key", *by).agg(F.min(CLOCK).alias("first_seen"))
 
 
 def earliest(dates: DataFrame) -> DataFrame:
@@ -109,7 +109,9 @@ def buyer_measures(by_key: DataFrame, period: Period) -> DataFrame:
 
 
 def overview(market: Marketplace, params: QueryParams, first_dates: DataFrame | None = None) -> DataFrame:
-    """Period-over-period purchases, quantities, prices, items and suppliers per buyer."""
+    """Period-over-period purchases, quantities, prices, items and suppliers per buyer. First dates that the marketplace
+    keeps are used, unless others are given."""
+    first_dates = market.first_dates if first_dates is None else first_dates
     measures = buyer_measures(purchases_by_key(market, params.period, first_dates), params.period)
     c = {name: F.col(name) for name in measures.columns}
     spend = (c["curr_amount"], c["prev_amount"])

@@ -63,9 +63,9 @@ def of_entities(market: Marketplace, entity_type: str, ids: Ids) -> Marketplace:
     """
     column = "buyer_org_id" if entity_type == "buyer" else "seller_org_id"
     if not isinstance(ids, DataFrame):
-        return market.with_lines(entity_slice(market.lines(), column, ids), market.zones)
+        return market.with_lines(entity_slice(market.lines(), column, ids), market.zones, market.first_dates)
     asked = as_ids(market.spark, ids).withColumnRenamed("entity_id", column)
-    return market.with_lines(market.lines().join(asked, column, "left_semi"), market.zones)
+    return market.with_lines(market.lines().join(asked, column, "left_semi"), market.zones, market.first_dates)
 
 
 def query_rows(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 from functools import reduce
 
@@ -16,18 +17,20 @@ from tradeloom.plans import buyer
 from tradeloom.plans.benchmarks import merge_rows, platform_benchmarks
 from tradeloom.plans.entities import documents, in_order, overview_lines, query_rows
 from tradeloom.plans.registry import plan_of
-from tradeloom.sources.staging import staged, written_market
+from tradeloom.plans.snapshots import Parts, Snapshots
+from tradeloom.session import written
+from tradeloom.sources.increments import StagedLines
+from tradeloom.sources.staging import MONTH
 from tradeloom.sources.tables import Marketplace
 
 HISTORY_SCHEMA = """
-    entity_id bigint, position double, row string, chunk int, created_at timestamp, updated_at timestamp,
-    entity_type string, query string
+    entity_id bigint, position double, row string, chunk int, created_at timestamp, updated_at timestamp, query string
 """
 BENCHMARK_SCHEMA = """
     total_count bigint, avg_period_spend double, avg_counterparties double, std_period_spend double,
     std_counterparties double, platform_total_spend double, platform_total_orders double,
     platform_total_counterparties double, median_period_spend double, median_counterparties double,
-    p25 double, p50 double, p75 double, p90 double, calculated_at timestamp, entity_type string
+    p25 double, p50 double, p75 double, p90 double, calculated_at timestamp
 """
 LOG_SCHEMA = """
     synced_at timestamp, entity_type string, entities_count int, duration_s double, status string,
@@ -56,11 +59,17 @@ class EmptyOverviewError(ValueError):
 
 
 class Store:
-    """Tables below one folder that all executors share."""
+    """Tables below one folder that all executors share.
+
+    Lines, first dates, history, overviews and benchmarks are snapshots: what a sync writes of an entity type is seen
+    all at once, when it is published, and a failure before that leaves the former state whole.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
+        self.snapshots = Snapshots(spark, root)
+        self.staged_lines = StagedLines(self.snapshots)
 
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -75,50 +84,53 @@ class Store:
                 raise
             return self.spark.createDataFrame([], kind)
 
-    @staticmethod
-    def _replace_partition(df: DataFrame, path: str, **options: str) -> None:
-        """Overwrite only the entity types that occur; no rows at all replace nothing."""
-        (
-            df.write.mode("overwrite")
-            .options(partitionOverwriteMode="dynamic", **options)
-            .partitionBy("entity_type")
-            .parquet(path)
-        )
+    def _snapshot(self, table: str, entity_types: Sequence[str], schema: str | None = None) -> DataFrame | None:
+        """The newest rows of these entity types, with their type in a column; None if there are none yet."""
+        parts = self.snapshots.current()
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        frames = [
+            reader.parquet(self.snapshots.path(parts[table, kind])).withColumn("entity_type", F.lit(kind))
+            for kind in entity_types
+            if (table, kind) in parts
+        ]
+        return reduce(DataFrame.unionByName, frames) if frames else None
 
     # History
 
-    def write_history(self, rows: DataFrame, entity_type: str, updated_at: datetime) -> None:
-        """Replace the history of one entity type by written rows `in_order`; a query without rows has none afterwards.
-
-        Each query has a folder of its own. In it rows are sorted by entity and its position, and files carry a
-        bloom filter of their entities, so a lookup skips most; an entity with most rows spreads over files.
-        """
+    def _put_history(self, rows: DataFrame, entity_type: str, updated_at: datetime) -> Parts:
+        """Each query has a folder of its own. In it rows are sorted by entity and its position, and files carry a
+        bloom filter of their entities, so a lookup skips most; an entity with most rows spreads over files."""
+        folder = self.snapshots.folder("history")
         stamp = {"created_at": F.lit(updated_at), "updated_at": F.lit(updated_at)}
         (
             rows.withColumns(stamp)
-            .write.mode("overwrite")
-            .option("parquet.bloom.filter.enabled#entity_id", "true")
+            .write.option("parquet.bloom.filter.enabled#entity_id", "true")
             .partitionBy("query")
-            .parquet(f"{self._path('history')}/entity_type={entity_type}")
+            .parquet(self.snapshots.path(folder))
         )
+        return {("history", entity_type): folder}
+
+    def write_history(self, rows: DataFrame, entity_type: str, updated_at: datetime) -> None:
+        """Replace the history of one entity type by written rows `in_order`; a query without rows has none afterwards."""
+        self.snapshots.publish(self._put_history(rows, entity_type, updated_at))
 
     def history(self, entity_type: str, query: str | None = None) -> DataFrame:
-        rows = self._read("history", HISTORY_SCHEMA).filter(F.col("entity_type") == entity_type)
+        rows = self._snapshot("history", [entity_type], HISTORY_SCHEMA)
+        rows = self.spark.createDataFrame([], f"{HISTORY_SCHEMA}, entity_type string") if rows is None else rows
         return rows if query is None else rows.filter(F.col("query") == query)
 
     def overview(self, entity_type: str) -> DataFrame:
         """The overview query's rows of the last sync, typed; also of what belongs to no entity."""
-        return self.spark.read.parquet(self._path(f"overview/{entity_type}"))
+        rows = self._snapshot("overview", [entity_type])
+        if rows is None:
+            raise LookupError(f"no {entity_type} overview; sync first")
+        return rows.drop("entity_type")
 
     def entities(self, entity_type: str) -> DataFrame:
         """Ids of entities with history; each has one overview row."""
         column = plan_of(entity_type).id_column
-        try:
-            rows = self.overview(entity_type)
-        except AnalysisException as failure:
-            if failure.getCondition() != "PATH_NOT_FOUND":
-                raise
-            rows = self.spark.createDataFrame([], f"{column} bigint")
+        rows = self._snapshot("overview", [entity_type])
+        rows = self.spark.createDataFrame([], f"{column} bigint") if rows is None else rows
         return rows.select(F.col(column).alias("entity_id")).filter(F.col("entity_id").isNotNull())
 
     def history_exists(self, entity_type: str) -> bool:
@@ -139,7 +151,8 @@ class Store:
     # First dates
 
     def add_first_dates(self, lines: DataFrame, batch: str) -> None:
-        """The first dates that a batch of new lines tells; a repeated batch replaces its own."""
+        """The first dates that a batch of new lines tells; a repeated batch replaces its own. For lines that no sync
+        stages; a sync keeps its own."""
         buyer.first_dates(lines).write.mode("overwrite").parquet(f"{self._path('first_dates')}/batch={batch}")
 
     def first_dates(self) -> DataFrame:
@@ -149,14 +162,20 @@ class Store:
 
     # Benchmarks
 
+    def _put_benchmarks(self, benchmarks: DataFrame, calculated_at: datetime) -> Parts:
+        folder = self.snapshots.folder("benchmarks")
+        stamped = benchmarks.withColumn("calculated_at", F.lit(calculated_at))
+        stamped.write.partitionBy("entity_type").parquet(self.snapshots.path(folder))
+        kinds = self.spark.read.parquet(self.snapshots.path(folder)).select("entity_type").collect()  # a row each
+        return {("benchmarks", kind): f"{folder}/entity_type={kind}" for (kind,) in kinds}
+
     def write_benchmarks(self, benchmarks: DataFrame, calculated_at: datetime) -> None:
         """Insert or replace the one row of each entity type that occurs."""
-        stamped = benchmarks.withColumn("calculated_at", F.lit(calculated_at))
-        self._replace_partition(stamped, self._path("benchmarks"))
+        self.snapshots.publish(self._put_benchmarks(benchmarks, calculated_at))
 
     def benchmarks(self, entity_type: str | None = None) -> DataFrame:
-        table = self._read("benchmarks", BENCHMARK_SCHEMA)
-        return table if entity_type is None else table.filter(F.col("entity_type") == entity_type)
+        table = self._snapshot("benchmarks", ENTITY_TYPES if entity_type is None else [entity_type], BENCHMARK_SCHEMA)
+        return self.spark.createDataFrame([], f"{BENCHMARK_SCHEMA}, entity_type string") if table is None else table
 
     def benchmark_lookup(self, entity_type: str) -> DataFrame:
         found = self.benchmarks(entity_type)
@@ -201,12 +220,15 @@ class Store:
     ) -> dict[str, int]:
         """Rebuild history and benchmarks of the given entity types and log each outcome.
 
-        The join of items with orders is written once and read by all queries, and the overview is computed and
-        written once: history and benchmarks are taken from it. All of a type is computed before anything of
-        it is replaced; a type that fails until then, or whose overview is empty, keeps what it had.
+        The joined lines are staged below the store and follow their sources: only months with a changed line are
+        written, and with them the first dates of what each buyer bought. The overview is computed and written once:
+        history and benchmarks are taken from it. All of a type is written before any of it is published; a type that
+        fails until then, or whose overview is empty, keeps what it had. Lines that come staged are read where they are.
         """
         started = time.monotonic()
-        market = staged(market, self._path("lines"))
+        if MONTH not in market.lines().columns:
+            self.stage(market)
+            market = self.staged_lines.market(market, self.snapshots.current()) or market
         counts: dict[str, int] = {}
         for entity_type, chosen in params.items():
             try:
@@ -223,20 +245,33 @@ class Store:
     def _sync_type(self, market: Marketplace, entity_type: str, params: QueryParams, now: datetime) -> int:
         if overview_lines(market, entity_type, params.period).isEmpty():
             raise EmptyOverviewError(f"no {entity_type} in {params.period}")
-        plan, work = plan_of(entity_type), self._path(f"work/{entity_type}")
-        plan.overview.build(market, params).write.mode("overwrite").parquet(f"{work}/overview")
-        overview = self.spark.read.parquet(f"{work}/overview")
-        platform_benchmarks(overview, entity_type).write.mode("overwrite").parquet(f"{work}/benchmarks")
-        rows = in_order(query_rows(market, entity_type, params, overview))
-        rows.write.mode("overwrite").parquet(f"{work}/rows")
-        self.write_history(self.spark.read.schema(rows.schema).parquet(f"{work}/rows"), entity_type, now)
-        overview.write.mode("overwrite").parquet(self._path(f"overview/{entity_type}"))
-        self.write_benchmarks(self.spark.read.parquet(f"{work}/benchmarks"), now)
+        plan, folder = plan_of(entity_type), self.snapshots.folder("overview")
+        plan.overview.build(market, params).write.parquet(self.snapshots.path(folder))
+        overview = self.spark.read.parquet(self.snapshots.path(folder))
+        made: Parts = {("overview", entity_type): folder}
+        made |= self._put_benchmarks(platform_benchmarks(overview, entity_type), now)
+        rows = in_order(written(query_rows(market, entity_type, params, overview), "history-rows"))
+        made |= self._put_history(rows, entity_type, now)
+        self.snapshots.publish(made)
         return self.entities(entity_type).count()
 
+    def stage(self, market: Marketplace) -> bool:
+        """Let the staged lines follow the sources; False if nothing changed."""
+        changes = self.staged_lines.changes(market, self.snapshots.current())
+        if changes:
+            self.snapshots.publish(changes)
+        return bool(changes)
+
     def lines(self, market: Marketplace) -> Marketplace:
-        """The marketplace with the joined lines that the last sync wrote."""
-        return written_market(market, self._path("lines"))
+        """The marketplace with the joined lines, zones and first dates that the last sync wrote."""
+        found = self.staged_lines.market(market, self.snapshots.current())
+        if found is None:
+            raise LookupError("no staged lines; sync first")
+        return found
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Delete versions but the newest and the folders that only they name."""
+        return self.snapshots.vacuum(keep)
 
     # Documents
 

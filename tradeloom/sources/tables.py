@@ -28,11 +28,21 @@ class Zone:
         return low is not None and low <= end and (start is None or high >= start)
 
 
+@dataclass(frozen=True)
+class FileSource:
+    """Where items and orders are files: `listed` gives name (of the table), file, size and modified of each; `part` reads
+    the given files of a table."""
+
+    listed: Callable[[], DataFrame]
+    part: Callable[[str, list[str]], DataFrame]
+
+
 class Marketplace:
     """The source tables, each built when it is first asked for.
 
     `lines` may give the items already joined with their orders; else they are joined here. `origin`
-    tells where the tables come from. Quantities and amounts are whole numbers of 10**-scale.
+    tells where the tables come from. Quantities and amounts are whole numbers of 10**-scale. `first_dates`, where
+    they are kept, spare the buyer overview all lines before its two periods.
     """
 
     def __init__(
@@ -43,8 +53,12 @@ class Marketplace:
         origin: str | None = None,
         scale: int = 2,
         zones: list[Zone] | None = None,
+        first_dates: DataFrame | None = None,
+        files: FileSource | None = None,
     ):
         self.spark = spark
+        self.first_dates = first_dates
+        self.files = files
         self.origin = origin
         self.scale = scale
         self.zones = zones
@@ -80,8 +94,10 @@ class Marketplace:
             F.col("id").alias("product_id"), deepest_category(F.col("category_ids")).alias("category_name")
         )
 
-    def with_lines(self, lines: DataFrame, zones: list[Zone] | None = None) -> Marketplace:
-        return Marketplace(self.spark, self._tables, lambda: lines, self.origin, self.scale, zones)
+    def with_lines(
+        self, lines: DataFrame, zones: list[Zone] | None = None, first_dates: DataFrame | None = None
+    ) -> Marketplace:
+        return Marketplace(self.spark, self._tables, lambda: lines, self.origin, self.scale, zones, first_dates)
 
     def units(self, total: Column) -> Column:
         """A sum of amounts or quantities as a double with two decimals."""
@@ -91,8 +107,9 @@ class Marketplace:
         return units_per(total, count, self.scale)
 
 
-def join_items_orders(po_items: DataFrame, po_details: DataFrame) -> DataFrame:
-    orders = po_details.select(
+def order_columns(po_details: DataFrame) -> DataFrame:
+    """Orders as their lines show them."""
+    return po_details.select(
         F.col("id").alias("po_id"),
         "buyer_org_id",
         "seller_org_id",
@@ -100,7 +117,10 @@ def join_items_orders(po_items: DataFrame, po_details: DataFrame) -> DataFrame:
         "source",
         "shipping_address",
     )
-    return po_items.join(orders, "po_id")
+
+
+def join_items_orders(po_items: DataFrame, po_details: DataFrame) -> DataFrame:
+    return po_items.join(order_columns(po_details), "po_id")
 
 
 def scale_of(po_items: DataFrame) -> int:
@@ -132,7 +152,24 @@ def read_parquet(spark: SparkSession, folder: str, scale: int | None = None) ->
         rows = spark.read.parquet(f"{folder}/{table}")
         return with_amounts(rows, scale) if table == "po_items" else rows
 
-    return Marketplace(spark, {table: partial(read, table) for table in TABLES}, origin=folder, scale=scale)
+    def listed() -> DataFrame:
+        """Files that hold rows, from their own entries; no row is read."""
+        facts = {"file": "file_path", "size": "file_size", "modified": "file_modification_time"}
+        names = ("po_items", "po_details")
+        found = [
+            spark.read.parquet(f"{folder}/{name}")
+            .select(F.lit(name).alias("name"), *(F.col(f"_metadata.{c}").alias(n) for n, c in facts.items()))
+            .distinct()
+            for name in names
+        ]
+        return found[0].union(found[1])
+
+    def part(name: str, files: list[str]) -> DataFrame:
+        rows = spark.read.option("basePath", f"{folder}/{name}").parquet(*files)
+        return with_amounts(rows, scale) if name == "po_items" else rows
+
+    files = FileSource(listed, part)
+    return Marketplace(spark, {t: partial(read, t) for t in TABLES}, origin=folder, scale=scale, files=files)
 
 
 # The column by which each table is read in parallel.
