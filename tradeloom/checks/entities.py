@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 from datetime import date, datetime
+from functools import reduce
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.checks.analytics import buyer_overview_ctes, seller_overview_ctes
@@ -467,13 +468,21 @@ def _before_changes(market) -> Marketplace:
     return Marketplace(market.spark, tables, origin=market.origin, scale=market.scale)
 
 
-def _synced_in_steps(market, name: str) -> Marketplace:
+def _store_in_steps(market, name: str, distincts: bool = False) -> Store:
     """Lines staged from an earlier state of the sources and then brought up to date twice, the second time for nothing."""
     store = _store(market, name)
     store.stage(_before_changes(market))
+    if distincts:
+        store.update_distincts()
     if not store.stage(market) or store.stage(market):
         raise RuntimeError("the second step changes lines, the third none")
-    return store.lines(market)
+    if distincts and (not store.update_distincts() or store.update_distincts()):
+        raise RuntimeError("the sets follow the lines once")
+    return store
+
+
+def _synced_in_steps(market, name: str) -> Marketplace:
+    return _store_in_steps(market, name).lines(market)
 
 
 @register(
@@ -491,6 +500,29 @@ def _(market):
     return _synced_in_steps(market, "steps").lines().select("po_id", "product_id", *amounts, *of_order, *dates)
 
 
+RESOLUTIONS = ("month", "quarter", "year")
+COUNTED = (("product", "product_id"), ("buyer", "buyer_org_id"))
+
+
+@register(
+    "distinct_counts_in_steps",
+    with_tables(
+        " UNION ALL ".join(
+            f"SELECT seller_org_id AS vendor_id, '{kind}' AS kind, '{resolution}' AS resolution,"
+            f" CAST(date_trunc('{resolution}', created_date) AS DATE) AS bucket, count(DISTINCT {column}) AS n"
+            f" FROM lines WHERE {column} IS NOT NULL GROUP BY ALL"
+            for kind, column in COUNTED
+            for resolution in RESOLUTIONS
+        )
+    ),
+)
+def _(market):
+    """Months, quarters and years from the sets of the months, kept through a change of the sources."""
+    store = _store_in_steps(market, "steps_sets", distincts=True)
+    found = [store.distinct_counts(r).withColumn("resolution", F.lit(r)) for r in RESOLUTIONS]
+    return reduce(DataFrame.unionByName, found)
+
+
 @register("buyer_overview_in_steps", ORACLES["buyer_overview_metrics"])
 def _(market):
     """The first dates are those that the steps kept, of corrected, late and vanished lines."""

@@ -68,7 +68,7 @@ class Snapshots:
         """
         rows = self._lists()
         kept = set(sorted({r.version for r in rows})[-keep:])
-        named = {r.folder for r in rows if r.version in kept}
+        named = {r.folder for r in rows if r.version in kept}  # also those that parts were made from
         root = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
 

@@ -269,6 +269,17 @@ class Store:
             raise LookupError("no staged lines; sync first")
         return found
 
+    def update_distincts(self) -> bool:
+        """Let the sets of what vendors sold follow the staged lines, month by month; False if nothing changed."""
+        changes = self.staged_lines.set_changes(self.snapshots.current())
+        if changes:
+            self.snapshots.publish(changes)
+        return bool(changes)
+
+    def distinct_counts(self, resolution: str) -> DataFrame:
+        """Products and buyers of each vendor by month, quarter or year, from the sets of the months."""
+        return self.staged_lines.distinct_counts(self.snapshots.current(), resolution)
+
     def vacuum(self, keep: int = 2) -> int:
         """Delete versions but the newest and the folders that only they name."""
         return self.snapshots.vacuum(keep)

@@ -17,6 +17,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradeloom.operators.distincts import dense_ids, key_bits, union_sizes
 from tradeloom.plans import buyer
 from tradeloom.plans.snapshots import Parts, Snapshots
 from tradeloom.session import written
@@ -29,6 +30,8 @@ OF_ORDER = ("buyer_org_id", "seller_org_id", "po_created_date", "source", "shipp
 BUCKETS = 32
 FIRST_KEY = [buyer.BUYER, "kind", "key"]
 LINES, ZONES, MONTH_FIRSTS, FIRSTS, FILES = "lines", "zones", "month_first_dates", "first_dates", "files"
+#: Sets of what a vendor sold and to whom, by month; the numbers of their keys; and the lines that the sets are from.
+SETS, KEY_IDS, SETS_FROM = "month_sets", "key_ids", "month_sets_from"
 
 
 def _item_digest(columns: list[str]) -> Column:
@@ -222,6 +225,63 @@ class StagedLines:
         out: dict[tuple[str, str], str | None] = {} if old is None else {(FIRSTS, str(b)): None for b in buckets}
         return out | {(FIRSTS, str(b)): f"{folder}/bucket={b}" for (b,) in made}
 
+    # Distinct counts
+
+    @staticmethod
+    def _sold(lines: DataFrame) -> DataFrame:
+        """Month, vendor, kind and key of all that was sold; a vendor's key once a month."""
+        kinds = F.array(
+            *(
+                F.struct(F.lit(kind).alias("kind"), F.col(column).cast("string").alias("key"))
+                for kind, column in (("product", "product_id"), ("buyer", buyer.BUYER))
+            )
+        )
+        keyed = lines.select(MONTH, F.col("seller_org_id").alias("vendor_id"), F.inline(kinds))
+        return keyed.filter("key IS NOT NULL").distinct()
+
+    def set_changes(self, parts: Parts) -> dict[tuple[str, str], str | None]:
+        """Sets of the months whose lines are not those that their sets were made from. Keys keep their numbers, new ones
+        are numbered behind them."""
+        sources = {part: folder for (name, part), folder in parts.items() if name == LINES}
+        made = {part: folder for (name, part), folder in parts.items() if name == SETS_FROM}
+        gone = made.keys() - sources.keys()
+        out: dict[tuple[str, str], str | None] = {(name, m): None for m in gone for name in (SETS, SETS_FROM)}
+        stale = {part for part, folder in sources.items() if made.get(part) != folder}
+        if not stale:
+            return out
+        lines = self._read({k: f for k, f in parts.items() if k[0] == LINES and k[1] in stale}, LINES)
+        sold = written(self._sold(lines), "sold")
+        known = self._read(parts, KEY_IDS)
+        keys = sold.select("kind", "key")
+        if known is not None:
+            keys = keys.join(known, ["kind", "key"], "left_anti")
+        start = 0 if known is None else known.agg(F.max("id")).first()[0] + 1
+        new = dense_ids(keys, start)
+        number = sum(name == KEY_IDS for name, _ in parts)
+        out[KEY_IDS, str(number)] = self.snapshots.folder(KEY_IDS)
+        new.write.parquet(self.snapshots.path(out[KEY_IDS, str(number)]))
+        if new.isEmpty():
+            del out[KEY_IDS, str(number)]
+        ids = self._read({k: f for k, f in (dict(parts) | out).items() if f}, KEY_IDS)
+        folder = self.snapshots.folder(SETS)
+        sets = key_bits(sold.join(ids, ["kind", "key"]), [MONTH, "vendor_id", "kind"])
+        sets.hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(self.snapshots.path(folder))
+        held = self.spark.read.schema(sets.schema).parquet(self.snapshots.path(folder)).select(MONTH).distinct().collect()
+        out |= {(SETS, m): None for m in stale}
+        for (month,) in held:
+            value = "__HIVE_DEFAULT_PARTITION__" if month is None else month.isoformat()
+            out[SETS, _part(month)] = f"{folder}/{MONTH}={value}"
+        return out | {(SETS_FROM, m): sources[m] for m in stale}
+
+    def distinct_counts(self, parts: Parts, resolution: str) -> DataFrame:
+        """vendor_id, kind (product or buyer), bucket (month, quarter or year of creation), n: distinct keys, from the sets of
+        the months alone."""
+        sets = self._read(parts, SETS)
+        if sets is None:
+            raise LookupError("no sets of months; update them first")
+        at = F.date_trunc(resolution, F.col(MONTH)).cast("date")
+        return union_sizes(sets.withColumn("bucket", at), ["vendor_id", "kind", "bucket"], "n")
+
     @staticmethod
     def _bucket() -> Column:
         return F.pmod(F.xxhash64(*FIRST_KEY), F.lit(BUCKETS)).cast("int")
