@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import random
-from datetime import date, datetime
+from datetime import datetime
 
 import pytest
 
@@ -180,7 +180,9 @@ def test_vacuum_keeps_the_newest_versions(spark, tmp_path):
     assert snapshots.vacuum(keep=1) == 4
     assert set(snapshots.current()) == {("numbers", "")}
     assert spark.read.parquet(snapshots.path(snapshots.current()["numbers", ""])).count() == 4
-    assert snapshots.vacuum(keep=1) == 0 and len(os.listdir(tmp_path / "versions")) == 1
+    snapshots.publish({("numbers", ""): None})
+    assert snapshots.current() == {} and snapshots.publish({}) == 7
+    assert snapshots.vacuum(keep=1) == 1 and len(os.listdir(tmp_path / "versions")) == 1
 
 
 def test_a_run_uses_the_kept_first_dates(spark, tmp_path, monkeypatch):
@@ -193,4 +195,39 @@ def test_a_run_uses_the_kept_first_dates(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(buyer, "purchases_by_key", lambda m, p, d=None: seen.append(d) or real(m, p, d))
     status = runs.run_entities(store, store.lines(source), "buyer", params, NOW, entity_ids=[1, 2])
     assert len(seen) == 1 and seen[0] is not None and status.count() == 2
-    assert date(2024, 3, 1) == params.period.start
+
+
+def test_a_failed_run_is_taken_up_after_its_last_finished_step(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "store"))
+    source = market(spark, *purchases(7, 20))
+    store.sync(source, PARAMS, NOW)
+    staged, calls = store.lines(source), []
+
+    def run():
+        return runs.run_entities(store, staged, "seller", PARAMS["seller"], NOW)
+
+    def watch(owner, name):
+        real = getattr(owner, name)
+        monkeypatch.setattr(owner, name, lambda *args: (calls.append(name), real(*args))[1])
+
+    for owner, name in ((runs, "query_rows"), (store, "write_dashboards"), (store, "write_insights")):
+        watch(owner, name)
+    with monkeypatch.context() as m:
+        m.setattr(runs, "entity_insights", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run()
+    assert calls == ["query_rows", "write_dashboards"] and store.insights().isEmpty()
+    calls.clear()
+    done = rows(run())
+    assert calls == ["write_insights"] and {r[1] for r in done} == {"success"}
+    calls.clear()
+    assert rows(run()) == done and calls == ["query_rows", "write_dashboards", "write_insights"]  # through: begins anew
+    calls.clear()
+    with monkeypatch.context() as m:
+        m.setattr(runs, "entity_insights", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run()
+    store.sync(source, PARAMS, NOW)  # another state of the store: nothing is taken up
+    calls.clear()
+    run()
+    assert calls == ["query_rows", "write_dashboards", "write_insights"]

@@ -207,21 +207,30 @@ def test_quantiles_where_one_value_is_most_rows(spark):
     assert got == pytest.approx({p: np.percentile(values, p * 100) for p in wanted})
 
 
-def test_a_task_orders_one_range_of_the_values(spark):
-    """Of 4,000 distinct values over 8 ranges, no range holds more than a quarter, and all ranks are right."""
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    shuffles = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "8")
-    try:
-        frame = spark.range(4000).select(F.lit("g").alias("g"), (F.col("id") * 7 % 4001).cast("double").alias("v"))
-        got = {r.probability: r.quantile for r in exact_quantiles(frame, "g", "v", [0.0, 0.3, 1.0]).collect()}
-        ranged = frame.repartitionByRange("g", "v").groupBy(F.spark_partition_id()).count()
-        assert max(r["count"] for r in ranged.collect()) <= 1000
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
-    values = [i * 7 % 4001 for i in range(4000)]
-    assert got == pytest.approx({p: np.percentile(values, p * 100) for p in (0.0, 0.3, 1.0)})
+@pytest.mark.parametrize("steps, few", [(2, 1), (16, 3), (4096, 1), (4096, 65_536)])
+def test_quantiles_by_any_steps(spark, steps, few):
+    """Ties, negatives, one group with most rows, values far apart, and a range beyond the largest double."""
+    groups = {
+        "most": [float((i * 7919) % 257 - 100) / 4 for i in range(3000)],
+        "far": [0.0, 1e-300, 2e-300, 5e-324, 1.0, 1e300, -1e300, 3.5, 3.5],
+        "wide": [-1.7e308, 1.7e308, 0.0, 12.0],
+        "one": [2.25],
+        "same": [-7.0] * 50,
+    }
+    data = [(g, v) for g, values in groups.items() for v in values] + [("most", None), ("none", None)]
+    frame = spark.createDataFrame(data, "g string, v double").repartition(5)
+    wanted = [0.0, 0.25, 0.5, 0.9, 1.0]
+    found = exact_quantiles(frame, "g", "v", wanted, steps, few)
+    assert "rangepartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {(r.g, r.probability): r.quantile for r in found.collect()}
+
+    def plain(values, p):
+        at = p * (len(values) - 1)
+        low, part = int(at // 1), at % 1
+        ordered = sorted(values)
+        return ordered[low] * (1 - part) + (ordered[low + 1] * part if part else 0.0)
+
+    assert got == pytest.approx({(g, p): plain(v, p) for g, v in groups.items() for p in wanted}, rel=1e-12, abs=0)
 
 
 def test_the_deviation_does_not_depend_on_order(spark):

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -21,18 +23,56 @@ from tradeloom.plans.entities import (
     query_rows,
 )
 from tradeloom.plans.registry import plan_of
+from tradeloom.plans.snapshots import Snapshots
 from tradeloom.plans.store import Store
+from tradeloom.session import written
 from tradeloom.sources.staging import staged
 from tradeloom.sources.tables import Marketplace
 
 
-def write_rows(market: Marketplace, entity_type: str, params: QueryParams, path: str) -> None:
-    """Below the path, the overview with its own columns, and the rows of all queries in order; later steps read
-    both more than once."""
+class Steps:
+    """A run's finished steps. A step writes to a new folder, which is listed once it is whole, under a digest of all that the run
+    starts from; a run that failed takes up the listed ones when it is repeated on the same."""
+
+    def __init__(self, store: Store, path: str, inputs: object):
+        self.listed = Snapshots(store.spark, path)
+        self.digest = hashlib.sha256(repr(inputs).encode()).hexdigest()
+        self.done = self.listed.current()
+
+    def folder(self, name: str, write: Callable[[str], object]) -> str:
+        """The folder of the step, which is written first unless it is there."""
+        key = (name, self.digest)
+        if key not in self.done:
+            made = self.listed.folder(name)
+            write(self.listed.path(made))
+            self.listed.publish({key: made})
+            self.done[key] = made
+        return self.listed.path(self.done[key])
+
+    def close(self) -> None:
+        """The run is through: repeated, it begins anew."""
+        self.listed.publish(dict.fromkeys(self.done))
+
+
+def write_rows(market: Marketplace, entity_type: str, params: QueryParams, path: str, steps: Steps | None = None) -> tuple[str, str]:
+    """The overview with its own columns, and the rows of all queries in order; later steps read both more than once.
+    They are written below the path, or as steps."""
+
+    def step(name: str, write: Callable[[str], object]) -> str:
+        if steps is not None:
+            return steps.folder(name, write)
+        write(f"{path}/{name}")
+        return f"{path}/{name}"
+
     plan = plan_of(entity_type)
-    plan.overview.build(market, params).write.mode("overwrite").parquet(f"{path}/overview")
-    overview = market.spark.read.parquet(f"{path}/overview")
-    in_order(query_rows(market, entity_type, params, overview)).write.mode("overwrite").parquet(f"{path}/rows")
+    made = step("overview", lambda to: plan.overview.build(market, params).write.mode("overwrite").parquet(to))
+    overview = market.spark.read.parquet(made)
+
+    def put(to: str) -> None:
+        rows = written(query_rows(market, entity_type, params, overview), "run-rows")  # ordering samples its input
+        in_order(rows).write.mode("overwrite").parquet(to)
+
+    return made, step("rows", put)
 
 
 def entity_insights(
@@ -70,7 +110,9 @@ def run_entities(
 
     Needs the history of the type. Every query runs once for all entities, on lines that are joined and
     written once (pass `store.lines(market)` to use those of the last sync); for given entities only their
-    own lines are read. Ids may be a list or a frame of any size.
+    own lines are read. Ids may be a list or a frame of any size. A run that fails is taken up after its last finished
+    step when it is repeated with the same request and time on the same state of the store; not with ids in a frame, or
+    lines that are not the store's, whose content nothing names.
     """
     now = now.replace(microsecond=0)  # documents keep no finer time
     if not store.history_exists(entity_type):
@@ -79,22 +121,29 @@ def run_entities(
     path = f"{store.root}/runs/{entity_type}/{run}"
     if entity_ids is not None:
         market = of_entities(market, entity_type, entity_ids)
+    named = not isinstance(entity_ids, DataFrame) and market.first_dates is not None
+    state = sorted(store.snapshots.current().items()) if named else uuid.uuid4().hex
+    steps = Steps(store, path, (state, entity_type, params, run))
     market = staged(market, f"{path}/lines")
-    write_rows(market, entity_type, params, path)
-    rows = store.spark.read.parquet(f"{path}/rows")
+    overview, rows = write_rows(market, entity_type, params, path, steps)
+    rows = store.spark.read.parquet(rows)
 
     ids = active_entities(market, entity_type, params.period)
     if limit is not None:
         ids = first_entities(ids, limit)
-    store.write_dashboards(documents(ids, rows, entity_type, params, now), entity_type, run)
-
-    plan = plan_of(entity_type)
-    chosen = ids.withColumnRenamed("entity_id", plan.id_column)
-    current = store.spark.read.parquet(f"{path}/overview").join(chosen, plan.id_column, "left_semi")
-    benchmarks = store.benchmark_lookup(entity_type)
-    records = entity_insights(current, store.overview(entity_type), benchmarks, entity_type)
-    docs = insights.insight_documents(insights.valid_insights(records), params, now)
-    store.write_insights(docs, entity_type, run)
+    # Documents have their place in the store; the step's own folder stays empty.
+    steps.folder("dashboards", lambda _: store.write_dashboards(documents(ids, rows, entity_type, params, now), entity_type, run))
+
+    def put_insights(_: str) -> None:
+        plan = plan_of(entity_type)
+        chosen = ids.withColumnRenamed("entity_id", plan.id_column)
+        current = store.spark.read.parquet(overview).join(chosen, plan.id_column, "left_semi")
+        benchmarks = store.benchmark_lookup(entity_type)
+        records = entity_insights(current, store.overview(entity_type), benchmarks, entity_type)
+        store.write_insights(insights.insight_documents(insights.valid_insights(records), params, now), entity_type, run)
+
+    steps.folder("insights", put_insights)
+    steps.close()
 
     made = store.insights(run).filter(F.col("entity_type") == entity_type).select("entity_id", "insights_count")
     asked = ids if entity_ids is None or limit is not None else as_ids(store.spark, entity_ids)

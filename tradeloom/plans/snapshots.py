@@ -39,7 +39,7 @@ class Snapshots:
         """Folder of each part in the newest version."""
         rows = self._lists()
         newest = max((r.version for r in rows), default=0)
-        return {(r.name, r.part): r.folder for r in rows if r.version == newest}
+        return {(r.name, r.part): r.folder for r in rows if r.version == newest and r.folder is not None}
 
     def folder(self, name: str) -> str:
         """A new folder for a part of the table, below the root; not there yet."""
@@ -56,7 +56,8 @@ class Snapshots:
         rows = self._lists()
         version = max((r.version for r in rows), default=0)
         parts: dict = {(r.name, r.part): r.folder for r in rows if r.version == version} | dict(changes)
-        listed = [(version + 1, *key, folder) for key, folder in parts.items() if folder is not None]
+        listed = [(version + 1, "", "", None)]  # a version without parts is one, too
+        listed += [(version + 1, *key, folder) for key, folder in parts.items() if folder is not None]
         frame = self.spark.createDataFrame(listed, LIST_SCHEMA).coalesce(1)
         frame.write.parquet(f"{self.root}/versions/{uuid.uuid4().hex}")
         return version + 1
@@ -68,7 +69,7 @@ class Snapshots:
         """
         rows = self._lists()
         kept = set(sorted({r.version for r in rows})[-keep:])
-        named = {r.folder for r in rows if r.version in kept}  # also those that parts were made from
+        named = {r.folder for r in rows if r.version in kept and r.folder is not None}  # also those that parts were made from
         root = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
