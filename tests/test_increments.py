@@ -231,3 +231,17 @@ def test_a_failed_run_is_taken_up_after_its_last_finished_step(spark, tmp_path,
     calls.clear()
     run()
     assert calls == ["query_rows", "write_dashboards", "write_insights"]
+
+
+def test_lines_may_be_none_and_come_later(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    items, orders = purchases(8, 6)
+    assert store.sync(market(spark, [], []), PARAMS, NOW) == {"seller": 0}
+    assert store.latest_sync().first().status == "error"
+    with pytest.raises(LookupError):
+        store.lines(market(spark, [], []))
+    for source in (market(spark, items, orders), market(spark, [], []), market(spark, items[:3], orders)):
+        store.stage(source)
+        if not source.po_items.isEmpty():
+            assert rows(store.lines(source).lines(), *sorted(source.lines().columns)) == rows(source.lines(), *sorted(source.lines().columns))
+            assert rows(store.lines(source).first_dates) == rows(buyer.first_dates(source.lines()))

@@ -206,6 +206,8 @@ class StagedLines:
         affected = (keys[0] if len(keys) == 1 else keys[0].union(keys[1])).distinct()
         months = self._read({k: f for k, f in (dict(parts) | changed).items() if f}, MONTH_FIRSTS)
         old = self._read(parts, FIRSTS)
+        if months is None:  # no line is left
+            return {key: None for key in parts if key[0] == FIRSTS}
         if old is None:
             dates = buyer.earliest(months)
         else:
