@@ -9,7 +9,9 @@ A licence need not be a unit: its text may run over several paragraphs or share
 full licence texts are also compared with runs of consecutive words of the whole text. A run that reaches the threshold
 t holds at least b t / (2 - t) of a template's b distinct bigrams; only texts that hold as many are looked at further.
 One more template bigram at an end never lowers the coefficient, so a run begins and ends where a stretch of template
-bigrams does, and all such pairs are compared that are no longer than the template's own bigrams times (2 - t) / t. Of
+bigrams does, and is no longer than the template's own bigrams times (2 - t) / t. It does not begin at a stretch that
+loses by being cut off from the one before: where the former's bigrams that never come later are more than the words between,
+each run from there is better. So an edited licence has few beginnings, and one pass from each finds its best end. Of
 runs that overlap the best is taken. A licence that no unit matches, but such a run, counts as one match.
 
 Defined results: null and empty texts, and units of fewer than two words, match nothing; ties go to the template first
@@ -22,6 +24,8 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -117,31 +121,65 @@ def _listed(bigrams) -> str:
     return ", ".join(f"'{b}'" for b in bigrams)  # letters, digits and a space only
 
 
+def _need(own, threshold: float) -> int:
+    """How many of a template's distinct bigrams a match holds at least."""
+    return math.ceil(threshold * len(own) / (2 - threshold) - 1e-9)
+
+
+def _holds(own, threshold: float) -> Column:
+    """Whether `seen` holds as many of a template's bigrams as a match does."""
+    need = _need(own, threshold)
+    return F.expr(f"size(seen) >= {need} AND size(array_intersect(seen, split('{'|'.join(own)}', '[|]'))) >= {need}")
+
+
+def _linked(frame: DataFrame) -> DataFrame:
+    """Adds `links`: for each place p of `bigrams`, where its bigram stood before (-1: nowhere) and whether it comes
+    again. Only for texts that are looked at further."""
+    frame = frame.withColumn("sorted", F.expr("CASE WHEN likely THEN sort_array(transform(bigrams, (b, p) -> struct(b, p))) END"))
+    return frame.withColumn(
+        "links",
+        F.expr(
+            "sort_array(transform(sorted, (e, j) -> struct(e.p AS p, IF(get(sorted, j - 1).b = e.b, get(sorted, j - 1).p, -1) AS before,"
+            " coalesce(get(sorted, j + 1).b = e.b, false) AS again)))"
+        ),
+    ).drop("sorted")
+
+
 def _runs(template: tuple[str, str], order: int, threshold: float) -> Column:
     """The best run of each beginning in `bigrams` (the whole text's, in order) that reaches the threshold, if `seen`
     (those in any template) holds enough of this one's."""
     name, text = template
     own = bigrams_of(text)
-    need = math.ceil(threshold * len(own) / (2 - threshold) - 1e-9)
+    need = _need(own, threshold)
     total = len(re.sub(r"[^a-z0-9]+", " ", text.lower()).split()) - 1
     longest = math.floor(total * (2 - threshold) / threshold + 1e-9)
-    literal = f"split('{'|'.join(own)}', '[|]')"
-    # hits: where template bigrams are; p is a place in the text, i in hits. Places of the result are negative where
-    # the smaller is to win.
+    # held: whether a place holds a template bigram; hits: the places that do; stretches: the first place of each
+    # stretch of hits (p) and its number among the hits (i). A place counts as distinct in a run that begins at s.p if
+    # its bigram did not stand between s.p and it. Places of the result are negative where the smaller is to win.
+    value = f"2.0D * (a.x + IF(e.before < s.p AND held[e.p], 1, 0)) / (a.d + IF(e.before < s.p, 1, 0) + {len(own)})"
+    ends = "held[e.p] AND NOT coalesce(get(held, e.p + 1), false)"
+    # The hits from the stretch before on that come nowhere later, against the places between that are none: the former
+    # alone, if more, make any run longer by that stretch a better one.
+    gain = "size(filter(slice(hits, r.i + 1, s.i - r.i), p -> NOT links[p].again)) - (s.p - r.p - (s.i - r.i))"
+    reach = f"element_at(filter(slice(hits, s.i + 1, {longest}), p -> p - s.p < {longest}), -1)"
     return F.expr(f"""
-        CASE WHEN size(seen) >= {need} AND size(array_intersect(seen, {literal})) >= {need} THEN
-        filter(flatten(transform(array(filter(transform(bigrams, (b, p) -> IF(b IN ({_listed(own)}), p, -1)), p -> p >= 0)), hits ->
-          flatten(transform(
-            array(filter(transform(hits, (p, i) -> struct(p AS p, i AS i)), e ->
-              e.i >= {need - 1} AND coalesce(get(hits, e.i + 1) <> e.p + 1, true))),
-            ends -> transform(
-              filter(transform(hits, (p, i) -> struct(p AS p, i AS i)), s ->
-                coalesce(get(hits, s.i - 1) <> s.p - 1, true) AND coalesce(get(hits, s.i + {need - 1}) - s.p < {longest}, false)),
-              s -> array_max(transform(
-                filter(ends, e -> e.i >= s.i + {need - 1} AND e.p - s.p < {longest}),
-                e -> element_at(transform(array(array_distinct(slice(bigrams, s.p + 1, e.p - s.p + 1))), d -> struct(
-                  2.0D * size(array_intersect(d, {literal})) / (size(d) + {len(own)}) AS dice,
-                  {-order} AS `order`, '{name}' AS license, -s.p AS first, -e.p AS last)), 1))))))
+        CASE WHEN size(seen) >= {need} AND size(array_intersect(seen, split('{'|'.join(own)}', '[|]'))) >= {need} THEN
+        filter(flatten(transform(array(transform(bigrams, b -> b IN ({_listed(own)}))), held ->
+          flatten(transform(array(filter(transform(held, (h, p) -> IF(h, p, -1)), p -> p >= 0)), hits ->
+            flatten(transform(
+              array(filter(transform(hits, (p, i) -> struct(p AS p, i AS i)), e -> coalesce(get(hits, e.i - 1) <> e.p - 1, true))),
+              stretches -> transform(
+                filter(transform(stretches, (s, k) -> struct(s.p AS p, s.i AS i, get(stretches, k - 1) AS r)), s ->
+                  coalesce(get(hits, s.i + {need - 1}) - s.p < {longest}, false)
+                  AND NOT coalesce(transform(array(s.r), r -> {gain} > 0 AND {reach} - r.p < {longest})[0], false)),
+                s -> aggregate(
+                  slice(links, s.p + 1, {longest}),
+                  struct(0 AS x, 0 AS d, 0.0D AS dice, s.p AS last),
+                  (a, e) -> struct(
+                    a.x + IF(e.before < s.p AND held[e.p], 1, 0) AS x, a.d + IF(e.before < s.p, 1, 0) AS d,
+                    IF({ends}, greatest(a.dice, {value}), a.dice) AS dice,
+                    IF({ends}, IF({value} > a.dice, e.p, a.last), a.last) AS last),
+                  a -> struct(a.dice AS dice, {-order} AS `order`, '{name}' AS license, -s.p AS first, -a.last AS last)))))))
         )), m -> m.dice >= {threshold!r}D) END""").cast(MATCH)
 
 
@@ -152,21 +190,26 @@ def scan(documents: DataFrame, threshold: float = 0.8, templates=TEMPLATES, text
     known = prepared(templates, threshold)
     low, high = min(t.low for t in known), max(t.high for t in known)
     text = F.lower(F.coalesce("text", F.lit("")))
-    units = F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, r"\n[ \t\x0b\f\r]*\n")))
-    frame = documents.select("doc_id", text.alias("whole"), F.array_remove(units, text).alias("units"))
+    # A unit's words follow each other in the whole text, so its bigrams are among those of the text: one that holds too
+    # few bigrams of each template has no match, and its units are never made.
+    whole = [*templates, *texts]
+    owns = [bigrams_of(t) for _, t in whole]
+    every = _listed(dict.fromkeys(b for own in owns for b in own))
+    normal = lambda u: words(F.regexp_replace(u, "[^a-z0-9]+", " "))
+    frame = documents.select("doc_id", text.alias("t")).withColumn("w", normal(F.col("t")))
+    frame = frame.select("doc_id", "t", _pairs(F.col("w")).alias("bigrams"))
+    frame = frame.withColumn("seen", F.expr(f"array_distinct(filter(bigrams, b -> b IN ({every})))"))
+    frame = frame.withColumn("likely", reduce(or_, (_holds(own, threshold) for own in owns)))
+    units = F.array_distinct(F.concat(F.split("t", "\n"), F.split("t", r"\n[ \t\x0b\f\r]*\n")))
     # Distinct bigrams are at most the words less one; a unit of too few words cannot reach any template. Repeated
     # bigrams make a long unit small, so only the lower bound can be told before they are counted.
-    normal = lambda u: words(F.regexp_replace(u, "[^a-z0-9]+", " "))
-    frame = frame.select("doc_id", normal(F.col("whole")).alias("whole"), F.transform("units", normal).alias("units"))
-    frame = frame.select("doc_id", _pairs(F.col("whole")).alias("bigrams"), F.filter(F.concat("units", F.array("whole")), lambda u: F.size(u) > low).alias("units"))
-    whole = [*templates, *texts]
-    every = _listed(dict.fromkeys(b for _, t in whole for b in bigrams_of(t)))
-    frame = frame.select(
-        "doc_id",
-        "bigrams",
-        F.expr(f"array_distinct(filter(bigrams, b -> b IN ({every})))").alias("seen"),
-        F.filter(F.transform("units", _bigrams), lambda b: (F.size(b) >= low) & (F.size(b) <= high)).alias("units"),
-    )
+    lists = F.filter(F.transform(F.array_remove(units, F.col("t")), normal), lambda u: F.size(u) > low)
+    frame = _linked(frame).select(
+        "doc_id", "bigrams", "seen", "likely", "links",
+        F.when(F.col("likely"), F.concat(F.transform(lists, _bigrams), F.array(F.array_distinct("bigrams")))).alias("units"),
+    )
+    sized = F.filter("units", lambda b: (F.size(b) >= low) & (F.size(b) <= high))
+    frame = frame.withColumn("units", F.coalesce(sized, F.array().cast("array<array<string>>")))
 
     def dice(unit: Column, template: Template) -> Column:
         own = F.array(*(F.lit(b) for b in template.bigrams))
@@ -179,11 +222,10 @@ def scan(documents: DataFrame, threshold: float = 0.8, templates=TEMPLATES, text
 
     none = F.array().cast(MATCH)
     runs = F.concat(*(F.coalesce(_runs(t, i, threshold), none) for i, t in enumerate(whole)))
-    least = min(math.ceil(threshold * len(bigrams_of(t)) / (2 - threshold) - 1e-9) for _, t in whole)
     frame = frame.select(
         "doc_id",
         F.filter(F.transform("units", best), lambda m: m["dice"] >= threshold).alias("matches"),
-        F.when(F.size("seen") >= least, runs).otherwise(none).alias("runs"),
+        F.when(F.col("likely"), runs).otherwise(none).alias("runs"),
     )
     apart = lambda taken, m: ~F.exists(taken, lambda t: (-m["first"] <= -t["last"]) & (-t["first"] <= -m["last"]))
     best_apart = F.aggregate(F.sort_array("runs", asc=False), none, lambda taken, m: F.when(apart(taken, m), F.array_append(taken, m)).otherwise(taken))
