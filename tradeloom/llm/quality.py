@@ -12,11 +12,13 @@ nor counted; repeated rows are judged one by one; other columns of the input are
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import WHITE, without_white, words
+from tradeloom.llm.common import words
 
 #: The symbols that are counted.
 SYMBOLS = "#*$%&|<>"
@@ -53,20 +55,33 @@ class Rules:
     max_lost_pct: int = 40
 
 
-def _removed(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+#: A symbol, and repeated ! or ?.
+MARKS = f"[{SYMBOLS}]|[!?]{{2}}"
+
+
+def _count(text: Column, chars: str) -> Column:
+    return F.length(text) - F.length(F.regexp_replace(text, f"[{chars}]", ""))
+
+
+def _may(text: Column, rules: Rules) -> list[Column]:
+    """Whether any line of a text can fail by its marks, as navigation or as boilerplate: most texts hold nothing of the
+    kind, and their lines need not be looked at for it."""
+    lowered = F.lower(text)
+    stock = reduce(or_, (lowered.contains(p) for p in STOCK_PHRASES))
+    separators = reduce(or_, (text.contains(s) for s in SEPARATORS)) if rules.min_separators > 0 else F.lit(True)
+    return [text.rlike(MARKS).alias("marked"), separators.alias("separated"), stock.alias("stocked")]
 
 
 def _line_fails(line: Column, rules: Rules) -> Column:
     n = F.size(words(line))
-    marks = _removed(line, SYMBOLS) + _removed(F.regexp_replace(line, r"[!?]{2,}", "##"), "#") - _removed(line, "#")
-    separators = _removed(line, SEPARATORS)
-    stock = F.lower(line).rlike("|".join(STOCK_PHRASES))
+    marks = _count(line, SYMBOLS) + _count(F.regexp_replace(line, r"[!?]{2,}", "##"), "#") - _count(line, "#")
+    separators = _count(line, SEPARATORS)
+    # A later condition is looked at only where those before it leave the question open.
     return (
-        (~line.rlike(SENTENCE_END) & ~((n >= rules.long_words) & line.rlike(SENTENCE_INSIDE)))
-        | (100 * marks > rules.max_marks_pct * n)
-        | ((separators >= rules.min_separators) & (n <= rules.max_entry_words * (separators + 1)))
-        | ((n <= rules.max_stock_words) & stock)
+        (~line.rlike(SENTENCE_END) & ~(line.rlike(SENTENCE_INSIDE) & (n >= rules.long_words)))
+        | (F.col("marked") & line.rlike(MARKS) & (100 * marks > rules.max_marks_pct * n))
+        | (F.col("separated") & (separators >= rules.min_separators) & (n <= rules.max_entry_words * (separators + 1)))
+        | (F.col("stocked") & reduce(or_, (F.lower(line).contains(p) for p in STOCK_PHRASES)) & (n <= rules.max_stock_words))
     )
 
 
@@ -109,18 +124,20 @@ def judge(documents: DataFrame, rules: Rules = Rules()) -> DataFrame:
     frame = frame.select(
         "doc_id", "w", "t",
         F.size("w").cast("long").alias("n_words"),
-        F.length(without_white(F.col("t"))).cast("long").alias("word_chars"),
-        _removed(F.col("t"), SYMBOLS).cast("long").alias("n_symbols"),
+        F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        _count(F.col("t"), SYMBOLS).cast("long").alias("n_symbols"),
+        *_may(F.col("t"), rules),
     )
     frame = _repeated_words(frame).drop("w")
-    frame = frame.withColumn("lines", F.filter(F.split("t", "\n"), lambda x: F.length(F.btrim(x, F.lit(WHITE))) > 0)).drop("t")
+    frame = frame.withColumn("lines", F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))).drop("t")
     frame = frame.withColumn("good", F.filter("lines", lambda x: ~_line_fails(x, rules)))
     frame = frame.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_repeat_words", "good",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size("lines").cast("long").alias("n_lines"),
     ).withColumn("clean_text", F.array_join("good", "\n"))
-    frame = frame.withColumn("n_clean_words", F.size(words(F.col("clean_text"))).cast("long"))
+    cleaned = F.when(F.size("good") == F.col("n_lines"), F.col("n_words")).otherwise(F.size(words(F.col("clean_text"))))
+    frame = frame.withColumn("n_clean_words", cleaned.cast("long"))
     failed = (F.col("n_words") < rules.min_words) | (
         100 * F.col("n_repeat_words") > rules.max_repeat_pct * F.col("n_words")
     )
