@@ -122,3 +122,25 @@ def test_exact_combinations_of_one_two_and_three():
     assert packing.plan({4: 1, 3: 1, 2: 1, 1: 1}, 10) == [((4, 3, 2, 1), 1)]
     assert packing.plan({5: 5}, 10) == [((5, 5), 2), ((5,), 1)]
     assert packing.plan({}, 10) == []
+
+
+def test_best_fit_waits_for_exact_combinations_where_that_takes_fewer():
+    def used(sizes, length):
+        lines = packing.plan({s: sizes.count(s) for s in set(sizes)}, length)
+        assert sorted(s for own, n in lines for s in own * n) == sorted(sizes) and all(sum(own) <= length for own, _ in lines)
+        return sum(n for _, n in lines)
+
+    assert used([14, 8, 10, 7, 7, 14, 16, 12], 30) == 3
+    rng = random.Random(3)
+    for _ in range(200):
+        sizes = [rng.randint(1, 30) for _ in range(rng.randint(1, 12))]
+        counts = {s: sizes.count(s) for s in set(sizes)}
+        assert used(sizes, 30) == min(sum(n for _, n in packing._plan(counts, 30, late)) for late in (True, False))
+
+
+def test_remembered_words_can_be_forgotten(monkeypatch):
+    texts = [" ".join(f"word{i} x{j}" for i in range(j, j + 40)) for j in range(20)]
+    want = [list(i) for i in packing.Encoder(PATH).ids(texts)]
+    monkeypatch.setattr(packing, "REMEMBERED", 60)
+    e = packing.Encoder(PATH)
+    assert [list(i) for t in texts for i in e.ids([t])] == want

@@ -3,7 +3,8 @@
 Documents are tokenised whole; those longer than a sequence are cut into pieces of its length. What matters for packing is
 only how many pieces there are of each length, a table as long as a sequence. Over it the plan is made: lengths from
 the longest down look up their gap in an index of the sums of one, two and three available lengths and use up each
-exact combination as often as all its lengths last; what finds no exact complement is filled best-fit. A plan is a few
+exact combination as often as all its lengths last; what finds no exact complement is filled best-fit, once all exact
+combinations are used up or as it is met, whichever takes fewer sequences. A plan is a few
 thousand lines whatever the data. Pieces are then numbered within their length (over salted buckets, so no length is one
 task) and a piece's number says which line, and so which sequence and offset, it has.
 
@@ -16,8 +17,8 @@ from __future__ import annotations
 import os
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from collections.abc import Iterator
+from itertools import chain, repeat
 from unicodedata import is_normalized
 
 import numpy as np
@@ -52,7 +53,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
+        self._forget()
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.ends[number] = token.endswith("</w>")
@@ -111,15 +112,20 @@ class Encoder:
             return word, b""
         return core, word[len(core) :]
 
-    def _remember(self, words: Iterable[bytes]) -> None:
-        """Sees to it that the ids of all these words are known."""
-        missing = [w for w in words if w not in self.words]
-        if len(self.words) + len(missing) > REMEMBERED:
-            self.words.clear()
-            missing = list(words)
-        parts = [self._parts(w) for w in missing]
-        known = self._learned([x for x in dict.fromkeys(chain.from_iterable(parts)) if x])
-        self.words.update((w, known[core] + known[end] if end else known[core]) for w, (core, end) in zip(missing, parts))
+    def _forget(self) -> None:
+        self.words: dict[bytes, int] = {}  # the number of each word known
+        self.sizes, self.starts, self.known = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def _remember(self, words: list[bytes]) -> None:
+        """Adds the ids of these words, none of which is known."""
+        parts = [self._parts(w) for w in words]
+        learned = self._learned([x for x in dict.fromkeys(chain.from_iterable(parts)) if x])
+        raw = [learned[core] + learned[end] if end else learned[core] for core, end in parts]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        self.words.update(zip(words, range(len(self.words), len(self.words) + len(words))))
+        self.starts = np.append(self.starts, len(self.known) + np.cumsum(sizes) - sizes)
+        self.sizes = np.append(self.sizes, sizes)
+        self.known = np.append(self.known, np.frombuffer(b"".join(raw), np.uint32))
 
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
         if not self.by_word:
@@ -128,19 +134,20 @@ class Encoder:
             return []
         documents = [words_of(t) for t in texts]
         flat = list(chain.from_iterable(documents))
-        place = dict.fromkeys(flat)
-        self._remember(place)
-        raw = list(map(self.words.__getitem__, place))
-        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
-        starts = np.cumsum(sizes) - sizes
-        place = dict(zip(place, range(len(place))))
-        words = np.fromiter(map(place.__getitem__, flat), np.int64, len(flat))
-        many = sizes[words]
+        words = np.fromiter(map(self.words.get, flat, repeat(-1)), np.int64, len(flat))
+        unknown = np.flatnonzero(words < 0).tolist()
+        if unknown:
+            fresh = dict.fromkeys(flat[i] for i in unknown)
+            if len(self.words) + len(fresh) > REMEMBERED:
+                self._forget()
+                fresh, unknown = dict.fromkeys(flat), list(range(len(flat)))
+            self._remember(list(fresh))
+            words[unknown] = np.fromiter((self.words[flat[i]] for i in unknown), np.int64, len(unknown))
+        many = self.sizes[words]
         stops = np.cumsum(many)
-        at = np.repeat(starts[words] - (stops - many), many) + np.arange(many.sum())
-        ids = np.frombuffer(b"".join(raw), np.uint32)[at]
+        at = np.repeat(self.starts[words] - (stops - many), many) + np.arange(many.sum())
         last = np.cumsum([len(d) for d in documents])  # the number of words up to each document's end
-        return np.split(ids, np.append(0, stops)[last[:-1]])
+        return np.split(self.known[at], np.append(0, stops)[last[:-1]])
 
 
 _encoders: dict[str, Encoder] = {}
@@ -174,7 +181,13 @@ def pieces(documents: DataFrame, tokenizer: str, length: int = 2048, closing: in
 
 
 def plan(counts: dict[int, int], length: int) -> list[tuple[tuple[int, ...], int]]:
-    """Lines (lengths that share a sequence, longest first; how many such sequences) that use all pieces."""
+    """Lines (lengths that share a sequence, longest first; how many such sequences) that use all pieces: of the plan
+    that fills best-fit what exact combinations leave and the one that does so as it goes, the one of fewer sequences."""
+    return min((_plan(counts, length, late) for late in (True, False)), key=lambda lines: sum(n for _, n in lines))
+
+
+def _plan(counts: dict[int, int], length: int, late: bool) -> list[tuple[tuple[int, ...], int]]:
+    """late: lengths without an exact complement wait until all exact combinations are used up."""
     free = np.zeros(length + 1, np.int64)
     for size, many in counts.items():
         free[size] = many
@@ -194,35 +207,49 @@ def plan(counts: dict[int, int], length: int) -> list[tuple[tuple[int, ...], int
         hit = int(good.argmax()) if len(good) else 0
         return (int(high[hit]), gap - int(high[hit])) if len(good) and good[hit] else None
 
+    def exact(size: int, gap: int) -> tuple[int, ...] | None:
+        if gap <= size and free[gap] > 0:
+            return (gap,)
+        if found := pair(gap, size):
+            return found
+        for third in np.flatnonzero(free[1 : gap // 3 + 1])[::-1] + 1:
+            free[third] -= 1
+            two = pair(gap - int(third), size)
+            free[third] += 1
+            if two and two[1] >= third:
+                return (*two, int(third))
+        return None
+
+    def best_fit(size: int, gap: int) -> tuple[int, ...]:
+        best: list[int] = []
+        while gap > 0 and len(there := np.flatnonzero(free[1 : min(gap, size) + 1])):
+            best.append(int(there[-1]) + 1)
+            free[best[-1]] -= 1
+            gap -= best[-1]
+        for s in best:
+            free[s] += 1
+        return tuple(best)
+
+    waiting = np.zeros(length + 1, np.int64)
     for size in range(length, 0, -1):
         while free[size] > 0:
-            gap = length - size
-            if gap == 0:
+            if size == length:
                 use((size,))
                 continue
             free[size] -= 1  # the one being placed is not free to fill its own gap
-            found: tuple[int, ...] | None = None
-            if gap <= size and free[gap] > 0:
-                found = (gap,)
-            if found is None:
-                found = pair(gap, size)
-            if found is None:
-                for third in np.flatnonzero(free[1 : gap // 3 + 1])[::-1] + 1:
-                    free[third] -= 1
-                    two = pair(gap - int(third), size)
-                    free[third] += 1
-                    if two and two[1] >= third:
-                        found = (*two, int(third))
-                        break
+            found = exact(size, length - size)
+            if found is None and not late:
+                found = best_fit(size, length - size)
+            free[size] += 1
             if found is None:
-                best: list[int] = []
-                while gap > 0 and len(there := np.flatnonzero(free[1 : min(gap, size) + 1])):
-                    best.append(int(there[-1]) + 1)
-                    free[best[-1]] -= 1
-                    gap -= best[-1]
-                for s in best:
-                    free[s] += 1
-                found = tuple(best)
+                free[size], waiting[size] = 0, free[size]
+            else:
+                use((size, *found))
+    free[:] = waiting
+    for size in range(length - 1, 0, -1):
+        while free[size] > 0:
+            free[size] -= 1
+            found = best_fit(size, length - size)
             free[size] += 1
             use((size, *found))
     return lines
