@@ -40,10 +40,26 @@ LETTERS = st.characters(categories=["Ll", "Lu", "Lt", "Lm", "Mn"], max_codepoint
 @settings(max_examples=600, deadline=None)
 @given(st.lists(st.text(max_size=40) | st.text(LETTERS | st.sampled_from(" .,'"), max_size=30), max_size=4))
 def test_ids_of_any_text(texts):
-    e = packing._encoders.setdefault(PATH, packing.Encoder(PATH))
+    if PATH not in packing._encoders:
+        packing._encoders[PATH] = packing.Encoder(PATH)
+    e = packing._encoders[PATH]
     assert [list(i) for i in e.ids(texts)] == [whole(e, t) for t in texts]
 
 
+def test_other_tokenizers_read_whole_texts(tmp_path):
+    """Of a cased one with closed words, and of one that drops accents, words are not remembered."""
+    import json
+
+    with open(PATH) as file:
+        stated = json.load(file)
+    for number, normalizers in enumerate([[{"type": "NFC"}], [{"type": "NFD"}, {"type": "StripAccents"}, {"type": "Lowercase"}]]):
+        other = tmp_path / f"{number}.json"
+        other.write_text(json.dumps(stated | {"normalizer": {"type": "Sequence", "normalizers": normalizers}}))
+        e = packing.Encoder(str(other))
+        assert not e.by_word
+        assert [list(i) for i in e.ids(TEXTS)] == [whole(e, t) for t in TEXTS]
+
+
 def test_forgetting_words_changes_nothing(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 50)
     e = packing.Encoder(PATH)

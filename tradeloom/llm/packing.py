@@ -44,6 +44,13 @@ _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_NAMES = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
+#: What a tokenizer must encode word by word as it does whole, if its words are to be remembered.
+PROBE = (
+    " a \n b\tThe Émile, and. it's don't İI ΑΣ. ΑΣ naïve, NAÏVE. é́. x.,. ,., 12,3.4 ... a-b_c <y.> (z), \"q\" 漢字。 AB12cd, ß. ǅ ﬁ "
+    "<|startoftext|> x <|ENDOFTEXT|> <|endoftext|>. straße, wörter. ¿qué? 🙂, supercalifragilistic."
+)
+
+
 class Encoder:
     """Token ids of texts. Where a tokenizer drops white space, words are encoded once and remembered: the ids of a text
     are then those of its words one after another."""
@@ -59,6 +66,8 @@ class Encoder:
             self.ends[number] = token.endswith("</w>")
         one = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
         self.by_word = one(" a \n b\t") == one("a") + one("b") and bool(self.ends[one("a")[-1]])
+        self.by_word = self.by_word and self.ids([PROBE])[0].tolist() == one(PROBE)
+        self._forget()
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
