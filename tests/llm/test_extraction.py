@@ -5,7 +5,7 @@ import pytest
 
 from tests.llm.tables import prose, with_strange_columns
 from tradeloom.llm import extraction
-from tradeloom.llm.html_blocks import blocks
+from tradeloom.llm.html_blocks import Block, blocks
 
 PAGE = "page_id long, url string, html string"
 
@@ -115,5 +115,34 @@ def test_extract_of_a_table(spark):
     assert sum(r["page_id"] == 0 for r in out) == 2 and got[None][1] == got[1][1]
 
 
+@pytest.mark.parametrize("tag", ["svg", "select", "noscript", "template", "iframe", "textarea", "title", "object", "math"])
+def test_an_element_without_end_loses_no_text(tag):
+    assert [b.text for b in blocks(f"<p>a</p><{tag}><p>the rest</p><p>of it</p>")] == ["a", "the rest", "of it"]
+
+
+def test_elements_that_are_skipped_may_be_nested():
+    page = "<p>a</p><svg><text>x</text><svg><text>y</text></svg><!-- </svg> --><text>z</text></svg><p>b</p><svg/><p>c</p>"
+    assert [b.text for b in blocks(page)] == ["a", "b", "c"]
+    assert [b.text for b in blocks("<p>a <object>instead</object></p><math><mi>x</mi></math>")] == ["a", "instead", "x"]
+
+
+def test_tables_of_long_pages_or_pages_without_id(spark):
+    """They train on stretches of their blocks; never are blocks labelled by a network that was not trained."""
+    mains = [[prose(40 * i + k, 900) + "." for k in range(14)] for i in range(4)]
+    for ids, rows in (([1, 2, 3, 4], mains), ([None] * 4, [m[:1] for m in mains])):
+        table = [(i, "u", page(n, main)) for n, (i, main) in enumerate(zip(ids, rows))]
+        assert ids[0] is None or min(len(html) for _, _, html in table) > extraction.Settings().max_chars
+        out = extraction.extract(spark.createDataFrame(table, PAGE)).collect()
+        assert sorted(r["text"] for r in out) == sorted("\n".join(["The title of it", *main]) for main in rows)
+
+
+def test_stretches_hold_the_edges_of_main_text():
+    long = [Block((("nav",),), f"m{i}", 0) for i in range(300)] + [Block((("main",), ("p",)), f"t{i}" * 900, 0) for i in range(300)]
+    cut = extraction.stretch(long, extraction.Settings(stretch=20))
+    assert [b.text[:4] for b in cut] == [f"m{i}" for i in range(290, 300)] + [f"t{i}" * 2 for i in range(10)]
+    assert max(len(b.text) for b in cut) == 1000
+    assert [len(x) for x in extraction.labelled(None, [long, []])] == [600, 0]
+
+
 def test_empty_table(spark):
     assert extraction.extract(spark.createDataFrame([], PAGE)).count() == 0

@@ -4,18 +4,20 @@ A page is read as the sequence of its leaf blocks. Each block gives a vector: ha
 words, and a few figures (length, share of links, marks). A bidirectional LSTM in numpy reads the sequence in both
 directions, so every block is classified knowing the whole page; blocks labelled as main text are joined.
 
-The labeller is trained on at most `sample` pages, the first in a hash order of their id, labelled by what the sites
+The labeller is trained on at most `sample` pages, the first in a hash order of their id (of pages that are longer or have no
+id where there are no others, on stretches of at most `stretch` blocks around the beginnings and ends of main text), labelled by what the sites
 themselves say (article and main elements, against navigation, footers, adverts, forms, comments and so on). As sites
 differ, every training page is also read in altered versions: its containers under other common names, and with
 strange blocks (menus, notices, forms, side columns, comments) set around and into it. Weights are of fixed size; all
 pages are then labelled on their whole html, in batches on the executors.
 
-Defined results: a null or empty page, and one without main text, give an empty text; repeated rows are extracted each;
+Defined results: where no page can train, blocks are labelled as the pages themselves say; a null or empty page, and one without main text, give an empty text; repeated rows are extracted each;
 other columns are ignored; an empty table gives an empty result. Ties cannot arise.
 """
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,13 +39,18 @@ PATH, WORDS, FIGURES = 64, 24, 8
 
 @dataclass(frozen=True)
 class Settings:
-    """sample: training pages at most, of at most max_chars characters each; versions: altered readings of each."""
+    """sample: training pages at most, of at most max_chars characters each, or of stretch blocks of at most
+    block_chars characters; versions: altered readings of each; epochs: over all of these, or more of them until there
+    were so many steps."""
 
     sample: int = 160
     max_chars: int = 60_000
+    stretch: int = 400
+    block_chars: int = 1_000
     versions: int = 3
     hidden: int = 24
     epochs: int = 8
+    steps: int = 160
     batch: int = 32
     rate: float = 0.01
     seed: int = 17
@@ -273,7 +280,7 @@ def train(pages: list[list[Block]], settings: Settings = Settings()) -> Labeller
     count = 0
     by_size = sorted(range(len(examples)), key=lambda i: len(examples[i][1]))
     parts = [by_size[i : i + settings.batch] for i in range(0, len(by_size), settings.batch)]
-    for _ in range(settings.epochs if parts else 0):
+    for _ in range(max(settings.epochs, -(-settings.steps // len(parts))) if parts else 0):
         for part in rng.permutation(len(parts)):
             chosen = [examples[i] for i in parts[part]]
             x, sizes = padded([v for v, _ in chosen])
@@ -290,17 +297,49 @@ def train(pages: list[list[Block]], settings: Settings = Settings()) -> Labeller
     return labeller
 
 
-def learn(pages: DataFrame, settings: Settings = Settings()) -> Labeller:
-    """A labeller from a bounded sample of the pages."""
+def stretch(page: list[Block], settings: Settings) -> list[Block]:
+    """At most `stretch` blocks of the page, those nearest to where main text begins or ends, their texts cut."""
+    labels = stated_labels(page) > 0
+    edges = np.flatnonzero(labels[1:] != labels[:-1]) + 0.5
+    at = np.arange(len(page))
+    if len(edges):
+        right = np.searchsorted(edges, at)
+        far = np.minimum(np.abs(at - edges[np.maximum(right - 1, 0)]), np.abs(edges[np.minimum(right, len(edges) - 1)] - at))
+    else:
+        far = at.astype(float)
+    chosen = np.sort(np.argsort(far, kind="stable")[: settings.stretch])
+    return [Block(page[i].path[-20:], page[i].text[: settings.block_chars], min(page[i].linked, settings.block_chars)) for i in chosen]
+
+
+def _stretches(pages: DataFrame, settings: Settings) -> list[list[Block]]:
+    """Bounded stretches of at most `sample` pages of any length, cut on the executors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, htmls in groups(batch, "html"):
+                cut = [stretch(page, settings) for page in map(blocks, htmls) if page]
+                rows = [json.dumps([[b.path, b.text, b.linked] for b in page]) for page in cut]
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], names=["page"])
+
+    chosen = pages.where(F.length("html") > 0).select("html").orderBy(F.xxhash64("html"), "html").limit(settings.sample)
+    rows = chosen.mapInArrow(run, "page string").collect()  # at most sample * stretch * block_chars characters
+    return [[Block(tuple(map(tuple, path)), text, linked) for path, text, linked in json.loads(r["page"])] for r in rows]
+
+
+def learn(pages: DataFrame, settings: Settings = Settings()) -> Labeller | None:
+    """A labeller from a bounded sample of the pages; none if these hold no blocks."""
     usable = pages.where(F.col("page_id").isNotNull() & F.length("html").between(1, settings.max_chars))
     ids = usable.select("page_id").distinct().orderBy(F.xxhash64(F.col("page_id").cast("string")), "page_id").limit(settings.sample)
     chosen = usable.select("page_id", "html").join(F.broadcast(ids), "page_id", "left_semi")
     rows = chosen.orderBy("page_id", "html").limit(settings.sample).collect()  # at most sample * max_chars characters
-    return train([blocks(r["html"]) for r in rows], settings)
+    examples = [page for r in rows if (page := blocks(r["html"]))] or _stretches(pages, settings)
+    return train(examples, settings) if examples else None
 
 
-def labelled(labeller: Labeller, pages: list[list[Block]], per_batch: int = 128) -> list[np.ndarray]:
-    """For each page, which blocks are main text. Pages of like length are read together."""
+def labelled(labeller: Labeller | None, pages: list[list[Block]], per_batch: int = 128) -> list[np.ndarray]:
+    """For each page, which blocks are main text. Pages of like length are read together; without a labeller, as stated."""
+    if labeller is None:
+        return [stated_labels(p) > 0 for p in pages]
     out: list[np.ndarray] = [np.zeros(len(p), bool) for p in pages]
     order = sorted((i for i, p in enumerate(pages) if p), key=lambda i: len(pages[i]))
     for i in range(0, len(order), per_batch):

@@ -1,8 +1,10 @@
 """Web pages as sequences of leaf blocks: a tolerant scanner for tags, paths and texts.
 
 A block is the text between two places where a block element begins or ends. Inline elements and line breaks stay inside
-their block. Comments, scripts, styles and other raw elements are skipped. Missing end tags are supplied where a new
-element implies them; end tags that match nothing are dropped.
+their block. Comments are skipped, and raw elements (scripts, styles) up to their end tag. Elements that hold no text to
+read (drawings, lists to choose from, templates) are skipped with all they hold; of one that is never closed only the start
+tag is, and the page goes on. Formulas and what stands in an object are read as text. Missing end tags are supplied where a
+new element implies them; end tags that match nothing are dropped.
 """
 
 from __future__ import annotations
@@ -17,7 +19,8 @@ INLINE = frozenset(
     "strike strong sub sup time tt u var wbr del".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template svg math iframe object textarea select title head".split())
+RAW = frozenset("script style textarea title head iframe".split())
+SKIPPED = frozenset("noscript template svg select".split())
 #: An element that begins ends these open ones, if no container lies between.
 ENDS = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
@@ -56,6 +59,18 @@ def _names(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(names)
 
 
+def _past(page: str, tag: str, at: int) -> int:
+    """Where an element that is skipped and begins before `at` ends, counting those of its kind within it."""
+    depth = 1
+    for match in re.compile(rf"<!--.*?(?:-->|\Z)|<(/?){tag}(?=[\s/>])[^>]*?(/?)>", re.I | re.S).finditer(page, at):
+        if match[1] is None or (match[2] and not match[1]):
+            continue
+        depth += -1 if match[1] else 1
+        if not depth:
+            return match.end()
+    return at
+
+
 def blocks(page: str | None) -> list[Block]:
     """The page's blocks that hold text, in order."""
     out: list[Block] = []
@@ -92,15 +107,19 @@ def blocks(page: str | None) -> list[Block]:
                 held.append((html.escape(match[0][9:].removesuffix("]]>")), links))
             continue
         tag, ends = match[2].lower(), bool(match[1])
-        if tag in RAW and not ends:
+        if (tag in RAW or tag in SKIPPED) and not ends:
             if tag not in INLINE:
                 close()
             if not match[3].rstrip().endswith("/"):
+                if tag in SKIPPED:
+                    at = _past(page, tag, at)
+                    continue
                 if tag == "head":  # ends where the body begins, even if its end tag is missing
                     stop = re.compile(r"</head\s*>|(?=<body\b)", re.I).search(page, at)
                 else:
                     stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = stop.end() if stop else (at if tag == "head" else size)
+                # A script or style that is never closed is all there is left; other elements are taken as empty.
+                at = stop.end() if stop else (size if tag in ("script", "style") else at)
             continue
         if tag == "br":
             held.append((" ", False))
