@@ -75,6 +75,27 @@ def test_overlapping_sources_share_documents(spark):
     assert sum(r["taken"] for r in rows) == pytest.approx(3000, abs=60)
 
 
+def test_sources_of_their_own_need_no_flow(monkeypatch):
+    """Three hundred thousand of them, beside two that overlap."""
+    patterns = [((f"s{i}",), i % 7) for i in range(300_000)] + [(("x",), 5), (("x", "y"), 4)]
+    quotas = {f"s{i}": i % 30 for i in range(300_000)} | {"x": 9, "y": 7}
+    flows = []
+    monkeypatch.setattr(mixing, "Flow", lambda nodes, make=mixing.Flow: flows.append(nodes) or make(nodes))
+    sent = mixing.route(patterns, quotas)
+    assert flows == [6]
+    assert all(own == {f"s{i}": min(3 * (i % 7), i % 30)} for i, own in enumerate(sent[:-2]))
+    assert sent[-2]["x"] + sent[-1]["x"] == 9 and sent[-1]["y"] == 7
+
+
+def test_many_patterns_and_buckets_change_nothing(spark, monkeypatch):
+    frame, _, _ = sample(spark, 5, 150)
+    want = {r["doc_id"]: r["taken"] for r in mixing.taken(frame).collect()}
+    assert mixing._shift(0) == mixing._shift(80_000_000) == 52 and mixing._shift(10**11) == 41
+    monkeypatch.setattr(mixing, "BROADCAST", 1)
+    monkeypatch.setattr(mixing, "_shift", lambda n: 44)
+    assert {r["doc_id"]: r["taken"] for r in mixing.taken(frame).collect()} == want
+
+
 def test_empty_table_and_documents_without_sources(spark):
     assert mixing.taken(documents(spark, [])).count() == 0
     assert mixing.repeated(documents(spark, [])).count() == 0

@@ -7,8 +7,10 @@ pattern sends is taken as whole copies of all its documents plus one more copy o
 order. Where a document is larger than what is left it is passed over, and the documents after it are taken in the same
 order as long as they fit, until the gap is smaller than any left; then one more is taken if that brings the sum nearer.
 
-The flow works on the aggregate of patterns alone, at most `max_patterns` rows in the driver; more raise an error. Every
-other step is a DataFrame job: buckets keep a pattern with a third of all rows out of any single task.
+The flow works on the aggregate of patterns that overlap and of those that share a source with them; a source all of whose
+patterns hold it alone is met by its own words, without a flow. The driver holds one row a pattern, whatever their number.
+Every other step is a DataFrame job: buckets, as many as the largest pattern needs, keep a pattern with a third of all rows
+out of any single task.
 
 Defined results: null texts have size 0 and are taken 0 words; a null source is a source of its own, after all others; a
 document without sources is not taken; rows with equal id and text are taken alike; other columns are ignored by
@@ -18,16 +20,20 @@ document without sources is not taken; rows with equal id and text are taken ali
 from __future__ import annotations
 
 import json
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeloom.llm.common import words, written
 
 
+#: Patterns that are broadcast at most, and documents of a pattern sorted in one task, about.
+BROADCAST, SORTED = 100_000, 20_000
+
+
 @dataclass(frozen=True)
 class Settings:
     """most: copies of a document at most; costs: of each copy's tokens."""
@@ -35,7 +41,6 @@ class Settings:
     most: int = 3
     costs: tuple[int, ...] = (0, 1, 3)
     seed: int = 11
-    max_patterns: int = 100_000
 
 
 def cyclic_weights(names: list[str | None]) -> dict[str | None, int]:
@@ -127,6 +132,14 @@ class Flow:
 def route(patterns: list[tuple[tuple, int]], quotas: dict, settings: Settings = Settings()) -> list[dict]:
     """Words that each pattern (its sources, its size) sends to each of its sources: as near the quotas as capacity
     allows, at the least cost of repetition."""
+    often = Counter(m for members, _ in patterns for m in members)
+    alone = [len(members) == 1 and often[members[0]] == 1 for members, _ in patterns]
+    shared = {m for (members, _), a in zip(patterns, alone) if not a for m in members}
+    routed = iter(_routed([p for p, a in zip(patterns, alone) if not a], {n: q for n, q in quotas.items() if n in shared}, settings))
+    return [{p[0][0]: min(settings.most * p[1], quotas[p[0][0]])} if a else next(routed) for p, a in zip(patterns, alone)]
+
+
+def _routed(patterns: list[tuple[tuple, int]], quotas: dict, settings: Settings) -> list[dict]:
     names = list(quotas)
     place = {name: 2 + len(patterns) + i for i, name in enumerate(names)}
     flow = Flow(2 + len(patterns) + len(names))
@@ -171,12 +184,23 @@ def _after(h: str, t: str, ch: str, ct: str) -> Column:
     return (F.col(h) > F.col(ch)) | ((F.col(h) == F.col(ch)) & (F.col(t) > F.col(ct)))
 
 
-def _cuts(sized: DataFrame, rests: list[tuple[str, int]]) -> list:
+def _few(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of patterns to join with documents: broadcast unless it has many rows."""
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= BROADCAST else table
+
+
+def _shift(documents: int) -> int:
+    """How far to shift a hash right for buckets of at most SORTED of so many documents, about."""
+    return 64 - max(12, (documents // SORTED).bit_length())
+
+
+def _cuts(sized: DataFrame, rests: list[tuple[str, int]], shift: int) -> list:
     """For patterns with a rest: the first document (all rows of equal id and text) in the seeded order with which the
     sum passes the rest, null if none does, and the sum before it. One row a pattern."""
-    open_ = F.broadcast(sized.sparkSession.createDataFrame(rests, "p string, rest long"))
+    open_ = _few(sized.sparkSession, rests, "p string, rest long")
     # The bucket of the hash in which a pattern's rest ends, then the document in it.
-    bucketed = sized.withColumn("bucket", F.shiftright("_h", 52)).join(open_, F.col("_pattern") == F.col("p"))
+    bucketed = sized.withColumn("bucket", F.shiftright("_h", shift)).join(open_, F.col("_pattern") == F.col("p"))
     sums = bucketed.groupBy("p", "rest", "bucket").agg(F.sum("size").alias("s"))
     by = Window.partitionBy("p").orderBy("bucket")
     before = F.coalesce(F.sum("s").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -192,13 +216,13 @@ def _cuts(sized: DataFrame, rests: list[tuple[str, int]]) -> list:
     return whole.join(cuts, "p", "left").select("p", "cut", F.coalesce("reached", "all").alias("reached")).collect()
 
 
-def _closing(sized: DataFrame, state: dict) -> DataFrame:
+def _closing(sized: DataFrame, state: dict, shift: int) -> DataFrame:
     """Documents after each pattern's cut that close its gap, in the seeded order, each if it fits what is left."""
     spark = sized.sparkSession
     wanted = [(k, v["gap"], *v["cut"]) for k, v in state.items() if v.get("gap", 0) > 0 and v.get("cut")]
     if not wanted:
         return spark.createDataFrame([], EXTRA)
-    at = F.broadcast(spark.createDataFrame(wanted, "p string, gap long, ch long, ct long"))
+    at = _few(spark, wanted, "p string, gap long, ch long, ct long")
     late = F.col("size").between(1, 2 * F.col("gap") - 1) & (_after("_h", "_t", "ch", "ct") | ((F.col("_h") == F.col("ch")) & (F.col("_t") == F.col("ct"))))
     groups = sized.join(at, F.col("_pattern") == F.col("p")).where(late).groupBy("_pattern", "_h", "_t", "gap").agg(F.sum("size").alias("size"))
     left = written(groups.where(F.col("size") < 2 * F.col("gap")).drop("gap"), "mix-left")
@@ -209,13 +233,13 @@ def _closing(sized: DataFrame, state: dict) -> DataFrame:
     final: dict[str, int] = {}
     while going:
         now = [(k, gap, *(cut or (None, None))) for k, (gap, cut) in going.items()]
-        here = F.broadcast(spark.createDataFrame(now, "g string, gap long, fh long, ft long"))
+        here = _few(spark, now, "g string, gap long, fh long, ft long")
         later = F.col("fh").isNull() | _after("_h", "_t", "fh", "ft")
         fit = left.join(here, F.col("_pattern") == F.col("g")).where(later & (F.col("size") <= F.col("gap")))
-        found = {r["p"]: r for r in _cuts(fit.select("_pattern", "_h", "_t", "size"), [(k, gap) for k, gap, _, _ in now])}
+        found = {r["p"]: r for r in _cuts(fit.select("_pattern", "_h", "_t", "size"), [(k, gap) for k, gap, _, _ in now], shift)}
         reached = [(k, *(tuple(r["cut"]) if r["cut"] else (None, None))) for k, r in found.items() if r["reached"] > 0]
         if reached:
-            upto = F.broadcast(spark.createDataFrame(reached, "q string, th long, tt long"))
+            upto = _few(spark, reached, "q string, th long, tt long")
             early = F.col("th").isNull() | _after("th", "tt", "_h", "_t")
             parts.append(fit.join(upto, F.col("_pattern") == F.col("q")).where(early).select(F.col("_pattern").alias("p"), "_h", "_t"))
         following = {}
@@ -234,7 +258,7 @@ def _closing(sized: DataFrame, state: dict) -> DataFrame:
     if not final:
         return taken_
     # No document left fits, but one of less than twice the gap still brings the sum nearer.
-    ends = F.broadcast(spark.createDataFrame(list(final.items()), "g string, gap long"))
+    ends = _few(spark, list(final.items()), "g string, gap long")
     free = left.join(ends, (F.col("_pattern") == F.col("g")) & (F.col("size") < 2 * F.col("gap"))).withColumnRenamed("_pattern", "p")
     free = free.join(taken_, ["p", "_h", "_t"], "left_anti")
     picks = free.groupBy("p").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")), "_h", "_t")).alias("m")).select("p", "m._h", "m._t")
@@ -244,10 +268,9 @@ def _closing(sized: DataFrame, state: dict) -> DataFrame:
 def plan(sized: DataFrame, weights: Callable[[list], dict], settings: Settings = Settings()) -> Plan:
     """The mix of sized documents (_pattern, _h, _t, size)."""
     spark = sized.sparkSession
-    rows = sized.groupBy("_pattern").agg(F.sum("size").alias("s")).limit(settings.max_patterns + 1).collect()
-    if len(rows) > settings.max_patterns:
-        raise ValueError(f"more than {settings.max_patterns} membership patterns")
-    patterns = [(tuple(json.loads(r[0])), int(r[1])) for r in rows]
+    rows = [tuple(r) for r in sized.groupBy("_pattern").agg(F.sum("size").alias("s"), F.count("*").alias("n")).collect()]
+    shift = _shift(max((n for *_, n in rows), default=0))
+    patterns = [(tuple(json.loads(key)), size) for key, size, _ in rows]
     sizes: dict = {}
     for members, size in patterns:
         for m in members:
@@ -256,26 +279,26 @@ def plan(sized: DataFrame, weights: Callable[[list], dict], settings: Settings =
     goal = targets(sizes, weights(list(sizes)), total, settings.most)
     sent = route(patterns, {name: round(goal[name]) for name in goal}, settings)
     state = {}
-    for (key, _), (members, size), own in zip(rows, patterns, sent):
+    for (key, *_), (members, size), own in zip(rows, patterns, sent):
         taken = sum(own.values())
         copies = min(settings.most, taken // size) if size else 0
         state[key] = {"copies": copies, "rest": taken - copies * size if copies < settings.most else 0}
     open_ = [(k, int(v["rest"])) for k, v in state.items() if v["rest"] > 0]
-    for r in _cuts(sized, open_) if open_ else ():
+    for r in _cuts(sized, open_, shift) if open_ else ():
         own = state[r["p"]]
         own["cut"] = tuple(r["cut"])
         own["gap"] = own["rest"] - r["reached"]
     table = []
-    for (key, _), (members, _) in zip(rows, patterns):
+    for (key, *_), (members, _) in zip(rows, patterns):
         v, first = state[key], members[0] if members else None
         table.append((key, v["copies"], *v.get("cut", (None, None)), sizes.get(first), goal.get(first)))
-    return Plan(spark.createDataFrame(table, PLAN), _closing(sized, state), sizes, goal)
+    return Plan(_few(spark, table, PLAN), _closing(sized, state, shift), sizes, goal)
 
 
 def _planned(keyed: DataFrame, made: Plan) -> DataFrame:
     """The rows with their pattern's plan and _n, how often each is taken."""
     extra = made.extra.select(F.col("p").alias("xp"), F.col("_h").alias("xh"), F.col("_t").alias("xt"))
-    joined = keyed.join(F.broadcast(made.patterns), F.col("_pattern") == F.col("p"))
+    joined = keyed.join(made.patterns, F.col("_pattern") == F.col("p"))
     # A null text has a null hash, and size 0: it is never among the extra.
     joined = joined.join(extra, (F.col("p") == F.col("xp")) & (F.col("_h") == F.col("xh")) & (F.col("_t") == F.col("xt")), "left")
     before = (F.col("_h") < F.col("cut_h")) | ((F.col("_h") == F.col("cut_h")) & (F.col("_t") < F.col("cut_t")))
