@@ -245,3 +245,23 @@ def test_lines_may_be_none_and_come_later(spark, tmp_path):
         if not source.po_items.isEmpty():
             assert rows(store.lines(source).lines(), *sorted(source.lines().columns)) == rows(source.lines(), *sorted(source.lines().columns))
             assert rows(store.lines(source).first_dates) == rows(buyer.first_dates(source.lines()))
+
+
+def test_a_sync_moves_no_row_more_often_than_it_must(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    source = market(spark, *purchases(9, 12))
+    store.stage(source)
+    parts = store.snapshots.current()
+    held = store.staged_lines._read(parts, LINES).columns
+    assert sorted(held) == sorted([*source.lines().columns, "created_month"])  # no digests, which would not compress
+    assert {name for name, _ in parts} == {LINES, "zones", FIRSTS}  # first dates once, not by month too
+    staged = store.lines(source)
+
+    def joins(start):
+        params = QueryParams(Period.of(start, "2024-04-30"))
+        got = buyer.overview(staged, params)
+        assert rows(got) == rows(buyer.overview(source, params))
+        return "Join" in got._jdf.queryExecution().optimizedPlan().toString()
+
+    # The lines of January to April tell all first dates of a period and the one before that hold them; others look them up.
+    assert not joins("2024-03-01") and joins("2024-04-01")
