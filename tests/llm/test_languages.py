@@ -89,6 +89,29 @@ def test_the_sample_is_bounded_and_ties_go_to_the_first(spark):
     assert languages.Profiles({"b": [97], "a": [97]}, 1).predict("a", languages.Settings(longest=1))[0] == "a"
 
 
+def test_all_documents_teach(spark, monkeypatch):
+    letters = [chr(0x4E00 + i) for i in range(450)]
+    frame = documents(spark, letters, langs=["xx"] * 450)
+    monkeypatch.setattr(languages, "HELD", 20)
+    learned = languages.learn(frame, languages.Settings(profile=500, longest=1))
+    assert learned.known.tolist() == [ord(c) for c in letters]
+
+
+def test_all_documents_tell_the_lowest_scores(spark):
+    settings = languages.Settings(stray=0.0)
+    texts = [speak("xx", i, 8) for i in range(450)]
+    frame = documents(spark, texts, langs=["xx"] * 450)
+    profiles = languages.learn(frame, settings)
+    low = {}
+    for text in texts:
+        letters = languages._letters_of(text)
+        sizes = [2**k for k in range(languages.SHORTEST, languages.LONGEST + 1) if 2**k < len(letters)]
+        for part in [letters, *(letters[:n] for n in sizes), *(letters[-n:] for n in sizes)]:
+            size = languages._length_class(len(part))
+            low[size] = min(low.get(size, 1.0), profiles.predict(part, settings)[1])
+    assert languages.lowest_scores(frame, profiles, settings) == {"xx": low}
+
+
 def test_keep_known_keeps_columns_and_clean_rows(spark):
     frame = with_strange_columns(training(spark), "gone_id", "score")
     kept = languages.keep_known(frame)
