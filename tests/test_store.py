@@ -197,6 +197,20 @@ def test_history_reads_prune_to_their_query(spark, store):
     assert one.select("query").distinct().count() == 1 and one.first().created_at == NOW
 
 
+def test_history_is_written_with_its_own_columns_in_small_files(spark, store, tmp_path):
+    store.sync(sample(spark), PARAMS, NOW)
+    files = list((tmp_path / "data" / "history").rglob("*.parquet"))
+    assert sum(f.stat().st_size for f in files) < 20_000 * len(files)  # a filter of a file's entities took a megabyte
+    (folder,) = (tmp_path / "data" / "history").glob("*/query=order_analysis")
+    written = spark.read.parquet(str(folder)).columns
+    assert written[:3] == ["vendor_id", "po_id", "order_value"] and "row" not in written
+    one = store.history("seller", "order_analysis").orderBy("entity_id", "chunk", "position").collect()
+    assert len(one) == 30 and all(r.row.startswith('{"vendor_id":%s,"po_id":' % json.dumps(r.entity_id)) for r in one)
+    for a, b in zip(one, one[1:]):
+        assert a.entity_id != b.entity_id or a.position <= b.position  # chunks follow each other
+        assert a.position == -json.loads(a.row)["order_value"]
+
+
 def test_batches_may_be_of_any_size(spark):
     ids = spark.createDataFrame([(1,), (1,), (4,)], "entity_id bigint")
     got = entities.select_batch(spark, [1, 2], ids)
