@@ -133,6 +133,24 @@ def test_every_slice_and_group_agrees(spark, monkeypatch):
     assert one == pytest.approx(many, rel=1e-12) and len(one) == len(unique)
 
 
+def test_a_block_asks_each_group_in_one_message():
+    texts = [lowered(t) for t in TEXTS]
+    chunks = [(0, ([*range(len(texts))], [i % 3 > 0 for i in range(len(texts))], [len(t) for t in texts], b"".join(texts)))]
+    asked = list(model_scores._asked_grams(4, chunks, DEPTH, 3, 5))
+    assert sorted(group for group, _ in asked) == [0, 1, 2, 3, 4] and {block for _, (block, _, _) in asked} == {4}
+    found, contexts = collections.Counter(), collections.defaultdict(set)
+    for group, (_, grams, counts) in asked:
+        for key, n in zip(model_scores._together(grams).tolist(), np.frombuffer(counts, np.int64).tolist(), strict=True):
+            assert key not in found
+            found[key] = n
+            contexts[key >> 24].add(group)
+    assert {len(groups) for groups in contexts.values()} == {1}  # closed under the nearest three bytes
+    keys, owner = (np.concatenate(x) for x in zip(*model_scores._gram_slices(texts, DEPTH), strict=True))
+    want = collections.Counter(dict.fromkeys(keys.tolist(), 0))
+    want.update(k for k, o in zip(keys.tolist(), owner.tolist(), strict=True) if o % 3)
+    assert found == want
+
+
 def test_probabilities_of_a_context_sum_to_one(spark):
     texts = [lowered(t) for t in TEXTS]
     run, ends = context_tree.joined(texts, DEPTH)

@@ -5,7 +5,8 @@ What a text needs from the corpus are facts: the count of each of its words, and
 it and says how often its training texts hold it. The sums are the model's whole knowledge: `context_tree` turns them
 into the probability of every asked gram, by decision and level: contexts of three and more bytes within groups that are
 closed under their nearest three bytes, the shorter ones (bounded by the alphabet, not by the corpus) on sums of those.
-Each block gets the answers to what it asked, and its texts, which have stayed where they were, are scored with them.
+Each block gets the answers to what it asked, and its texts, which have stayed where they were, are scored with them. Grams travel as messages of many
+between blocks and groups, where they are added up; words are counted as rows.
 So nothing is broadcast but four numbers, the knowledge may grow with the corpus, and a text crosses the network once.
 
 The tree is exact for the training bytes: shares of the depths come from their whole sequence of counts, not from a
@@ -27,22 +28,25 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark import RDD
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.llm import context_tree as tree
 from tradeloom.llm.common import blocks_for, ship, written
+from tradeloom.llm.tokens import mixed
 
 #: Context bytes of the model (at most five), and of the groups in which the longer contexts are worked out.
 DEPTH, GROUPED = 5, 3
 #: Bytes of text in a block, and the most blocks; beyond, blocks are larger. Bytes worked on at a time.
 BLOCK_BYTES, MOST_BLOCKS, SLICE = 32 << 20, 100_000, 1 << 20
-#: Grams in a group of contexts, facts in a message.
-GROUP_GRAMS, MESSAGE = 1_000_000, 65_536
+#: Grams in a group of contexts, bytes of text whose grams share a group, facts in a message.
+GROUP_GRAMS, GROUP_BYTES, MESSAGE = 1_000_000, 64 << 20, 65_536
 
 CHUNK = "chunk long, ids array<long>, learned array<boolean>, lengths array<int>, text binary"
-ASKED = "block int, grams binary, words binary, counts binary"
-ANSWER = "block int, grams binary, words binary, found binary"
+ASKED = "block int, words binary, counts binary"
+ANSWER = "block int, words binary, found binary"
+NODES = "grp int, nodes binary, zeros binary, ones binary, weighted binary"
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long"
 WHITE = re.compile(rb"[\x20\x09-\x0d]")
 
@@ -166,72 +170,157 @@ class Words:
         return pa.concat_tables(self.parts) if self.parts else pa.table({"word": pa.array([], pa.large_string()), "n": pa.array([], pa.int64())})
 
 
-def _asked(block: int, chunks: Iterable, depth: int) -> Iterator[tuple]:
-    """What a block needs to know, with the counts of its training texts; a word may be asked for a few times."""
-    grams, words = Grams(), Words()
+def _sides(chunks: Iterable) -> Iterator[tuple[bool, list[bytes]]]:
+    """The texts of each chunk that are learned from, and the others."""
     for _, (_, learned, lengths, text) in chunks:
         texts = _texts(lengths, text)
         for flag in (True, False):
             mine = [t for t, x in zip(texts, learned, strict=True) if x == flag]
             if mine:
-                for keys, _ in _gram_slices(mine, depth):
-                    grams.add(keys, flag)
-                for part in _word_slices(b"\n".join(mine)):
-                    flat = _split([part]).flatten()
-                    words.add(flat.filter(pc.not_equal(flat, "")), flag)
-    keys, counts = grams.total()
-    for i in range(0, len(keys), MESSAGE):
-        yield block, keys[i : i + MESSAGE].tobytes(), None, counts[i : i + MESSAGE].astype(np.int64).tobytes()
+                yield flag, mine
+
+
+def _asked_words(block: int, chunks: Iterable) -> Iterator[tuple]:
+    """The words a block needs to know of, with their counts in its training texts; one may be asked for a few times."""
+    words = Words()
+    for flag, mine in _sides(chunks):
+        for part in _word_slices(b"\n".join(mine)):
+            flat = _split([part]).flatten()
+            words.add(flat.filter(pc.not_equal(flat, "")), flag)
     listed = words.total()
     for i in range(0, len(listed), MESSAGE):
         part = listed.slice(i, MESSAGE)
-        yield block, None, "\n".join(part.column("word").to_pylist()).encode(), part.column("n").to_numpy().tobytes()
+        yield block, "\n".join(part.column("word").to_pylist()).encode(), part.column("n").to_numpy().tobytes()
+
+
+def _asked_grams(block: int, chunks: Iterable, depth: int, grouped: int, groups: int) -> Iterator[tuple]:
+    """The grams a block needs to know of, each once, with their counts in its training texts, as messages to their groups."""
+    grams = Grams()
+    for flag, mine in _sides(chunks):
+        for keys, _ in _gram_slices(mine, depth):
+            grams.add(keys, flag)
+    yield from _to_groups(block, *grams.total(), depth - grouped, groups)
+
+
+def _to_groups(block: int, keys: np.ndarray, counts: np.ndarray, up: int, groups: int) -> Iterator[tuple]:
+    """Ordered grams as a message to each group: group, (block, grams, counts). A group has all grams of its contexts."""
+    if not len(keys):
+        return
+    group = (mixed((keys >> 8 * (up + 1)).astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
+    order = np.argsort(group, kind="stable")
+    for rows in np.split(order, _runs(group[order])[1:]):
+        yield int(group[rows[0]]), (block, _apart(keys[rows]), counts[rows].astype(np.int64).tobytes())
 
 
-def _flat(asked: DataFrame) -> DataFrame:
+def _apart(ordered: np.ndarray) -> bytes:
+    """Ordered numbers by their distances, which compress."""
+    return np.diff(ordered, prepend=0).astype(np.int64).tobytes()
+
+
+def _together(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(raw, np.int64))
+
+
+def _flat_words(asked: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 counts = np.frombuffer(row["counts"], np.int64)
-                none = pa.nulls(len(counts))
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "gram": none.cast(pa.int64()) if row["grams"] is None else pa.array(np.frombuffer(row["grams"], np.int64)),
-                        "word": none.cast(pa.binary()) if row["words"] is None else pa.array(row["words"].split(b"\n"), pa.binary()),
+                        "word": pa.array(row["words"].split(b"\n"), pa.binary()),
                         "n": pa.array(counts),
                         "block": pa.array(np.full(len(counts), row["block"], np.int32)),
                     }
                 )
 
-    return asked.mapInArrow(run, "gram long, word binary, n long, block int")
+    return asked.mapInArrow(run, "word binary, n long, block int")
 
 
-def _counted(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    keys = rows.gram.to_numpy(np.int64)
-    order = np.argsort(keys)
-    return keys[order], rows.n.to_numpy(np.int64)[order]
+def _merged(asked: list[tuple[int, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The grams that these messages ask for, in order, each once, with its count over all of them."""
+    keys, counts = (np.concatenate([m[i] for m in asked]) for i in (1, 2))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = _runs(keys)
+    return keys[starts], np.add.reduceat(counts[order], starts)
 
 
-def gram_scores(facts: DataFrame, depth: int = DEPTH, grouped: int = GROUPED, per_group: int = GROUP_GRAMS) -> DataFrame:
-    """gram, value: log10 of the probability of each gram's byte in its context. facts: gram, n (in training), no gram twice."""
+def _read(messages: Iterable) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    return [(block, _together(grams), np.frombuffer(counts, np.int64)) for block, grams, counts in messages]
+
+
+def _lower(group: int, parts: Iterable, up: int) -> Iterator[tuple]:
+    """The nodes of a group's contexts that are as short as contexts get in a group."""
+    asked = _read(message for _, message in parts)
+    if not asked:
+        return
+    keys, counts = _merged(asked)
+    del asked
+    for decision in range(8):
+        top = tree.climbed(keys, counts, decision, up)[0][-1]
+        for i in range(0, len(top.nodes), MESSAGE):
+            yield group, *(x[i : i + MESSAGE].tobytes() for x in (top.nodes, top.zeros, top.ones, top.weighted))
+
+
+def _answered(parts: Iterable, up: int) -> Iterator[tuple]:
+    """Answers of a group to all blocks that asked it: block, ("answer", grams, None, values). `begun` messages tell what the
+    shorter contexts say of its nodes."""
+    begun, asked = [], []
+    for _, part in parts:
+        if part[0] == "begun":
+            begun.append((np.frombuffer(part[1], np.int64), np.frombuffer(part[2]), np.frombuffer(part[3])))
+        else:
+            asked += _read([part])
+    if not asked:
+        return
+    keys, counts = _merged(asked)
+    nodes, lead, rest = (np.concatenate(x) for x in zip(*begun, strict=True))
+    order = np.argsort(nodes)
+    nodes, lead, rest = nodes[order], lead[order], rest[order]
+    value = np.zeros(len(keys))
+    for decision in range(8):
+        levels, places = tree.climbed(keys, counts, decision, up)
+        at = np.searchsorted(nodes, levels[-1].nodes)[places[-1]]
+        one = lead[at] + rest[at] * tree.mixed(levels, places)
+        value += np.log10(np.where((keys >> (7 - decision)) & 1, one, 1 - one))
+    for block, mine, _ in asked:
+        yield block, ("answer", _apart(mine), None, value[np.searchsorted(keys, mine)].tobytes())
+
+
+def _node_rows(nodes: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids = np.frombuffer(row["nodes"], np.int64)
+                facts = {c: pa.array(np.frombuffer(row[c])) for c in ("zeros", "ones", "weighted")}
+                yield pa.RecordBatch.from_pydict({"node": pa.array(ids), **facts, "grp": pa.array(np.full(len(ids), row["grp"], np.int32))})
+
+    return nodes.mapInArrow(run, "node long, zeros double, ones double, weighted double, grp int")
+
+
+def _to_their_groups(begun: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _gathered(batches):
+            for group, part in _by_number_in(table, "grp"):
+                columns = {c: pa.array([part.column(c).to_numpy().tobytes()], pa.binary()) for c in ("node", "lead", "rest")}
+                yield pa.RecordBatch.from_pydict({"grp": pa.array([group], pa.int32()), **columns})
+
+    return begun.mapInArrow(run, "grp int, node binary, lead binary, rest binary")
+
+
+def gram_answers(spark: SparkSession, asked: RDD, groups: int, depth: int, grouped: int) -> RDD:
+    """Answers, (block, ("answer", grams, None, values)), to messages (group, (block, grams, counts)); values: log10 of the
+    probability of each gram's byte in its context, by what all messages count."""
     up = depth - grouped
-    groups = blocks_for(facts.count(), per_group)
-    context = F.shiftright("gram", 8 * (up + 1))
-    facts = facts.select("gram", "n", F.pmod(F.xxhash64(context), F.lit(groups)).cast("int").alias("grp"))
-
-    def lower(rows: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = _counted(rows)
-        out = []
-        for decision in range(8):
-            top = tree.climbed(keys, counts, decision, up)[0][-1]
-            out.append(pd.DataFrame({"node": top.nodes, "zeros": top.zeros, "ones": top.ones, "weighted": top.weighted}))
-        return pd.concat(out).assign(grp=rows.grp.iloc[0])
+    asked = asked.partitionBy(groups, _own)  # one shuffle, whose files both passes read
 
     def upper(rows: pd.DataFrame) -> pd.DataFrame:
         decisions = np.floor(np.log2(rows.node.to_numpy(np.int64) & 0xFF)).astype(int)
         return pd.concat([_upper(part.sort_values("node"), grouped - 1) for _, part in rows.groupby(decisions)])
 
-    nodes = written(facts.groupBy("grp").applyInPandas(lower, "node long, zeros double, ones double, weighted double, grp int"), "nodes")
+    lower = asked.mapPartitionsWithIndex(lambda group, parts: _lower(group, parts, up))
+    nodes = written(_node_rows(spark.createDataFrame(lower, NODES, verifySchema=False)), "nodes")
     parent = F.shiftleft(F.shiftright("node", 16), 8).bitwiseOR(F.col("node").bitwiseAND(0xFF))
     sums = nodes.groupBy(parent.alias("node")).agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")))
     # At most 255 nodes for each pair of bytes, however large the corpus is.
@@ -243,20 +332,30 @@ def gram_scores(facts: DataFrame, depth: int = DEPTH, grouped: int = GROUPED, pe
         F.when(seen, F.col("lead")).otherwise(F.col("stop")).alias("lead"),
         F.when(seen, F.col("rest")).otherwise(F.lit(0.0)).alias("rest"),
     )
+    told = _to_their_groups(begun).rdd.map(lambda r: (r.grp, ("begun", bytes(r.node), bytes(r.lead), bytes(r.rest))))
+    return told.partitionBy(groups, _own).union(asked).mapPartitions(lambda parts: _answered(parts, up))
+
+
+def gram_scores(facts: DataFrame, depth: int = DEPTH, grouped: int = GROUPED, per_group: int = GROUP_GRAMS) -> DataFrame:
+    """gram, value: log10 of the probability of each gram's byte in its context. facts: gram, n (in training), no gram twice."""
+    up, groups = depth - grouped, blocks_for(facts.count(), per_group)
 
-    def scored(rows: pd.DataFrame, begun: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = _counted(rows)
-        begun = begun.sort_values("node")
-        nodes, lead, rest = (begun[c].to_numpy() for c in ("node", "lead", "rest"))
-        value = np.zeros(len(keys))
-        for decision in range(8):
-            levels, places = tree.climbed(keys, counts, decision, up)
-            at = np.searchsorted(nodes, levels[-1].nodes)[places[-1]]
-            one = lead[at] + rest[at] * tree.mixed(levels, places)
-            value += np.log10(np.where((keys >> (7 - decision)) & 1, one, 1 - one))
-        return pd.DataFrame({"gram": keys, "value": value})
+    def messages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, counts = (batch.column(c).to_numpy() for c in ("gram", "n"))
+            order = np.argsort(keys)
+            for group, (_, grams, counted) in _to_groups(0, keys[order], counts[order], up, groups):
+                yield pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), pa.array([grams]), pa.array([counted])], ["grp", "grams", "counts"])
 
-    return facts.groupBy("grp").cogroup(begun.groupBy("grp")).applyInPandas(scored, "gram long, value double")
+    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(_together(row["grams"])), pa.array(np.frombuffer(row["found"]))], ["gram", "value"])
+
+    packed = facts.select("gram", "n").mapInArrow(messages, "grp int, grams binary, counts binary")
+    asked = packed.rdd.map(lambda r: (r.grp, (0, bytes(r.grams), bytes(r.counts))))
+    answers = gram_answers(facts.sparkSession, asked, groups, depth, grouped).map(lambda r: (r[1][1], r[1][3]))
+    return facts.sparkSession.createDataFrame(answers, "grams binary, found binary", verifySchema=False).mapInArrow(flat, "gram long, value double")
 
 
 def _upper(rows: pd.DataFrame, up: int) -> pd.DataFrame:
@@ -277,39 +376,42 @@ def _upper(rows: pd.DataFrame, up: int) -> pd.DataFrame:
     return pd.DataFrame({"parent": rows.node, "lead": lead, "rest": rest, "stop": stop})
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of many small batches as some larger tables."""
+    waiting, held = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        held += batch.num_rows
+        if held >= 8 * MESSAGE:
+            yield pa.Table.from_batches(waiting)
+            waiting, held = [], 0
+    if held:
+        yield pa.Table.from_batches(waiting)
+
+
+def _by_number_in(table: pa.Table, column: str) -> Iterator[tuple[int, pa.Table]]:
+    """The rows of each number in the column."""
+    table = table.sort_by(column)
+    numbers = table.column(column).to_numpy()
+    starts = _runs(numbers)
+    for a, b in zip(starts, np.append(starts[1:], len(numbers)), strict=True):
+        yield int(numbers[a]), table.slice(a, b - a)
+
+
 def _packed(answers: DataFrame) -> DataFrame:
-    """Answers as messages to their blocks."""
-
-    def messages(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        table = table.sort_by("block")
-        blocks = table.column("block").to_numpy()
-        starts = np.concatenate([[0], np.flatnonzero(blocks[1:] != blocks[:-1]) + 1, [len(blocks)]])
-        rows: dict[str, list] = {"block": [], "grams": [], "words": [], "found": []}
-        for a, b in zip(starts, starts[1:], strict=False):
-            part = table.slice(a, b - a)
-            of_word = pc.is_valid(part.column("word"))
-            for kind in (part.filter(pc.invert(of_word)), part.filter(of_word)):
-                if len(kind):
-                    words = kind.column("word").null_count == 0
-                    rows["block"].append(int(blocks[a]))
-                    rows["grams"].append(None if words else kind.column("gram").to_numpy().astype(np.int64).tobytes())
-                    rows["words"].append(b"\n".join(kind.column("word").to_pylist()) if words else None)
-                    rows["found"].append(kind.column("value").to_numpy().tobytes())
-        types = {"block": pa.int32(), "grams": pa.binary(), "words": pa.binary(), "found": pa.binary()}
-        yield pa.RecordBatch.from_pydict({c: pa.array(v, types[c]) for c, v in rows.items()})
+    """Answers about words as messages to their blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, held = [], 0
-        for batch in batches:
-            waiting.append(batch)
-            held += batch.num_rows
-            if held >= 8 * MESSAGE:
-                yield from messages(pa.Table.from_batches(waiting))
-                waiting, held = [], 0
-        if held:
-            yield from messages(pa.Table.from_batches(waiting))
+        for table in _gathered(batches):
+            rows: dict[str, list] = {"block": [], "words": [], "found": []}
+            for block, part in _by_number_in(table, "block"):
+                rows["block"].append(block)
+                rows["words"].append(b"\n".join(part.column("word").to_pylist()))
+                rows["found"].append(part.column("value").to_numpy().tobytes())
+            types = {"block": pa.int32(), "words": pa.binary(), "found": pa.binary()}
+            yield pa.RecordBatch.from_pydict({c: pa.array(v, types[c]) for c, v in rows.items()})
 
-    return answers.select("block", "gram", "word", "value").mapInArrow(run, ANSWER)
+    return answers.select("block", "word", "value").mapInArrow(run, ANSWER)
 
 
 def _gram_sums(texts: list[bytes], depth: int, known: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -363,7 +465,7 @@ def _scored(parts: Iterable, depth: int, none: float) -> Iterator[tuple]:
             _, grams, named, found = part
             found = np.frombuffer(found)
             if grams is not None:
-                keys.append(np.frombuffer(grams, np.int64))
+                keys.append(_together(grams))
                 values.append(found)
             else:
                 words.append(_split([named]).flatten())
@@ -382,7 +484,7 @@ def _scored(parts: Iterable, depth: int, none: float) -> Iterator[tuple]:
             yield doc_id, not flag, base[0], base[1], base[2], score, n
 
 
-def score(documents: DataFrame, depth: int = DEPTH) -> DataFrame:
+def score(documents: DataFrame, depth: int = DEPTH, grouped: int = GROUPED) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10), n_bytes, bits_per_byte of every document."""
     spark = documents.sparkSession
     ship(spark)
@@ -391,28 +493,26 @@ def score(documents: DataFrame, depth: int = DEPTH) -> DataFrame:
     ).first()
     per_block = max(BLOCK_BYTES, size[0] // MOST_BLOCKS)
     blocks = max(spark.sparkContext.defaultParallelism, blocks_for(size[0], per_block))
-    # One shuffle; both later passes over the texts read its files.
+    # One shuffle; all later passes over the texts read its files.
     dealt = _chunks(documents).rdd.map(lambda r: (r.chunk, (r.ids, r.learned, r.lengths, bytes(r.text)))).map(_by_number)
     dealt = dealt.partitionBy(blocks, _own)
     blocks = dealt.getNumPartitions()
 
-    asked = spark.createDataFrame(dealt.mapPartitionsWithIndex(lambda i, part: _asked(i, part, depth)), ASKED, verifySchema=False)
-    facts = _flat(asked).groupBy("gram", "word").agg(F.sum("n").alias("n"), F.collect_set("block").alias("blocks"))
-    facts = written(facts, "facts")
-    of_words = facts.where("word IS NOT NULL")
-    held = of_words.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    asked = spark.createDataFrame(dealt.mapPartitionsWithIndex(_asked_words), ASKED, verifySchema=False)
+    of_words = _flat_words(asked).groupBy("word").agg(F.sum("n").alias("n"), F.collect_set("block").alias("blocks"))
+    # A word that training never met needs no answer.
+    of_words = written(of_words.where("n > 0"), "words")
+    held = of_words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     ends = size[1]
     train, distinct = held[0] + ends, held[1] + (ends > 0)
     none = float(np.log10(train + 0.5 * (distinct + 1)))
 
-    of_grams = facts.where("gram IS NOT NULL")
-    values = of_grams.join(gram_scores(of_grams.select("gram", "n"), depth), "gram")
-    blank = {"gram": F.lit(None).cast("long"), "word": F.lit(None).cast("binary")}
-    answers = values.select(F.explode("blocks").alias("block"), "gram", blank["word"].alias("word"), "value").union(
-        # A word that training never met needs no answer.
-        of_words.where("n > 0").select(F.explode("blocks").alias("block"), blank["gram"].alias("gram"), "word", F.col("n").cast("double"))
-    )
-    told = _packed(answers).rdd.map(lambda r: (r.block, ("answer", *(None if x is None else bytes(x) for x in r[1:]))))
+    groups = max(spark.sparkContext.defaultParallelism, blocks_for(size[0], max(GROUP_BYTES, size[0] // MOST_BLOCKS)))
+    asked_grams = dealt.mapPartitionsWithIndex(lambda i, part: _asked_grams(i, part, depth, grouped, groups))
+    grams_told = gram_answers(spark, asked_grams, groups, depth, grouped)
+    words_told = _packed(of_words.select(F.explode("blocks").alias("block"), "word", F.col("n").cast("double").alias("value")))
+    words_told = words_told.rdd.map(lambda r: (r.block, ("answer", None, bytes(r.words), bytes(r.found))))
+    told = words_told.union(grams_told)
     told = told.partitionBy(blocks, _own)
     rows = told.union(dealt).mapPartitions(lambda parts: _scored(parts, depth, none))
     found = spark.createDataFrame(rows, SCORED, verifySchema=False)
