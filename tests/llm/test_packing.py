@@ -60,6 +60,18 @@ def test_other_tokenizers_read_whole_texts(tmp_path):
         assert [list(i) for i in e.ids(TEXTS)] == [whole(e, t) for t in TEXTS]
 
 
+def test_words_met_often_are_not_forgotten(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 60)
+    e, whole, asked = packing.Encoder(PATH), packing.Encoder(PATH), []
+    real = e._learned
+    monkeypatch.setattr(e, "_learned", lambda cores: asked.extend(cores) or real(cores))
+    for group in range(20):
+        letters = [chr(97 + group) + chr(97 + i) * 3 for i in range(24)]
+        texts = ["often seen, " + " ".join(letters), "", " \n seen often\t", None]
+        assert [list(i) for i in e.ids(texts)] == [list(i) for i in whole.ids(texts)]
+    assert asked.count(b"often") == asked.count(b"seen") == 1 and len(e.words) < 90
+
+
 def test_forgetting_words_changes_nothing(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 50)
     e = packing.Encoder(PATH)

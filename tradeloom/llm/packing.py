@@ -18,21 +18,22 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain, compress, repeat
 from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.llm.common import blocks_for, ship, written
-from tradeloom.llm.tokens import groups, words_of
+from tradeloom.llm.tokens import groups
 
 #: Pieces of one length that are numbered in one task, about.
 NUMBERED = 20_000
-#: Words an encoder remembers, about.
-REMEMBERED = 500_000
+#: Words an encoder remembers, about; beyond, it forgets those it met least often.
+REMEMBERED = 1_000_000
 #: Characters of texts encoded at a time; the more, the fewer words are looked up twice.
 ENCODED_CHARS = 4_000_000
 #: Words encoded in one call.
@@ -124,39 +125,66 @@ class Encoder:
     def _forget(self) -> None:
         self.words: dict[bytes, int] = {}  # the number of each word known
         self.sizes, self.starts, self.known = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.met = np.zeros(0, np.int64)  # groups of texts that held each word
+
+    def _make_room(self) -> None:
+        """Forgets the half of the words, or more, that was met least often."""
+        kept = self.met > np.median(self.met)
+        at, many = self._places(np.flatnonzero(kept))
+        self.words = dict(zip(compress(self.words, kept.tolist()), range(int(kept.sum()))))  # they lie by their numbers
+        self.known, self.sizes, self.starts = self.known[at], many, np.cumsum(many) - many
+        self.met = self.met[kept] // 2
+
+    def _places(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of these words lie, one after another, and how many each has."""
+        many = self.sizes[words]
+        return np.repeat(self.starts[words] - (np.cumsum(many) - many), many) + np.arange(many.sum()), many
 
     def _remember(self, words: list[bytes]) -> None:
-        """Adds the ids of these words, none of which is known."""
-        parts = [self._parts(w) for w in words]
-        learned = self._learned([x for x in dict.fromkeys(chain.from_iterable(parts)) if x])
+        """Adds the ids of these words, none of which is known. A core may be known as a word of its own."""
+        parts = [(w.lower(), b"") if w.isalpha() else self._parts(w) for w in words]
+        learned, unknown = {b"": b""}, []
+        for part in dict.fromkeys(chain.from_iterable(parts)):
+            number = self.words.get(part)
+            if number is None:
+                unknown.append(part)
+            else:
+                learned[part] = self.known[self.starts[number] : self.starts[number] + self.sizes[number]].tobytes()
+        learned |= self._learned([x for x in unknown if x])
         raw = [learned[core] + learned[end] if end else learned[core] for core, end in parts]
         sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
         self.words.update(zip(words, range(len(self.words), len(self.words) + len(words))))
         self.starts = np.append(self.starts, len(self.known) + np.cumsum(sizes) - sizes)
         self.sizes = np.append(self.sizes, sizes)
         self.known = np.append(self.known, np.frombuffer(b"".join(raw), np.uint32))
+        self.met = np.append(self.met, np.zeros(len(words), np.int64))
+
+    def _numbers(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
 
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
         if not self.by_word:
             return [np.array(i, np.uint32) for i in self._encode([t or "" for t in texts])]
         if not texts:
             return []
-        documents = [words_of(t) for t in texts]
-        flat = list(chain.from_iterable(documents))
-        words = np.fromiter(map(self.words.get, flat, repeat(-1)), np.int64, len(flat))
-        unknown = np.flatnonzero(words < 0).tolist()
-        if unknown:
-            fresh = dict.fromkeys(flat[i] for i in unknown)
-            if len(self.words) + len(fresh) > REMEMBERED:
-                self._forget()
-                fresh, unknown = dict.fromkeys(flat), list(range(len(flat)))
-            self._remember(list(fresh))
-            words[unknown] = np.fromiter((self.words[flat[i]] for i in unknown), np.int64, len(unknown))
-        many = self.sizes[words]
-        stops = np.cumsum(many)
-        at = np.repeat(self.starts[words] - (stops - many), many) + np.arange(many.sum())
-        last = np.cumsum([len(d) for d in documents])  # the number of words up to each document's end
-        return np.split(self.known[at], np.append(0, stops)[last[:-1]])
+        raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+        # Cut at the same six characters as `words_of`; what is empty, at a text's ends, has no ids.
+        lists = pc.ascii_split_whitespace(pa.array(raw, pa.large_binary()).view(pa.large_string()))
+        coded = lists.flatten().dictionary_encode()
+        held = coded.dictionary.view(pa.large_binary()).to_pylist()  # each different word once
+        numbers = self._numbers(held)
+        unknown = np.flatnonzero(numbers < 0)
+        if len(unknown):
+            if len(self.words) + len(unknown) > REMEMBERED and self.words:
+                self._make_room()
+                numbers = self._numbers(held)
+                unknown = np.flatnonzero(numbers < 0)
+            numbers[unknown] = np.arange(len(self.words), len(self.words) + len(unknown))
+            self._remember([held[i] for i in unknown.tolist()])
+        self.met[numbers] += 1
+        at, many = self._places(numbers[coded.indices.to_numpy()])
+        last = lists.offsets.to_numpy()  # the number of words up to each document's end
+        return np.split(self.known[at], np.append(0, np.cumsum(many))[last[1:-1]])
 
 
 _encoders: dict[str, Encoder] = {}
