@@ -9,8 +9,10 @@ from types import SimpleNamespace
 import pytest
 
 from tests.fixtures import category, item, market, order, rows
+from tradeloom import session
 from tradeloom.params import Period, QueryParams
 from tradeloom.plans import entities, runs, seller
+from tradeloom.plans import store as stores
 from tradeloom.plans.benchmarks import platform_benchmarks
 from tradeloom.plans.store import Store
 from tradeloom.session import shared_folder
@@ -46,6 +48,21 @@ def test_empty_store(store):
     assert store.insights().isEmpty()
 
 
+def test_a_sync_reads_lines_in_small_splits(spark, store, monkeypatch):
+    monkeypatch.setattr(session, "SUMMED_BYTES", 512)
+    setting, splits, frames_of = "spark.sql.files.maxPartitionBytes", [], stores.query_frames
+
+    def seen(market, *rest):
+        splits.append((market.lines().rdd.getNumPartitions(), len(market.lines().inputFiles())))
+        return frames_of(market, *rest)
+
+    monkeypatch.setattr(stores, "query_frames", seen)
+    before = spark.conf.get(setting)
+    store.sync(sample(spark), PARAMS, NOW)
+    assert len(splits) == 2 and all(parts > files for parts, files in splits)
+    assert spark.conf.get(setting) == before
+
+
 def test_sync_fills_history_benchmarks_and_log(spark, store):
     assert store.sync(sample(spark), PARAMS, NOW) == {"buyer": 5, "seller": 3}
     assert store.history_exists("buyer") and store.history_exists("seller")
