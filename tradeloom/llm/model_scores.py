@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.llm import context_tree as tree
-from tradeloom.llm.common import blocks_for, ship, written
+from tradeloom.llm.common import blocks_for, frugal, ship, written
 from tradeloom.llm.tokens import mixed
 
 #: Context bytes of the model (at most five), and of the groups in which the longer contexts are worked out.
@@ -58,6 +58,7 @@ def held_out() -> Column:
 def _chunks(documents: DataFrame) -> DataFrame:
     """Lower-cased texts of an Arrow batch as one row."""
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -163,6 +164,7 @@ class Words:
                 counts = found.field("counts") if learned else pa.array(np.zeros(len(found), np.int64))
                 self.parts.append(pa.table({"word": found.field("values"), "n": counts}))
         self.waiting, self.held = {True: [], False: []}, 0
+        pa.default_memory_pool().release_unused()
 
     def total(self) -> pa.Table:
         """A word may have several rows."""
@@ -180,6 +182,7 @@ def _sides(chunks: Iterable) -> Iterator[tuple[bool, list[bytes]]]:
                 yield flag, mine
 
 
+@frugal
 def _asked_words(block: int, chunks: Iterable) -> Iterator[tuple]:
     """The words a block needs to know of, with their counts in its training texts; one may be asked for a few times."""
     words = Words()
@@ -193,6 +196,7 @@ def _asked_words(block: int, chunks: Iterable) -> Iterator[tuple]:
         yield block, "\n".join(part.column("word").to_pylist()).encode(), part.column("n").to_numpy().tobytes()
 
 
+@frugal
 def _asked_grams(block: int, chunks: Iterable, depth: int, grouped: int, groups: int) -> Iterator[tuple]:
     """The grams a block needs to know of, each once, with their counts in its training texts, as messages to their groups."""
     grams = Grams()
@@ -222,6 +226,7 @@ def _together(raw: bytes) -> np.ndarray:
 
 
 def _flat_words(asked: DataFrame) -> DataFrame:
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -250,6 +255,7 @@ def _read(messages: Iterable) -> list[tuple[int, np.ndarray, np.ndarray]]:
     return [(block, _together(grams), np.frombuffer(counts, np.int64)) for block, grams, counts in messages]
 
 
+@frugal
 def _lower(group: int, parts: Iterable, up: int) -> Iterator[tuple]:
     """The nodes of a group's contexts that are as short as contexts get in a group."""
     asked = _read(message for _, message in parts)
@@ -263,6 +269,7 @@ def _lower(group: int, parts: Iterable, up: int) -> Iterator[tuple]:
             yield group, *(x[i : i + MESSAGE].tobytes() for x in (top.nodes, top.zeros, top.ones, top.weighted))
 
 
+@frugal
 def _answered(parts: Iterable, up: int) -> Iterator[tuple]:
     """Answers of a group to all blocks that asked it: block, ("answer", grams, None, values). `begun` messages tell what the
     shorter contexts say of its nodes."""
@@ -289,6 +296,7 @@ def _answered(parts: Iterable, up: int) -> Iterator[tuple]:
 
 
 def _node_rows(nodes: DataFrame) -> DataFrame:
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -300,6 +308,7 @@ def _node_rows(nodes: DataFrame) -> DataFrame:
 
 
 def _to_their_groups(begun: DataFrame) -> DataFrame:
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _gathered(batches):
             for group, part in _by_number_in(table, "grp"):
@@ -340,6 +349,7 @@ def gram_scores(facts: DataFrame, depth: int = DEPTH, grouped: int = GROUPED, pe
     """gram, value: log10 of the probability of each gram's byte in its context. facts: gram, n (in training), no gram twice."""
     up, groups = depth - grouped, blocks_for(facts.count(), per_group)
 
+    @frugal
     def messages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, counts = (batch.column(c).to_numpy() for c in ("gram", "n"))
@@ -347,6 +357,7 @@ def gram_scores(facts: DataFrame, depth: int = DEPTH, grouped: int = GROUPED, pe
             for group, (_, grams, counted) in _to_groups(0, keys[order], counts[order], up, groups):
                 yield pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), pa.array([grams]), pa.array([counted])], ["grp", "grams", "counts"])
 
+    @frugal
     def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -401,6 +412,7 @@ def _by_number_in(table: pa.Table, column: str) -> Iterator[tuple[int, pa.Table]
 def _packed(answers: DataFrame) -> DataFrame:
     """Answers about words as messages to their blocks."""
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _gathered(batches):
             rows: dict[str, list] = {"block": [], "words": [], "found": []}
@@ -457,6 +469,7 @@ def _word_sums(texts: list[bytes], words: pa.Array, counted: np.ndarray, none: f
     yield from told(small)
 
 
+@frugal
 def _scored(parts: Iterable, depth: int, none: float) -> Iterator[tuple]:
     """Texts of a block by the answers, which come first. none: log10 of what is added to a word's count over all."""
     keys, values, words, counts, known = [], [], [], [], None
