@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import ship, written
+from tradeloom.llm.common import frugal, ship, written
 from tradeloom.llm.tokens import groups
 from tradeloom.operators.quantiles import exact_quantiles
 
@@ -161,6 +161,7 @@ def _learned(sample: DataFrame, settings: Settings) -> Profiles:
                 names=["lang", "gram", "n"],
             )
 
+    @frugal
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
@@ -187,6 +188,7 @@ def _learned(sample: DataFrame, settings: Settings) -> Profiles:
 def predict(documents: DataFrame, profiles: Profiles, settings: Settings = Settings()) -> DataFrame:
     """doc_id, lang_pred, score of every document."""
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in groups(batch):
@@ -223,6 +225,7 @@ def lowest_scores(sample: DataFrame, profiles: Profiles, settings: Settings = Se
     """Per language and class of length the lowest score of the training texts and of stretches of them, strays left
     out."""
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in groups(batch):
@@ -266,6 +269,7 @@ def keep_known(documents: DataFrame, settings: Settings = Settings()) -> DataFra
     profiles = _learned(sample, settings)
     lowest = lowest_scores(sample, profiles, settings)
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in groups(batch):

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import ship, written
+from tradeloom.llm.common import frugal, ship, written
 from tradeloom.llm.tokens import groups, mixed, numbered, words_of
 
 #: Rows of a signature compared at a time.
@@ -126,6 +126,7 @@ def band_keys(sig: np.ndarray, settings: Settings) -> np.ndarray:
 def signed(documents: DataFrame, settings: Settings) -> DataFrame:
     """doc_id, n, key, sig (low 16 bits of each row) and bands; key, sig and bands are null for empty sets."""
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in groups(batch):
@@ -184,6 +185,7 @@ def _with_both(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
 def _pruned(pairs: DataFrame, settings: Settings) -> DataFrame:
     least = settings.least_matches()
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -194,6 +196,7 @@ def _pruned(pairs: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, settings: Settings) -> DataFrame:
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = zip(batch.column("shingles_a"), batch.column("shingles_b"))
@@ -206,6 +209,7 @@ def _confirmed(pairs: DataFrame, settings: Settings) -> DataFrame:
 def _sets_of(documents: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
     """rep, shingles (sorted 64-bit hashes as bytes) of the wanted (rep, key)."""
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in groups(batch):
@@ -284,6 +288,7 @@ def _search_packs(packs: DataFrame, settings: Settings) -> DataFrame:
                     joined[max(a, b)] = min(a, b)
                     yield m["rep"], inner[i]["rep"]
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):

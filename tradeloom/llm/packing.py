@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import blocks_for, ship, written
+from tradeloom.llm.common import blocks_for, frugal, ship, written
 from tradeloom.llm.tokens import groups
 
 #: Pieces of one length that are numbered in one task, about.
@@ -193,6 +193,7 @@ _encoders: dict[str, Encoder] = {}
 def pieces(documents: DataFrame, tokenizer: str, length: int = 2048, closing: int = 0, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece, and its ids (little-endian, 32 bits) if asked for."""
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if tokenizer not in _encoders:
             _encoders[tokenizer] = Encoder(tokenizer)
@@ -322,6 +323,7 @@ def pack(documents: DataFrame, tokenizer: str, length: int = 2048, closing: int
     numbered = cut.withColumn("own", F.row_number().over(order)).join(first, ["length", "bucket"])
     numbered = numbered.withColumn("number", F.col("before") + F.col("own") - 1).drop("bucket", "own", "before")
 
+    @frugal
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, numbers = (batch.column(c).to_numpy() for c in ("length", "number"))
