@@ -13,8 +13,9 @@ from tradeloom.params import Period, QueryParams
 from tradeloom.plans import buyer, runs
 from tradeloom.plans.snapshots import Snapshots
 from tradeloom.plans.store import Store
-from tradeloom.sources.increments import FIRSTS, LINES, file_changes
-from tradeloom.sources.tables import TABLES, read_parquet
+from tradeloom.sources import increments
+from tradeloom.sources.increments import FIRSTS, LINES, differing_orders, file_changes, with_month
+from tradeloom.sources.tables import TABLES, Marketplace, read_parquet
 
 NOW = datetime(2024, 6, 30, 8, 0)
 PARAMS = {"seller": QueryParams(Period.of("2024-01-01", "2024-03-31"), 3, "month")}
@@ -265,3 +266,36 @@ def test_a_sync_moves_no_row_more_often_than_it_must(spark, tmp_path):
 
     # The lines of January to April tell all first dates of a period and the one before that hold them; others look them up.
     assert not joins("2024-03-01") and joins("2024-04-01")
+
+
+def test_first_dates_are_found_anew_where_most_months_change(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "store"))
+    items, orders = purchases(7, 20)
+    store.stage(market(spark, items, orders))
+    monkeypatch.setattr(buyer, "earliest", lambda *_: 1 / 0)  # looks changed keys up among those of all lines
+    source = market(spark, [(*i[:3], i[3] + 1, *i[4:]) for i in items[:-1]], orders)
+    assert store.stage(source)
+    lines = store.lines(source)
+    assert rows(lines.lines(), *sorted(source.lines().columns)) == rows(source.lines(), *sorted(source.lines().columns))
+    assert rows(lines.first_dates) == rows(buyer.first_dates(source.lines()))
+
+
+def test_sources_that_give_their_lines_are_not_joined_again(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "store"))
+    items, orders = purchases(10, 20)
+    store.stage(market(spark, items, orders))
+    new = market(spark, items[3:], [(*o[:4], "post" if o[0] == 9 else o[4], o[5]) for o in orders])
+    joined, staged = new.lines(), store.staged_lines.lines(store.snapshots.current())
+    given = Marketplace(spark, {n: (lambda n=n: getattr(new, n)) for n in TABLES}, lines=lambda: joined, scale=new.scale)
+    assert rows(differing_orders(given, staged)) == rows(differing_orders(new, staged)) != []
+    monkeypatch.setattr(increments, "join_items_orders", lambda *_: 1 / 0)
+    assert store.stage(given) and not store.stage(given)
+    same_lines(store, given)
+
+
+def test_two_equal_lines_are_not_taken_for_two_others(spark):
+    before, after = ([item(1, 2, amount, "2024-01-05") for _ in range(2)] for amount in (3.0, 4.0))
+    orders = [order(1, 5, 6)]
+    lines = with_month(market(spark, before, orders).lines())
+    assert rows(differing_orders(market(spark, after, orders), lines)) == [(1,)]
+    assert rows(differing_orders(market(spark, before, orders), lines)) == []
