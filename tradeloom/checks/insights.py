@@ -32,8 +32,10 @@ from tradeloom.checks.entities import (
     synced_store,
 )
 from tradeloom.params import Period, QueryParams
-from tradeloom.plans import browse, buyer, insights, runs, seller
+from tradeloom.plans import browse, insights, runs
+from tradeloom.plans.entities import whole_overview
 from tradeloom.plans.registry import plan_of
+from tradeloom.session import written
 
 KINDS = ("buyer", "seller")
 SCALE = insights.history_scale(LATER_HALF, WHOLE, per_day=True)
@@ -47,8 +49,8 @@ def union(parts):
 
 
 def overview(market, kind, period=LATER_HALF):
-    build = buyer.overview if kind == "buyer" else seller.performance_overview
-    return build(market, QueryParams(period))
+    """Of the lines that the sync has staged."""
+    return whole_overview(synced_store(market).lines(market), kind, QueryParams(period))
 
 
 def compared(market, kind, period=LATER_HALF):
@@ -394,7 +396,7 @@ def _(market):
 
 def _written_insights(market):
     """A store whose own sink has written the documents, one type twice: a repeated run replaces them."""
-    store, docs = _store(market, "insight_docs"), insight_docs(market)
+    store, docs = _store(market, "insight_docs"), written(insight_docs(market), "insight-docs")  # read three times
     for kind in ("buyer", "seller", "buyer"):
         store.write_insights(docs.filter(F.col("entity_type") == kind), kind, "run")
     return store
